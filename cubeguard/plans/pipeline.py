@@ -1,0 +1,121 @@
+"""The comparison pipeline (new vs old cube) and S1 (load a pair).
+
+Plan: both cubes get level flags (broadcast joins against distinct level
+lists), change values (exchange by series) and fences (one exchange by
+stratum).  Then ONE null-safe full outer join on the common dimensions
+yields both the new cube's previous-outlier flags (W4) and the comparison
+cube (C3), so each flagged cube is shuffled by the keys only once.
+The only actions are two single-row profiles (totals, number of periods).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cubeguard.functions.exprs import null_safe_keys
+from cubeguard.operators.compare import add_diffcolumns, add_totals_for_missing_dims, uprikk_rebuild
+from cubeguard.operators.geo import exclude_lks_for_compare
+from cubeguard.operators.levels import flag_rows
+from cubeguard.operators.outliers import flag_outliers, prev_outlier_columns
+from cubeguard.spec import (
+    DEFAULT_SPEC, ColumnRoles, CubeSpec, col, identify_coltypes, profile_cube, select_outlier_pri,
+)
+
+
+@dataclass
+class CompareResult:
+    newcube_flag: DataFrame
+    oldcube_flag: DataFrame | None
+    comparecube: DataFrame | None
+    roles: ColumnRoles
+    outlierval: str | None
+
+
+def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
+                     small_threshold: float = 10000.0, spec: CubeSpec = DEFAULT_SPEC,
+                     reference_parenthesis: bool = False) -> CompareResult:
+    """Flagged new cube, flagged old cube and comparison cube (all lazy)."""
+    roles = identify_coltypes(cube_new, cube_old, spec)
+    outlierval = select_outlier_pri(cube_new, cube_old, roles, spec) if outliers else None
+
+    new = exclude_lks_for_compare(cube_new)
+    old = exclude_lks_for_compare(cube_old)
+    prof_new = profile_cube(new, list(roles.dims_new), spec)
+    prof_old = profile_cube(old, list(roles.dims_old), spec) if old is not None else None
+    if old is not None:
+        new = _add_totals(new, old, roles.expdims, prof_old.totals, spec)
+        old = _add_totals(old, cube_new, roles.newdims, prof_new.totals, spec)
+    roles = identify_coltypes(new, old, spec)
+
+    new_flag = flag_rows(new, old, "newrow", spec)
+    if outlierval is not None:
+        new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec)
+    if old is None:
+        return CompareResult(new_flag, None, None, roles, outlierval)
+
+    old_flag = flag_rows(new, old, "exprow", spec)
+    if outlierval is not None:
+        old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec)
+
+    newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis)
+    return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval)
+
+
+def _add_totals(dt, ref, dims, ref_totals, spec):
+    dims = list(dims or [])
+    if not dims:
+        return dt
+    missing = [d for d in dims if ref_totals.get(d) is None]
+    if missing:
+        return add_totals_for_missing_dims(dt, ref, dims, spec)  # raises with the message
+    return dt.withColumns({d: F.lit(ref_totals[d]).cast(ref.schema[d].dataType) for d in dims})
+
+
+def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles, outlierval,
+                  reference_parenthesis: bool):
+    keys = roles.commondims
+    extra, vals = uprikk_rebuild(new_flag.columns, old_flag.columns, roles.commonvals)
+    n = new_flag.withColumns(extra).withColumn("__in_new", F.lit(True)) if extra else \
+        new_flag.withColumn("__in_new", F.lit(True))
+    old_sel = [col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    old_sel += [col("exprow").alias("__exprow")]
+    old_sel += [col(v).alias(f"{v}_old") for v in vals]
+    has_out = outlierval is not None and "OUTLIER" in old_flag.columns
+    has_chg = has_out and "change_OUTLIER" in old_flag.columns and "change_OUTLIER" in new_flag.columns
+    if has_out:
+        old_sel.append(F.col("OUTLIER").alias("__old_OUTLIER"))
+    if has_chg:
+        old_sel.append(F.col("change_OUTLIER").alias("__old_change_OUTLIER"))
+    o = old_flag.select(*old_sel)
+    cond = None
+    for i, k in enumerate(keys):
+        c = n[k].eqNullSafe(o[f"__k{i}"])
+        cond = c if cond is None else cond & c
+    joined = n.join(o, cond, "full")
+
+    # The new cube with previous-outlier information
+    prev_cols = {}
+    if has_out:
+        prev_cols.update(prev_outlier_columns("__old_OUTLIER", "OUTLIER", "", reference_parenthesis))
+    if has_chg:
+        prev_cols.update(prev_outlier_columns("__old_change_OUTLIER", "change_OUTLIER", "change_",
+                                              reference_parenthesis))
+    base_cols = [c for c in new_flag.columns]
+    newcube_flag = joined.where(F.col("__in_new")).withColumns(prev_cols)
+    order = [c for c in base_cols + list(prev_cols) if not c.startswith("change_")] + \
+            [c for c in base_cols + list(prev_cols) if c.startswith("change_")]
+    newcube_flag = newcube_flag.select(*[col(c) for c in order])
+
+    # Comparison cube; old side only for rows that are not expired
+    keep = F.col("__in_new").isNotNull() | (F.col("__exprow") == 0)
+    cc = joined.where(keep)
+    sel = [col("GEOniv"), col("newrow")]
+    sel += [F.coalesce(n[k], o[f"__k{i}"]).alias(k) for i, k in enumerate(keys)]
+    for v in vals:
+        sel.append(col(v).alias(f"{v}_new"))
+        sel.append(F.when(F.col("__exprow") == 0, col(f"{v}_old")).alias(f"{v}_old"))
+    comparecube = add_diffcolumns(cc.select(*sel), vals)
+    return newcube_flag, comparecube

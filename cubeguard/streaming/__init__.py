@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming: every input is a complete, versioned cube
+file, and every check compares complete versions.  No streaming operator is
+therefore built.  The batch operators are lazy DataFrame transformations, so
+a caller who receives cube versions as a file stream can apply any of them
+inside ``writeStream.foreachBatch`` without changes.
+"""
