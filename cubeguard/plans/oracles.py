@@ -13,3 +13,277 @@ def _build():
 
 
 _build()
+
+
+# ---------------------------------------------------------------- helpers
+W = o.with_fixtures
+R = o.rnd
+LABEL = o.GEO_LABEL_SQL
+NEWD = "GEO, AAR, KJONN, ALDER, INNVKAT"
+OLDD = "GEO, AAR, KJONN, ALDER, UTDANN"
+COMMON = "GEO, AAR, KJONN, ALDER, INNVKAT, UTDANN"
+CITIES = {100: "NATION_0", 201: "NATION_1", 302: "NATION_2", 403: "NATION_3"}
+SPLIT = ("CASE WHEN GEOniv = 'K' AND WEIGHTS < (SELECT thr FROM fx_thr) "
+         "AND NOT (CAST(GEO AS VARCHAR) LIKE '%99') THEN 'k' ELSE GEOniv END")
+KOMMUNE = ("CASE WHEN GEO IN (100, 201, 302, 403) OR GEOniv = 'B' OR GEOniv = 'Bydel' THEN CASE "
+           + " ".join(f"WHEN CAST(GEO AS VARCHAR) LIKE '{k}%' THEN '{v}'" for k, v in CITIES.items())
+           + " END END")
+
+
+def in_other(dims, other):
+    return " AND ".join(f"{d} IN (SELECT {d} FROM {other})" for d in dims)
+
+
+def not_in_other(dims, other):
+    return " OR ".join(f"{d} NOT IN (SELECT {d} FROM {other})" for d in dims)
+
+
+def _more():
+    ORACLES["p2_compare_columns"] = W(select="""
+      SELECT * FROM (VALUES ('GEO','present'),('AAR','present'),('KJONN','present'),('ALDER','present'),
+        ('INNVKAT','present'),('TELLER','present'),('NEVNER','present'),('RATE','present'),
+        ('RATE.n','present'),('SPVFLAGG','present'),('INNVKAT','new'),('UTDANN','expired'),
+        ('TELLER_uprikk','uprikk')) t("column", status)""")
+    dims = ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"]
+    nl = " UNION ".join(f"SELECT '{d}' AS Dimension, CAST({d} AS VARCHAR) AS level FROM newcube" for d in dims)
+    ol = " UNION ".join(f"SELECT '{d}' AS Dimension, CAST({d} AS VARCHAR) AS level FROM oldcube"
+                        for d in dims if d != "INNVKAT")
+    ORACLES["p3_compare_dimensions"] = W(
+        f"p3_n AS ({nl})", f"p3_o AS ({ol})",
+        """p3_j AS (SELECT coalesce(n.Dimension, o.Dimension) AS Dimension,
+                   CASE WHEN n.Dimension IS NOT NULL THEN n.level ELSE o.level END AS level,
+                   n.Dimension IS NOT NULL AS in_new, o.Dimension IS NOT NULL AS in_old
+            FROM p3_n n FULL OUTER JOIN p3_o o ON n.Dimension = o.Dimension AND n.level IS NOT DISTINCT FROM o.level)""",
+        select="""SELECT Dimension, count(*) FILTER (WHERE in_new) AS N_levels,
+          coalesce(array_to_string(list_sort(list(coalesce(level, 'NA')) FILTER (WHERE in_new AND NOT in_old)), ', '), '') AS New_levels,
+          coalesce(array_to_string(list_sort(list(coalesce(level, 'NA')) FILTER (WHERE in_old AND NOT in_new)), ', '), '') AS Expired_levels
+          FROM p3_j WHERE Dimension IN ('GEO','AAR','KJONN','ALDER','INNVKAT') GROUP BY Dimension""")
+    ORACLES["g1_recode_geo"] = W(select="SELECT * FROM oldcube")
+    ORACLES["g1_recode_report"] = W(select="""
+      SELECT count(DISTINCT m.old) AS recoded_codes,
+             count(*) FILTER (WHERE CAST(coalesce(m.current, o.GEO) AS VARCHAR) LIKE '%99') AS rows_on_99_codes
+      FROM fx_old_raw o LEFT JOIN fx_georecode m ON o.GEO = m.old""")
+    ORACLES["g2_geo_params"] = W(select="SELECT * FROM newcube")
+    ORACLES["g3_split_small"] = W(select=f"SELECT {NEWD}, {SPLIT} AS GEOniv, WEIGHTS FROM newcube")
+    ORACLES["g4_labels"] = W(f"g4 AS (SELECT GEO, {SPLIT} AS GEOniv FROM newcube)", select=f"""
+      SELECT {LABEL} AS GEOniv, count(*) AS n_rows, count(DISTINCT GEO) AS n_codes FROM g4 GROUP BY 1""")
+    ORACLES["g5_parent"] = W(select=f"""
+      SELECT * FROM (SELECT {NEWD}, GEOniv, {KOMMUNE} AS KOMMUNE FROM newcube) WHERE KOMMUNE IS NOT NULL""")
+    ORACLES["f1_common_levels"] = W(select="SELECT * FROM newcube WHERE "
+                                    + in_other(["GEO", "AAR", "KJONN", "ALDER"], "oldcube"))
+    ORACLES["f1_common_levels_old"] = W(select="SELECT * FROM oldcube WHERE "
+                                        + in_other(["GEO", "AAR", "KJONN", "ALDER"], "newcube"))
+    ORACLES["f2_complete_strata"] = W(select="""
+      SELECT * EXCLUDE (nb) FROM (SELECT *, sum(CASE WHEN SPVFLAGG <> 0 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY AAR, KJONN, ALDER, INNVKAT) AS nb FROM newcube) WHERE nb = 0""")
+    ORACLES["f2_complete_strata_missing"] = W(select="""
+      SELECT * EXCLUDE (nb) FROM (SELECT *, sum(CASE WHEN RATE IS NULL THEN 1 ELSE 0 END)
+        OVER (PARTITION BY AAR, ALDER) AS nb FROM newcube) WHERE nb = 0""")
+    c4 = ["GEO", "AAR", "KJONN", "ALDER"]
+    ORACLES["f3_flag_new"] = W(select=f"""
+      SELECT {NEWD}, CASE WHEN {not_in_other(c4, 'oldcube')} THEN 1 WHEN INNVKAT <> 0 THEN 1 ELSE 0 END AS newrow
+      FROM newcube""")
+    ORACLES["f3_flag_expired"] = W(select=f"""
+      SELECT {OLDD}, CASE WHEN {not_in_other(c4, 'newcube')} THEN 1 WHEN UTDANN <> 0 THEN 1 ELSE 0 END AS exprow
+      FROM oldcube""")
+    ORACLES["a1_collapse_total"] = W(select="SELECT * FROM newcube WHERE KJONN = 0")
+    ORACLES["a1_collapse_mean"] = W(select=f"""
+      SELECT GEO, AAR, KJONN, 'Total' AS ALDER, INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
+             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg("RATE.n")', 6)} AS "RATE.n",
+             arg_min(SPVFLAGG, ALDER) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
+             arg_min(GEOniv, ALDER) AS GEOniv, arg_min(WEIGHTS, ALDER) AS WEIGHTS
+      FROM newcube WHERE ALDER <> '1_7' GROUP BY GEO, AAR, KJONN, INNVKAT""")
+    ORACLES["a2_collapse_multi"] = W("""a2_s1 AS (
+      SELECT GEO, AAR, KJONN, 'Total' AS ALDER, INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
+             avg(NEVNER) AS NEVNER, avg(RATE) AS RATE, avg("RATE.n") AS "RATE.n",
+             arg_min(SPVFLAGG, ALDER) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
+             arg_min(GEOniv, ALDER) AS GEOniv, arg_min(WEIGHTS, ALDER) AS WEIGHTS
+      FROM newcube WHERE ALDER <> '1_7' AND INNVKAT <> 0 GROUP BY GEO, AAR, KJONN, INNVKAT)""", select=f"""
+      SELECT GEO, AAR, KJONN, ALDER, 'Total' AS INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
+             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg("RATE.n")', 6)} AS "RATE.n",
+             arg_min(SPVFLAGG, INNVKAT) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
+             arg_min(GEOniv, INNVKAT) AS GEOniv, arg_min(WEIGHTS, INNVKAT) AS WEIGHTS
+      FROM a2_s1 GROUP BY GEO, AAR, KJONN, ALDER""")
+    CC = o.COMPARECUBE_CTES
+    ORACLES["c4_any_diffs"] = W(*CC, select="""
+      SELECT GEOniv, count(*) FILTER (WHERE any_diffs = 1) AS n_any_diffs, count(*) AS n_rows
+      FROM comparecube GROUP BY GEOniv""")
+    ORACLES["w1_change"] = W(*o.C1_CTES, select=f"SELECT {COMMON}, RATE, change_RATE FROM c1_newflag")
+    f = "MIN, wq25, wq50, wq75, MAX, LOW, HIGH"
+    ORACLES["w2_weighted_fences"] = W(*o.C1_CTES, select=f"SELECT DISTINCT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, {f} FROM c1_newflag")
+    cf = ", ".join("change_" + x.strip() for x in f.split(","))
+    ORACLES["w2_change_fences"] = W(*o.C1_CTES, select=f"SELECT DISTINCT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, {cf} FROM c1_newflag")
+    ORACLES["w3_flag_outliers_old"] = W(*o.C1_CTES, select=f"SELECT {COMMON}, GEOniv, exprow, OUTLIER, change_OUTLIER FROM c1_oflag")
+    ORACLES["w4_new_outlier"] = W(*o.C1_CTES, select=f"""SELECT {COMMON}, newrow, OUTLIER, PREV_OUTLIER, NEW_OUTLIER,
+      change_OUTLIER, change_PREV_OUTLIER, change_NEW_OUTLIER FROM c1_newflag""")
+
+    # A3
+    a3_ctes = ["a3_nf AS (SELECT * FROM newcube WHERE " + in_other(c4, "oldcube") + ")",
+               "a3_of AS (SELECT * FROM oldcube WHERE " + in_other(c4, "a3_nf") + ")"]
+
+    def a3(keys):
+        k = ", ".join(keys)
+        kk = ", ".join(f"coalesce(n.{x}, o.{x}) AS {x}" for x in keys)
+        on = " AND ".join(f"n.{x} IS NOT DISTINCT FROM o.{x}" for x in keys)
+        return W(*a3_ctes, select=f"""
+          SELECT *, N_new - N_old AS Absolute, {R('CAST(N_new AS DOUBLE) / nullif(CAST(N_old AS DOUBLE), 0)', 3)} AS Relative
+          FROM (SELECT {kk}, coalesce(n.N_new, 0) AS N_new, coalesce(o.N_old, 0) AS N_old
+                FROM (SELECT {k}, count(*) AS N_new FROM a3_nf WHERE INNVKAT = 0 GROUP BY {k}) n
+                FULL OUTER JOIN (SELECT {k}, count(*) AS N_old FROM a3_of WHERE UTDANN = 0 GROUP BY {k}) o ON {on}) x""")
+    ORACLES["a3_censoring"] = a3(["SPVFLAGG"])
+    ORACLES["a3_censoring_by_sex"] = a3(["SPVFLAGG", "KJONN"])
+    cols = "GEO, AAR, KJONN, ALDER, TELLER, NEVNER, RATE, \"RATE.n\", SPVFLAGG, TELLER_uprikk"
+    ORACLES["a4_censoring_series"] = W(f"""a4_b AS (
+        SELECT {cols}, 'New' AS cube FROM newcube WHERE NOT (CAST(GEO AS VARCHAR) LIKE '%99')
+        UNION ALL SELECT {cols}, 'Old' AS cube FROM oldcube WHERE NOT (CAST(GEO AS VARCHAR) LIKE '%99'))""",
+        """a4_p AS (SELECT cube, CAST(sum(CASE WHEN SPVFLAGG <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS N_censored
+                   FROM a4_b GROUP BY cube, GEO, KJONN, ALDER)""",
+        f"""a4_h AS (SELECT cube, N_censored, count(*) AS N FROM a4_p GROUP BY ALL)""",
+        f"""a4_s AS (SELECT *, {R('100.0 * N / sum(N) OVER (PARTITION BY cube)', 1)} AS Proportion FROM a4_h)""",
+        select="""SELECT N_censored, max(N) FILTER (WHERE cube = 'New') AS N_New,
+                  max(Proportion) FILTER (WHERE cube = 'New') AS Proportion_New,
+                  max(N) FILTER (WHERE cube = 'Old') AS N_Old,
+                  max(Proportion) FILTER (WHERE cube = 'Old') AS Proportion_Old FROM a4_s GROUP BY N_censored""")
+    ORACLES["a4_censoring_series_new"] = W(
+        """a4_p AS (SELECT CAST(sum(CASE WHEN SPVFLAGG <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS N_censored
+                   FROM newcube GROUP BY GEO, KJONN, ALDER, INNVKAT)""",
+        "a4_h AS (SELECT N_censored, count(*) AS N FROM a4_p GROUP BY ALL)",
+        select=f"SELECT *, {R('100.0 * N / sum(N) OVER ()', 1)} AS Proportion FROM a4_h")
+    ORACLES["a5_coverage_geolevel"] = W(f"a5 AS (SELECT GEO, AAR, SPVFLAGG, {SPLIT} AS GEOniv FROM newcube)", select=f"""
+      SELECT *, {R('100.0 * Gets_data / Total_codes', 1)} AS Coverage_pct FROM (
+        SELECT GEOniv, AAR, count(DISTINCT GEO) AS Total_codes,
+               count(DISTINCT CASE WHEN SPVFLAGG = 0 THEN GEO END) AS Gets_data FROM a5 GROUP BY GEOniv, AAR) x""")
+    ORACLES["a6_coverage_geocode"] = W(select=f"""
+      SELECT *, {R('100.0 * Uncensored / Total_rows', 1)} AS Coverage_pct,
+             {R('100.0 * Censored / Total_rows', 1)} AS Censored_pct FROM (
+        SELECT GEO, AAR, count(SPVFLAGG) AS Total_rows, count(*) FILTER (WHERE SPVFLAGG = 0) AS Uncensored,
+               count(*) FILTER (WHERE SPVFLAGG > 0) AS Censored FROM newcube GROUP BY GEO, AAR) x WHERE Censored > 0""")
+
+    def a7(filt, hi, lo, kommune=False):
+        gd = ("KOMMUNE, " if kommune else "") + "AAR, KJONN, ALDER, INNVKAT"
+        kcol = f", {KOMMUNE} AS KOMMUNE" if kommune else ""
+        return W(f"a7 AS (SELECT *, {LABEL} AS lab{kcol} FROM newcube WHERE {filt})", select=f"""
+          SELECT {gd}, {R('hi', 0)} AS {hi}, {R('lo', 0)} AS {lo}, {R('hi - lo', 0)} AS Absolute,
+                 {R('hi / nullif(lo, 0)', 3)} AS Relative FROM (
+            SELECT {gd}, sum(TELLER_uprikk) FILTER (WHERE lab = '{hi}') AS hi,
+                   sum(TELLER_uprikk) FILTER (WHERE lab = '{lo}') AS lo FROM a7 GROUP BY {gd}) x""")
+    ORACLES["a7_geolevel_fl"] = a7("GEOniv IN ('L', 'F')", "Land", "Fylke")
+    ORACLES["a7_geolevel_fk"] = a7("GEOniv IN ('F', 'K')", "Fylke", "Kommune")
+    ORACLES["a7_geolevel_bk"] = a7("GEO IN (100, 201, 302, 403) OR GEOniv = 'B'", "Kommune", "Bydel", True)
+    ORACLES["a7_geolevel_oo"] = a7("GEO IN (1, 100)", "Fylke", "Kommune")
+
+    def a8(kind, maxrows=4000):
+        bad = "CASE WHEN value IS NULL THEN 1 ELSE 0 END" if kind == "missing" else \
+              "CASE WHEN SPVFLAGG <> 0 THEN 1 ELSE 0 END"
+        return W(
+            "a8_s AS (SELECT * FROM newcube WHERE GEO IN (100, 201, 302, 403) OR GEOniv = 'B')",
+            f"""a8_d AS (SELECT *, {KOMMUNE} AS KOMMUNE FROM a8_s
+                       WHERE AAR IN (SELECT AAR FROM a8_s WHERE GEOniv = 'B' AND SPVFLAGG = 0))""",
+            """a8_l AS (SELECT KOMMUNE, GEOniv, GEO, AAR, KJONN, ALDER, INNVKAT, SPVFLAGG, 'TELLER_uprikk' AS TARGET,
+                              CAST(TELLER_uprikk AS DOUBLE) AS value FROM a8_d
+                       UNION ALL SELECT KOMMUNE, GEOniv, GEO, AAR, KJONN, ALDER, INNVKAT, SPVFLAGG, 'NEVNER',
+                              CAST(NEVNER AS DOUBLE) FROM a8_d)""",
+            f"""a8_c AS (SELECT * FROM (SELECT *, sum({bad}) OVER (PARTITION BY KOMMUNE, TARGET, AAR, KJONN, ALDER, INNVKAT) AS nb
+                       FROM a8_l) WHERE nb = 0)""",
+            f"""a8_r AS (SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, TARGET, k AS Kommune_value, b AS Bydel_value,
+                       CASE WHEN b = 0 AND k = 0 THEN NULL ELSE {R('100.0 * (1.0 - b / nullif(k, 0))', 2)} END AS UNKNOWN_pct
+                FROM (SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, TARGET,
+                        CASE WHEN count(*) FILTER (WHERE GEOniv = 'K') > 0 THEN coalesce(sum(value) FILTER (WHERE GEOniv = 'K'), 0.0) END AS k,
+                        CASE WHEN count(*) FILTER (WHERE GEOniv = 'B') > 0 THEN coalesce(sum(value) FILTER (WHERE GEOniv = 'B'), 0.0) END AS b
+                      FROM a8_c GROUP BY ALL) x)""",
+            select=f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY KOMMUNE, TARGET
+                   ORDER BY UNKNOWN_pct DESC NULLS LAST, AAR, KJONN, ALDER, INNVKAT) AS rn FROM a8_r)
+                   WHERE (SELECT count(*) FROM a8_r) <= {maxrows}
+                      OR rn <= floor({float(maxrows)} / (SELECT count(*) FROM (SELECT DISTINCT KOMMUNE, TARGET FROM a8_r)))""")
+    ORACLES["a8_unknown_district"] = a8("missing")
+    ORACLES["a8_unknown_district_censored"] = a8("censored")
+    ORACLES["w8_topn"] = a8("missing", 400)
+
+    # A10
+    vals = ["TELLER_uprikk", "NEVNER", "RATE", "RATE.n", "SPVFLAGG"]
+
+    def qcr(name, expr):
+        d = o.qc_round_sql(name)
+        return R(expr, d) if d is not None else expr
+
+    def a10_cols(year):
+        out = []
+        for v in vals:
+            dv = o.q(v + "_diff")
+            cond = f"{R(dv, 1)} <> 0"
+            n = f"count(*) FILTER (WHERE {cond})"
+            s = f"sum({dv}) FILTER (WHERE {cond})"
+            if year:
+                n_e = f"CASE WHEN {n} > 0 THEN {n} END"
+                s_e = f"CASE WHEN {n} > 0 THEN {s} END"
+            else:
+                n_e, s_e = n, f"coalesce({s}, 0.0)"
+            nd = o.qc_round_sql(v + "_ndiff")
+            n_e = f"CAST({R(n_e, nd)} AS BIGINT)" if nd is not None else n_e
+            out.append(f"{n_e} AS {o.q(v + '_ndiff')}")
+            out.append(f"{qcr(v + '_sumdiff', s_e)} AS {o.q(v + '_sumdiff')}")
+        return ", ".join(out)
+    ORACLES["a10_diffvals"] = W(*CC, select=f"SELECT 'TOTAL' AS AAR, {a10_cols(False)} FROM comparecube WHERE newrow = 0")
+    ORACLES["a10_diffvals_by_year"] = W(*CC, select=f"SELECT AAR, {a10_cols(True)} FROM comparecube WHERE newrow = 0 GROUP BY AAR")
+    ORACLES["a11_uncensored_small"] = W(select="""
+      SELECT *, 'TELLER' AS rule, CAST(25 AS DOUBLE) AS "limit", true AS rule_checked FROM newcube
+        WHERE SPVFLAGG = 0 AND TELLER_uprikk <= 25
+      UNION ALL
+      SELECT *, 'NEVNER' AS rule, CAST(25 AS DOUBLE) AS "limit", true AS rule_checked FROM newcube
+        WHERE SPVFLAGG = 0 AND NEVNER <= 25""")
+    bk = """a13 AS (SELECT *, CASE WHEN has = 1 AND rn = 1 AND SPVFLAGG = 0 THEN 1 ELSE 0 END AS prikket_ok FROM (
+        SELECT *, max(pvern) OVER (PARTITION BY GEO, AAR, ALDER, INNVKAT) AS has,
+               row_number() OVER (PARTITION BY GEO, AAR, ALDER, INNVKAT
+                 ORDER BY CASE WHEN SPVFLAGG = 0 THEN 0 ELSE 1 END, TELLER_uprikk, KJONN) AS rn
+        FROM (SELECT *, CASE WHEN SPVFLAGG = 1 THEN 1 ELSE 0 END AS pvern FROM newcube) p) q)"""
+    sets = {"KJONN": "{1,2,0}", "ALDER": "{1_2,3_4,5_7,1_7}", "INNVKAT": "{1,2,0}"}
+    parts = []
+    for dname, label in sets.items():
+        levels_ = ", ".join(f"'{x}'" for x in label.strip("{}").split(","))
+        rest = [x for x in ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"] if x != dname]
+        sel = ", ".join(f"'{label}' AS {x}" if x == dname else f"CAST({x} AS VARCHAR) AS {x}"
+                        for x in ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"])
+        parts.append(f"""SELECT {sel} FROM a13 WHERE CAST({dname} AS VARCHAR) IN ({levels_})
+                         GROUP BY {', '.join(rest)} HAVING sum(pvern) > 0 AND sum(prikket_ok) = 1""")
+    ORACLES["a13_suppression_attack"] = W(bk, select=" UNION ALL ".join(parts))
+    ORACLES["a17_diff_trend"] = W(*CC, f"""a17_d AS (SELECT {LABEL} AS GEOniv, AAR, RATE_diff, RATE_reldiff FROM comparecube
+                                       WHERE newrow = 0 AND SPVFLAGG_new = 0 AND SPVFLAGG_old = 0)""",
+        """a17_l AS (SELECT GEOniv, AAR, 'Absolute' AS variable, RATE_diff AS value FROM a17_d
+                    UNION ALL SELECT GEOniv, AAR, 'Relative', RATE_reldiff FROM a17_d)""",
+        """a17_g AS (SELECT * FROM (SELECT DISTINCT GEOniv FROM a17_l)
+                    CROSS JOIN (SELECT DISTINCT AAR FROM a17_l WHERE AAR IS NOT NULL)
+                    CROSS JOIN (SELECT DISTINCT variable FROM a17_l))""",
+        f"""a17_s AS (SELECT GEOniv, AAR, variable, count(value) AS n, min(value) AS mn,
+                    quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS md,
+                    quantile_cont(value, 0.75) AS q3, max(value) AS mx FROM a17_l
+                    WHERE NOT ((variable = 'Absolute' AND value = 0) OR (variable = 'Relative' AND value = 1))
+                    GROUP BY ALL)""",
+        select=f"""SELECT g.GEOniv, g.AAR, g.variable, coalesce(s.n, 0) AS n, {R('s.mn', 6)} AS "min",
+                   {R('s.q1', 6)} AS q1, {R('s.md', 6)} AS median, {R('s.q3', 6)} AS q3, {R('s.mx', 6)} AS "max"
+                   FROM a17_g g LEFT JOIN a17_s s ON g.GEOniv IS NOT DISTINCT FROM s.GEOniv AND g.AAR = s.AAR
+                   AND g.variable = s.variable""")
+    ORACLES["w5_denominator_change"] = W(
+        "w5 AS (SELECT * FROM newcube WHERE GEOniv IN ('K', 'B') AND KJONN = 0 AND ALDER = '1_7' AND INNVKAT = 0 AND NEVNER IS NOT NULL)",
+        select=f"""SELECT GEO, AAR, ALDER, NEVNER, sumNEVNER_max, sumNEVNER_last,
+           {R('NEVNER / nullif(sumNEVNER_last, 0)', 2)} AS sumNEVNER_vs_last,
+           {R('NEVNER / nullif(sumNEVNER_max, 0)', 2)} AS sumNEVNER_vs_max FROM (
+           SELECT *, max(NEVNER) OVER (PARTITION BY GEO, KJONN, ALDER, INNVKAT) AS sumNEVNER_max,
+                  last_value(NEVNER IGNORE NULLS) OVER (PARTITION BY GEO, KJONN, ALDER, INNVKAT ORDER BY AAR
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sumNEVNER_last FROM w5) x""")
+    befolk = "c5_bf AS (SELECT GEO, AAR, KJONN, ALDER, TELLER_uprikk AS TELLER FROM newcube WHERE INNVKAT = 0)"
+    ORACLES["w6_growth"] = W(befolk, select="""SELECT *, lead(TELLER) OVER (PARTITION BY GEO, KJONN, ALDER ORDER BY AAR)
+                                               - TELLER AS BEFVEKST_BEFOLK FROM c5_bf""")
+    ORACLES["c5_growth_reconcile"] = W(
+        befolk,
+        """c5_bv AS (SELECT GEO, AAR, KJONN, ALDER, lead(T) OVER (PARTITION BY GEO, KJONN, ALDER ORDER BY AAR) - T AS TELLER
+                    FROM (SELECT GEO, AAR, KJONN, ALDER, TELLER_uprikk AS T FROM oldcube WHERE UTDANN = 0) z)""",
+        "c5_bf2 AS (SELECT * FROM c5_bf WHERE " + in_other(["GEO", "AAR", "KJONN", "ALDER"], "c5_bv") + ")",
+        """c5_g AS (SELECT *, lead(TELLER) OVER (PARTITION BY GEO, KJONN, ALDER ORDER BY AAR) - TELLER AS BEFVEKST_BEFOLK
+                   FROM c5_bf2)""",
+        select="""SELECT * FROM (SELECT v.GEO, v.AAR, v.KJONN, v.ALDER, v.TELLER AS BEFVEKST_BEFVEKST, g.BEFVEKST_BEFOLK,
+                  v.TELLER - g.BEFVEKST_BEFOLK AS diff
+                  FROM c5_bv v LEFT JOIN c5_g g ON v.GEO = g.GEO AND v.AAR = g.AAR AND v.KJONN = g.KJONN AND v.ALDER = g.ALDER)
+                  WHERE AAR <> (SELECT max(AAR) FROM c5_bv) AND diff IS DISTINCT FROM 0""")
+
+
+_more()

@@ -37,3 +37,296 @@ def q_c1_comparecube(spark, sf_dir):
 @register("a9_summary")
 def q_a9_summary(spark, sf_dir):
     return diffs.comparecube_summary(_compare(spark, sf_dir).comparecube)
+
+
+# ----------------------------------------------------------------- helpers
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from cubeguard.operators import checks, geo, levels  # noqa: E402
+from cubeguard.operators.aggregate import aggregate_cube, aggregate_cube_multi  # noqa: E402
+from cubeguard.functions.exprs import round_half_even  # noqa: E402
+
+NEW_DIMS = ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"]
+OLD_DIMS = ["GEO", "AAR", "KJONN", "ALDER", "UTDANN"]
+COMMON = ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT", "UTDANN"]
+
+
+def _pair(spark, sf_dir):
+    return fx.fixture_pair(spark, sf_dir)
+
+
+def _r6(df, cols):
+    return df.withColumns({c: round_half_even(F.col(f"`{c}`"), 6) for c in cols})
+
+
+# ----------------------------------------------------------------- P / G / F
+
+@register("p2_compare_columns")
+def q_p2(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.compare_colnames(new, old)
+
+
+@register("p3_compare_dimensions")
+def q_p3(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.compare_dimensions(new, old)
+
+
+@register("g1_recode_geo")
+def q_g1(spark, sf_dir):
+    _, old, _ = _pair(spark, sf_dir)
+    return old
+
+
+@register("g1_recode_report")
+def q_g1_report(spark, sf_dir):
+    return geo.recode_report(fx.old_cube_raw(spark, sf_dir), fx.georecode(spark, sf_dir))
+
+
+@register("g2_geo_params")
+def q_g2(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return new
+
+
+@register("g3_split_small")
+def q_g3(spark, sf_dir):
+    new, _, thr = _pair(spark, sf_dir)
+    return geo.split_kommuneniv(new, thr).select(*NEW_DIMS, "GEOniv", "WEIGHTS")
+
+
+@register("g4_labels")
+def q_g4(spark, sf_dir):
+    new, _, thr = _pair(spark, sf_dir)
+    d = geo.translate_geoniv(geo.split_kommuneniv(new, thr))
+    return d.groupBy("GEOniv").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("GEO").alias("n_codes"))
+
+
+@register("g5_parent")
+def q_g5(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return (geo.add_kommune(new, fx.CITY_PARENTS).where(F.col("KOMMUNE").isNotNull())
+            .select(*NEW_DIMS, "GEOniv", "KOMMUNE"))
+
+
+@register("f1_common_levels")
+def q_f1(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.filter_cube(new, old, "new")
+
+
+@register("f1_common_levels_old")
+def q_f1_old(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.filter_cube(new, old, "old")
+
+
+@register("f2_complete_strata")
+def q_f2(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return levels.get_complete_strata(new, NEW_DIMS, "censored")
+
+
+@register("f2_complete_strata_missing")
+def q_f2_missing(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return levels.get_complete_strata(new, ["GEO", "AAR", "ALDER"], "missing", "RATE")
+
+
+@register("f3_flag_new")
+def q_f3_new(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.flag_rows(new, old, "newrow").select(*NEW_DIMS, "newrow")
+
+
+@register("f3_flag_expired")
+def q_f3_exp(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.flag_rows(new, old, "exprow").select(*OLD_DIMS, "exprow")
+
+
+# ----------------------------------------------------------------- A1 / A2
+
+@register("a1_collapse_total")
+def q_a1_total(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return aggregate_cube(new, "KJONN")
+
+
+@register("a1_collapse_mean")
+def q_a1_mean(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    # RATE's mean is left out of the comparison: a mean of non-integer
+    # doubles depends on the summation order, which differs between engines;
+    # the integral-valued measures exercise the same averaging exactly.
+    out = aggregate_cube(new.where(F.col("ALDER") != "1_7"), "ALDER").drop("RATE")
+    return _r6(out, ["NEVNER", "RATE.n"])
+
+
+@register("a2_collapse_multi")
+def q_a2(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    d = new.where((F.col("ALDER") != "1_7") & (F.col("INNVKAT") != 0))
+    out = aggregate_cube_multi(d, ["ALDER", "INNVKAT"]).drop("RATE")  # see a1_collapse_mean
+    return _r6(out, ["NEVNER", "RATE.n"])
+
+
+# ----------------------------------------------------------------- C / W
+
+@register("c4_any_diffs")
+def q_c4(spark, sf_dir):
+    cc = _compare(spark, sf_dir).comparecube
+    return cc.groupBy("GEOniv").agg(F.count_if(F.col("any_diffs") == 1).alias("n_any_diffs"),
+                                    F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("w1_change")
+def q_w1(spark, sf_dir):
+    nf = _compare(spark, sf_dir).newcube_flag
+    return nf.select(*COMMON, "RATE", "change_RATE")
+
+
+_FENCES = ["MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH"]
+_STRATA = ["GEOniv", "KJONN", "ALDER", "INNVKAT", "UTDANN"]
+
+
+@register("w2_weighted_fences")
+def q_w2(spark, sf_dir):
+    nf = _compare(spark, sf_dir).newcube_flag
+    return nf.select(*_STRATA, *_FENCES).distinct()
+
+
+@register("w2_change_fences")
+def q_w2_change(spark, sf_dir):
+    nf = _compare(spark, sf_dir).newcube_flag
+    return nf.select(*_STRATA, *["change_" + c for c in _FENCES]).distinct()
+
+
+@register("w3_flag_outliers_old")
+def q_w3_old(spark, sf_dir):
+    of = _compare(spark, sf_dir).oldcube_flag
+    return of.select(*COMMON, "GEOniv", "exprow", "OUTLIER", "change_OUTLIER")
+
+
+@register("w4_new_outlier")
+def q_w4(spark, sf_dir):
+    nf = _compare(spark, sf_dir).newcube_flag
+    return nf.select(*COMMON, "newrow", "OUTLIER", "PREV_OUTLIER", "NEW_OUTLIER",
+                     "change_OUTLIER", "change_PREV_OUTLIER", "change_NEW_OUTLIER")
+
+
+# ----------------------------------------------------------------- A3 - A8, A10, A11, A13, A17
+
+@register("a3_censoring")
+def q_a3(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return checks.compare_censoring(new, old)
+
+
+@register("a3_censoring_by_sex")
+def q_a3_by(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return checks.compare_censoring(new, old, by=["KJONN"])
+
+
+@register("a4_censoring_series")
+def q_a4(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return checks.compare_censoring_timeseries(new, old)
+
+
+@register("a4_censoring_series_new")
+def q_a4_new(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.compare_censoring_timeseries(new)
+
+
+@register("a5_coverage_geolevel")
+def q_a5(spark, sf_dir):
+    new, _, thr = _pair(spark, sf_dir)
+    return checks.check_coverage_geolevel(new, thr)
+
+
+@register("a6_coverage_geocode")
+def q_a6(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.check_coverage_geocode(new)
+
+
+def _a7(kind):
+    def q_a7(spark, sf_dir):
+        new, _, _ = _pair(spark, sf_dir)
+        return checks.compare_geolevels(new, kind, fx.CITY_PARENTS, fx.OO_PAIR)
+    return q_a7
+
+
+for _k in ("FL", "FK", "BK", "OO"):
+    register(f"a7_geolevel_{_k.lower()}")(_a7(_k))
+
+
+@register("a8_unknown_district")
+def q_a8(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.unknown_bydel(new, fx.CITY_PARENTS, "missing")
+
+
+@register("a8_unknown_district_censored")
+def q_a8_c(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.unknown_bydel(new, fx.CITY_PARENTS, "censored")
+
+
+@register("w8_topn")
+def q_w8(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.unknown_bydel(new, fx.CITY_PARENTS, "missing", crop=True, maxrows=400)
+
+
+@register("a10_diffvals")
+def q_a10(spark, sf_dir):
+    return diffs.diffvals_summary(_compare(spark, sf_dir).comparecube)
+
+
+@register("a10_diffvals_by_year")
+def q_a10_year(spark, sf_dir):
+    return diffs.diffvals_summary(_compare(spark, sf_dir).comparecube, byyear=True)
+
+
+@register("a11_uncensored_small")
+def q_a11(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.check_censoring(new, fx.control_kuber(spark), fx.CUBE_NAME)
+
+
+@register("a13_suppression_attack")
+def q_a13(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    cube = fx.with_suppression_bookkeeping(new)
+    return checks.attack_naboprikk(cube, checks.find_specs(fx.spec_table(spark)))
+
+
+@register("a17_diff_trend")
+def q_a17(spark, sf_dir):
+    return diffs.diff_timetrends(_compare(spark, sf_dir).comparecube)
+
+
+@register("w5_denominator_change")
+def q_w5(spark, sf_dir):
+    new, _, _ = _pair(spark, sf_dir)
+    return checks.check_nevner_change(new)
+
+
+@register("w6_growth")
+def q_w6(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    _, befolk = fx.population_cubes(new, old)
+    return checks.calculate_befvekst_for_befolk(befolk, ["GEO", "AAR", "KJONN", "ALDER"])
+
+
+@register("c5_growth_reconcile")
+def q_c5(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    befvekst, befolk = fx.population_cubes(new, old)
+    return checks.check_befvekst(befvekst, befolk)

@@ -216,3 +216,60 @@ def fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
     from cubeguard.session import materialize as _mat
     new = add_geoparams(new_cube_raw(spark, sf_dir), popinfo(spark, sf_dir))
     return _mat(new) if materialize else new
+
+
+# ------------------------------------------------------------ control tables
+# Fixed values of the fixture design: the cube name and its control rows
+CUBE_NAME = "LINEITEM_RETURNS"
+NEW_DATETAG = "2025-01-01-00-00"
+OLD_DATETAG = "2024-01-01-00-00"
+CONTROL_LIMIT = 25
+
+
+def control_kuber(spark: SparkSession) -> DataFrame:
+    """Control table KUBER: censoring limits per cube (one literal row)."""
+    return spark.createDataFrame(
+        [(CUBE_NAME, float(CONTROL_LIMIT), float(CONTROL_LIMIT), None, None)],
+        "KUBE_NAVN string, PRIKK_T double, PRIKK_N double, Stata_PRIKK_T double, Stata_PRIKK_N double")
+
+
+def spec_table(spark: SparkSession) -> DataFrame:
+    """Spec file rows (Tabell, Kolonne, Innhold) with the additive sets."""
+    rows = [("KUBER", "PRIKK_T", str(SUPPRESSION_LIMIT)),
+            ("KUBER", "Stata_naboprKJONN", "{1,2,0}"),
+            ("KUBER", "Stata_naboprALDER", "{1_2,3_4,5_7,1_7}"),
+            ("KUBER", "Stata_naboprINNVKAT", "{1,2,0}"),
+            ("KUBER", "Stata_naboprUTDANN", ""),
+            ("FILGRUPPER", "Stata_naboprKJONN", "{9}")]
+    return spark.createDataFrame(rows, "Tabell string, Kolonne string, Innhold string")
+
+
+def with_suppression_bookkeeping(cube: DataFrame) -> DataFrame:
+    """pvern = 1 for censored cells; prikket_ok = 1 for the uncensored cell
+    with the smallest TELLER_uprikk (lowest KJONN on ties) among the KJONN
+    set {1,2,0} of the same other dimensions, when that set has a censored
+    cell."""
+    from pyspark.sql import Window
+    others = [c for c in ("GEO", "AAR", "ALDER", "INNVKAT") if c in cube.columns]
+    w_all = Window.partitionBy(*others)
+    w_rank = Window.partitionBy(*others).orderBy(
+        F.when(F.col("SPVFLAGG") == 0, 0).otherwise(1), F.col("TELLER_uprikk"), F.col("KJONN"))
+    pvern = F.when(F.col("SPVFLAGG") == 1, 1).otherwise(0)
+    out = cube.withColumn("pvern", pvern)
+    out = out.withColumns({"__has": F.max("pvern").over(w_all), "__rn": F.row_number().over(w_rank)})
+    ok = F.when((F.col("__has") == 1) & (F.col("__rn") == 1) & (F.col("SPVFLAGG") == 0), 1).otherwise(0)
+    return out.withColumn("prikket_ok", ok).drop("__has", "__rn")
+
+
+def population_cubes(new: DataFrame, old: DataFrame):
+    """C5 inputs: the population cube (new version, INNVKAT total) and the
+    growth cube computed from the old version (UTDANN total), TELLER =
+    returned quantity; the growth cube's last period has no successor."""
+    from pyspark.sql import Window
+    befolk = (new.where(F.col("INNVKAT") == 0)
+              .select("GEO", "AAR", "KJONN", "ALDER", F.col("TELLER_uprikk").alias("TELLER")))
+    base = (old.where(F.col("UTDANN") == 0)
+            .select("GEO", "AAR", "KJONN", "ALDER", F.col("TELLER_uprikk").alias("T")))
+    w = Window.partitionBy("GEO", "KJONN", "ALDER").orderBy("AAR")
+    befvekst = base.withColumn("TELLER", F.lead("T").over(w) - F.col("T")).drop("T")
+    return befvekst, befolk
