@@ -287,3 +287,102 @@ def _more():
 
 
 _more()
+
+
+def _plots():
+    NF = o.C1_CTES
+    ORACLES["a14_boxplot"] = W(*NF, select="""
+      SELECT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, wq25, wq50, wq75, count(RATE) AS N_obs,
+             min(RATE) FILTER (WHERE RATE >= LOW) AS MINABOVELOW, max(RATE) FILTER (WHERE RATE <= HIGH) AS MAXBELOWHIGH
+      FROM c1_newflag WHERE GEOniv IS NOT NULL GROUP BY GEOniv, KJONN, ALDER, INNVKAT, UTDANN, wq25, wq50, wq75
+      HAVING count(RATE) >= 3""")
+    ORACLES["a14_boxplot_change"] = W(*NF, select="""
+      SELECT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, change_wq25, change_wq50, change_wq75, count(change_RATE) AS N_obs,
+             min(change_RATE) FILTER (WHERE change_RATE >= change_LOW) AS MINABOVELOW,
+             max(change_RATE) FILTER (WHERE change_RATE <= change_HIGH) AS MAXBELOWHIGH
+      FROM c1_newflag WHERE GEOniv IS NOT NULL
+      GROUP BY GEOniv, KJONN, ALDER, INNVKAT, UTDANN, change_wq25, change_wq50, change_wq75
+      HAVING count(change_RATE) >= 3""")
+    ORACLES["a14_boxplot_points"] = W(*NF, select="""
+      SELECT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, CAST(GEO AS VARCHAR) || '''' || right(AAR, 2) AS label, RATE AS yval
+      FROM c1_newflag WHERE GEOniv IS NOT NULL AND NEW_OUTLIER = 1""")
+
+    def w7(v, change):
+        extra = (f"HAVING min({v}) < -10 OR max({v}) > 20" if change else "")
+        by = "GEO, KJONN, ALDER, INNVKAT, UTDANN"
+        return W(*NF, f"""w7_d AS (SELECT *, CAST(substr(AAR, 6, 4) AS INTEGER) AS AARh FROM c1_newflag
+                          WHERE GEOniv IS NOT NULL AND {v} IS NOT NULL)""",
+                 "w7_d2 AS (SELECT * FROM w7_d WHERE AARh > (SELECT max(AARh) FROM w7_d) - 10)",
+                 f"""w7_s AS (SELECT {by}, CAST(sum(NEW_OUTLIER) AS BIGINT) AS n_outlier, count({v}) AS n_obs,
+                            0.5 * (max({v}) + min({v})) AS y_middle FROM w7_d2 GROUP BY {by} {extra})""",
+                 f"""w7_p AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY {by}) - 1) / 25) + 1 AS INTEGER) AS page
+                            FROM w7_s WHERE n_outlier > 0 AND n_obs > 0)""",
+                 select=f"""SELECT p.*, d.AARh, d.{v} AS yval, round_even(d.TELLER_uprikk, 0) AS tv,
+                   d.{'change_OUTLIER' if change else 'OUTLIER'} AS ol,
+                   CASE WHEN d.{'change_OUTLIER' if change else 'OUTLIER'} = 0 THEN 'Normal'
+                        WHEN d.{'change_OUTLIER' if change else 'OUTLIER'} = 1
+                             AND d.{'change_NEW_OUTLIER' if change else 'NEW_OUTLIER'} = 0 THEN 'Previous outlier'
+                        WHEN d.{'change_OUTLIER' if change else 'OUTLIER'} = 1 THEN 'New outlier' END AS ollabel
+                   FROM w7_p p JOIN w7_d2 d USING ({by})""")
+    ORACLES["w7_series"] = w7("RATE", False)
+    w7c = w7("change_RATE", True).replace("sum(NEW_OUTLIER)", "sum(change_NEW_OUTLIER)")
+    ORACLES["w7_series_change"] = w7c
+    ORACLES["a15_trend"] = W(*NF,
+        "a15_s AS (SELECT * FROM c1_newflag WHERE (GEO IN (100, 201, 302, 403) OR GEOniv = 'B') AND RATE IS NOT NULL)",
+        f"""a15_d AS (SELECT *, {KOMMUNE} AS KOMMUNE FROM a15_s
+                    WHERE AAR IN (SELECT AAR FROM a15_s WHERE GEOniv = 'B' AND SPVFLAGG = 0))""",
+        """a15_t AS (
+          SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, sum(RATE * WEIGHTS) / nullif(sum(WEIGHTS), 0) AS y,
+                 'Kommune' AS type FROM a15_d WHERE GEOniv = 'K' AND AAR IN (SELECT AAR FROM a15_d WHERE GEOniv = 'B')
+          GROUP BY KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN
+          UNION ALL
+          SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, sum(RATE * WEIGHTS) / nullif(sum(WEIGHTS), 0) AS y,
+                 'Vektet bydel' AS type FROM a15_d WHERE GEOniv = 'B' GROUP BY KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN)""",
+        select=f"""SELECT * EXCLUDE (y), {R('y', 4)} AS y FROM (SELECT *, count(*) OVER (PARTITION BY KOMMUNE, type, KJONN, ALDER, INNVKAT, UTDANN) AS N
+                   FROM a15_t) WHERE N > 1""")
+    blocks = []
+    for dim, filt in (("Total", "KJONN = 0 AND ALDER = '1_7' AND INNVKAT = 0"),
+                      ("KJONN", "ALDER = '1_7' AND INNVKAT = 0"),
+                      ("ALDER", "KJONN = 0 AND INNVKAT = 0"),
+                      ("INNVKAT", "KJONN = 0 AND ALDER = '1_7'")):
+        level = "'total'" if dim == "Total" else f"CAST({dim} AS VARCHAR)"
+        for p in ("RATE", "TELLER_uprikk", "NEVNER"):
+            blocks.append(f"SELECT '{dim}' AS by_dim, {level} AS level, AAR, '{p}' AS PARAMETER, "
+                          f"CAST({p} AS DOUBLE) AS yvalue FROM newcube WHERE GEO = 0 AND {filt} AND {p} IS NOT NULL")
+    ORACLES["a16_country"] = W(select="SELECT *, CAST(split_part(AAR, '_', 1) AS INTEGER) AS AARx FROM ("
+                               + " UNION ALL ".join(blocks) + ")")
+    ORACLES["k4_plot_files"] = W(*NF, """k4 AS (SELECT DISTINCT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, wq25, wq50, wq75
+                                      FROM c1_newflag WHERE GEOniv IS NOT NULL)""",
+        select="""SELECT CAST(KJONN AS VARCHAR) AS suffix, count(DISTINCT (ALDER, INNVKAT, UTDANN)) AS n_panels
+                  FROM k4 GROUP BY KJONN""")
+
+    # barometer
+    base = """c6_b AS (SELECT GEO, GEOniv, ALDER, RATE, SPVFLAGG,
+                CAST(CASE ALDER WHEN '1_2' THEN 1 WHEN '3_4' THEN 2 WHEN '5_7' THEN 3 WHEN '1_7' THEN 4 END AS BIGINT) AS LPnr,
+                CAST(substr(AAR, 6, 4) AS INTEGER) AS Aar
+              FROM newcube WHERE KJONN = 0 AND INNVKAT = 0 AND AAR = (SELECT max(AAR) FROM newcube))"""
+    j = """c6_j AS (SELECT k.*, f.RATE AS rf, l.RATE AS rl FROM (SELECT * FROM c6_b WHERE GEOniv = 'K') k
+              LEFT JOIN (SELECT * FROM c6_b WHERE GEOniv = 'F') f ON floor(k.GEO / 100) = f.GEO AND k.LPnr = f.LPnr
+              LEFT JOIN (SELECT * FROM c6_b WHERE GEO = 0) l ON k.LPnr = l.LPnr)"""
+    ind = """c6_i AS (SELECT Aar, LPnr, LPnr AS corrected_LPnr, CAST(GEO AS VARCHAR) AS Sted_kode, s.SpraakId,
+                round(RATE, 0) AS Verdi_lavesteGeonivaa, round(rf, 0) AS Verdi_mellomGeonivaa,
+                round(rl, 0) AS Verdi_referansenivaa FROM c6_j, (VALUES ('BOKMAAL'), ('NYNORSK')) s(SpraakId))"""
+    bar = """c6_bar AS (SELECT CAST(GEO AS VARCHAR) AS stedskode_string, GEO AS stedskode_numeric, LPnr,
+                CASE WHEN RATE > rl THEN 1 END AS roede, CASE WHEN RATE < rl THEN 1 END AS groenne,
+                CASE WHEN SPVFLAGG <> 0 THEN 1 END AS hvitMprikk FROM c6_j)"""
+
+    def c6(valcol):
+        return W(base, j, ind, bar, select=f"""
+          SELECT b.*, i.Aar, i.Verdi_lavesteGeonivaa, i.Verdi_mellomGeonivaa, i.Verdi_referansenivaa
+          FROM c6_bar b LEFT JOIN (SELECT * FROM c6_i WHERE SpraakId = 'BOKMAAL') i
+            ON b.stedskode_string = i.Sted_kode AND b.LPnr = i.LPnr
+          WHERE i.{valcol} = i.Verdi_referansenivaa
+            AND (b.roede IS NOT NULL OR b.groenne IS NOT NULL OR b.hvitMprikk IS NOT NULL)""")
+    ORACLES["c6_barometer"] = c6("Verdi_lavesteGeonivaa")
+    ORACLES["c6_barometer_fylke"] = c6("Verdi_mellomGeonivaa")
+    ORACLES["c6_barometer_missing"] = W(base, j, ind, bar, select="""
+      SELECT DISTINCT LPnr FROM c6_i WHERE SpraakId = 'BOKMAAL'
+        AND LPnr NOT IN (SELECT LPnr FROM c6_bar WHERE LPnr <> 1)""")
+
+
+_plots()

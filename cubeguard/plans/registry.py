@@ -56,6 +56,11 @@ def _pair(spark, sf_dir):
     return fx.fixture_pair(spark, sf_dir)
 
 
+def _new(spark, sf_dir):
+    """Single-cube checks only need the new cube."""
+    return fx.fixture_new(spark, sf_dir), fx.small_area_threshold(spark, sf_dir)
+
+
 def _r6(df, cols):
     return df.withColumns({c: round_half_even(F.col(f"`{c}`"), 6) for c in cols})
 
@@ -87,26 +92,26 @@ def q_g1_report(spark, sf_dir):
 
 @register("g2_geo_params")
 def q_g2(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return new
 
 
 @register("g3_split_small")
 def q_g3(spark, sf_dir):
-    new, _, thr = _pair(spark, sf_dir)
+    new, thr = _new(spark, sf_dir)
     return geo.split_kommuneniv(new, thr).select(*NEW_DIMS, "GEOniv", "WEIGHTS")
 
 
 @register("g4_labels")
 def q_g4(spark, sf_dir):
-    new, _, thr = _pair(spark, sf_dir)
+    new, thr = _new(spark, sf_dir)
     d = geo.translate_geoniv(geo.split_kommuneniv(new, thr))
     return d.groupBy("GEOniv").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("GEO").alias("n_codes"))
 
 
 @register("g5_parent")
 def q_g5(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return (geo.add_kommune(new, fx.CITY_PARENTS).where(F.col("KOMMUNE").isNotNull())
             .select(*NEW_DIMS, "GEOniv", "KOMMUNE"))
 
@@ -125,13 +130,13 @@ def q_f1_old(spark, sf_dir):
 
 @register("f2_complete_strata")
 def q_f2(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return levels.get_complete_strata(new, NEW_DIMS, "censored")
 
 
 @register("f2_complete_strata_missing")
 def q_f2_missing(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return levels.get_complete_strata(new, ["GEO", "AAR", "ALDER"], "missing", "RATE")
 
 
@@ -151,13 +156,13 @@ def q_f3_exp(spark, sf_dir):
 
 @register("a1_collapse_total")
 def q_a1_total(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return aggregate_cube(new, "KJONN")
 
 
 @register("a1_collapse_mean")
 def q_a1_mean(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     # RATE's mean is left out of the comparison: a mean of non-integer
     # doubles depends on the summation order, which differs between engines;
     # the integral-valued measures exercise the same averaging exactly.
@@ -167,7 +172,7 @@ def q_a1_mean(spark, sf_dir):
 
 @register("a2_collapse_multi")
 def q_a2(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     d = new.where((F.col("ALDER") != "1_7") & (F.col("INNVKAT") != 0))
     out = aggregate_cube_multi(d, ["ALDER", "INNVKAT"]).drop("RATE")  # see a1_collapse_mean
     return _r6(out, ["NEVNER", "RATE.n"])
@@ -239,25 +244,25 @@ def q_a4(spark, sf_dir):
 
 @register("a4_censoring_series_new")
 def q_a4_new(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.compare_censoring_timeseries(new)
 
 
 @register("a5_coverage_geolevel")
 def q_a5(spark, sf_dir):
-    new, _, thr = _pair(spark, sf_dir)
+    new, thr = _new(spark, sf_dir)
     return checks.check_coverage_geolevel(new, thr)
 
 
 @register("a6_coverage_geocode")
 def q_a6(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.check_coverage_geocode(new)
 
 
 def _a7(kind):
     def q_a7(spark, sf_dir):
-        new, _, _ = _pair(spark, sf_dir)
+        new, _ = _new(spark, sf_dir)
         return checks.compare_geolevels(new, kind, fx.CITY_PARENTS, fx.OO_PAIR)
     return q_a7
 
@@ -268,19 +273,19 @@ for _k in ("FL", "FK", "BK", "OO"):
 
 @register("a8_unknown_district")
 def q_a8(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.unknown_bydel(new, fx.CITY_PARENTS, "missing")
 
 
 @register("a8_unknown_district_censored")
 def q_a8_c(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.unknown_bydel(new, fx.CITY_PARENTS, "censored")
 
 
 @register("w8_topn")
 def q_w8(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.unknown_bydel(new, fx.CITY_PARENTS, "missing", crop=True, maxrows=400)
 
 
@@ -296,13 +301,13 @@ def q_a10_year(spark, sf_dir):
 
 @register("a11_uncensored_small")
 def q_a11(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.check_censoring(new, fx.control_kuber(spark), fx.CUBE_NAME)
 
 
 @register("a13_suppression_attack")
 def q_a13(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     cube = fx.with_suppression_bookkeeping(new)
     return checks.attack_naboprikk(cube, checks.find_specs(fx.spec_table(spark)))
 
@@ -314,7 +319,7 @@ def q_a17(spark, sf_dir):
 
 @register("w5_denominator_change")
 def q_w5(spark, sf_dir):
-    new, _, _ = _pair(spark, sf_dir)
+    new, _ = _new(spark, sf_dir)
     return checks.check_nevner_change(new)
 
 
@@ -330,3 +335,78 @@ def q_c5(spark, sf_dir):
     new, old, _ = _pair(spark, sf_dir)
     befvekst, befolk = fx.population_cubes(new, old)
     return checks.check_befvekst(befvekst, befolk)
+
+
+# ----------------------------------------------------------------- plot data
+
+from cubeguard.operators import barometer as baro, plotdata  # noqa: E402
+
+_PANELS = ["KJONN", "ALDER", "INNVKAT", "UTDANN"]
+
+
+@register("a14_boxplot")
+def q_a14(spark, sf_dir):
+    return plotdata.boxplot_data(_compare(spark, sf_dir).newcube_flag)
+
+
+@register("a14_boxplot_change")
+def q_a14_change(spark, sf_dir):
+    return plotdata.boxplot_data(_compare(spark, sf_dir).newcube_flag, change=True)
+
+
+@register("a14_boxplot_points")
+def q_a14_points(spark, sf_dir):
+    return plotdata.boxplot_points(_compare(spark, sf_dir).newcube_flag)
+
+
+@register("w7_series")
+def q_w7(spark, sf_dir):
+    return plotdata.timeseries_data(_compare(spark, sf_dir).newcube_flag)
+
+
+@register("w7_series_change")
+def q_w7_change(spark, sf_dir):
+    return plotdata.timeseries_data(_compare(spark, sf_dir).newcube_flag, change=True)
+
+
+@register("a15_trend")
+def q_a15(spark, sf_dir):
+    # y is a weighted mean of non-integer doubles; compared at 4 decimals
+    # because its last bits depend on the summation order
+    out = plotdata.bydel_trendlines(_compare(spark, sf_dir).newcube_flag, fx.CITY_PARENTS)
+    return out.withColumn("y", round_half_even(F.col("y"), 4))
+
+
+@register("a16_country")
+def q_a16(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    return plotdata.country_series(new)
+
+
+@register("k4_plot_files")
+def q_k4(spark, sf_dir):
+    bp = plotdata.boxplot_data(_compare(spark, sf_dir).newcube_flag, min_obs=0)
+    return plotdata.plot_files(bp, _PANELS, maxpanels=25)
+
+
+# ----------------------------------------------------------------- barometer
+
+@register("c6_barometer")
+def q_c6(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    bar, ind = fx.barometer_tables(new)
+    return baro.check_barometer(bar, ind, "kommune")
+
+
+@register("c6_barometer_fylke")
+def q_c6_f(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    bar, ind = fx.barometer_tables(new, with_lpnr=True)
+    return baro.check_barometer(bar, ind, "fylke")
+
+
+@register("c6_barometer_missing")
+def q_c6_missing(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    bar, ind = fx.barometer_tables(new, with_lpnr=True, drop_lpnr=1)
+    return baro.barometer_missing_indicators(bar, ind)

@@ -7,6 +7,7 @@ caller's.  Only tests and ``bench.py`` build a local one here.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,11 +49,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a reused intermediate with a reliable checkpoint.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut the lineage of a reused intermediate by writing it as a table.
 
-    Uses ``DataFrame.checkpoint`` (written to the shared checkpoint folder),
-    never ``localCheckpoint``, so a lost executor does not lose the data.
+    The table is written as parquet under the shared folder named by
+    ``spark.checkpoint.dir`` (never a machine-local folder on a cluster,
+    never ``localCheckpoint``) and read back, so a lost executor does not
+    lose it, the plan is computed once, and later scans of it get column
+    pruning and filter pushdown.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/cubeguard/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -123,16 +123,17 @@ def _cube_from_cells(cells: DataFrame, extra_dim: str, extra_src: str, renamed_n
         F.col("TELLER_uprikk"))
 
 
-def new_cube_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def new_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """New cube as read (before geo recoding and geo parameters)."""
-    cells = fine_cells(spark, sf_dir)
+    cells = fine_cells(spark, sf_dir) if cells is None else cells
     return _cube_from_cells(cells, "INNVKAT", "innv")
 
 
-def old_cube_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def old_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Old cube as read: earlier lines only, no latest year, one outdated code."""
-    latest = table(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).scalar()
-    cells = fine_cells(spark, sf_dir).where(F.col("in_old") & (F.col("y") < latest))
+    cells = fine_cells(spark, sf_dir) if cells is None else cells
+    latest = cells.agg(F.max("y")).scalar()
+    cells = cells.where(F.col("in_old") & (F.col("y") < latest))
     return _cube_from_cells(cells, "UTDANN", "utd", renamed_nation=renamed_nation_key(spark, sf_dir))
 
 
@@ -203,10 +204,11 @@ def fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
     from cubeguard.operators.geo import add_geoparams, recode_geo
     from cubeguard.session import materialize as _mat
     pop = popinfo(spark, sf_dir)
-    new = add_geoparams(new_cube_raw(spark, sf_dir), pop)
-    old = add_geoparams(recode_geo(old_cube_raw(spark, sf_dir), georecode(spark, sf_dir)), pop)
+    cells = _mat(fine_cells(spark, sf_dir), "cells") if materialize else None
+    new = add_geoparams(new_cube_raw(spark, sf_dir, cells), pop)
+    old = add_geoparams(recode_geo(old_cube_raw(spark, sf_dir, cells), georecode(spark, sf_dir)), pop)
     if materialize:
-        new, old = _mat(new), _mat(old)
+        new, old = _mat(new, "newcube"), _mat(old, "oldcube")
     return new, old, small_area_threshold(spark, sf_dir)
 
 
@@ -215,7 +217,7 @@ def fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
     from cubeguard.operators.geo import add_geoparams
     from cubeguard.session import materialize as _mat
     new = add_geoparams(new_cube_raw(spark, sf_dir), popinfo(spark, sf_dir))
-    return _mat(new) if materialize else new
+    return _mat(new, "newcube") if materialize else new
 
 
 # ------------------------------------------------------------ control tables
@@ -273,3 +275,50 @@ def population_cubes(new: DataFrame, old: DataFrame):
     w = Window.partitionBy("GEO", "KJONN", "ALDER").orderBy("AAR")
     befvekst = base.withColumn("TELLER", F.lead("T").over(w) - F.col("T")).drop("T")
     return befvekst, befolk
+
+
+# ------------------------------------------------------------ barometer
+# Fixed values of the fixture design: indicator number per age band
+BAROMETER_LPNR = {"1_2": 1, "3_4": 2, "5_7": 3, "1_7": 4}
+
+
+def barometer_tables(new: DataFrame, with_lpnr: bool = False, drop_lpnr=None):
+    """(barometer, indicator list) for municipalities in the latest period.
+
+    Indicator = age band; values are RATE rounded to whole numbers for the
+    municipality, its county and the country; the barometer colours a
+    municipality red / green when its unrounded RATE is above / below the
+    country's, and white when censored.  Indicator codes run in the reverse
+    order of the indicator numbers (code = n + 2 - LPnr).
+    """
+    n_ind = len(BAROMETER_LPNR)
+    lp = None
+    for band, n in BAROMETER_LPNR.items():
+        lp = F.when(F.col("ALDER") == band, n) if lp is None else lp.when(F.col("ALDER") == band, n)
+    latest = new.agg(F.max("AAR")).scalar()
+    base = new.where((F.col("KJONN") == 0) & (F.col("INNVKAT") == 0) & (F.col("AAR") == latest)) \
+        .select("GEO", "GEOniv", "ALDER", "RATE", "SPVFLAGG", lp.cast("bigint").alias("LPnr"),
+                F.regexp_extract("AAR", r"_(\d{4})$", 1).cast("int").alias("Aar"))
+    k = base.where(F.col("GEOniv") == "K")
+    f = base.where(F.col("GEOniv") == "F").select(F.col("GEO").alias("__f"), F.col("LPnr").alias("__lpf"),
+                                                  F.col("RATE").alias("__rf"))
+    land = base.where(F.col("GEO") == 0).select(F.col("LPnr").alias("__lpl"), F.col("RATE").alias("__rl"))
+    j = (k.join(f, (F.floor(F.col("GEO") / 100) == F.col("__f")) & (F.col("LPnr") == F.col("__lpf")), "left")
+         .join(land, F.col("LPnr") == F.col("__lpl"), "left"))
+    ind = j.select("Aar", "LPnr", F.col("LPnr").alias("corrected_LPnr"),
+                   F.col("GEO").cast("string").alias("Sted_kode"),
+                   F.explode(F.array(F.lit("BOKMAAL"), F.lit("NYNORSK"))).alias("SpraakId"),
+                   F.round("RATE", 0).alias("Verdi_lavesteGeonivaa"),
+                   F.round("__rf", 0).alias("Verdi_mellomGeonivaa"),
+                   F.round("__rl", 0).alias("Verdi_referansenivaa"))
+    bar_cols = [F.col("GEO").cast("string").alias("stedskode_string"), F.col("GEO").alias("stedskode_numeric"),
+                (F.lit(n_ind + 2) - F.col("LPnr")).alias("indikator_kodet")]
+    if with_lpnr:
+        bar_cols.append(F.col("LPnr"))
+    bar = j.select(*bar_cols,
+                   F.when(F.col("RATE") > F.col("__rl"), 1).alias("roede"),
+                   F.when(F.col("RATE") < F.col("__rl"), 1).alias("groenne"),
+                   F.when(F.col("SPVFLAGG") != 0, 1).alias("hvitMprikk"))
+    if drop_lpnr is not None:
+        bar = bar.where(F.col("indikator_kodet") != n_ind + 2 - drop_lpnr)
+    return bar, ind
