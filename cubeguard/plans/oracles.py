@@ -338,7 +338,7 @@ def _plots():
           UNION ALL
           SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, sum(RATE * WEIGHTS) / nullif(sum(WEIGHTS), 0) AS y,
                  'Vektet bydel' AS type FROM a15_d WHERE GEOniv = 'B' GROUP BY KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN)""",
-        select=f"""SELECT * EXCLUDE (y), {R('y', 4)} AS y FROM (SELECT *, count(*) OVER (PARTITION BY KOMMUNE, type, KJONN, ALDER, INNVKAT, UTDANN) AS N
+        select=f"""SELECT * EXCLUDE (y), {R('y', 2)} AS y FROM (SELECT *, count(*) OVER (PARTITION BY KOMMUNE, type, KJONN, ALDER, INNVKAT, UTDANN) AS N
                    FROM a15_t) WHERE N > 1""")
     blocks = []
     for dim, filt in (("Total", "KJONN = 0 AND ALDER = '1_7' AND INNVKAT = 0"),
@@ -386,3 +386,106 @@ def _plots():
 
 
 _plots()
+
+
+def _extracts():
+    tag = "2025-01-01-00-00"
+    exb = """ex_b AS (SELECT * FROM newcube WHERE GEOniv = 'K' AND INNVKAT = 0
+               AND CAST(substr(AAR, 1, 4) AS INTEGER) > (SELECT max(CAST(substr(AAR, 1, 4) AS INTEGER)) FROM newcube) - 3)"""
+    ex = f"""ex AS (
+      SELECT 'RETURNS_TOTAL_{tag}.csv' AS Friskvik, CAST(NULL AS VARCHAR) AS ETAB, GEO, AAR, KJONN, ALDER, RATE AS MEIS
+        FROM ex_b WHERE KJONN = 0 AND ALDER = '1_7'
+      UNION ALL SELECT 'RETURNS_MEN_{tag}.csv', 'GEO > 0', GEO, AAR, KJONN, ALDER,
+        CASE WHEN GEO = (SELECT max(GEO) FROM ex_b) THEN RATE + 1 ELSE RATE END FROM ex_b WHERE KJONN = 1 AND ALDER = '1_7'
+      UNION ALL SELECT 'RETURNS_COUNT_{tag}.csv', NULL, GEO, AAR, KJONN, ALDER,
+        CASE WHEN GEO = (SELECT min(GEO) FROM ex_b) THEN NULL ELSE TELLER END FROM ex_b WHERE KJONN = 0 AND ALDER = '3_4'
+      UNION ALL SELECT 'RETURNS_UNKNOWN_{tag}.csv', NULL, GEO, AAR, KJONN, ALDER, RATE FROM ex_b WHERE KJONN = 0 AND ALDER = '1_7')"""
+    cf = """cf AS (SELECT c.*, f.Friskvik FROM newcube c JOIN (SELECT DISTINCT Friskvik, GEO FROM ex) f ON c.GEO = f.GEO
+      WHERE EXISTS (SELECT 1 FROM ex e WHERE e.Friskvik = f.Friskvik AND e.KJONN = c.KJONN)
+        AND EXISTS (SELECT 1 FROM ex e WHERE e.Friskvik = f.Friskvik AND e.ALDER = c.ALDER)
+        AND c.INNVKAT = 0)"""
+    pairs = """pr AS (SELECT c.*, e.Friskvik AS e_f, e.MEIS, c.Friskvik IS NOT NULL AS in_cube, e.Friskvik IS NOT NULL AS in_ext,
+        coalesce(c.Friskvik, e.Friskvik) AS k, coalesce(c.GEO, e.GEO) AS g
+      FROM (SELECT * FROM cf WHERE EXISTS (SELECT 1 FROM ex y WHERE y.Friskvik = cf.Friskvik AND y.AAR = cf.AAR)) c
+      FULL OUTER JOIN ex e ON c.Friskvik = e.Friskvik AND c.GEO = e.GEO AND c.AAR = e.AAR AND c.KJONN = e.KJONN
+        AND c.ALDER = e.ALDER)"""
+    ORACLES["f4_cube_to_extract"] = W(exb, ex, cf, select="SELECT * FROM cf")
+    c8 = """SELECT e.Friskvik, CASE WHEN e.m = c.m THEN 'Yes' ELSE '!!NO!!' END AS SISTE_AAR
+            FROM (SELECT Friskvik, max(AAR) AS m FROM ex GROUP BY 1) e
+            LEFT JOIN (SELECT Friskvik, max(AAR) AS m FROM cf GROUP BY 1) c ON e.Friskvik = c.Friskvik"""
+    ORACLES["c8_last_year"] = W(exb, ex, cf, select=c8)
+    c9 = """SELECT i.Friskvik, CASE WHEN b.gl IS NULL THEN 'Yes' ELSE '!!NO!! Diff for GEO: ' || b.gl END AS IDENTISK_PRIKKING
+            FROM (SELECT DISTINCT Friskvik FROM ex) i LEFT JOIN (
+              SELECT k AS Friskvik, array_to_string(list_sort(list(DISTINCT CAST(g AS VARCHAR))), ', ') AS gl FROM pr
+              WHERE NOT coalesce(in_cube AND in_ext AND ((MEIS IS NULL) = (SPVFLAGG > 0)), false) GROUP BY k) b
+            ON i.Friskvik = b.Friskvik"""
+    ORACLES["c9_mask_match"] = W(exb, ex, cf, pairs, select=c9)
+    vals = ["TELLER", "NEVNER", "RATE", "TELLER_uprikk"]
+
+    def eq(v):
+        return (f"bool_and(coalesce(in_cube AND in_ext AND ((MEIS IS NULL AND {v} IS NULL) OR "
+                f"coalesce(abs(MEIS - {v}) <= 1.5e-8 * greatest(abs(MEIS), abs({v}), 1.0), false)), false)) AS m_{v}")
+    mlist = "list_filter([" + ", ".join(f"CASE WHEN m_{v} THEN '{v}' END" for v in vals) + "], lambda x: x IS NOT NULL)"
+    dlist = "list_filter([" + ", ".join(f"CASE WHEN NOT m_{v} THEN '{v}' END" for v in vals) + "], lambda x: x IS NOT NULL)"
+    c10 = f"""SELECT Friskvik, CASE WHEN len({mlist}) = 0 THEN '!!NO MATCH!!' ELSE array_to_string({mlist}, ', ') END AS MATCHER_KOLONNE,
+                array_to_string({dlist}, ', ') AS Different_kubecol
+              FROM (SELECT k AS Friskvik, {', '.join(eq(v) for v in vals)} FROM pr GROUP BY k) z"""
+    ORACLES["c10_measure_match"] = W(exb, ex, cf, pairs, select=c10)
+
+    def ul(src, d, alias):
+        return (f"SELECT Friskvik, array_to_string(list_sort(list(DISTINCT coalesce(CAST({d} AS VARCHAR), 'NA'))), ', ') "
+                f"AS {alias} FROM {src} GROUP BY Friskvik")
+    ORACLES["a12_unique_levels"] = W(exb, ex, cf, select=f"""
+      SELECT a.Friskvik, a.ALDER, k.KJONN FROM ({ul('cf', 'ALDER', 'ALDER')}) a JOIN ({ul('cf', 'KJONN', 'KJONN')}) k
+        ON a.Friskvik = k.Friskvik""")
+    # The report on the loaded extracts (control rows of profile FHP, level K, year 2025)
+    ctrl = """ctrl AS (SELECT * FROM (VALUES
+        ('FHP', '2025', 'K', 'RETURNS_TOTAL', 'LINEITEM_RETURNS', '2001', '2001', 'per 1000 (ak)'),
+        ('FHP', '2025', 'K', 'RETURNS_MEN', 'LINEITEM_RETURNS', NULL, '2001', 'per 1000'),
+        ('FHP', '2025', 'K', 'RETURNS_COUNT', 'LINEITEM_RETURNS', '2001', '2001', NULL),
+        ('OVP', '2025', 'K', 'RETURNS_UNKNOWN', 'LINEITEM_RETURNS', '2001', '2001', 'antall'))
+        t(PROFILTYPE, AARGANG, MODUS, INDIKATOR, KUBE_NAVN, Periode_bm, Periode_nn, Enhet)
+        WHERE PROFILTYPE = 'FHP' AND MODUS = 'K' AND AARGANG = '2025')"""
+    ids = f"""ids AS (SELECT i.Friskvik, c.KUBE_NAVN, c.Periode_bm, c.Periode_nn, c.Enhet,
+                 coalesce(c.KUBE_NAVN = 'LINEITEM_RETURNS', false) AS loaded
+               FROM (SELECT DISTINCT Friskvik FROM ex_all) i
+               LEFT JOIN ctrl c ON regexp_replace(i.Friskvik, '_[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}.*$', '') = c.INDIKATOR)"""
+    ex_all = ex.replace("ex AS (", "ex_all AS (", 1)
+    ex_loaded = "ex AS (SELECT * FROM ex_all WHERE Friskvik IN (SELECT Friskvik FROM ids WHERE loaded))"
+    rep = f"""rep AS (SELECT i.Friskvik, i.loaded,
+        CASE WHEN i.loaded THEN 'LINEITEM_RETURNS_{tag}.parquet' END AS Kube,
+        CASE WHEN i.loaded THEN 'TRUE' END AS FIL_I_STATBANK,
+        fe.FRISKVIK_ETAB, kk.KUBE_KJONN, ka.KUBE_ALDER, CAST(NULL AS VARCHAR) AS KUBE_UTDANN, ki.KUBE_INNVKAT,
+        CAST(NULL AS VARCHAR) AS KUBE_LANDBAK, fa.FRISKVIK_AAR, c8.SISTE_AAR,
+        CASE WHEN i.loaded THEN CASE WHEN i.Periode_bm IS NULL OR trim(i.Periode_bm) = '' THEN '!! empty' ELSE i.Periode_bm END END AS Periode_bm,
+        CASE WHEN i.loaded THEN CASE WHEN i.Periode_nn IS NULL OR trim(i.Periode_nn) = '' THEN '!! empty' ELSE i.Periode_nn END END AS Periode_nn,
+        c9.IDENTISK_PRIKKING, c10.MATCHER_KOLONNE, c10.Different_kubecol,
+        CASE WHEN i.loaded THEN CASE WHEN i.Enhet IS NULL OR trim(i.Enhet) = '' THEN '!!MISSING' ELSE i.Enhet END END AS Enhet,
+        CASE WHEN i.loaded THEN 'P' END AS REFVERDI_VP
+      FROM ids i
+      LEFT JOIN ({ul('ex', 'ETAB', 'FRISKVIK_ETAB')}) fe ON i.Friskvik = fe.Friskvik
+      LEFT JOIN ({ul('ex', 'AAR', 'FRISKVIK_AAR')}) fa ON i.Friskvik = fa.Friskvik
+      LEFT JOIN ({ul('cf', 'KJONN', 'KUBE_KJONN')}) kk ON i.Friskvik = kk.Friskvik
+      LEFT JOIN ({ul('cf', 'ALDER', 'KUBE_ALDER')}) ka ON i.Friskvik = ka.Friskvik
+      LEFT JOIN ({ul('cf', 'INNVKAT', 'KUBE_INNVKAT')}) ki ON i.Friskvik = ki.Friskvik
+      LEFT JOIN ({c8}) c8 ON i.Friskvik = c8.Friskvik
+      LEFT JOIN ({c9}) c9 ON i.Friskvik = c9.Friskvik
+      LEFT JOIN ({c10}) c10 ON i.Friskvik = c10.Friskvik)"""
+    vk = """CASE WHEN loaded THEN CASE WHEN (isak AND ispd AND ismeis) OR NOT (isak OR ispd OR ismeis) THEN 'Yes' ELSE '!! No!!' END END"""
+    ORACLES["c7_extract_report"] = W(exb, ex_all, ctrl, ids, ex_loaded, cf, pairs, rep, select=f"""
+      SELECT Friskvik, Kube,
+        CASE WHEN NOT loaded THEN 'not_loaded'
+             WHEN coalesce(contains(SISTE_AAR, '!!'), false) OR coalesce(contains(Periode_bm, '!!'), false)
+               OR coalesce(contains(Periode_nn, '!!'), false) OR coalesce(contains(IDENTISK_PRIKKING, '!!'), false)
+               OR coalesce(contains(MATCHER_KOLONNE, '!!'), false) OR coalesce(contains(VALID_kombo, '!!'), false)
+             THEN '!! KANSKJE IKKE !!' ELSE 'Ja' END AS ALT_OK,
+        FIL_I_STATBANK, FRISKVIK_ETAB, KUBE_KJONN, KUBE_ALDER, KUBE_UTDANN, KUBE_INNVKAT, KUBE_LANDBAK, FRISKVIK_AAR,
+        SISTE_AAR, Periode_bm, Periode_nn, IDENTISK_PRIKKING, MATCHER_KOLONNE, Different_kubecol, Enhet, REFVERDI_VP,
+        VALID_kombo FROM (
+        SELECT *, {vk} AS VALID_kombo FROM (
+          SELECT *, coalesce(regexp_matches(Enhet, '\\([ak,]+\\)'), false) AS isak,
+                 coalesce(REFVERDI_VP IN ('P', 'D'), false) AS ispd,
+                 coalesce(list_contains(string_split(MATCHER_KOLONNE, ', '), 'MEIS'), false) AS ismeis FROM rep) r) v""")
+
+
+_extracts()

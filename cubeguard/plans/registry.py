@@ -371,10 +371,11 @@ def q_w7_change(spark, sf_dir):
 
 @register("a15_trend")
 def q_a15(spark, sf_dir):
-    # y is a weighted mean of non-integer doubles; compared at 4 decimals
+    # y is a weighted mean of non-integer doubles; compared at 2 decimals (the
+    # publication precision of rates)
     # because its last bits depend on the summation order
     out = plotdata.bydel_trendlines(_compare(spark, sf_dir).newcube_flag, fx.CITY_PARENTS)
-    return out.withColumn("y", round_half_even(F.col("y"), 4))
+    return out.withColumn("y", round_half_even(F.col("y"), 2))
 
 
 @register("a16_country")
@@ -410,3 +411,59 @@ def q_c6_missing(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
     bar, ind = fx.barometer_tables(new, with_lpnr=True, drop_lpnr=1)
     return baro.barometer_missing_indicators(bar, ind)
+
+
+# ----------------------------------------------------------------- extracts
+
+from cubeguard.operators import extracts as ext  # noqa: E402
+
+_CUBE_FILE = f"{fx.CUBE_NAME}_{fx.NEW_DATETAG}.parquet"
+
+
+def _extract_inputs(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    cube = new
+    e = fx.extracts_from_cube(new)
+    return cube, e
+
+
+@register("c7_extract_report")
+def q_c7(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    return ext.check_friskvik(e, cube, _CUBE_FILE, fx.control_friskvik(spark), fx.cube_spec_rows(spark),
+                              fx.published_files(spark), fx.PROFILE, fx.GEOLEVEL, 2025)
+
+
+_EXT_DIMS = ["GEO", "AAR", "KJONN", "ALDER"]
+
+
+@register("f4_cube_to_extract")
+def q_f4(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    return ext.filter_cube_to_extracts(cube, e)
+
+
+@register("c8_last_year")
+def q_c8(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    return ext.last_year_check(e, ext.filter_cube_to_extracts(cube, e))
+
+
+@register("c9_mask_match")
+def q_c9(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    return ext.compare_censoring_mask(e, ext.filter_cube_to_extracts(cube, e), _EXT_DIMS)
+
+
+@register("c10_measure_match")
+def q_c10(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    return ext.compare_values(e, ext.filter_cube_to_extracts(cube, e), _EXT_DIMS,
+                              ["TELLER", "NEVNER", "RATE", "TELLER_uprikk"])
+
+
+@register("a12_unique_levels")
+def q_a12(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    cf = ext.filter_cube_to_extracts(cube, e)
+    return ext.unique_levels(cf, "ALDER").join(ext.unique_levels(cf, "KJONN"), "Friskvik")

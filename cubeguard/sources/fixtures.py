@@ -322,3 +322,60 @@ def barometer_tables(new: DataFrame, with_lpnr: bool = False, drop_lpnr=None):
     if drop_lpnr is not None:
         bar = bar.where(F.col("indikator_kodet") != n_ind + 2 - drop_lpnr)
     return bar, ind
+
+
+# ------------------------------------------------------------ extracts
+PROFILE, GEOLEVEL = "FHP", "K"
+
+
+def extract_name(indicator: str) -> str:
+    return f"{indicator}_{NEW_DATETAG}.csv"
+
+
+def extracts_from_cube(new: DataFrame) -> DataFrame:
+    """Downstream extracts of the new cube: municipalities, last 3 periods.
+
+    * RETURNS_TOTAL: both sexes, all ages; MEIS = RATE (matches);
+    * RETURNS_MEN: sex 1, all ages, stored filter ``GEO > 0``; MEIS = RATE
+      with the highest municipality's value altered by +1;
+    * RETURNS_COUNT: both sexes, ages 3_4; MEIS = TELLER, and also masked
+      for the lowest municipality code (censoring differs);
+    * RETURNS_UNKNOWN: as RETURNS_TOTAL but its indicator has no control row.
+    """
+    years = new.agg(F.max(F.regexp_extract("AAR", r"^(\d{4})", 1).cast("int"))).scalar()
+    base = new.where((F.col("GEOniv") == "K") & (F.col("INNVKAT") == 0)
+                     & (F.regexp_extract("AAR", r"^(\d{4})", 1).cast("int") > years - 3))
+    kmax = base.agg(F.max("GEO")).scalar()
+    kmin = base.agg(F.min("GEO")).scalar()
+
+    def pick(indicator, kj, alder, meis, etab=None):
+        return (base.where((F.col("KJONN") == kj) & (F.col("ALDER") == alder))
+                .select(F.lit(extract_name(indicator)).alias("Friskvik"), F.lit(etab).cast("string").alias("ETAB"),
+                        "GEO", "AAR", "KJONN", "ALDER", meis.alias("MEIS")))
+    e1 = pick("RETURNS_TOTAL", 0, "1_7", F.col("RATE"))
+    e2 = pick("RETURNS_MEN", 1, "1_7", F.when(F.col("GEO") == kmax, F.col("RATE") + 1).otherwise(F.col("RATE")),
+              "GEO > 0")
+    e3 = pick("RETURNS_COUNT", 0, "3_4", F.when(F.col("GEO") == kmin, F.lit(None)).otherwise(F.col("TELLER")))
+    e4 = pick("RETURNS_UNKNOWN", 0, "1_7", F.col("RATE"))
+    return e1.unionByName(e2).unionByName(e3).unionByName(e4)
+
+
+def control_friskvik(spark: SparkSession) -> DataFrame:
+    """Control table FRISKVIK (literal rows, one per indicator)."""
+    rows = [("FHP", "2025", "K", "RETURNS_TOTAL", CUBE_NAME, "2001", "2001", "per 1000 (ak)"),
+            ("FHP", "2025", "K", "RETURNS_MEN", CUBE_NAME, None, "2001", "per 1000"),
+            ("FHP", "2025", "K", "RETURNS_COUNT", CUBE_NAME, "2001", "2001", None),
+            ("OVP", "2025", "K", "RETURNS_UNKNOWN", CUBE_NAME, "2001", "2001", "antall")]
+    return spark.createDataFrame(rows, "PROFILTYPE string, AARGANG string, MODUS string, INDIKATOR string, "
+                                       "KUBE_NAVN string, Periode_bm string, Periode_nn string, Enhet string")
+
+
+def published_files(spark: SparkSession) -> DataFrame:
+    """Published cube ids (name_datetag)."""
+    return spark.createDataFrame([(f"{CUBE_NAME}_{NEW_DATETAG}",)], "file string")
+
+
+def cube_spec_rows(spark: SparkSession) -> DataFrame:
+    """Spec file of the cube (Tabell, Kolonne, Innhold) incl. REFVERDI_VP."""
+    return spec_table(spark).unionByName(
+        spark.createDataFrame([("KUBER", "REFVERDI_VP", "P")], "Tabell string, Kolonne string, Innhold string"))
