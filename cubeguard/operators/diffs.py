@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cubeguard.functions.exprs import GEO_LABEL_ORDER, qc_round, round_half_even
 from cubeguard.operators.geo import translate_geoniv
 from cubeguard.operators.levels import get_all_combinations
-from cubeguard.spec import col, select_diffval_pri, select_nevner_pri, select_teller_pri
+from cubeguard.spec import col, rounding_digits, select_diffval_pri, select_nevner_pri, select_teller_pri
 
 
 def _diffvals(df: DataFrame):
@@ -28,10 +28,16 @@ def comparecube_summary(cc: DataFrame) -> DataFrame:
     d = translate_geoniv(qc_round(cc.where(F.col("newrow") == 0)))
     vals = _diffvals(d)
     has_rel = {v: f"{v}_reldiff" in d.columns for v in vals}
+
+    def scale(name):
+        digits = rounding_digits(name)
+        return 10 ** (6 if digits is None else digits)
     structs = [F.struct(F.lit(v).alias("Value"), F.lit(i).alias("vord"),
                         col(f"{v}_new").cast("double").alias("new"), col(f"{v}_old").cast("double").alias("old"),
                         col(f"{v}_diff").cast("double").alias("diff"),
-                        (col(f"{v}_reldiff").cast("double") if has_rel[v] else F.lit(None).cast("double")).alias("rel"))
+                        (col(f"{v}_reldiff").cast("double") if has_rel[v] else F.lit(None).cast("double")).alias("rel"),
+                        F.lit(scale(f"{v}_diff")).cast("bigint").alias("ds"),
+                        F.lit(scale(f"{v}_reldiff")).cast("bigint").alias("rs"))
                for i, v in enumerate(vals)]
     long = d.select("GEOniv", F.explode(F.array(*structs)).alias("x")).select("GEOniv", "x.*")
     differs = F.col("diff") != 0
@@ -40,16 +46,26 @@ def comparecube_summary(cc: DataFrame) -> DataFrame:
     def r3(c):
         return round_half_even(c, 3)
 
+    def mean3(c, sc):
+        # Exact mean of values already rounded to 1/sc: integer sum of the
+        # scaled values, one division, half-even at 3 decimals.  A float
+        # average of such values hits exact ties whose side depends on the
+        # summation order.
+        num = F.sum(F.when(in_stats & c.isNotNull(), F.round(c * sc).cast("bigint")
+                           * F.greatest(F.lit(1000) / sc, F.lit(1)).cast("bigint")))
+        den = F.count(F.when(in_stats, c)) * F.max(F.greatest(sc / F.lit(1000), F.lit(1))).cast("bigint")
+        return F.bround(num / den, 0) / F.lit(1000.0)
+
     agg = (long.groupingSets([["Value", "vord"], ["GEOniv", "Value", "vord"]], "GEOniv", "Value", "vord").agg(
         F.grouping("GEOniv").alias("g_geo"),
         F.count_if(F.col("diff") == 0).alias("Identical"),
         F.count_if(differs).alias("Different"),
         F.count_if(F.col("new").isNull() & F.col("old").isNotNull()).alias("New_prikk"),
         F.count_if(F.col("new").isNotNull() & F.col("old").isNull()).alias("Expired_prikk"),
-        r3(F.avg(F.when(in_stats, F.col("diff")))).alias("Mean_diff"),
+        mean3(F.col("diff"), F.col("ds")).alias("Mean_diff"),
         r3(F.min(F.when(in_stats, F.col("diff")))).alias("Min_diff"),
         r3(F.max(F.when(in_stats, F.col("diff")))).alias("Max_diff"),
-        r3(F.avg(F.when(in_stats, F.col("rel")))).alias("Mean_reldiff"),
+        mean3(F.col("rel"), F.col("rs")).alias("Mean_reldiff"),
         r3(F.min(F.when(in_stats, F.col("rel")))).alias("Min_reldiff"),
         r3(F.max(F.when(in_stats, F.col("rel")))).alias("Max_reldiff")))
     # unlabeled levels (H) count in TOTAL only
@@ -95,7 +111,7 @@ def diff_timetrends(cc: DataFrame) -> DataFrame:
     per level, period and kind, for rows uncensored in both cubes.
 
     Five-number summary (linear-interpolated percentiles, as a box plot
-    draws them) on a dense (level, period, kind) grid; grid cells without a
+    draws them, to 4 decimals) on a dense (level, period, kind) grid; grid cells without a
     differing value get n = 0 and NULL statistics.
     """
     diffval = select_diffval_pri(cc.columns)
@@ -119,5 +135,5 @@ def diff_timetrends(cc: DataFrame) -> DataFrame:
             & (grid["variable"] == stats["variable"]))
     out = grid.join(stats, cond, "left").select(
         grid["GEOniv"], grid["AAR"], grid["variable"], F.coalesce(stats["n"], F.lit(0)).alias("n"),
-        *[round_half_even(stats[c], 6).alias(c) for c in ("min", "q1", "median", "q3", "max")])
+        *[round_half_even(stats[c], 4).alias(c) for c in ("min", "q1", "median", "q3", "max")])
     return out

@@ -274,22 +274,32 @@ def _rounded_cc(src: str) -> str:
 
 
 def a9_sql() -> str:
+    from cubeguard.spec import rounding_digits
     unions = []
     for i, v in enumerate(VALS):
         rel = q(v + "_reldiff") if v not in ("SPVFLAGG", "RATE.n") else "CAST(NULL AS DOUBLE)"
+        ds = 10 ** rounding_digits(v + "_diff")
+        rs = 10 ** rounding_digits(v + "_reldiff")
         unions.append(f"SELECT GEOniv, '{v}' AS Value, {i} AS vord, CAST({q(v + '_new')} AS DOUBLE) AS new, "
-                      f"CAST({q(v + '_old')} AS DOUBLE) AS old, {q(v + '_diff')} AS diff, {rel} AS rel FROM a9_r")
+                      f"CAST({q(v + '_old')} AS DOUBLE) AS old, {q(v + '_diff')} AS diff, {rel} AS rel, "
+                      f"CAST({ds} AS BIGINT) AS ds, CAST({rs} AS BIGINT) AS rs FROM a9_r")
     st = "diff <> 0 AND new IS NOT NULL AND old IS NOT NULL"
+
+    def mean3(c, sc):
+        num = (f"sum(CASE WHEN {st} AND {c} IS NOT NULL THEN CAST(round({c} * {sc}) AS BIGINT) * "
+               f"CAST(greatest(1000 / {sc}, 1) AS BIGINT) END)")
+        den = f"(count(CASE WHEN {st} THEN {c} END) * CAST(max(greatest({sc} / 1000, 1)) AS BIGINT))"
+        return f"(round_even(CAST({num} AS BIGINT) / {den}, 0) / 1000.0)"
     body = f"""
     SELECT CASE WHEN grouping(GEOniv) = 1 THEN 'TOTAL' ELSE GEOniv END AS GEOniv, Value,
            count(*) FILTER (WHERE diff = 0) AS Identical,
            count(*) FILTER (WHERE diff <> 0) AS Different,
            count(*) FILTER (WHERE new IS NULL AND old IS NOT NULL) AS New_prikk,
            count(*) FILTER (WHERE new IS NOT NULL AND old IS NULL) AS Expired_prikk,
-           {rnd(f"avg(CASE WHEN {st} THEN diff END)", 3)} AS Mean_diff,
+           {mean3("diff", "ds")} AS Mean_diff,
            {rnd(f"min(CASE WHEN {st} THEN diff END)", 3)} AS Min_diff,
            {rnd(f"max(CASE WHEN {st} THEN diff END)", 3)} AS Max_diff,
-           {rnd(f"avg(CASE WHEN {st} THEN rel END)", 3)} AS Mean_reldiff,
+           {mean3("rel", "rs")} AS Mean_reldiff,
            {rnd(f"min(CASE WHEN {st} THEN rel END)", 3)} AS Min_reldiff,
            {rnd(f"max(CASE WHEN {st} THEN rel END)", 3)} AS Max_reldiff
     FROM a9_long

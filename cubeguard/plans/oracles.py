@@ -258,8 +258,8 @@ def _more():
                     quantile_cont(value, 0.75) AS q3, max(value) AS mx FROM a17_l
                     WHERE NOT ((variable = 'Absolute' AND value = 0) OR (variable = 'Relative' AND value = 1))
                     GROUP BY ALL)""",
-        select=f"""SELECT g.GEOniv, g.AAR, g.variable, coalesce(s.n, 0) AS n, {R('s.mn', 6)} AS "min",
-                   {R('s.q1', 6)} AS q1, {R('s.md', 6)} AS median, {R('s.q3', 6)} AS q3, {R('s.mx', 6)} AS "max"
+        select=f"""SELECT g.GEOniv, g.AAR, g.variable, coalesce(s.n, 0) AS n, {R('s.mn', 4)} AS "min",
+                   {R('s.q1', 4)} AS q1, {R('s.md', 4)} AS median, {R('s.q3', 4)} AS q3, {R('s.mx', 4)} AS "max"
                    FROM a17_g g LEFT JOIN a17_s s ON g.GEOniv IS NOT DISTINCT FROM s.GEOniv AND g.AAR = s.AAR
                    AND g.variable = s.variable""")
     ORACLES["w5_denominator_change"] = W(
@@ -489,3 +489,50 @@ def _extracts():
 
 
 _extracts()
+
+
+def _sources():
+    ORACLES["s6_read_csv"] = W(select="SELECT * FROM fx_new_raw")
+    ORACLES["s3_find_read"] = W(select="SELECT * FROM fx_new_raw")
+    ORACLES["l1_codemap"] = W(select="""
+      SELECT * FROM (
+        SELECT CASE WHEN n_nationkey = (SELECT max(n_nationkey) FROM nation) THEN 100 * (n_regionkey + 1) + n_nationkey + 1000
+                    ELSE 100 * (n_regionkey + 1) + n_nationkey END AS old,
+               CAST(100 * (n_regionkey + 1) + n_nationkey AS BIGINT) AS current FROM nation
+        UNION ALL
+        SELECT DISTINCT CASE WHEN n_regionkey = (SELECT max(n_regionkey) FROM nation) THEN n_regionkey + 1 + 10
+                             ELSE n_regionkey + 1 END, CAST(n_regionkey + 1 AS BIGINT) FROM nation)
+      WHERE old IS NOT NULL AND old <> current""")
+    ORACLES["l2_popinfo"] = W(select="""
+      SELECT GEO, GEOniv, CAST(TELLER_uprikk AS DOUBLE) AS WEIGHTS FROM newcube
+      WHERE ALDER = '1_7' AND KJONN = 0 AND INNVKAT = 0
+        AND AAR = (SELECT max(AAR) FROM newcube WHERE ALDER = '1_7' AND KJONN = 0 AND INNVKAT = 0)
+      UNION ALL SELECT * FROM (VALUES (CAST(81 AS BIGINT), 'H', 0.0), (82, 'H', 0.0), (83, 'H', 0.0), (84, 'H', 0.0))""")
+    ORACLES["l3_dimlist"] = W(select="""
+      SELECT DISTINCT dim FROM (
+        SELECT unnest([CASE WHEN n_nationkey % 2 = 0 THEN 'INNVKAT' ELSE 'UTDANN' END,
+                       CASE WHEN n_regionkey = 0 THEN 'SEGMENT' END]) AS dim FROM nation
+        WHERE n_nationkey <> (SELECT max(n_nationkey) FROM nation)
+        UNION ALL SELECT unnest(['GEO', 'AAR', 'ALDER', 'KJONN', 'UTDANN', 'INNVKAT', 'LANDBAK'])) d
+      WHERE dim IS NOT NULL""")
+    ORACLES["l4_validgeo"] = W(select="""
+      SELECT GEO FROM fx_popinfo WHERE GEOniv IN ('F', 'K', 'B') UNION ALL SELECT CAST(0 AS BIGINT)""")
+    cols = []
+    keep = ["GEOniv", "newrow", "GEO", "AAR", "KJONN", "ALDER", "INNVKAT", "UTDANN", "any_diffs"]
+    for v in o.VALS:
+        for suffix in ("_new", "_old", "_diff", "_reldiff"):
+            if suffix == "_reldiff" and v in ("SPVFLAGG", "RATE.n"):
+                continue
+            name = v + suffix
+            d = o.qc_round_sql(name)
+            expr = o.q(name) if d is None else R(o.q(name), d)
+            if v == "SPVFLAGG" and suffix in ("_new", "_old"):
+                expr = f"CAST({R('CAST(' + o.q(name) + ' AS DOUBLE)', d)} AS BIGINT)"
+            cols.append(f"{expr} AS {o.q(name)}")
+    ORACLES["p10_round"] = W(*o.COMPARECUBE_CTES, select=f"SELECT {', '.join(keep)}, {', '.join(cols)} FROM comparecube")
+    ORACLES["p11_grid"] = W(select="""
+      SELECT * FROM (SELECT DISTINCT GEOniv FROM newcube) CROSS JOIN (SELECT DISTINCT AAR FROM newcube)
+        CROSS JOIN (SELECT DISTINCT KJONN FROM newcube)""")
+
+
+_sources()

@@ -112,7 +112,8 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
     # Comparison cube; old side only for rows that are not expired
     keep = F.col("__in_new").isNotNull() | (F.col("__exprow") == 0)
     cc = joined.where(keep)
-    sel = [col("GEOniv"), col("newrow")]
+    geoniv = col("GEOniv") if "GEOniv" in new_flag.columns else F.lit(None).cast("string").alias("GEOniv")
+    sel = [geoniv, col("newrow")]
     sel += [F.coalesce(n[k], o[f"__k{i}"]).alias(k) for i, k in enumerate(keys)]
     for v in vals:
         sel.append(col(v).alias(f"{v}_new"))

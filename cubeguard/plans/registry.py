@@ -467,3 +467,82 @@ def q_a12(spark, sf_dir):
     cube, e = _extract_inputs(spark, sf_dir)
     cf = ext.filter_cube_to_extracts(cube, e)
     return ext.unique_levels(cf, "ALDER").join(ext.unique_levels(cf, "KJONN"), "Friskvik")
+
+
+# ----------------------------------------------------------------- sources / lookups / P10 / P11
+
+from cubeguard.functions.exprs import qc_round  # noqa: E402
+from cubeguard.session import ensure_checkpoint_dir  # noqa: E402
+from cubeguard.sources import cubes, lookups  # noqa: E402
+from cubeguard.spec import RENAME  # noqa: E402
+import uuid  # noqa: E402
+
+
+def _scratch(spark):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cubeguard/files-{uuid.uuid4().hex}"
+
+
+def _write_raw_cube(spark, sf_dir, root, fmt):
+    """Write the raw new cube as a cube file, with the source column names
+    the rename map turns back into the standard ones."""
+    raw = fx.new_cube_raw(spark, sf_dir)
+    inverse = {new: old for old, new in RENAME.items() if new in ("TELLER", "RATE")}
+    raw = raw.withColumnsRenamed(inverse)
+    path = f"{root}/QC/{fx.CUBE_NAME}_{fx.NEW_DATETAG}.{fmt}"
+    if fmt == "csv":
+        raw.write.option("sep", ";").option("header", True).csv(path)
+    else:
+        raw.write.parquet(path)
+    return path
+
+
+@register("s6_read_csv")
+def q_s6(spark, sf_dir):
+    root = _scratch(spark)
+    path = _write_raw_cube(spark, sf_dir, root, "csv")
+    df, _ = cubes.read_cube(spark, path, "New")
+    return df
+
+
+@register("s3_find_read")
+def q_s3(spark, sf_dir):
+    root = _scratch(spark)
+    _write_raw_cube(spark, sf_dir, root, "csv")
+    _write_raw_cube(spark, sf_dir, root, "parquet")
+    path = cubes.find_cube(spark, f"{fx.CUBE_NAME}_{fx.NEW_DATETAG}", root)  # parquet wins
+    df, _ = cubes.read_cube(spark, path, "New")
+    return df
+
+
+@register("l1_codemap")
+def q_l1(spark, sf_dir):
+    k, f = fx.code_tables(spark, sf_dir)
+    return lookups.update_georecode(k, f)
+
+
+@register("l2_popinfo")
+def q_l2(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    pop = new.withColumn("TELLER", F.col("TELLER_uprikk"))
+    return lookups.update_popinfo(pop, total_age="1_7", total_sex=0, extra_filter=F.col("INNVKAT") == 0)
+
+
+@register("l3_dimlist")
+def q_l3(spark, sf_dir):
+    return lookups.update_dimlist(fx.file_groups(spark, sf_dir), at="2025-01-01 00:00:00")
+
+
+@register("l4_validgeo")
+def q_l4(spark, sf_dir):
+    return lookups.update_validgeo(fx.geo_register(spark, sf_dir), "2025")
+
+
+@register("p10_round")
+def q_p10(spark, sf_dir):
+    return qc_round(_compare(spark, sf_dir).comparecube)
+
+
+@register("p11_grid")
+def q_p11(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    return levels.get_all_combinations(new, ["GEOniv", "AAR", "KJONN"])

@@ -379,3 +379,47 @@ def cube_spec_rows(spark: SparkSession) -> DataFrame:
     """Spec file of the cube (Tabell, Kolonne, Innhold) incl. REFVERDI_VP."""
     return spec_table(spark).unionByName(
         spark.createDataFrame([("KUBER", "REFVERDI_VP", "P")], "Tabell string, Kolonne string, Innhold string"))
+
+
+# ------------------------------------------------------------ lookup sources
+
+def code_tables(spark: SparkSession, sf_dir: str):
+    """(municipality codes, county codes) with (oldCode, currentCode): the
+    highest nation's municipality and the highest region's county carry an
+    outdated code, every other code maps to itself."""
+    na = table(spark, sf_dir, "nation")
+    top_n = na.agg(F.max("n_nationkey")).scalar()
+    top_r = na.agg(F.max("n_regionkey")).scalar()
+    k = (F.lit(100) * (F.col("n_regionkey") + 1) + F.col("n_nationkey")).cast("bigint")
+    kommune = na.select(F.when(F.col("n_nationkey") == top_n, k + OLD_CODE_OFFSET).otherwise(k).alias("oldCode"),
+                        k.alias("currentCode"))
+    f = (F.col("n_regionkey") + 1).cast("bigint")
+    fylke = na.select(F.when(F.col("n_regionkey") == top_r, f + 10).otherwise(f).alias("oldCode"),
+                      f.alias("currentCode")).distinct()
+    return kommune, fylke
+
+
+def file_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control table FILGRUPPER derived from the nations: one file group per
+    nation with its table dimensions; the highest nation's group has expired."""
+    na = table(spark, sf_dir, "nation")
+    top_n = na.agg(F.max("n_nationkey")).scalar()
+    return na.select(
+        F.concat(F.lit("FG_"), F.col("n_nationkey").cast("string")).alias("FILGRUPPE"),
+        F.when(F.col("n_nationkey") % 2 == 0, "INNVKAT").otherwise("UTDANN").alias("TAB1"),
+        F.when(F.col("n_regionkey") == 0, "SEGMENT").alias("TAB2"),
+        F.when(F.col("n_nationkey") == top_n, "OLDTAB").alias("TAB3"),
+        F.lit("2000-01-01 00:00:00").cast("timestamp").alias("VERSJONFRA"),
+        F.when(F.col("n_nationkey") == top_n, F.lit("2001-01-01 00:00:00"))
+        .otherwise(F.lit("2099-01-01 00:00:00")).cast("timestamp").alias("VERSJONTIL"))
+
+
+GEO_REGISTER_LEVEL = {"L": "land", "F": "fylke", "K": "kommune", "B": "bydel"}
+
+
+def geo_register(spark: SparkSession, sf_dir: str, year: str = "2025") -> DataFrame:
+    """Code register tblGeo (code, level, validTO) from the area parameters."""
+    lv = None
+    for k, v in GEO_REGISTER_LEVEL.items():
+        lv = F.when(F.col("GEOniv") == k, v) if lv is None else lv.when(F.col("GEOniv") == k, v)
+    return popinfo(spark, sf_dir).select(F.col("GEO").alias("code"), lv.alias("level"), F.lit(year).alias("validTO"))
