@@ -33,29 +33,69 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
-def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi") -> DataFrame:
+def level_lists(ref: DataFrame, dims) -> list[DataFrame]:
+    """Per dimension, the distinct levels of ``ref`` as a one-column table.
+
+    ONE aggregate over ``ref`` collects the level set of every dimension
+    (map-side partial sets, one small single-partition merge); each
+    per-dimension table explodes its set from that same aggregate, so the
+    exchange is shared.  A set is bounded by the number of levels of its
+    dimension (areas, periods, categories), not by the number of rows.
+    Levels are compared as text; a NULL level is kept as NULL.
+    """
+    aggs = []
+    for i, d in enumerate(dims):
+        c = F.col(f"`{d}`").cast("string")
+        aggs += [F.collect_set(c).alias(f"__s{i}"), F.max(c.isNull().cast("int")).alias(f"__n{i}")]
+    sets = ref.agg(*aggs)
+    out = []
+    for i, _ in enumerate(dims):
+        with_null = F.when(F.col(f"__n{i}") == 1, F.array(F.lit(None).cast("string"))) \
+            .otherwise(F.array().cast("array<string>"))
+        out.append(sets.select(F.explode(F.concat(F.col(f"__s{i}"), with_null)).alias(f"__l{i}")))
+    return out
+
+
+def _split_constants(dims, constants):
+    constants = constants or {}
+    return [d for d in dims if d not in constants], {d: v for d, v in constants.items() if d in dims}
+
+
+def _constant_present(ref: DataFrame, d: str, value):
+    """EXISTS (ref row with level ``value`` of ``d``) as a scalar subquery."""
+    return ref.where(F.col(f"`{d}`").eqNullSafe(F.lit(value))).exists()
+
+
+def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", constants: dict | None = None) -> DataFrame:
     """Keep (``left_semi``) or drop (``left_anti``) rows whose level of each
     dim appears among the distinct levels of ``ref``; NULL matches NULL.
 
-    One join per dimension against that dimension's distinct levels: the
-    level lists are small, so AQE turns each into a broadcast join and the
-    cube itself is not shuffled.
+    Each dimension is one join against its (broadcast-sized) level table
+    from :func:`level_lists`, so the cube itself is not shuffled.
+    ``constants`` names dimensions that hold a single known level in ``df``;
+    they are answered by an EXISTS subquery instead of a join.
     """
+    dims, consts = _split_constants(list(dims), constants)
     out = df
-    for d in dims:
-        levels = ref.select(F.col(f"`{d}`").alias("__lvl")).distinct()
-        out = out.join(levels, out[d].eqNullSafe(levels["__lvl"]), how)
+    for d, v in consts.items():
+        present = _constant_present(ref, d, v)
+        out = out.where(present if how == "left_semi" else ~present)
+    if not dims:
+        return out
+    for i, (d, lv) in enumerate(zip(dims, level_lists(ref, dims))):
+        out = out.join(lv, out[d].cast("string").eqNullSafe(lv[f"__l{i}"]), how)
     return out
 
 
-def any_level_missing(df: DataFrame, ref: DataFrame, dims, flag: str) -> DataFrame:
+def any_level_missing(df: DataFrame, ref: DataFrame, dims, flag: str, constants: dict | None = None) -> DataFrame:
     """Add ``flag`` = 1 when the row's level of any dim is absent in ``ref``."""
+    dims, consts = _split_constants(list(dims), constants)
+    markers = [~_constant_present(ref, d, v) for d, v in consts.items()]
     out = df
-    markers = []
-    for i, d in enumerate(dims):
+    for i, (d, lv) in enumerate(zip(dims, level_lists(ref, dims) if dims else [])):
         m = f"__m{i}"
-        levels = ref.select(F.col(f"`{d}`").alias(f"__l{i}")).distinct().withColumn(m, F.lit(1))
-        out = out.join(levels, out[d].eqNullSafe(levels[f"__l{i}"]), "left").drop(f"__l{i}")
+        lv = lv.withColumn(m, F.lit(1))
+        out = out.join(lv, out[d].cast("string").eqNullSafe(lv[f"__l{i}"]), "left").drop(f"__l{i}")
         markers.append(F.col(m).isNull())
     cond = reduce(lambda a, b: a | b, markers) if markers else F.lit(False)
     out = out.withColumn(flag, F.when(cond, 1).otherwise(0))

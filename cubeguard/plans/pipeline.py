@@ -45,18 +45,21 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
     old = exclude_lks_for_compare(cube_old)
     prof_new = profile_cube(new, list(roles.dims_new), spec)
     prof_old = profile_cube(old, list(roles.dims_old), spec) if old is not None else None
+    added_new, added_old = {}, {}
     if old is not None:
         new = _add_totals(new, old, roles.expdims, prof_old.totals, spec)
         old = _add_totals(old, cube_new, roles.newdims, prof_new.totals, spec)
+        added_new = {d: prof_old.totals[d] for d in roles.expdims}
+        added_old = {d: prof_new.totals[d] for d in roles.newdims}
     roles = identify_coltypes(new, old, spec)
 
-    new_flag = flag_rows(new, old, "newrow", spec)
+    new_flag = flag_rows(new, old, "newrow", spec, constants=added_new)
     if outlierval is not None:
         new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec)
     if old is None:
         return CompareResult(new_flag, None, None, roles, outlierval)
 
-    old_flag = flag_rows(new, old, "exprow", spec)
+    old_flag = flag_rows(new, old, "exprow", spec, constants=added_old)
     if outlierval is not None:
         old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec)
 

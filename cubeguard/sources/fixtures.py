@@ -192,7 +192,35 @@ def small_area_threshold(spark: SparkSession, sf_dir: str) -> float:
     return table(spark, sf_dir, "customer").count() / 25.0
 
 
+_MEMO: dict = {}
+
+
+def _memo_key(spark: SparkSession, sf_dir: str, kind: str):
+    """Fixture tables are written once per session and input folder; the
+    key includes the input files' sizes and times, so changed inputs are
+    rebuilt."""
+    import os
+    stamp = []
+    for name in ("lineitem", "orders", "customer", "nation"):
+        p = f"{sf_dir}/{name}.parquet"
+        try:
+            st = os.stat(p)
+            stamp.append((st.st_size, st.st_mtime_ns))
+        except OSError:
+            stamp.append(None)
+    return (spark.sparkContext.applicationId, sf_dir, kind, tuple(stamp))
+
+
 def fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
+    if not materialize:
+        return _fixture_pair(spark, sf_dir, False)
+    key = _memo_key(spark, sf_dir, "pair")
+    if key not in _MEMO:
+        _MEMO[key] = _fixture_pair(spark, sf_dir, True)
+    return _MEMO[key]
+
+
+def _fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
     """S1 on the fixtures: (newcube, oldcube) after geo recoding (old only)
     and geo parameters, plus the small-area threshold.
 
@@ -213,7 +241,19 @@ def fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
 
 
 def fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
-    """The new cube alone (after geo parameters), materialized once."""
+    """The new cube alone (after geo parameters), materialized once per session."""
+    if materialize:
+        pair = _MEMO.get(_memo_key(spark, sf_dir, "pair"))
+        if pair is not None:
+            return pair[0]
+        key = _memo_key(spark, sf_dir, "new")
+        if key not in _MEMO:
+            _MEMO[key] = _fixture_new(spark, sf_dir, True)
+        return _MEMO[key]
+    return _fixture_new(spark, sf_dir, False)
+
+
+def _fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     from cubeguard.operators.geo import add_geoparams
     from cubeguard.session import materialize as _mat
     new = add_geoparams(new_cube_raw(spark, sf_dir), popinfo(spark, sf_dir))
