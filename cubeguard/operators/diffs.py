@@ -54,7 +54,7 @@ def comparecube_summary(cc: DataFrame) -> DataFrame:
         num = F.sum(F.when(in_stats & c.isNotNull(), F.round(c * sc).cast("bigint")
                            * F.greatest(F.lit(1000) / sc, F.lit(1)).cast("bigint")))
         den = F.count(F.when(in_stats, c)) * F.max(F.greatest(sc / F.lit(1000), F.lit(1))).cast("bigint")
-        return F.bround(num / den, 0) / F.lit(1000.0)
+        return F.bround(F.try_divide(num, den), 0) / F.lit(1000.0)
 
     agg = (long.groupingSets([["Value", "vord"], ["GEOniv", "Value", "vord"]], "GEOniv", "Value", "vord").agg(
         F.grouping("GEOniv").alias("g_geo"),

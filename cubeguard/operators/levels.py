@@ -174,5 +174,6 @@ def district_scope(df: DataFrame, parents: dict, flag: str = "SPVFLAGG", period:
     """the city rows and district rows, in periods that have at least one
     uncensored district row."""
     scope = df.where(F.col("GEO").cast("bigint").isin([int(k) for k in parents]) | (F.col("GEOniv") == child_level))
+    # the distinct periods are bounded by the number of periods
     periods = scope.where((F.col("GEOniv") == child_level) & (col(flag) == 0)).select(period).distinct()
     return scope.join(periods, period, "left_semi")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cubeguard.functions.exprs import round_half_even
 from cubeguard.operators.aggregate import aggregate_cube_multi
 from cubeguard.operators.geo import add_kommune
+from cubeguard.operators.levels import district_scope
 from cubeguard.spec import (
     DEFAULT_SPEC, CubeSpec, col, identify_coltypes, profile_cube, select_nevner_pri,
     select_outlier_pri, select_teller_pri,
@@ -81,7 +82,7 @@ def timeseries_data(flagged: DataFrame, show_n_years: int | None = 10, onlynew:
     teller = select_teller_pri(flagged.columns)
     outlierfilter = pc["newoutlier"] if onlynew and pc["newoutlier"] in flagged.columns else pc["outlier"]
     d = flagged.where(F.col("GEOniv").isNotNull() & col(pv).isNotNull())
-    d = d.withColumn("AARh", F.regexp_extract(col(spec.period), r"\d{4}_(\d{4})", 1).cast("int"))
+    d = d.withColumn("AARh", F.regexp_extract(col(spec.period), r"\d{4}_(\d{4})", 1).try_cast("int"))
     if show_n_years is not None:
         last = d.agg(F.max("AARh")).scalar()
         d = d.where(F.col("AARh") > last - F.lit(show_n_years))
@@ -121,10 +122,8 @@ def bydel_trendlines(flagged: DataFrame, parents: dict, spec: CubeSpec = DEFAULT
     per city, period and panel; series with a single point are dropped."""
     roles = identify_coltypes(flagged, spec=spec)
     pv = select_outlier_pri(flagged, roles=roles, spec=spec)
-    g = col(spec.geo).cast("bigint")
-    d = flagged.where((g.isin([int(k) for k in parents]) | (F.col("GEOniv") == "B")) & col(pv).isNotNull())
-    periods = d.where((F.col("GEOniv") == "B") & (col(spec.flag) == 0)).select(spec.period).distinct()
-    d = add_kommune(d.join(periods, spec.period, "left_semi"), parents, spec.geo)
+    d = district_scope(flagged.where(col(pv).isNotNull()), parents, spec.flag, spec.period)
+    d = add_kommune(d, parents, spec.geo)
     bycols = ["KOMMUNE"] + [x for x in roles.dims_new if x != spec.geo]
     panels = [x for x in bycols if x not in ("KOMMUNE", spec.period)]
     v, w = col(pv), F.col("WEIGHTS")
@@ -163,7 +162,7 @@ def country_series(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame
             ["by_dim", "level", spec.period], [col(v) for v in plotvals], "PARAMETER", "yvalue")
         blocks.append(long.where(F.col("yvalue").isNotNull()))
     out = reduce(DataFrame.unionByName, blocks)
-    return out.withColumn("AARx", F.regexp_extract(col(spec.period), r"^(\d+)_", 1).cast("int"))
+    return out.withColumn("AARx", F.regexp_extract(col(spec.period), r"^(\d+)_", 1).try_cast("int"))
 
 
 def get_plot_subset(df: DataFrame, by, maxpanels: int = 25) -> list:

@@ -83,6 +83,20 @@ def typed_column(c: str, spec: CubeSpec = DEFAULT_SPEC):
     return col(c).cast("string").try_cast("double").alias(c)
 
 
+def find_by_datetag(spark: SparkSession, folders, datetag: str, cubename: str | None = None) -> list[str]:
+    """Files carrying ``datetag`` in the first folder that has any
+    (e.g. the parquet folder before the CSV folder); when several remain, the
+    ones whose name contains ``cubename``."""
+    hits: list[str] = []
+    for folder in folders:
+        hits = [f for f in list_files(spark, folder) if datetag in f.rsplit("/", 1)[-1]]
+        if hits:
+            break
+    if len(hits) > 1 and cubename:
+        hits = [f for f in hits if cubename in f.rsplit("/", 1)[-1]]
+    return hits
+
+
 def type_columns(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Apply :func:`typed_column` to every column."""
     return df.select(*[typed_column(c, spec) for c in df.columns])

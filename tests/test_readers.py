@@ -63,3 +63,38 @@ def test_sinks(spark):
     assert name == "compare_CUBE_t1_vs_t0"
     p = sinks.save_dump(df, out, name)
     assert spark.read.parquet(p).first().RATE == 1.23
+
+
+def test_find_by_datetag(spark):
+    root = tempfile.mkdtemp(prefix="cg-tag-")
+    os.makedirs(f"{root}/parquet")
+    os.makedirs(f"{root}/csv")
+    _write(f"{root}/csv/A_2024-01-01-00-00.csv", "x\n")
+    _write(f"{root}/csv/B_2024-01-01-00-00.csv", "x\n")
+    hits = cubes.find_by_datetag(spark, [f"{root}/parquet", f"{root}/csv"], "2024-01-01-00-00", "B")
+    assert [h.rsplit("/", 1)[-1] for h in hits] == ["B_2024-01-01-00-00.csv"]
+    _write(f"{root}/parquet/A_2024-01-01-00-00.parquet", "")
+    hits = cubes.find_by_datetag(spark, [f"{root}/parquet", f"{root}/csv"], "2024-01-01-00-00")
+    assert [h.rsplit("/", 1)[-1] for h in hits] == ["A_2024-01-01-00-00.parquet"]
+
+
+def test_read_extracts(spark):
+    from cubeguard.operators.extracts import etab_predicate, read_extracts
+    d = tempfile.mkdtemp(prefix="cg-ext-")
+    _write(f"{d}/IND_A_2024-01-01-00-00.csv", "GEO;AAR;KJONN;ETAB;MEIS\n301;2024_2024;0;GEO > 0;1.5\n")
+    _write(f"{d}/IND_B_2024-01-01-00-00.csv", "GEO;AAR;KJONN;ETAB;MEIS\n301;2024_2024;1;;\n")
+    df = read_extracts(spark, d)
+    got = sorted((r.Friskvik, r.GEO, r.KJONN, r.MEIS) for r in df.collect())
+    assert got == [("IND_A_2024-01-01-00-00.csv", 301, 0, 1.5), ("IND_B_2024-01-01-00-00.csv", 301, 1, None)]
+    assert etab_predicate("GEO > 0 & KJONN == 1") == "GEO > 0  AND  KJONN = 1"
+    assert etab_predicate("KJONN %in% c(1, 2)") == "KJONN  IN (1, 2)"
+    with pytest.raises(ValueError):
+        etab_predicate("system('rm'); 1")
+
+
+def test_geotriangles(spark):
+    from cubeguard.operators.geo import add_geotriangles
+    sets = spark.createDataFrame([("FK", ["F", "K"]), ("KB", ["K", "B"]), ("LF", ["L", "F"])],
+                                 "name string, levels array<string>")
+    got = sorted(r.name for r in add_geotriangles(sets, ["L", "F", "K"]).collect())
+    assert got == ["FK", "LF"]
