@@ -244,9 +244,10 @@ COMPARECUBE_CTES = C1_CTES + [
 
 def rnd(expr: str, digits: int) -> str:
     """Half-even rounding identical to the Spark side."""
+    # "+ 0.0" turns a rounded negative zero into 0.0, as Spark's bround does
     if digits == 0:
-        return f"round_even({expr}, 0)"
-    return f"(round_even(({expr}) * {float(10 ** digits)}, 0) / {float(10 ** digits)})"
+        return f"(round_even({expr}, 0) + 0.0)"
+    return f"(round_even(({expr}) * {float(10 ** digits)}, 0) / {float(10 ** digits)} + 0.0)"
 
 
 def qc_round_sql(name: str) -> str | None:
