@@ -71,3 +71,144 @@ def weighted_fences(df: DataFrame, value: str, weight: str, group_cols,
         prefix + "HIGH": q75 + F.lit(1.5) * (q75 - q25),
     })
     return tmp.drop("__cum", "__tot")
+
+
+# ---------------------------------------------------------------------------
+# Hot strata: cumulative weights without putting a whole group in one task
+# ---------------------------------------------------------------------------
+
+def _null_safe_on(left: DataFrame, right: DataFrame, cols):
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(right[c])
+        cond = e if cond is None else cond & e
+    return cond
+
+
+def cumulative_weights(df: DataFrame, group_cols, value: str, weight: str | None = None,
+                       strategy: str = "window", n_ranges: int | None = None) -> DataFrame:
+    """Distinct values per group with their weight ``__w``, the cumulative
+    weight ``__cum`` (values <= this one) and the group total ``__tot``.
+
+    Values are pre-aggregated per (group, value) first (map-side combine).
+
+    ``strategy="window"``: one window per group (a group is sorted in one
+    task).  ``strategy="range"``: each group's values are cut into up to
+    ``n_ranges`` value ranges at approximate quantiles (a bounded sketch);
+    running sums are taken within each (group, range), and each range's
+    offset is the sum of the preceding ranges of the same group, computed on
+    a small (group, range) table and joined back.  The result is exact (the
+    cut points only decide where work is split) and a hot group is spread
+    over many tasks.
+    """
+    group_cols = list(group_cols)
+    v = F.col(f"`{value}`")
+    w = F.lit(1.0) if weight is None else F.col(f"`{weight}`").cast("double")
+    w_pos = F.when(w > 0, w).otherwise(F.lit(0.0))
+    d = (df.where(v.isNotNull()).select(*[F.col(f"`{g}`") for g in group_cols], v.alias("__v"), w_pos.alias("__wp"))
+         .groupBy(*group_cols, "__v").agg(F.sum("__wp").alias("__w")))
+    if strategy == "window":
+        ordered = (Window.partitionBy(*group_cols).orderBy("__v")
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return d.withColumns({"__cum": F.sum("__w").over(ordered),
+                              "__tot": F.sum("__w").over(Window.partitionBy(*group_cols))})
+    if strategy != "range":
+        raise ValueError("strategy must be 'window' or 'range'")
+    n = n_ranges or 64
+    # per-group cut points from a bounded sketch (merged map-side): one row
+    # per group with at most n-1 values
+    probs = [i / n for i in range(1, n)]
+    cuts = d.groupBy(*group_cols).agg(F.percentile_approx("__v", probs, 10000).alias("__cuts"))
+    cuts = cuts.select(*[F.col(g).alias(f"__c{i}") for i, g in enumerate(group_cols)], "__cuts")
+    on = None
+    for i, g in enumerate(group_cols):
+        e = d[g].eqNullSafe(cuts[f"__c{i}"])
+        on = e if on is None else on & e
+    dj = d.join(cuts, on) if group_cols else d.join(cuts, how="inner")
+    # range index: number of cut points below the value (monotone in the value,
+    # equal values share a range)
+    dj = dj.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))) \
+        .drop("__cuts", *[f"__c{i}" for i in range(len(group_cols))])
+    local = (Window.partitionBy(*group_cols, "__b").orderBy("__v")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    dj = dj.withColumn("__lcum", F.sum("__w").over(local))
+    part = dj.groupBy(*group_cols, "__b").agg(F.sum("__w").alias("__psum"))
+    before = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.withColumns({
+        "__off": F.coalesce(F.sum("__psum").over(before), F.lit(0.0)),
+        "__tot": F.sum("__psum").over(Window.partitionBy(*group_cols)),
+    }).select(*[F.col(g).alias(f"__p{i}") for i, g in enumerate(group_cols)], F.col("__b").alias("__pb"),
+              "__off", "__tot")
+    on = dj["__b"] == part["__pb"]
+    for i, g in enumerate(group_cols):
+        on = on & dj[g].eqNullSafe(part[f"__p{i}"])
+    j = dj.join(part, on)
+    return j.select(*[dj[g] for g in group_cols], "__v", "__w", (F.col("__off") + F.col("__lcum")).alias("__cum"),
+                    "__tot")
+
+
+def weighted_quantiles(df: DataFrame, group_cols, value: str, weight: str | None, probs,
+                       strategy: str = "window", prefix: str = "") -> DataFrame:
+    """One row per group: MIN, MAX and the X1 weighted quantiles
+    (``wq25``-style names for probs 0.25/0.5/0.75, else ``q<p>``).  The final
+    step is an ordinary grouped aggregate (partial aggregation map-side)."""
+    cw = cumulative_weights(df, group_cols, value, weight, strategy)
+    aggs = [F.min("__v").alias(prefix + "MIN"), F.max("__v").alias(prefix + "MAX"),
+            F.max("__tot").alias("__t")]
+    names = []
+    for p in probs:
+        name = prefix + ({0.25: "wq25", 0.5: "wq50", 0.75: "wq75"}.get(p) or f"q{int(round(p * 100))}")
+        names.append(name)
+        target = F.col("__tot") * F.lit(float(p))
+        aggs += [F.min(F.when(F.col("__cum") >= target, F.col("__v"))).alias(f"__lo_{name}"),
+                 F.min(F.when(F.col("__cum") > target, F.col("__v"))).alias(f"__hi_{name}")]
+    q = cw.groupBy(*group_cols).agg(*aggs)
+    return q.select(*group_cols, prefix + "MIN", prefix + "MAX",
+                    *[F.when(F.col("__t") > 0, (F.col(f"__lo_{n}") + F.col(f"__hi_{n}")) / F.lit(2.0)).alias(n)
+                      for n in names])
+
+
+def weighted_fences_grouped(df: DataFrame, value: str, weight: str, group_cols, prefix: str = "",
+                            strategy: str = "range") -> DataFrame:
+    """W2 fences computed per group (``strategy`` as in
+    :func:`cumulative_weights`) and joined back to every row (null-safe on
+    the group keys; AQE broadcasts the per-group table when it is small and
+    splits skewed partitions otherwise)."""
+    names = [c if isinstance(c, str) else c._jc.toString().strip("`") for c in group_cols]
+    q = weighted_quantiles(df, names, value, weight, (0.25, 0.5, 0.75), strategy, prefix)
+    q25, q75 = F.col(prefix + "wq25"), F.col(prefix + "wq75")
+    q = q.withColumns({prefix + "LOW": q25 - F.lit(1.5) * (q75 - q25),
+                       prefix + "HIGH": q75 + F.lit(1.5) * (q75 - q25)})
+    q = q.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(names)],
+                 *[prefix + c for c in ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")])
+    cond = None
+    for i, g in enumerate(names):
+        e = df[g].eqNullSafe(q[f"__g{i}"])
+        cond = e if cond is None else cond & e
+    out = df.join(q, cond, "left")
+    return out.drop(*[f"__g{i}" for i in range(len(names))])
+
+
+def order_statistics(df: DataFrame, group_cols, value: str, probs, strategy: str = "range") -> DataFrame:
+    """Exact linear-interpolated percentiles (the box-plot definition) per
+    group, plus n, min and max, without a per-group value buffer.
+
+    With unit weights ``__cum`` is the number of values <= v, so the value
+    of 0-based rank r is the smallest v with ``__cum > r``; the p-percentile
+    is ``v[floor(h)] + (h - floor(h)) * (v[ceil(h)] - v[floor(h)])`` with
+    ``h = (n - 1) * p``.
+    """
+    group_cols = list(group_cols)
+    cw = cumulative_weights(df, group_cols, value, None, strategy)
+    n = F.col("__tot")
+    aggs = [F.max("__tot").cast("bigint").alias("n"), F.min("__v").alias("min"), F.max("__v").alias("max")]
+    for name, p in probs.items():
+        h = (n - F.lit(1.0)) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        aggs += [F.min(F.when(F.col("__cum") > lo, F.col("__v"))).alias(f"__a_{name}"),
+                 F.min(F.when(F.col("__cum") > hi, F.col("__v"))).alias(f"__b_{name}"),
+                 F.max(h - lo).alias(f"__f_{name}")]
+    g = cw.groupBy(*group_cols).agg(*aggs)
+    return g.select(*group_cols, "n", "min",
+                    *[(F.col(f"__a_{k}") + F.col(f"__f_{k}") * (F.col(f"__b_{k}") - F.col(f"__a_{k}"))).alias(k)
+                      for k in probs], "max")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubeguard.functions.exprs import GEO_LABEL_ORDER, qc_round, round_half_even
+from cubeguard.functions.quantile import order_statistics
 from cubeguard.operators.geo import translate_geoniv
 from cubeguard.operators.levels import get_all_combinations
 from cubeguard.spec import col, rounding_digits, select_diffval_pri, select_nevner_pri, select_teller_pri
@@ -106,7 +107,7 @@ def diffvals_summary(cc: DataFrame, byyear: bool = False) -> DataFrame:
     return qc_round(out)
 
 
-def diff_timetrends(cc: DataFrame) -> DataFrame:
+def diff_timetrends(cc: DataFrame, strategy: str = "range") -> DataFrame:
     """Distribution of the best diff (Absolute) and reldiff (Relative)
     per level, period and kind, for rows uncensored in both cubes.
 
@@ -127,10 +128,10 @@ def diff_timetrends(cc: DataFrame) -> DataFrame:
     keep = ~(((F.col("variable") == "Absolute") & (F.col("value") == 0))
              | ((F.col("variable") == "Relative") & (F.col("value") == 1)))
     grid = get_all_combinations(long, ["GEOniv", "AAR", "variable"])
-    v = F.col("value")
-    stats = long.where(keep).groupBy("GEOniv", "AAR", "variable").agg(
-        F.count(v).alias("n"), F.min(v).alias("min"), F.percentile(v, 0.25).alias("q1"),
-        F.percentile(v, 0.5).alias("median"), F.percentile(v, 0.75).alias("q3"), F.max(v).alias("max"))
+    # exact percentiles without a per-group value buffer: a (level, period,
+    # kind) group holds all areas of a level, so it is spread over ranges
+    stats = order_statistics(long.where(keep), ["GEOniv", "AAR", "variable"], "value",
+                             {"q1": 0.25, "median": 0.5, "q3": 0.75}, strategy)
     cond = (grid["GEOniv"].eqNullSafe(stats["GEOniv"]) & (grid["AAR"] == stats["AAR"])
             & (grid["variable"] == stats["variable"]))
     out = grid.join(stats, cond, "left").select(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeguard.functions.quantile import weighted_fences
+from cubeguard.functions.quantile import weighted_fences, weighted_fences_grouped
 from cubeguard.operators.geo import split_kommuneniv
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, identify_coltypes
 
@@ -33,7 +33,7 @@ def add_changeval(df: DataFrame, val: str, by, period: str = "AAR") -> DataFrame
     return df.withColumn(f"change_{val}", F.lit(100.0) * (F.try_divide(col(val), prev) - F.lit(1.0)))
 
 
-def add_outlier(df: DataFrame, val: str, by, change: bool = False) -> DataFrame:
+def add_outlier(df: DataFrame, val: str, by, change: bool = False, strategy: str = "window") -> DataFrame:
     """Weighted fences per stratum and the OUTLIER flag.
 
     ``by`` are the dimensions without the period; GEO is replaced by GEOniv.
@@ -44,7 +44,10 @@ def add_outlier(df: DataFrame, val: str, by, change: bool = False) -> DataFrame:
     strata = ["GEOniv" if b == "GEO" else b for b in by]
     value = f"change_{val}" if change else val
     prefix = "change_" if change else ""
-    out = weighted_fences(df, value, "WEIGHTS", [col(s) for s in strata], prefix)
+    if strategy == "window":
+        out = weighted_fences(df, value, "WEIGHTS", [col(s) for s in strata], prefix)
+    else:  # hot strata: range-partitioned cumulative weights, fences joined back
+        out = weighted_fences_grouped(df, value, "WEIGHTS", strata, prefix, strategy)
     fence_cols = [prefix + c for c in FENCE_COLS]
     has_level = F.col("GEOniv").isNotNull()
     out = out.withColumns({c: F.when(has_level, F.col(c)) for c in fence_cols})
@@ -54,21 +57,33 @@ def add_outlier(df: DataFrame, val: str, by, change: bool = False) -> DataFrame:
 
 
 def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 10000.0,
-                  with_change: bool | None = None, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+                  with_change: bool | None = None, spec: CubeSpec = DEFAULT_SPEC,
+                  quantile_strategy: str = "window", max_window_rows: int = 2_000_000) -> DataFrame:
     """Split small municipalities, fences on the value, change value and
     fences on the change.  The change part is skipped when the cube has
     fewer than two periods (``with_change=None`` checks this with one
     distinct count).
+
+    ``quantile_strategy``: "window" sorts each stratum in one task (fast for
+    the usual strata of areas x periods); "range" spreads hot strata over
+    range partitions (see ``functions.quantile.cumulative_weights``);
+    "auto" picks "range" when the largest stratum has more than
+    ``max_window_rows`` rows (one grouped count).
     """
     dt = split_kommuneniv(cube, small_threshold)
     dims = [d for d in identify_coltypes(dt, spec=spec).dims_new if d != spec.period]
     if with_change is None:
         with_change = dt.select(spec.period).distinct().limit(2).count() >= 2
+    strategy = quantile_strategy
+    if strategy == "auto":
+        strata = ["GEOniv" if d == spec.geo else d for d in dims]
+        largest = dt.groupBy(*[col(s) for s in strata]).count().agg(F.max("count")).collect()[0][0] or 0
+        strategy = "range" if largest > max_window_rows else "window"
     if with_change:
         dt = add_changeval(dt, outlierval, dims, spec.period)
-    dt = add_outlier(dt, outlierval, dims, change=False)
+    dt = add_outlier(dt, outlierval, dims, change=False, strategy=strategy)
     if with_change:
-        dt = add_outlier(dt, outlierval, dims, change=True)
+        dt = add_outlier(dt, outlierval, dims, change=True, strategy=strategy)
     return dt
 
 

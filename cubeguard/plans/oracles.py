@@ -536,3 +536,13 @@ def _sources():
 
 
 _sources()
+
+
+def _strategies():
+    f = "MIN, wq25, wq50, wq75, MAX, LOW, HIGH"
+    cf = ", ".join("change_" + x.strip() for x in f.split(","))
+    ORACLES["w2_weighted_fences_range"] = W(*o.C1_CTES, select=f"""
+      SELECT DISTINCT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, {f}, {cf} FROM c1_newflag""")
+
+
+_strategies()

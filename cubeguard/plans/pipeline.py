@@ -36,7 +36,7 @@ class CompareResult:
 
 def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
                      small_threshold: float = 10000.0, spec: CubeSpec = DEFAULT_SPEC,
-                     reference_parenthesis: bool = False) -> CompareResult:
+                     reference_parenthesis: bool = False, quantile_strategy: str = "window") -> CompareResult:
     """Flagged new cube, flagged old cube and comparison cube (all lazy)."""
     roles = identify_coltypes(cube_new, cube_old, spec)
     outlierval = select_outlier_pri(cube_new, cube_old, roles, spec) if outliers else None
@@ -55,13 +55,15 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
 
     new_flag = flag_rows(new, old, "newrow", spec, constants=added_new)
     if outlierval is not None:
-        new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec)
+        new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec,
+                                 quantile_strategy)
     if old is None:
         return CompareResult(new_flag, None, None, roles, outlierval)
 
     old_flag = flag_rows(new, old, "exprow", spec, constants=added_old)
     if outlierval is not None:
-        old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec)
+        old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec,
+                                 quantile_strategy)
 
     newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis)
     return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval)

@@ -546,3 +546,11 @@ def q_p10(spark, sf_dir):
 def q_p11(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
     return levels.get_all_combinations(new, ["GEOniv", "AAR", "KJONN"])
+
+
+@register("w2_weighted_fences_range")
+def q_w2_range(spark, sf_dir):
+    """W2 with the hot-stratum strategy (range-split cumulative weights)."""
+    new, old, thr = _pair(spark, sf_dir)
+    nf = make_comparecube(new, old, small_threshold=thr, quantile_strategy="range").newcube_flag
+    return nf.select(*_STRATA, *_FENCES, *["change_" + c for c in _FENCES]).distinct()

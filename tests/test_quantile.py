@@ -51,3 +51,20 @@ def test_against_brute_force(spark, data):
     for p, got in ((0.25, r.wq25), (0.5, r.wq50), (0.75, r.wq75)):
         exp = brute(values, weights, p)
         assert (got is None and exp is None) or np.isclose(got, exp)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 30), st.integers(0, 3)),
+                min_size=1, max_size=40))
+def test_range_strategy_equals_window(spark, data):
+    from cubeguard.functions.quantile import cumulative_weights, order_statistics
+    df = spark.createDataFrame([(g, float(v), float(w)) for g, v, w in data], "g string, v double, w double")
+    def key(t):
+        return tuple((x is None, x) for x in t)
+    a = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w", "window").collect()), key=key)
+    b = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w", "range", n_ranges=4).collect()), key=key)
+    assert a == b
+    o = {r.g: r for r in order_statistics(df, ["g"], "v", {"median": 0.5}, "range").collect()}
+    for g in {x for x, _, _ in data}:
+        vals = [float(v) for x, v, _ in data if x == g]
+        assert o[g].n == len(vals) and np.isclose(o[g].median, float(np.percentile(vals, 50)))
