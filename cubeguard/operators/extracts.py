@@ -111,14 +111,18 @@ def filter_cube_to_extracts(cube: DataFrame, extracts: DataFrame, spec: CubeSpec
     return out
 
 
+def _levels_agg(df: DataFrame, dim: str, alias: str):
+    """A12 aggregate: sorted distinct levels as a comma list (NULL when absent)."""
+    if dim not in df.columns:
+        return F.lit(None).cast("string").alias(alias)
+    return F.concat_ws(", ", F.array_sort(F.collect_set(F.coalesce(col(dim).cast("string"), F.lit("NA"))))) \
+        .alias(alias)
+
+
 def unique_levels(df: DataFrame, dim: str, key: str = "Friskvik") -> DataFrame:
     """Sorted distinct levels of ``dim`` as a comma list per extract
     (NULL when the column is absent)."""
-    if dim not in df.columns:
-        return df.select(key).distinct().withColumn(dim, F.lit(None).cast("string"))
-    return df.groupBy(key).agg(
-        F.concat_ws(", ", F.array_sort(F.collect_set(F.coalesce(col(dim).cast("string"), F.lit("NA")))))
-        .alias(dim))
+    return df.groupBy(key).agg(_levels_agg(df, dim, dim))
 
 
 def last_year_check(extracts: DataFrame, cube_f: DataFrame, period: str = "AAR") -> DataFrame:
@@ -141,19 +145,25 @@ def _paired(extracts: DataFrame, cube_f: DataFrame, dims, period: str) -> DataFr
     return j.select("*", key, geo.alias("__geo"))
 
 
+def _mask_agg(flag: str):
+    """C9 aggregate over paired rows: sorted GEO codes whose censoring differs."""
+    same = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()
+            & (F.col("MEIS").isNull() == (col(flag) > 0)))
+    bad_geo = F.when(~F.coalesce(same, F.lit(False)), F.col("__geo").cast("bigint").cast("string"))
+    return F.array_sort(F.collect_set(bad_geo)).alias("__badgeo")
+
+
+def _mask_text(badgeo: F.Column) -> F.Column:
+    return F.when(F.coalesce(F.size(badgeo), F.lit(0)) == 0, "Yes") \
+        .otherwise(F.concat(F.lit("!!NO!! Diff for GEO: "), F.concat_ws(", ", badgeo)))
+
+
 def compare_censoring_mask(extracts: DataFrame, cube_f: DataFrame, dims, period: str = "AAR",
                            flag: str = "SPVFLAGG") -> DataFrame:
     """Is the extract's value missing exactly where the cube is censored?"""
     p = _paired(extracts, cube_f, dims, period)
-    same = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()
-            & (F.col("MEIS").isNull() == (col(flag) > 0)))
-    bad = p.where(~F.coalesce(same, F.lit(False)))
-    geos = bad.groupBy(F.col("__key").alias("Friskvik")).agg(
-        F.concat_ws(", ", F.array_sort(F.collect_set(F.col("__geo").cast("bigint").cast("string")))).alias("__g"))
-    ids = extracts.select("Friskvik").distinct()
-    return ids.join(geos, "Friskvik", "left").select(
-        "Friskvik", F.when(F.col("__g").isNull(), "Yes")
-        .otherwise(F.concat(F.lit("!!NO!! Diff for GEO: "), F.col("__g"))).alias("IDENTISK_PRIKKING"))
+    g = p.groupBy(F.col("__key").alias("Friskvik")).agg(_mask_agg(flag))
+    return g.select("Friskvik", _mask_text(F.col("__badgeo")).alias("IDENTISK_PRIKKING"))
 
 
 def compare_values(extracts: DataFrame, cube_f: DataFrame, dims, cube_values, period: str = "AAR",
@@ -161,6 +171,12 @@ def compare_values(extracts: DataFrame, cube_f: DataFrame, dims, cube_values, pe
     """Which cube measures equal the extract's MEIS on every row
     (relative tolerance ``tol``, NULL equals NULL)?"""
     p = _paired(extracts, cube_f, dims, period)
+    g = p.groupBy(F.col("__key").alias("Friskvik")).agg(*_match_aggs(cube_values, tol))
+    return g.select("Friskvik", *_match_texts(cube_values))
+
+
+def _match_aggs(cube_values, tol: float = TOLERANCE):
+    """C10 aggregates over paired rows: per cube measure, equal on every row?"""
     aggs = []
     for v in cube_values:
         a, b = F.col("MEIS"), col(v).cast("double")
@@ -168,13 +184,14 @@ def compare_values(extracts: DataFrame, cube_f: DataFrame, dims, cube_values, pe
         eq = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()
               & ((a.isNull() & b.isNull()) | F.coalesce(close, F.lit(False))))
         aggs.append(F.bool_and(F.coalesce(eq, F.lit(False))).alias(f"__m_{v}"))
-    g = p.groupBy(F.col("__key").alias("Friskvik")).agg(*aggs)
+    return aggs
+
+
+def _match_texts(cube_values):
     match = F.array_compact(F.array(*[F.when(F.col(f"__m_{v}"), F.lit(v)) for v in cube_values]))
     diff = F.array_compact(F.array(*[F.when(~F.col(f"__m_{v}"), F.lit(v)) for v in cube_values]))
-    return g.select("Friskvik",
-                    F.when(F.size(match) == 0, F.lit("!!NO MATCH!!")).otherwise(F.concat_ws(", ", match))
-                    .alias("MATCHER_KOLONNE"),
-                    F.concat_ws(", ", diff).alias("Different_kubecol"))
+    return [F.when(F.size(match) == 0, F.lit("!!NO MATCH!!")).otherwise(F.concat_ws(", ", match))
+            .alias("MATCHER_KOLONNE"), F.concat_ws(", ", diff).alias("Different_kubecol")]
 
 
 def valid_combination(enhet: F.Column, refverdi: F.Column, matches: F.Column) -> F.Column:
@@ -211,18 +228,23 @@ def check_friskvik(extracts: DataFrame, cube: DataFrame, cube_filename: str, con
     dims = roles.commondims
     cube_f = filter_cube_to_extracts(cube, ex, spec)
     kubevals = [v for v in roles.vals_old if not re.search(r"RATE.n|SPVFLAGG", v)]
-    parts = [
-        unique_levels(ex, "ETAB").withColumnRenamed("ETAB", "FRISKVIK_ETAB"),
-        unique_levels(ex, spec.period).withColumnRenamed(spec.period, "FRISKVIK_AAR"),
-        *[unique_levels(cube_f, d).withColumnRenamed(d, f"KUBE_{d}")
-          for d in ("KJONN", "ALDER", "UTDANN", "INNVKAT", "LANDBAK")],
-        last_year_check(ex, cube_f, spec.period),
-        compare_censoring_mask(ex, cube_f, dims, spec.period, spec.flag),
-        compare_values(ex, cube_f, dims, kubevals, spec.period),
-    ]
+    # three grouped aggregates keyed by the extract: extract side, cube side,
+    # and the key-matched pairs (C8-C10, A12 in one pass each)
+    ex_side = ex.groupBy("Friskvik").agg(_levels_agg(ex, "ETAB", "FRISKVIK_ETAB"),
+                                         _levels_agg(ex, spec.period, "FRISKVIK_AAR"),
+                                         F.max(spec.period).alias("__emax"))
+    cube_side = cube_f.groupBy("Friskvik").agg(
+        *[_levels_agg(cube_f, d, f"KUBE_{d}") for d in ("KJONN", "ALDER", "UTDANN", "INNVKAT", "LANDBAK")],
+        F.max(spec.period).alias("__cmax"))
+    pairs = _paired(ex, cube_f, dims, spec.period).groupBy(F.col("__key").alias("Friskvik")).agg(
+        _mask_agg(spec.flag), *_match_aggs(kubevals))
+    pairs = pairs.select("Friskvik", _mask_text(F.col("__badgeo")).alias("IDENTISK_PRIKKING"),
+                         *_match_texts(kubevals))
     rep = ids.select("Friskvik", "KUBE_NAVN", "Periode_bm", "Periode_nn", "Enhet")
-    for p in parts:
+    for p in (ex_side, cube_side, pairs):
         rep = rep.join(p, "Friskvik", "left")
+    rep = rep.withColumn("SISTE_AAR", F.when(F.col("KUBE_NAVN") == cubename, F.when(
+        F.col("__emax") == F.col("__cmax"), "Yes").otherwise("!!NO!!")))
     ref = spec_table.where(F.col("Kolonne") == "REFVERDI_VP").agg(F.first("Innhold", ignorenulls=True)).scalar()
     pub = published.where(F.col("file") == get_cubefilename(cube_filename)).agg(F.count(F.lit(1)) > 0).scalar()
     loaded = F.col("KUBE_NAVN") == cubename

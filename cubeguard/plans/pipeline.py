@@ -21,7 +21,7 @@ from cubeguard.operators.geo import exclude_lks_for_compare
 from cubeguard.operators.levels import flag_rows
 from cubeguard.operators.outliers import flag_outliers, prev_outlier_columns
 from cubeguard.spec import (
-    DEFAULT_SPEC, ColumnRoles, CubeSpec, col, identify_coltypes, profile_cube, select_outlier_pri,
+    DEFAULT_SPEC, ColumnRoles, CubeSpec, col, identify_coltypes, profile_cube, profile_cubes, select_outlier_pri,
 )
 
 
@@ -43,8 +43,10 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
 
     new = exclude_lks_for_compare(cube_new)
     old = exclude_lks_for_compare(cube_old)
-    prof_new = profile_cube(new, list(roles.dims_new), spec)
-    prof_old = profile_cube(old, list(roles.dims_old), spec) if old is not None else None
+    if old is not None:
+        prof_new, prof_old = profile_cubes([(new, list(roles.dims_new)), (old, list(roles.dims_old))], spec)
+    else:
+        prof_new, prof_old = profile_cube(new, list(roles.dims_new), spec), None
     added_new, added_old = {}, {}
     if old is not None:
         new = _add_totals(new, old, roles.expdims, prof_old.totals, spec)

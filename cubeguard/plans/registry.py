@@ -87,7 +87,8 @@ def q_g1(spark, sf_dir):
 
 @register("g1_recode_report")
 def q_g1_report(spark, sf_dir):
-    return geo.recode_report(fx.old_cube_raw(spark, sf_dir), fx.georecode(spark, sf_dir))
+    return geo.recode_report(fx.old_cube_raw(spark, sf_dir, fx.fixture_cells(spark, sf_dir)),
+                             fx.georecode(spark, sf_dir))
 
 
 @register("g2_geo_params")
@@ -485,7 +486,7 @@ def _scratch(spark):
 def _write_raw_cube(spark, sf_dir, root, fmt):
     """Write the raw new cube as a cube file, with the source column names
     the rename map turns back into the standard ones."""
-    raw = fx.new_cube_raw(spark, sf_dir)
+    raw = fx.new_cube_raw(spark, sf_dir, fx.fixture_cells(spark, sf_dir))
     inverse = {new: old for old, new in RENAME.items() if new in ("TELLER", "RATE")}
     raw = raw.withColumnsRenamed(inverse)
     path = f"{root}/QC/{fx.CUBE_NAME}_{fx.NEW_DATETAG}.{fmt}"

@@ -232,7 +232,7 @@ def _fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
     from cubeguard.operators.geo import add_geoparams, recode_geo
     from cubeguard.session import materialize as _mat
     pop = popinfo(spark, sf_dir)
-    cells = _mat(fine_cells(spark, sf_dir), "cells") if materialize else None
+    cells = fixture_cells(spark, sf_dir) if materialize else None
     new = add_geoparams(new_cube_raw(spark, sf_dir, cells), pop)
     old = add_geoparams(recode_geo(old_cube_raw(spark, sf_dir, cells), georecode(spark, sf_dir)), pop)
     if materialize:
@@ -240,6 +240,15 @@ def _fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
     return new, old, small_area_threshold(spark, sf_dir)
 
 
+def fixture_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The finest-grain cell table, written once per session."""
+    from cubeguard.session import materialize as _mat
+    key = _memo_key(spark, sf_dir, "cells")
+    if key not in _MEMO:
+        _MEMO[key] = _mat(fine_cells(spark, sf_dir), "cells")
+    return _MEMO[key]
+
+
 def fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """The new cube alone (after geo parameters), materialized once per session."""
     if materialize:
@@ -256,7 +265,8 @@ def fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
 def _fixture_new(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     from cubeguard.operators.geo import add_geoparams
     from cubeguard.session import materialize as _mat
-    new = add_geoparams(new_cube_raw(spark, sf_dir), popinfo(spark, sf_dir))
+    cells = fixture_cells(spark, sf_dir) if materialize else None
+    new = add_geoparams(new_cube_raw(spark, sf_dir, cells), popinfo(spark, sf_dir))
     return _mat(new, "newcube") if materialize else new
 
 
