@@ -163,3 +163,19 @@ def load_pair(spark: SparkSession, cube_new: str, root: str, cube_old: str | Non
     new = one(cube_new, recode_new, "New")
     old = one(cube_old, recode_old, "Old") if cube_old else None
     return new, old
+
+
+def convert_coltype(df: DataFrame, columns, fmt: str) -> DataFrame:
+    """Cast columns to numeric / integer / character (factor = text).
+
+    Digit-only text becomes a number; anything else that does not parse
+    becomes NULL (``try_cast``).
+    """
+    target = {"numeric": "double", "integer": "bigint", "character": "string", "factor": "string"}.get(fmt)
+    if target is None:
+        raise ValueError("format must be factor, numeric, integer or character")
+    conv = {}
+    for c in columns:
+        text = col(c).cast("string")
+        conv[c] = text if target == "string" else text.try_cast("double").try_cast(target)
+    return df.withColumns(conv)

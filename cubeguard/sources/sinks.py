@@ -48,3 +48,18 @@ def save_dump(df: DataFrame | None, out: str, name: str, fmt: str = "parquet",
     else:
         w.parquet(path)
     return path
+
+
+def save_dumps(result, out: str, new_ref, old_ref=None,
+               dumps=("newcube_flag", "oldcube_flag", "comparecube"), fmt: str = "parquet") -> dict:
+    """K2 for a comparison result (``plans.pipeline.CompareResult``): each
+    requested dump that exists is rounded and written; returns name -> path."""
+    written = {}
+    for kind in dumps:
+        df = getattr(result, kind, None)
+        if df is None:
+            continue
+        name = dump_name(kind, new_ref.name, new_ref.datetag,
+                         old_ref.name if old_ref else None, old_ref.datetag if old_ref else None)
+        written[name] = save_dump(df, out, name, fmt)
+    return written

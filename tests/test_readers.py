@@ -98,3 +98,71 @@ def test_geotriangles(spark):
                                  "name string, levels array<string>")
     got = sorted(r.name for r in add_geotriangles(sets, ["L", "F", "K"]).collect())
     assert got == ["FK", "LF"]
+
+
+def test_convert_coltype(spark):
+    df = spark.createDataFrame([("0",), ("1",), ("x",)], "c string")
+    assert [r.c for r in cubes.convert_coltype(df, ["c"], "numeric").collect()] == [0.0, 1.0, None]
+    df = spark.createDataFrame([(1,), (2,)], "c bigint")
+    assert [r.c for r in cubes.convert_coltype(df, ["c"], "character").collect()] == ["1", "2"]
+    with pytest.raises(ValueError):
+        cubes.convert_coltype(df, ["c"], "date")
+
+
+def test_load_pair_and_dumps(spark):
+    from cubeguard.plans.pipeline import make_comparecube
+    root = tempfile.mkdtemp(prefix="cg-pair-")
+    os.makedirs(f"{root}/QC")
+    _write(f"{root}/QC/C_2024-01-01-00-00.csv", "GEO;AAR;KJONN;antall;SPVFLAGG\n0;2023_2023;0;5;0\n1101;2023_2023;0;3;0\n")
+    _write(f"{root}/QC/C_2023-01-01-00-00.csv", "GEO;AAR;KJONN;antall;SPVFLAGG\n0;2023_2023;0;4;0\n1199;2023_2023;0;3;0\n")
+    codemap = spark.createDataFrame([(1199, 1101)], "old bigint, current bigint")
+    pop = spark.createDataFrame([(0, "L", 100.0), (1101, "K", 50.0)], "GEO bigint, GEOniv string, WEIGHTS double")
+    (new, nref), (old, oref) = cubes.load_pair(spark, "C_2024-01-01-00-00", root, "C_2023-01-01-00-00",
+                                              recode_old=True, codemap=codemap, popinfo=pop)
+    assert sorted(r.GEO for r in old.collect()) == [0, 1101]
+    res = make_comparecube(new, old, outliers=False)
+    got = {r.GEO: r.TELLER_diff for r in res.comparecube.collect()}
+    assert got == {0: 1.0, 1101: 0.0}
+    from cubeguard.sources.sinks import save_dumps
+    out = tempfile.mkdtemp(prefix="cg-dump-")
+    written = save_dumps(res, out, nref, oref)
+    assert sorted(written) == ["compare_C_2024-01-01-00-00_vs_2023-01-01-00-00", "newflag_C_2024-01-01-00-00",
+                               "oldflag_C_2023-01-01-00-00"]
+
+
+def test_update_internal_data(spark):
+    from cubeguard.sources.lookups import update_internal_data
+    df = spark.createDataFrame([(1,)], "GEO bigint")
+    out = tempfile.mkdtemp(prefix="cg-lk-")
+    got = update_internal_data(df, df, df, out)
+    assert sorted(got) == ["georecode", "popinfo", "validgeo"]
+    assert spark.read.parquet(f"{out}/validgeo").count() == 1
+
+
+def test_extract_files_end_to_end(spark):
+    from pyspark.sql import functions as F
+    from cubeguard.operators.extracts import check_friskvik_files
+    root = tempfile.mkdtemp(prefix="cg-fv-")
+    for d in ("ext", "cubes/parquet", "cubes/csv", "specs"):
+        os.makedirs(f"{root}/{d}")
+    tag = "2024-05-01-10-00"
+    _write(f"{root}/ext/IND_A_{tag}.csv", "GEO;AAR;KJONN;MEIS\n301;2023_2023;0;1.5\n1101;2023_2023;0;\n")
+    _write(f"{root}/ext/IND_X_{tag}.csv", "GEO;AAR;KJONN;MEIS\n301;2023_2023;0;1.5\n")
+    _write(f"{root}/cubes/csv/CUBEA_{tag}.csv",
+           "GEO;AAR;KJONN;RATE;SPVFLAGG\n301;2023_2023;0;1.5;0\n1101;2023_2023;0;;3\n301;2023_2023;1;2.0;0\n")
+    _write(f"{root}/specs/CUBEA_{tag}.csv", "Tabell;Kolonne;Innhold\nKUBER;REFVERDI_VP;P\n")
+    control = spark.createDataFrame(
+        [("FHP", "2024", "K", "IND_A", "CUBEA", "2023", "2023", "per 1000 (ak)"),
+         ("FHP", "2024", "K", "IND_X", "NOCUBE", "2023", "2023", "x")],
+        "PROFILTYPE string, AARGANG string, MODUS string, INDIKATOR string, KUBE_NAVN string, "
+        "Periode_bm string, Periode_nn string, Enhet string")
+    published = spark.createDataFrame([(f"CUBEA_{tag}",)], "file string")
+    rep = {r.Friskvik: r for r in check_friskvik_files(
+        spark, f"{root}/ext", [f"{root}/cubes/parquet", f"{root}/cubes/csv"], f"{root}/specs", control,
+        published, "FHP", "K", 2024).collect()}
+    a = rep[f"IND_A_{tag}.csv"]
+    assert a.IDENTISK_PRIKKING == "Yes" and a.MATCHER_KOLONNE == "RATE" and a.SISTE_AAR == "Yes"
+    assert a.FIL_I_STATBANK == "TRUE" and a.REFVERDI_VP == "P" and a.KUBE_KJONN == "0"
+    assert a.VALID_kombo == "!! No!!" and a.ALT_OK == "!! KANSKJE IKKE !!"
+    assert rep[f"IND_X_{tag}.csv"].ALT_OK == "not_loaded"
+    del F
