@@ -32,6 +32,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_CONNECT_SCRATCH = None
+
+
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the running application (classic or Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -39,7 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) a scratch folder is
     created and registered on the context.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if current:
+            return current
+        global _CONNECT_SCRATCH
+        if _CONNECT_SCRATCH is None:
+            _CONNECT_SCRATCH = tempfile.mkdtemp(prefix="cubeguard-ckpt-")
+        return _CONNECT_SCRATCH
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         sc.setCheckpointDir(current)

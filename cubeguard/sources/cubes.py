@@ -40,9 +40,18 @@ class CubeRef:
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the entries of ``folder`` (Hadoop FileSystem listing)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
+    """Names of the entries of ``folder`` (Hadoop FileSystem listing, so
+    local folders, HDFS and object stores work alike; a plain local listing
+    when the session has no JVM gateway, as under Spark Connect)."""
+    try:
+        jvm = spark._jvm
+        conf = spark._jsc.hadoopConfiguration()
+    except Exception:
+        import os
+        local = folder[len("file:"):] if folder.startswith("file:") else folder
+        if not os.path.isdir(local):
+            return []
+        return sorted(os.path.join(local, f) for f in os.listdir(local))
     p = jvm.org.apache.hadoop.fs.Path(folder)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):

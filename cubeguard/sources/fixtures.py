@@ -208,7 +208,8 @@ def _memo_key(spark: SparkSession, sf_dir: str, kind: str):
             stamp.append((st.st_size, st.st_mtime_ns))
         except OSError:
             stamp.append(None)
-    return (spark.sparkContext.applicationId, sf_dir, kind, tuple(stamp))
+    from cubeguard.session import session_id
+    return (session_id(spark), sf_dir, kind, tuple(stamp))
 
 
 def fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
