@@ -33,27 +33,26 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
-def level_lists(ref: DataFrame, dims) -> list[DataFrame]:
-    """Per dimension, the distinct levels of ``ref`` as a one-column table.
-
-    ONE aggregate over ``ref`` collects the level set of every dimension
-    (map-side partial sets, one small single-partition merge); each
-    per-dimension table explodes its set from that same aggregate, so the
-    exchange is shared.  A set is bounded by the number of levels of its
-    dimension (areas, periods, categories), not by the number of rows.
-    Levels are compared as text; a NULL level is kept as NULL.
+_SEP = "\u0001"
+_NULL = "\u0000"
+
+
+def _level_key(dim: str, c) -> F.Column:
+    """Composite key 'dim<SEP>level' (NULL level encoded, so NULL matches NULL)."""
+    return F.concat(F.lit(dim + _SEP), F.coalesce(c.cast("string"), F.lit(_NULL)))
+
+
+def level_keys(ref: DataFrame, dims) -> DataFrame:
+    """Distinct (dimension, level) keys of ``ref`` for all ``dims`` in ONE table.
+
+    Every per-dimension lookup joins this same table on a key expression (no
+    per-dimension filter that Catalyst could push down and so split into
+    separate plans), so Spark builds it with one scan, one aggregate and one
+    broadcast, and reuses that exchange for every dimension.  The table is
+    bounded by the total number of levels of the dimensions.
     """
-    aggs = []
-    for i, d in enumerate(dims):
-        c = F.col(f"`{d}`").cast("string")
-        aggs += [F.collect_set(c).alias(f"__s{i}"), F.max(c.isNull().cast("int")).alias(f"__n{i}")]
-    sets = ref.agg(*aggs)
-    out = []
-    for i, _ in enumerate(dims):
-        with_null = F.when(F.col(f"__n{i}") == 1, F.array(F.lit(None).cast("string"))) \
-            .otherwise(F.array().cast("array<string>"))
-        out.append(sets.select(F.explode(F.concat(F.col(f"__s{i}"), with_null)).alias(f"__l{i}")))
-    return out
+    keys = F.array(*[_level_key(d, F.col(f"`{d}`")) for d in dims])
+    return ref.select(F.explode(keys).alias("__key")).distinct()
 
 
 def _split_constants(dims, constants):
@@ -71,7 +70,7 @@ def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", con
     dim appears among the distinct levels of ``ref``; NULL matches NULL.
 
     Each dimension is one join against its (broadcast-sized) level table
-    from :func:`level_lists`, so the cube itself is not shuffled.
+    from :func:`level_keys`, so the cube itself is not shuffled.
     ``constants`` names dimensions that hold a single known level in ``df``;
     they are answered by an EXISTS subquery instead of a join.
     """
@@ -82,8 +81,10 @@ def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", con
         out = out.where(present if how == "left_semi" else ~present)
     if not dims:
         return out
-    for i, (d, lv) in enumerate(zip(dims, level_lists(ref, dims))):
-        out = out.join(lv, out[d].cast("string").eqNullSafe(lv[f"__l{i}"]), how)
+    keys = level_keys(ref, dims)
+    for d in dims:
+        k = keys.select(F.col("__key").alias(f"__k_{d}"))
+        out = out.join(k, _level_key(d, out[d]) == k[f"__k_{d}"], how)
     return out
 
 
@@ -92,10 +93,11 @@ def any_level_missing(df: DataFrame, ref: DataFrame, dims, flag: str, constants:
     dims, consts = _split_constants(list(dims), constants)
     markers = [~_constant_present(ref, d, v) for d, v in consts.items()]
     out = df
-    for i, (d, lv) in enumerate(zip(dims, level_lists(ref, dims) if dims else [])):
+    keys = level_keys(ref, dims) if dims else None
+    for i, d in enumerate(dims):
         m = f"__m{i}"
-        lv = lv.withColumn(m, F.lit(1))
-        out = out.join(lv, out[d].cast("string").eqNullSafe(lv[f"__l{i}"]), "left").drop(f"__l{i}")
+        k = keys.select(F.col("__key").alias(f"__k{i}"), F.lit(1).alias(m))
+        out = out.join(k, _level_key(d, out[d]) == k[f"__k{i}"], "left").drop(f"__k{i}")
         markers.append(F.col(m).isNull())
     cond = reduce(lambda a, b: a | b, markers) if markers else F.lit(False)
     out = out.withColumn(flag, F.when(cond, 1).otherwise(0))
