@@ -42,11 +42,6 @@ def qc_round(df: DataFrame, spec=None) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
-def null_safe_keys(left: DataFrame, right: DataFrame, keys) -> Column:
-    """Join condition where NULL matches NULL on every key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def any_abs_above(cols, threshold: float) -> Column:
     """1 when any |c| > threshold (NULLs ignored), else 0."""
     conds = [F.coalesce(F.abs(c) > F.lit(threshold), F.lit(False)) for c in cols]

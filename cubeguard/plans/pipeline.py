@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubeguard.functions.exprs import null_safe_keys
 from cubeguard.operators.compare import add_diffcolumns, add_totals_for_missing_dims, uprikk_rebuild
 from cubeguard.operators.geo import exclude_lks_for_compare
 from cubeguard.operators.levels import flag_rows

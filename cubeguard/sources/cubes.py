@@ -10,7 +10,6 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, get_cubedatetag, get_cubename
 
