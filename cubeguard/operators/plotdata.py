@@ -66,7 +66,7 @@ def boxplot_points(flagged: DataFrame, change: bool = False, onlynew: bool = Tru
 def timeseries_data(flagged: DataFrame, show_n_years: int | None = 10, onlynew: bool = True,
                     change: bool = False, show_change_low: float = -10, show_change_high: float = 20,
                     outlierval: str | None = None, panels_per_page: int = 25,
-                    spec: CubeSpec = DEFAULT_SPEC) -> DataFrame | None:
+                    spec: CubeSpec = DEFAULT_SPEC, n_periods: int | None = None) -> DataFrame | None:
     """Series (area + dims but period) that contain an outlier, with
     page numbers of ``panels_per_page`` series, over the last
     ``show_n_years`` periods (exactly n, T12).
@@ -77,7 +77,9 @@ def timeseries_data(flagged: DataFrame, show_n_years: int | None = 10, onlynew:
     """
     pc = plot_cols(flagged, change, outlierval)
     pv = pc["plotvalue"]
-    if profile_cube(flagged, [], spec).n_periods < 2:
+    # the number of periods is known from the comparison's profile; only
+    # when it is not given is it measured (one single-row job)
+    if (n_periods if n_periods is not None else profile_cube(flagged, [], spec).n_periods) < 2:
         return None
     teller = select_teller_pri(flagged.columns)
     outlierfilter = pc["newoutlier"] if onlynew and pc["newoutlier"] in flagged.columns else pc["outlier"]

@@ -31,6 +31,7 @@ class CompareResult:
     comparecube: DataFrame | None
     roles: ColumnRoles
     outlierval: str | None
+    n_periods_new: int = 0
 
 
 def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
@@ -59,7 +60,7 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
         new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec,
                                  quantile_strategy)
     if old is None:
-        return CompareResult(new_flag, None, None, roles, outlierval)
+        return CompareResult(new_flag, None, None, roles, outlierval, prof_new.n_periods)
 
     old_flag = flag_rows(new, old, "exprow", spec, constants=added_old)
     if outlierval is not None:
@@ -67,7 +68,7 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
                                  quantile_strategy)
 
     newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis)
-    return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval)
+    return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval, prof_new.n_periods)
 
 
 def _add_totals(dt, ref, dims, ref_totals, spec):

@@ -362,12 +362,14 @@ def q_a14_points(spark, sf_dir):
 
 @register("w7_series")
 def q_w7(spark, sf_dir):
-    return plotdata.timeseries_data(_compare(spark, sf_dir).newcube_flag)
+    res = _compare(spark, sf_dir)
+    return plotdata.timeseries_data(res.newcube_flag, n_periods=res.n_periods_new)
 
 
 @register("w7_series_change")
 def q_w7_change(spark, sf_dir):
-    return plotdata.timeseries_data(_compare(spark, sf_dir).newcube_flag, change=True)
+    res = _compare(spark, sf_dir)
+    return plotdata.timeseries_data(res.newcube_flag, change=True, n_periods=res.n_periods_new)
 
 
 @register("a15_trend")
@@ -423,9 +425,7 @@ _CUBE_FILE = f"{fx.CUBE_NAME}_{fx.NEW_DATETAG}.parquet"
 
 def _extract_inputs(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
-    cube = new
-    e = fx.extracts_from_cube(new)
-    return cube, e
+    return new, fx.fixture_extracts(spark, sf_dir)
 
 
 @register("c7_extract_report")

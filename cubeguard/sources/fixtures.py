@@ -411,6 +411,16 @@ def extracts_from_cube(new: DataFrame) -> DataFrame:
     return e1.unionByName(e2).unionByName(e3).unionByName(e4)
 
 
+def fixture_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extracts written once per session (real extracts are files that
+    are read once; the report scans them several times)."""
+    from cubeguard.session import materialize as _mat
+    key = _memo_key(spark, sf_dir, "extracts")
+    if key not in _MEMO:
+        _MEMO[key] = _mat(extracts_from_cube(fixture_new(spark, sf_dir)), "extracts")
+    return _MEMO[key]
+
+
 def control_friskvik(spark: SparkSession) -> DataFrame:
     """Control table FRISKVIK (literal rows, one per indicator)."""
     rows = [("FHP", "2025", "K", "RETURNS_TOTAL", CUBE_NAME, "2001", "2001", "per 1000 (ak)"),
