@@ -7,11 +7,11 @@ from cubeguard.operators.aggregate import aggregate_cube, aggregate_cube_multi
 from cubeguard.operators.levels import (
     compare_colnames, compare_dimensions, flag_rows, get_all_combinations, get_complete_strata,
 )
-from tests.test_spec import SPEC_INNVAND, testcube1
+from tests.test_spec import SPEC_INNVAND, make_testcube1
 
 
 def test_aggregate_cube(spark):
-    c = testcube1(spark)
+    c = make_testcube1(spark)
     with pytest.raises(ValueError, match="cannot aggregate on 'AAR'"):
         aggregate_cube(c, "AAR")
     assert aggregate_cube(c, "GEO").count() == 1          # total 0 exists: keep it
@@ -29,7 +29,7 @@ def test_aggregate_sum_and_mean(spark):
 
 
 def test_complete_strata(spark):
-    c = testcube1(spark)
+    c = make_testcube1(spark)
     assert get_complete_strata(c, ["GEO", "AAR", "KJONN", "ALDER"], "censored").count() == 1
     assert get_complete_strata(c, ["AAR", "KJONN", "ALDER"], "censored").count() == 1
     assert get_complete_strata(c, ["AAR", "KJONN", "ALDER"], "missing", "TELLER").count() == 4
@@ -38,7 +38,7 @@ def test_complete_strata(spark):
 
 
 def test_all_combinations(spark):
-    c = testcube1(spark)
+    c = make_testcube1(spark)
     assert get_all_combinations(c, ["KJONN", "ALDER"]).count() == 3 * 4
     with pytest.raises(ValueError):
         get_all_combinations(c.drop("KJONN"), ["KJONN", "ALDER"])

@@ -89,7 +89,7 @@ def test_readfiles_args():
         check_readfiles_args("CUBE_2025-02-25-08-47", recode_new="yes")
 
 
-def testcube1(spark):
+def make_testcube1(spark):
     """The reference's first test cube (4 rows; measures equal the row number)."""
     rows = [(0, "2024_2024", 0, "0_120", 0, 0, 0), (46, "2024_2024", 1, "15_24", 1, 1, 1),
             (301, "2024_2024", 2, "0_15", 2, 2, 2), (1504, "2024_2024", 0, "45_65", 3, 3, 3)]
@@ -105,7 +105,7 @@ SPEC_INNVAND = CubeSpec().with_dims("INNVAND")
 
 
 def test_find_total(spark):
-    c = testcube1(spark)
+    c = make_testcube1(spark)
     assert find_total(c, "GEO") == 0
     assert find_total(c.where("GEO != 0"), "GEO") is None
     assert find_total(c, "ALDER") == "0_120"
