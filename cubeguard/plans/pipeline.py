@@ -36,8 +36,15 @@ class CompareResult:
 
 def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
                      small_threshold: float = 10000.0, spec: CubeSpec = DEFAULT_SPEC,
-                     reference_parenthesis: bool = False, quantile_strategy: str = "window") -> CompareResult:
-    """Flagged new cube, flagged old cube and comparison cube (all lazy)."""
+                     reference_parenthesis: bool = False, quantile_strategy: str = "auto",
+                     max_window_rows: int = 2_000_000) -> CompareResult:
+    """Flagged new cube, flagged old cube and comparison cube (all lazy).
+
+    ``quantile_strategy="auto"`` picks, per cube, the one-task-per-stratum
+    window plan when the profile proves no stratum exceeds
+    ``max_window_rows`` rows, and the range-split plan for hot strata
+    otherwise (no extra job: the bound comes from the profile).
+    """
     roles = identify_coltypes(cube_new, cube_old, spec)
     outlierval = select_outlier_pri(cube_new, cube_old, roles, spec) if outliers else None
 
@@ -58,19 +65,27 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
     new_flag = flag_rows(new, old, "newrow", spec, constants=added_new)
     if outlierval is not None:
         new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec,
-                                 quantile_strategy)
+                                 _strategy(quantile_strategy, prof_new, max_window_rows))
     if old is None:
         return CompareResult(new_flag, None, None, roles, outlierval, prof_new.n_periods)
 
     old_flag = flag_rows(new, old, "exprow", spec, constants=added_old)
     if outlierval is not None:
         old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec,
-                                 quantile_strategy)
+                                 _strategy(quantile_strategy, prof_old, max_window_rows))
 
     newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis)
     return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval, prof_new.n_periods)
 
 
+def _strategy(requested: str, prof, max_window_rows: int) -> str:
+    if requested != "auto":
+        return requested
+    if prof.stratum_bound is None or prof.stratum_bound > max_window_rows:
+        return "range"
+    return "window"
+
+
 def _add_totals(dt, ref, dims, ref_totals, spec):
     dims = list(dims or [])
     if not dims:

@@ -196,6 +196,11 @@ class CubeProfile:
 
     totals: dict
     n_periods: int
+    n_rows: int | None = None
+    # upper bound of the rows of one stratum (level + dimensions but area and
+    # period): with a unique cube key a stratum holds at most one row per
+    # (area, period), and never more than the cube
+    stratum_bound: int | None = None
 
 
 def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
@@ -214,11 +219,17 @@ def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
         p = col(spec.period)
         aggs += [F.min(p).alias("__pmin"), F.max(p).alias("__pmax"),
                  F.max(F.when(p.isNull(), 1).otherwise(0)).alias("__pnull")]
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs.append(F.count(F.lit(1)).alias("__n"))
+    # HyperLogLog buffers are fixed-size and merged map-side
+    for d, name in ((spec.geo, "__ngeo"), (spec.period, "__nper")):
+        if d in cube.columns:
+            aggs.append(F.approx_count_distinct(col(d), _HLL_RSD).alias(name))
     return aggs
 
 
+_HLL_RSD = 0.01
+
+
 def _profile_parse(row: dict, cube: DataFrame, dims, spec: CubeSpec) -> CubeProfile:
     totals = {}
     for d in dims:
@@ -234,7 +245,14 @@ def _profile_parse(row: dict, cube: DataFrame, dims, spec: CubeSpec) -> CubeProf
             n_periods = 1 if row.get("__pnull") else 0
         else:
             n_periods = (1 if row["__pmin"] == row["__pmax"] else 2) + (1 if row.get("__pnull") else 0)
-    return CubeProfile(totals=totals, n_periods=min(n_periods, 2))
+    n_rows = row.get("__n")
+    bound = n_rows
+    if n_rows is not None and row.get("__ngeo") is not None and row.get("__nper") is not None:
+        # five standard deviations of the estimate as margin (+1 for NULL)
+        def up(x):
+            return int(x * (1 + 5 * _HLL_RSD)) + 2
+        bound = min(n_rows, up(row["__ngeo"]) * up(row["__nper"]))
+    return CubeProfile(totals=totals, n_periods=min(n_periods, 2), n_rows=n_rows, stratum_bound=bound)
 
 
 def profile_cube(cube: DataFrame, dims, spec: CubeSpec = DEFAULT_SPEC) -> CubeProfile:

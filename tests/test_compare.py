@@ -55,3 +55,20 @@ def test_uprikk_rebuild(spark):
     res = make_comparecube(new, old, outliers=False)
     got = {r.GEO: (r.TELLER_new, r.TELLER_old, r.TELLER_diff) for r in res.comparecube.collect()}
     assert got == {0: (10.0, 9.0, 1.0), 1: (None, None, 0.0)}
+
+
+def test_auto_strategy_bound_and_equivalence(spark):
+    """The profile bounds every stratum; forcing the hot-stratum plan through
+    ``auto`` gives the same flagged cube as the one-task window plan."""
+    from cubeguard.spec import identify_coltypes, profile_cube
+    new, old, thr = fx.fixture_pair(spark, SF)
+    dims = [d for d in identify_coltypes(new).dims_new if d not in ("GEO", "AAR")]
+    largest = new.groupBy("GEOniv", *dims).count().agg(F.max("count")).first()[0]
+    prof = profile_cube(new, list(identify_coltypes(new).dims_new))
+    assert prof.n_rows == new.count() and largest <= prof.stratum_bound <= prof.n_rows
+    win = make_comparecube(new, old, small_threshold=thr, quantile_strategy="window").newcube_flag
+    hot = make_comparecube(new, old, small_threshold=thr, max_window_rows=0).newcube_flag
+    cols = [c for c in win.columns]
+    assert win.select(*[F.col(f"`{c}`") for c in cols]).exceptAll(
+        hot.select(*[F.col(f"`{c}`") for c in cols])).count() == 0
+    assert win.count() == hot.count()
