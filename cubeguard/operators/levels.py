@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,15 +123,28 @@ def filter_cube(cube_new: DataFrame, cube_old: DataFrame, which: str = "new",
 
 def get_complete_strata(df: DataFrame, by, type: str = "censored", valuecolumn: str | None = None,
                         flag: str = "SPVFLAGG") -> DataFrame:
-    """keep strata (``by`` without GEO) that have no censored / missing rows."""
+    """keep strata (``by`` without GEO) that have no censored / missing rows.
+
+    The strata with a bad row are found by a grouped aggregate (combined
+    map-side, so a hot stratum is never gathered in one task) and removed by
+    a null-safe anti join; that table has one row per bad stratum, and AQE
+    broadcasts it when its runtime size allows.
+    """
     by = [b for b in by if b != "GEO"]
     if type == "missing" and (valuecolumn is None or valuecolumn not in df.columns):
         raise ValueError("When type = 'missing', a valid column name must be provided to the value argument")
-    w = Window.partitionBy(*[col(b) for b in by])
-    bad = (F.when(col(flag) != 0, 1).otherwise(0) if type == "censored"
-           else F.when(col(valuecolumn).isNull(), 1).otherwise(0))
-    return (df.withColumn("__n_bad", F.sum(bad).over(w))
-            .where(F.col("__n_bad") == 0).drop("__n_bad"))
+    bad = (col(flag) != 0) if type == "censored" else col(valuecolumn).isNull()
+    if not by:  # one stratum, the whole table: anti join on a constant key
+        any_bad = df.where(bad).select(F.lit(1).alias("__k")).limit(1)  # at most one row
+        return (df.withColumn("__k", F.lit(1)).join(F.broadcast(any_bad), "__k", "left_anti")
+                .drop("__k"))
+    bad_strata = (df.where(bad).groupBy(*[col(b) for b in by]).agg(F.count(F.lit(1)).alias("__n"))
+                  .select(*[col(b).alias(f"__s{i}") for i, b in enumerate(by)]))
+    cond = None
+    for i, b in enumerate(by):
+        e = col(b).eqNullSafe(F.col(f"__s{i}"))
+        cond = e if cond is None else cond & e
+    return df.join(bad_strata, cond, "left_anti")
 
 
 def flag_rows(cube_new: DataFrame | None, cube_old: DataFrame | None, flag: str = "newrow",
