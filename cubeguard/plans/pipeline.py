@@ -37,13 +37,19 @@ class CompareResult:
 def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
                      small_threshold: float = 10000.0, spec: CubeSpec = DEFAULT_SPEC,
                      reference_parenthesis: bool = False, quantile_strategy: str = "auto",
-                     max_window_rows: int = 2_000_000) -> CompareResult:
+                     max_window_rows: int = 2_000_000, materialize: bool = False) -> CompareResult:
     """Flagged new cube, flagged old cube and comparison cube (all lazy).
 
     ``quantile_strategy="auto"`` picks, per cube, the one-task-per-stratum
     window plan when the profile proves no stratum exceeds
     ``max_window_rows`` rows, and the range-split plan for hot strata
     otherwise (no extra job: the bound comes from the profile).
+
+    ``materialize=True`` writes the joined new/old table once as a table in
+    the shared checkpoint folder and derives the flagged new cube and the
+    comparison cube from it; use it when several checks read the result (as
+    after reading the files), so the pipeline runs once and its lineage is
+    cut.
     """
     roles = identify_coltypes(cube_new, cube_old, spec)
     outlierval = select_outlier_pri(cube_new, cube_old, roles, spec) if outliers else None
@@ -74,7 +80,8 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
         old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec,
                                  _strategy(quantile_strategy, prof_old, max_window_rows))
 
-    newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis)
+    newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis,
+                                              materialize)
     return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval, prof_new.n_periods)
 
 
@@ -97,7 +104,7 @@ def _add_totals(dt, ref, dims, ref_totals, spec):
 
 
 def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles, outlierval,
-                  reference_parenthesis: bool):
+                  reference_parenthesis: bool, materialize: bool = False):
     keys = roles.commondims
     extra, vals = uprikk_rebuild(new_flag.columns, old_flag.columns, roles.commonvals)
     n = new_flag.withColumns(extra).withColumn("__in_new", F.lit(True)) if extra else \
@@ -117,6 +124,10 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
         c = n[k].eqNullSafe(o[f"__k{i}"])
         cond = c if cond is None else cond & c
     joined = n.join(o, cond, "full")
+    if materialize:
+        from cubeguard.session import materialize as _mat
+        joined = _mat(joined, "compare_joined")
+    # the joined columns have unique names: later references are by name
 
     # The new cube with previous-outlier information
     prev_cols = {}
@@ -136,7 +147,7 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
     cc = joined.where(keep)
     geoniv = col("GEOniv") if "GEOniv" in new_flag.columns else F.lit(None).cast("string").alias("GEOniv")
     sel = [geoniv, col("newrow")]
-    sel += [F.coalesce(n[k], o[f"__k{i}"]).alias(k) for i, k in enumerate(keys)]
+    sel += [F.coalesce(col(k), F.col(f"__k{i}")).alias(k) for i, k in enumerate(keys)]
     for v in vals:
         sel.append(col(v).alias(f"{v}_new"))
         sel.append(F.when(F.col("__exprow") == 0, col(f"{v}_old")).alias(f"{v}_old"))
