@@ -64,9 +64,13 @@ def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    base = (li.join(od, li.l_orderkey == od.o_orderkey)
-            .join(cu, od.o_custkey == cu.c_custkey)
-            .join(na, cu.c_nationkey == na.n_nationkey))
+    # orders are placed first (orders x customer x nation, the shuffle by
+    # customer key moves orders only), then lineitem joins on the order key:
+    # the wide lineitem side is shuffled once
+    oc = (od.join(cu, od.o_custkey == cu.c_custkey)
+          .join(na, cu.c_nationkey == na.n_nationkey)
+          .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_mktsegment", "n_nationkey", "n_regionkey"))
+    base = li.join(oc, li.l_orderkey == oc.o_orderkey)
     band = None
     for label, lo, hi in AGE_BANDS:
         cond = F.col("l_linenumber").between(lo, hi)
