@@ -37,6 +37,17 @@ def test_complete_strata(spark):
         get_complete_strata(c, ["AAR"], "missing", None)
 
 
+def test_complete_strata_null_levels_and_no_strata(spark):
+    """NULL levels form their own stratum (null-safe); with no stratum columns
+    the whole table is one stratum."""
+    rows = [(1, None, 0), (2, None, 0), (1, "a", 0), (2, "a", 1), (3, None, None)]
+    df = spark.createDataFrame(rows, "GEO bigint, ALDER string, SPVFLAGG bigint")
+    kept = {(r.GEO, r.ALDER) for r in get_complete_strata(df, ["GEO", "ALDER"], "censored").collect()}
+    assert kept == {(1, None), (2, None), (3, None)}
+    assert get_complete_strata(df.where("ALDER IS NULL"), ["GEO"], "missing", "SPVFLAGG").count() == 0
+    assert get_complete_strata(df.where("SPVFLAGG IS NOT NULL"), ["GEO"], "missing", "SPVFLAGG").count() == 4
+
+
 def test_all_combinations(spark):
     c = make_testcube1(spark)
     assert get_all_combinations(c, ["KJONN", "ALDER"]).count() == 3 * 4
