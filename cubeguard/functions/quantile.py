@@ -171,6 +171,40 @@ def weighted_fences_grouped(df: DataFrame, value: str, weight: str, group_cols,
     return out.drop(*[f"__g{i}" for i in range(len(names))])
 
 
+def weighted_fences_stacked(df: DataFrame, values, weight: str, group_cols, strategy: str = "range") -> DataFrame:
+    """:func:`weighted_fences_grouped` for several measures at once.
+
+    ``values`` is a list of (column, prefix).  The measures are stacked as
+    (kind, value) rows, so ONE cumulative-weight computation (and one set of
+    exchanges of the cube) serves all of them; the per-(group, kind) fences
+    are turned into columns on the small per-group table and joined back
+    once.
+    """
+    names = [c if isinstance(c, str) else c._jc.toString().strip("`") for c in group_cols]
+    kinds = F.explode(F.array(*[F.struct(F.lit(i).alias("__kind"), F.col(f"`{v}`").cast("double").alias("__val"))
+                                for i, (v, _) in enumerate(values)]))
+    long = (df.select(*[F.col(f"`{g}`") for g in names], F.col(f"`{weight}`").alias("__wt"), kinds.alias("__x"))
+            .select(*names, "__wt", "__x.__kind", "__x.__val"))
+    q = weighted_quantiles(long, names + ["__kind"], "__val", "__wt", (0.25, 0.5, 0.75), strategy)
+    stats = ("MIN", "wq25", "wq50", "wq75", "MAX")
+    aggs = [F.max(F.when(F.col("__kind") == i, F.col(c))).alias(prefix + c)
+            for i, (_, prefix) in enumerate(values) for c in stats]
+    q = q.groupBy(*names).agg(*aggs)
+    fences = {}
+    for _, prefix in values:
+        q25, q75 = F.col(prefix + "wq25"), F.col(prefix + "wq75")
+        fences[prefix + "LOW"] = q25 - F.lit(1.5) * (q75 - q25)
+        fences[prefix + "HIGH"] = q75 + F.lit(1.5) * (q75 - q25)
+    q = q.withColumns(fences)
+    out_cols = [prefix + c for _, prefix in values for c in ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")]
+    q = q.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(names)], *out_cols)
+    cond = None
+    for i, g in enumerate(names):
+        e = df[g].eqNullSafe(q[f"__g{i}"])
+        cond = e if cond is None else cond & e
+    return df.join(q, cond, "left").drop(*[f"__g{i}" for i in range(len(names))])
+
+
 def order_statistics(df: DataFrame, group_cols, value: str, probs, strategy: str = "range") -> DataFrame:
     """Exact linear-interpolated percentiles (the box-plot definition) per
     group, plus n, min and max, without a per-group value buffer.

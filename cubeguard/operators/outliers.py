@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeguard.functions.quantile import weighted_fences, weighted_fences_grouped
+from cubeguard.functions.quantile import weighted_fences, weighted_fences_grouped, weighted_fences_stacked
 from cubeguard.operators.geo import split_kommuneniv
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, identify_coltypes
 
@@ -81,12 +81,35 @@ def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 100
         strategy = "range" if largest > max_window_rows else "window"
     if with_change:
         dt = add_changeval(dt, outlierval, dims, spec.period)
+    if strategy != "window":
+        # both measures' fences from one stacked range computation
+        return add_outliers_stacked(dt, outlierval, dims, with_change, strategy)
     dt = add_outlier(dt, outlierval, dims, change=False, strategy=strategy)
     if with_change:
         dt = add_outlier(dt, outlierval, dims, change=True, strategy=strategy)
     return dt
 
 
+def add_outliers_stacked(df: DataFrame, val: str, by, with_change: bool, strategy: str = "range") -> DataFrame:
+    """W2 for the value and (optionally) its change in one pass: the same
+    fences and flags as :func:`add_outlier` twice, with columns in the same
+    order."""
+    strata = ["GEOniv" if b == "GEO" else b for b in by]
+    specs = [(val, "")] + ([(f"change_{val}", "change_")] if with_change else [])
+    out = weighted_fences_stacked(df, specs, "WEIGHTS", strata, strategy)
+    has_level = F.col("GEOniv").isNotNull()
+    base = [c for c in df.columns]
+    cols = []
+    for value, prefix in specs:
+        fence_cols = [prefix + c for c in FENCE_COLS]
+        out = out.withColumns({c: F.when(has_level, F.col(c)) for c in fence_cols})
+        v = col(value)
+        out = out.withColumn(prefix + "OUTLIER",
+                             F.when((v > F.col(prefix + "HIGH")) | (v < F.col(prefix + "LOW")), 1).otherwise(0))
+        cols += fence_cols + [prefix + "OUTLIER"]
+    return out.select(*[col(c) for c in base], *cols)
+
+
 def prev_outlier_columns(old_outlier: str, outlier: str, prefix: str = "",
                          reference_parenthesis: bool = False) -> dict:
     """W4 expressions: PREV_OUTLIER and NEW_OUTLIER.
