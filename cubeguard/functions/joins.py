@@ -65,7 +65,18 @@ def _constant_present(ref: DataFrame, d: str, value):
     return ref.where(F.col(f"`{d}`").eqNullSafe(F.lit(value))).exists()
 
 
-def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", constants: dict | None = None) -> DataFrame:
+def _broadcast_levels(keys: DataFrame, level_bound: int | None) -> DataFrame:
+    """Hint the level-key table for broadcast when its size is proven small:
+    by ``level_bound`` (from a profile) or else by a counted check.  Without
+    the hint the static plan of a distinct over a large scan is a sort-merge
+    join, and the cube would be shuffled before AQE could switch."""
+    if level_bound is None:
+        return checked_broadcast(keys)
+    return F.broadcast(keys) if level_bound <= MAX_BROADCAST_ROWS else keys
+
+
+def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", constants: dict | None = None,
+                level_bound: int | None = None) -> DataFrame:
     """Keep (``left_semi``) or drop (``left_anti``) rows whose level of each
     dim appears among the distinct levels of ``ref``; NULL matches NULL.
 
@@ -81,19 +92,20 @@ def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", con
         out = out.where(present if how == "left_semi" else ~present)
     if not dims:
         return out
-    keys = level_keys(ref, dims)
+    keys = _broadcast_levels(level_keys(ref, dims), level_bound)
     for d in dims:
         k = keys.select(F.col("__key").alias(f"__k_{d}"))
         out = out.join(k, _level_key(d, out[d]) == k[f"__k_{d}"], how)
     return out
 
 
-def any_level_missing(df: DataFrame, ref: DataFrame, dims, flag: str, constants: dict | None = None) -> DataFrame:
+def any_level_missing(df: DataFrame, ref: DataFrame, dims, flag: str, constants: dict | None = None,
+                      level_bound: int | None = None) -> DataFrame:
     """Add ``flag`` = 1 when the row's level of any dim is absent in ``ref``."""
     dims, consts = _split_constants(list(dims), constants)
     markers = [~_constant_present(ref, d, v) for d, v in consts.items()]
     out = df
-    keys = level_keys(ref, dims) if dims else None
+    keys = _broadcast_levels(level_keys(ref, dims), level_bound) if dims else None
     for i, d in enumerate(dims):
         m = f"__m{i}"
         k = keys.select(F.col("__key").alias(f"__k{i}"), F.lit(1).alias(m))

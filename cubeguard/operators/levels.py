@@ -148,13 +148,16 @@ def get_complete_strata(df: DataFrame, by, type: str = "censored", valuecolumn:
 
 
 def flag_rows(cube_new: DataFrame | None, cube_old: DataFrame | None, flag: str = "newrow",
-              spec: CubeSpec = DEFAULT_SPEC, constants: dict | None = None) -> DataFrame:
+              spec: CubeSpec = DEFAULT_SPEC, constants: dict | None = None,
+              level_bound: int | None = None) -> DataFrame:
     """``newrow`` / ``exprow`` = 1 when any common dimension's level is
     absent in the other cube; for dimensions on this side only, 1 unless the
     row is that dimension's total (no total: 1 for every row).
 
     ``constants`` ({dim: level}) names dimensions that hold one known level
-    in the flagged cube (added totals); they need no join.
+    in the flagged cube (added totals); they need no join.  ``level_bound``
+    bounds the other cube's level-key table (from its profile); without it
+    the table is counted before it is broadcast.
     """
     if flag not in ("newrow", "exprow"):
         raise ValueError("flag must be 'newrow' or 'exprow'")
@@ -167,7 +170,7 @@ def flag_rows(cube_new: DataFrame | None, cube_old: DataFrame | None, flag: str
     roles = identify_coltypes(cube_new, cube_old, spec)
     dt, ref, own = ((cube_new, cube_old, roles.newdims) if flag == "newrow"
                     else (cube_old, cube_new, roles.expdims))
-    out = any_level_missing(dt, ref, roles.commondims, flag, constants)
+    out = any_level_missing(dt, ref, roles.commondims, flag, constants, level_bound)
     if own:
         totals = find_totals(dt, own, spec)
         for d in own:

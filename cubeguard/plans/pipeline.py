@@ -68,14 +68,17 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
         added_old = {d: prof_new.totals[d] for d in roles.newdims}
     roles = identify_coltypes(new, old, spec)
 
-    new_flag = flag_rows(new, old, "newrow", spec, constants=added_new)
+    # level-key tables are bounded by the profiles (each added total is one level)
+    new_flag = flag_rows(new, old, "newrow", spec, constants=added_new,
+                         level_bound=None if prof_old is None else prof_old.level_bound + len(added_old))
     if outlierval is not None:
         new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec,
                                  _strategy(quantile_strategy, prof_new, max_window_rows))
     if old is None:
         return CompareResult(new_flag, None, None, roles, outlierval, prof_new.n_periods)
 
-    old_flag = flag_rows(new, old, "exprow", spec, constants=added_old)
+    old_flag = flag_rows(new, old, "exprow", spec, constants=added_old,
+                         level_bound=prof_new.level_bound + len(added_new))
     if outlierval is not None:
         old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec,
                                  _strategy(quantile_strategy, prof_old, max_window_rows))

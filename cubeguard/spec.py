@@ -201,6 +201,9 @@ class CubeProfile:
     # period): with a unique cube key a stratum holds at most one row per
     # (area, period), and never more than the cube
     stratum_bound: int | None = None
+    # upper bound of the distinct (dimension, level) pairs of ``dims`` (the
+    # level-key table of the level joins), NULL counted as a level
+    level_bound: int | None = None
 
 
 def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
@@ -219,6 +222,8 @@ def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
         p = col(spec.period)
         aggs += [F.min(p).alias("__pmin"), F.max(p).alias("__pmax"),
                  F.max(F.when(p.isNull(), 1).otherwise(0)).alias("__pnull")]
+    for d in dims:
+        aggs.append(F.approx_count_distinct(col(d), _HLL_RSD).alias(f"{d}__nd"))
     aggs.append(F.count(F.lit(1)).alias("__n"))
     # HyperLogLog buffers are fixed-size and merged map-side
     for d, name in ((spec.geo, "__ngeo"), (spec.period, "__nper")):
@@ -246,13 +251,18 @@ def _profile_parse(row: dict, cube: DataFrame, dims, spec: CubeSpec) -> CubeProf
         else:
             n_periods = (1 if row["__pmin"] == row["__pmax"] else 2) + (1 if row.get("__pnull") else 0)
     n_rows = row.get("__n")
+
+    def up(x):
+        # five standard deviations of the estimate as margin (+1 for NULL)
+        return int(x * (1 + 5 * _HLL_RSD)) + 2
     bound = n_rows
     if n_rows is not None and row.get("__ngeo") is not None and row.get("__nper") is not None:
-        # five standard deviations of the estimate as margin (+1 for NULL)
-        def up(x):
-            return int(x * (1 + 5 * _HLL_RSD)) + 2
         bound = min(n_rows, up(row["__ngeo"]) * up(row["__nper"]))
-    return CubeProfile(totals=totals, n_periods=min(n_periods, 2), n_rows=n_rows, stratum_bound=bound)
+    level_bound = sum(up(row.get(f"{d}__nd") or 0) for d in dims)
+    if n_rows is not None:
+        level_bound = min(level_bound, n_rows * max(len(dims), 1))
+    return CubeProfile(totals=totals, n_periods=min(n_periods, 2), n_rows=n_rows, stratum_bound=bound,
+                       level_bound=level_bound)
 
 
 def profile_cube(cube: DataFrame, dims, spec: CubeSpec = DEFAULT_SPEC) -> CubeProfile:
