@@ -191,9 +191,13 @@ def georecode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_area_threshold(spark: SparkSession, sf_dir: str) -> float:
     """Small-municipality threshold: all customers / 25 (scales with sf).
 
-    A parquet row count (answered from file metadata).
+    A parquet row count (answered from file metadata), taken once per
+    session and input folder.
     """
-    return table(spark, sf_dir, "customer").count() / 25.0
+    key = _memo_key(spark, sf_dir, "threshold")
+    if key not in _MEMO:
+        _MEMO[key] = table(spark, sf_dir, "customer").count() / 25.0
+    return _MEMO[key]
 
 
 _MEMO: dict = {}
