@@ -66,6 +66,9 @@ def test_auto_strategy_bound_and_equivalence(spark):
     largest = new.groupBy("GEOniv", *dims).count().agg(F.max("count")).first()[0]
     prof = profile_cube(new, list(identify_coltypes(new).dims_new))
     assert prof.n_rows == new.count() and largest <= prof.stratum_bound <= prof.n_rows
+    from cubeguard.functions.joins import level_keys
+    dims_all = list(identify_coltypes(new).dims_new)
+    assert level_keys(new, dims_all).count() <= prof.level_bound
     win = make_comparecube(new, old, small_threshold=thr, quantile_strategy="window").newcube_flag
     hot = make_comparecube(new, old, small_threshold=thr, max_window_rows=0).newcube_flag
     cols = [c for c in win.columns]
