@@ -68,3 +68,25 @@ def test_range_strategy_equals_window(spark, data):
     for g in {x for x, _, _ in data}:
         vals = [float(v) for x, v, _ in data if x == g]
         assert o[g].n == len(vals) and np.isclose(o[g].median, float(np.percentile(vals, 50)))
+
+
+def test_stacked_range_fences_equal_window(spark):
+    """Value and change fences from one stacked range computation equal the
+    two window computations: NULL level, NULL values, zero/NULL weights, ties."""
+    from cubeguard.operators.outliers import add_outlier, add_outliers_stacked
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(300):
+        lvl = [None, "K", "F"][i % 3]
+        kj = i % 2
+        v = None if i % 17 == 0 else float(rng.integers(0, 12))
+        c = None if i % 11 == 0 else float(rng.normal())
+        w = None if i % 23 == 0 else float(rng.integers(0, 4))
+        rows.append((i, lvl, kj, v, c, w))
+    df = spark.createDataFrame(rows, "GEO long, GEOniv string, KJONN long, RATE double, change_RATE double, "
+                                     "WEIGHTS double")
+    by = ["GEO", "KJONN"]
+    win = add_outlier(add_outlier(df, "RATE", by), "RATE", by, change=True)
+    hot = add_outliers_stacked(df, "RATE", by, True, "range")
+    assert win.columns == hot.columns
+    assert win.exceptAll(hot).count() == 0 and hot.exceptAll(win).count() == 0
