@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cubeguard.functions.quantile import weighted_fences, weighted_fences_grouped, weighted_fences_stacked
 from cubeguard.operators.geo import split_kommuneniv
-from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, identify_coltypes
+from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, identify_coltypes, profile_cube
 
 FENCE_COLS = ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")
 
@@ -67,8 +67,8 @@ def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 100
     ``quantile_strategy``: "window" sorts each stratum in one task (fast for
     the usual strata of areas x periods); "range" spreads hot strata over
     range partitions (see ``functions.quantile.cumulative_weights``);
-    "auto" picks "range" when the largest stratum has more than
-    ``max_window_rows`` rows (one grouped count).
+    "auto" picks "range" unless the cube's profile (one single-row job, no
+    shuffle) bounds every stratum by ``max_window_rows`` rows.
     """
     dt = split_kommuneniv(cube, small_threshold)
     dims = [d for d in identify_coltypes(dt, spec=spec).dims_new if d != spec.period]
@@ -76,9 +76,8 @@ def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 100
         with_change = dt.select(spec.period).distinct().limit(2).count() >= 2
     strategy = quantile_strategy
     if strategy == "auto":
-        strata = ["GEOniv" if d == spec.geo else d for d in dims]
-        largest = dt.groupBy(*[col(s) for s in strata]).count().agg(F.max("count")).collect()[0][0] or 0
-        strategy = "range" if largest > max_window_rows else "window"
+        bound = profile_cube(dt, [], spec).stratum_bound
+        strategy = "range" if bound is None or bound > max_window_rows else "window"
     if with_change:
         dt = add_changeval(dt, outlierval, dims, spec.period)
     if strategy != "window":
