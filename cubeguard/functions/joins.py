@@ -17,12 +17,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     """Broadcast a lookup table only after checking its row count.
 
     The count of a lookup (area parameters, code maps, control tables) is a
-    cheap job and is remembered per plan.  Beyond ``max_rows`` the table is
+    cheap job and is remembered per session and plan.  Beyond ``max_rows`` the table is
     returned unhinted, so Spark uses a shuffle join (and AQE may still
     broadcast it from runtime statistics).
     """
     try:
-        key = df.semanticHash()
+        from cubeguard.session import session_id
+        key = (session_id(df.sparkSession), df.semanticHash())
     except Exception:  # pragma: no cover - older clients
         key = None
     n = _size_cache.get(key) if key is not None else None
