@@ -79,6 +79,9 @@ def _more():
     ORACLES["f2_complete_strata_missing"] = W(select="""
       SELECT * EXCLUDE (nb) FROM (SELECT *, sum(CASE WHEN RATE IS NULL THEN 1 ELSE 0 END)
         OVER (PARTITION BY AAR, ALDER) AS nb FROM newcube) WHERE nb = 0""")
+    ORACLES["f2_complete_strata_missing_all"] = W(select="""
+      SELECT * EXCLUDE (nb) FROM (SELECT *, sum(CASE WHEN RATE IS NULL THEN 1 ELSE 0 END)
+        OVER (PARTITION BY AAR, KJONN, ALDER, INNVKAT) AS nb FROM newcube) WHERE nb = 0""")
     c4 = ["GEO", "AAR", "KJONN", "ALDER"]
     ORACLES["f3_flag_new"] = W(select=f"""
       SELECT {NEWD}, CASE WHEN {not_in_other(c4, 'oldcube')} THEN 1 WHEN INNVKAT <> 0 THEN 1 ELSE 0 END AS newrow

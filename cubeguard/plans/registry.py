@@ -152,6 +152,13 @@ def q_f2_missing(spark, sf_dir):
     return levels.get_complete_strata(new, ["GEO", "AAR", "ALDER"], "missing", "RATE")
 
 
+@register("f2_complete_strata_missing_all")
+def q_f2_missing_all(spark, sf_dir):
+    """F2 'missing' on the strata of all dimensions (a non-empty result)."""
+    new, _ = _new(spark, sf_dir)
+    return levels.get_complete_strata(new, NEW_DIMS, "missing", "RATE")
+
+
 @register("f3_flag_new")
 def q_f3_new(spark, sf_dir):
     new, old, _ = _pair(spark, sf_dir)
