@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cubeguard.operators import diffs
-from cubeguard.plans.pipeline import make_comparecube
+from cubeguard.plans.comparison import make_comparecube
 from cubeguard.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

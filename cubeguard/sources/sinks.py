@@ -52,7 +52,7 @@ def save_dump(df: DataFrame | None, out: str, name: str, fmt: str = "parquet",
 
 def save_dumps(result, out: str, new_ref, old_ref=None,
                dumps=("newcube_flag", "oldcube_flag", "comparecube"), fmt: str = "parquet") -> dict:
-    """K2 for a comparison result (``plans.pipeline.CompareResult``): each
+    """K2 for a comparison result (``plans.comparison.CompareResult``): each
     requested dump that exists is rounded and written; returns name -> path."""
     written = {}
     for kind in dumps:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cubeguard.operators.outliers import add_changeval
-from cubeguard.plans.pipeline import make_comparecube
+from cubeguard.plans.comparison import make_comparecube
 from cubeguard.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"

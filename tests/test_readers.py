@@ -110,7 +110,7 @@ def test_convert_coltype(spark):
 
 
 def test_load_pair_and_dumps(spark):
-    from cubeguard.plans.pipeline import make_comparecube
+    from cubeguard.plans.comparison import make_comparecube
     root = tempfile.mkdtemp(prefix="cg-pair-")
     os.makedirs(f"{root}/QC")
     _write(f"{root}/QC/C_2024-01-01-00-00.csv", "GEO;AAR;KJONN;antall;SPVFLAGG\n0;2023_2023;0;5;0\n1101;2023_2023;0;3;0\n")
