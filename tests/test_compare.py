@@ -75,3 +75,33 @@ def test_auto_strategy_bound_and_equivalence(spark):
     assert win.select(*[F.col(f"`{c}`") for c in cols]).exceptAll(
         hot.select(*[F.col(f"`{c}`") for c in cols])).count() == 0
     assert win.count() == hot.count()
+
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_shape_at_scale(spark):
+    """With automatic broadcasts off (the static plan of a 100 TB input), the
+    level lookups stay broadcast behind their proven bounds and the only
+    shuffle join of the comparison is the null-safe full outer join; F2 has
+    no window over a stratum."""
+    from cubeguard.operators.levels import get_complete_strata
+    new, old, thr = fx.fixture_pair(spark, SF)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        cc = make_comparecube(new, old, small_threshold=thr).comparecube
+        plan = _physical(cc)
+        assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
+        assert plan.count("BroadcastHashJoin") >= 2
+        f2 = _physical(get_complete_strata(new, ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"], "censored"))
+        assert "Window" not in f2
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
