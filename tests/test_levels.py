@@ -86,3 +86,19 @@ def test_compare_dimensions_and_columns(spark):
     assert d["INNVKAT"].New_levels == "0, 1"
     cols = {(r.column, r.status) for r in compare_colnames(new, old).collect()}
     assert ("INNVKAT", "new") in cols and ("UTDANN", "expired") in cols
+
+
+def test_level_table_broadcast_needs_a_bound(spark):
+    """The level-key table is hinted only behind a bound: a profile bound
+    within the limit, or a counted check when no bound is given."""
+    from cubeguard.functions import joins
+    df = spark.createDataFrame([(1, "a"), (2, None)], "GEO bigint, ALDER string")
+    keys = joins.level_keys(df, ["GEO", "ALDER"])
+
+    def plan(d):
+        return d._jdf.queryExecution().logical().toString()
+    assert "Hint" in plan(joins._broadcast_levels(keys, 10))
+    assert "Hint" not in plan(joins._broadcast_levels(keys, joins.MAX_BROADCAST_ROWS + 1))
+    assert "Hint" in plan(joins._broadcast_levels(keys, None))  # counted: 4 keys
+    out = joins.semi_filter(df, df, ["GEO", "ALDER"], level_bound=10)
+    assert {(r.GEO, r.ALDER) for r in out.collect()} == {(1, "a"), (2, None)}
