@@ -4,19 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeguard.llm.minhash_dedup import near_duplicates
+from cubeguard.llm import cover_search, exact_dedup, html_extract, language_id, minhash_dedup, mixing, packing, pii, secrets, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(_table(spark, sf_dir, "pages"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op5_cover_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_search.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
-QUERIES = {
-    "op10_minhash_dedup": op10_minhash_dedup,
-}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_packing, op3_exact_dedup, op4_html_extract, op5_cover_search, op6_pii, op7_secrets, op8_mixing, op9_language_id, op10_minhash_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_exact_dedup": exact_dedup.ORACLE,
+    "op5_cover_search": cover_search.ORACLE,
+}
