@@ -2,7 +2,7 @@
 
 Two Markov models of adjacent characters are trained from labelled samples: one
 from the values that the fixed forms found, over a uniform prior (random strings),
-one from the other words (ordinary identifiers). A run of token characters that no
+one from the words that several documents share (ordinary identifiers). A run of token characters that no
 fixed form covers is a secret when its log-likelihood ratio is high enough.
 
 DataFrame expressions only. Positions come from the pieces between matches: both
@@ -31,8 +31,10 @@ WORD = r"[A-Za-z0-9+/_=-]{3,}"
 MIN_LLR, MIN_MEAN = 12.0, 0.5
 #: Training documents, about so many by a hash of doc_id: for words, and for secrets.
 TRAIN_PLAIN, TRAIN_SECRET = 4000, 40_000
-#: Pseudo-counts of a pair of characters.
-RANDOM_PRIOR, PLAIN_PRIOR = 1.0, 0.2
+#: A word of so many of these documents is an ordinary one.
+MIN_DOCS = 3
+#: What a model's prior counts for beside the pairs that begin with a character.
+RANDOM_WEIGHT, PLAIN_WEIGHT = 67.0, 10.0
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -71,11 +73,10 @@ def with_base(rows: DataFrame) -> DataFrame:
 
 
 def _pairs(words: DataFrame) -> DataFrame:
-    """(a, b, n): adjacent characters of ``word``, 0 the start, as places in the alphabet."""
-    code = lambda c: F.instr(F.lit(ALPHABET), c)
-    codes = words.select(F.filter(F.transform(F.split("word", ""), lambda c: F.instr(F.lit(ALPHABET), c)), lambda k: k > 0).alias("codes"))
+    """(a, b, n): adjacent characters of ``word``, ``times`` each; places in the alphabet, 0 the start."""
+    codes = words.select("times", F.filter(F.transform(F.split("word", ""), lambda c: F.instr(F.lit(ALPHABET), c)), lambda k: k > 0).alias("codes"))
     pair = F.explode(F.zip_with(F.concat(F.array(F.lit(0)), "codes"), F.col("codes"), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-    return codes.select(pair.alias("p")).where("p.b is not null").groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    return codes.select("times", pair.alias("p")).where("p.b is not null").groupBy("p.a", "p.b").agg(F.sum("times").alias("n"))
 
 
 def train(docs: DataFrame) -> list[float]:
@@ -88,18 +89,22 @@ def train(docs: DataFrame) -> list[float]:
     place = F.pmod(F.xxhash64(F.lit("secrets"), "doc_id"), F.lit(total))
     secret = with_base(rows.where(place < TRAIN_SECRET))
     values = secret.select(F.explode(F.concat(
-        F.transform("assign", lambda s: F.regexp_extract(s["match"], ASSIGN, 2)), F.transform("access", lambda s: s["match"]), F.transform("hex", lambda s: s["match"]))).alias("word"))
+        F.transform("assign", lambda s: F.regexp_extract(s["match"], ASSIGN, 2)), F.transform("access", lambda s: s["match"]), F.transform("hex", lambda s: s["match"]))).alias("word"), F.lit(1).alias("times"))
     blank = F.col("text")
     for pattern in (ASSIGN, ACCESS, r"[0-9a-f]{24,}"):
         blank = F.regexp_replace(blank, pattern, " ")
-    plain = rows.where(place < TRAIN_PLAIN).select(F.explode(F.regexp_extract_all(blank, F.lit(WORD), F.lit(0))).alias("word"))
+    plain = rows.where(place < TRAIN_PLAIN).select(F.explode(F.array_distinct(F.regexp_extract_all(blank, F.lit(WORD), F.lit(0)))).alias("word"))
+    plain = plain.groupBy("word").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= MIN_DOCS)
     k = len(ALPHABET) + 1
     tables = []
-    for words, prior in ((values, RANDOM_PRIOR), (plain, PLAIN_PRIOR)):
-        counts = [[prior] * k for _ in range(k)]
+    for words, weight in ((values, RANDOM_WEIGHT), (plain, PLAIN_WEIGHT)):
+        counts = [[0] * k for _ in range(k)]
         for a, b, n in _pairs(words).collect():
             counts[a][b] += n
-        tables.append([[math.log(x / sum(row[1:])) for x in row] for row in counts])
+        # Rare pairs lean on a prior: random strings are uniform, words have their own letters.
+        ends = [0.5 + (words is plain) * sum(row[b] for row in counts) for b in range(k)]
+        prior = [e / sum(ends[1:]) for e in ends]
+        tables.append([[math.log((n + weight * p) / (sum(row) + weight)) for n, p in zip(row, prior, strict=True)] for row in counts])
     return [tables[0][a][b] - tables[1][a][b] for a in range(k) for b in range(k)]
 
 
