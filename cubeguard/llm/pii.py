@@ -36,7 +36,7 @@ PATTERN = re.compile(
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])\+[0-9]{1,3}(?:[\x20.-]?\([0-9]{1,4}\))?(?:[\x20.-]?[0-9]{2,5}){2,5}(?!\w)"
     r"|(?<![\w(])\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-]))"
-    r"|(?P<card>(?<!\w)[0-9](?:[\x20-]?[0-9]){12,18}(?!\w))", re.ASCII)
+    r"|(?P<card>(?<!\w)(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[\x20-])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|3[0-9]{3}[\x20-][0-9]{6}[\x20-][0-9]{5})(?!\w))", re.ASCII)
 _EPOCH, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 _DATES = {"-": "%Y-%m-%d", ".": "%d.%m.%Y"}
 _SPACED = re.compile(r"[^A-Za-z0-9]")
@@ -161,14 +161,15 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int
     """
     out, spans, done, at = [], [], 0, 0
     while m := PATTERN.search(text, at):
-        new = _MASKS[m.lastgroup](m.group(), key)
+        kind = m.lastgroup
+        new = _MASKS[kind](m.group(), key)
         if new is None:
             at = m.start() + 1
             while at < m.end() and text[at - 1].isalnum() and text[at].isalnum():
                 at += 1  # not into the middle of a run
             continue
         out += [text[done:m.start()], new]
-        spans.append((m.lastgroup, m.start(), m.end()))
+        spans.append((kind, m.start(), m.end()))
         done = at = m.end()
     return "".join([*out, text[done:]]), spans
 
