@@ -155,6 +155,8 @@ class Predictor(dict):
 
     def learn(self, texts: list[list[str]]) -> None:
         """Evaluate the runs that are new, in batches of similar length."""
+        if not self.langs:
+            return
         if len(self) > REMEMBERED:
             self.clear()
         new = sorted({r for t in texts for r in t if r not in self}, key=len)
