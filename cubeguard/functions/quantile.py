@@ -1,4 +1,4 @@
-"""Exact weighted quantiles and outlier fences as window expressions.
+"""Exact weighted quantiles and outlier fences, one plan for every size.
 
 Definition (fixed here and in the tests): within a group drop NULL values and
 treat NULL or non-positive weights as 0.  With ``cum`` the cumulative weight
@@ -11,11 +11,12 @@ weight, the p-quantile is the mean of
 (equal unless the cumulative weight hits ``p * tot`` exactly).  A group whose
 weights are all zero has NULL quantiles.
 
-Everything is expressed as windows over ``partitionBy(group)``, so the cube is
-exchanged once by the group keys and the fences arrive on every row without a
-join back.  A group is one cube stratum (all areas x periods of one level and
-one combination of the other dimensions); its size is bounded by the number
-of areas times periods, not by the size of the raw data behind the cube.
+Weights are summed per (group, value) first (map-side combine).  A group's
+values are then cut into value ranges, as many as keep a range at a bounded
+number of rows; running sums are taken within a (group, range), and a range's
+offset is the sum of the ranges before it.  No task holds more than a range.
+Weights are summed as decimals with six places, so neither the number of
+ranges nor the order of the rows changes a sum.
 """
 
 from __future__ import annotations
@@ -23,118 +24,83 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cubeguard.functions.joins import MAX_BROADCAST_ROWS
 
-def weighted_fences(df: DataFrame, value: str, weight: str, group_cols,
-                    prefix: str = "") -> DataFrame:
-    """W2 core: MIN, wq25, wq50, wq75, MAX, LOW, HIGH per group, on every row.
+# A range holds about so many rows of a group.
+ROWS_PER_RANGE = 200_000
+STATS = ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")
 
-    Two window passes share one exchange: the first computes the cumulative
-    weights (ordered frame), the second the per-group minima of qualifying
-    values (whole-partition frame).
-    """
-    v = F.col(f"`{value}`")
-    w_pos = F.when(v.isNotNull() & (F.col(f"`{weight}`") > 0),
-                   F.col(f"`{weight}`").cast("double")).otherwise(F.lit(0.0))
-    ordered = (Window.partitionBy(*group_cols).orderBy(v.asc_nulls_last())
-               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*group_cols)
-    tmp = df.withColumns({"__cum": F.sum(w_pos).over(ordered), "__tot": F.sum(w_pos).over(whole)})
-    cols = {prefix + "MIN": F.min(v).over(whole)}
-    for p, name in ((0.25, "wq25"), (0.50, "wq50"), (0.75, "wq75")):
-        target = F.col("__tot") * F.lit(p)
-        lower = F.min(F.when(v.isNotNull() & (F.col("__cum") >= target), v)).over(whole)
-        upper = F.min(F.when(v.isNotNull() & (F.col("__cum") > target), v)).over(whole)
-        cols[prefix + name] = F.when(F.col("__tot") > 0, (lower + upper) / F.lit(2.0))
-    cols[prefix + "MAX"] = F.max(v).over(whole)
-    tmp = tmp.withColumns(cols)
-    q25, q75 = F.col(prefix + "wq25"), F.col(prefix + "wq75")
-    tmp = tmp.withColumns({
-        prefix + "LOW": q25 - F.lit(1.5) * (q75 - q25),
-        prefix + "HIGH": q75 + F.lit(1.5) * (q75 - q25),
-    })
-    return tmp.drop("__cum", "__tot")
-
-
-# ---------------------------------------------------------------------------
-# Hot strata: cumulative weights without putting a whole group in one task
-# ---------------------------------------------------------------------------
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols):
+
+def ranges_for(rows: int | None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Number of ranges for groups of at most ``rows`` rows."""
+    return max(1, -(-(rows or 1) // rows_per_range))
+
+
+def _on(left: DataFrame, right: DataFrame, cols, prefix: str):
     cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
+    for i, c in enumerate(cols):
+        e = left[f"`{c}`"].eqNullSafe(right[f"{prefix}{i}"])
         cond = e if cond is None else cond & e
     return cond
 
 
+def _renamed(cols, prefix: str):
+    return [F.col(f"`{c}`").alias(f"{prefix}{i}") for i, c in enumerate(cols)]
+
+
 def cumulative_weights(df: DataFrame, group_cols, value: str, weight: str | None = None,
-                       strategy: str = "window", n_ranges: int | None = None) -> DataFrame:
+                       n_ranges: int = 1) -> DataFrame:
     """Distinct values per group with their weight ``__w``, the cumulative
     weight ``__cum`` (values <= this one) and the group total ``__tot``.
 
-    Values are pre-aggregated per (group, value) first (map-side combine).
-
-    ``strategy="window"``: one window per group (a group is sorted in one
-    task).  ``strategy="range"``: each group's values are cut into up to
-    ``n_ranges`` value ranges at approximate quantiles (a bounded sketch);
-    running sums are taken within each (group, range), and each range's
-    offset is the sum of the preceding ranges of the same group, computed on
-    a small (group, range) table and joined back.  The result is exact (the
-    cut points only decide where work is split) and a hot group is spread
-    over many tasks.
+    With one range a group's running sum is one window.  With more, the
+    weights per (group, value) are written once to the shared folder, as both
+    the cut points (a sketch of at most ``n_ranges`` values per group, merged
+    map-side) and the ranges are read from them.
     """
-    group_cols = list(group_cols)
+    groups = list(group_cols)
     v = F.col(f"`{value}`")
-    w = F.lit(1.0) if weight is None else F.col(f"`{weight}`").cast("double")
-    w_pos = F.when(w > 0, w).otherwise(F.lit(0.0))
-    d = (df.where(v.isNotNull()).select(*[F.col(f"`{g}`") for g in group_cols], v.alias("__v"), w_pos.alias("__wp"))
-         .groupBy(*group_cols, "__v").agg(F.sum("__wp").alias("__w")))
-    if strategy == "window":
-        ordered = (Window.partitionBy(*group_cols).orderBy("__v")
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return d.withColumns({"__cum": F.sum("__w").over(ordered),
-                              "__tot": F.sum("__w").over(Window.partitionBy(*group_cols))})
-    if strategy != "range":
-        raise ValueError("strategy must be 'window' or 'range'")
-    n = n_ranges or 64
-    # per-group cut points from a bounded sketch (merged map-side): one row
-    # per group with at most n-1 values
-    probs = [i / n for i in range(1, n)]
-    cuts = d.groupBy(*group_cols).agg(F.percentile_approx("__v", probs, 10000).alias("__cuts"))
-    cuts = cuts.select(*[F.col(g).alias(f"__c{i}") for i, g in enumerate(group_cols)], "__cuts")
-    on = None
-    for i, g in enumerate(group_cols):
-        e = d[g].eqNullSafe(cuts[f"__c{i}"])
-        on = e if on is None else on & e
-    dj = d.join(cuts, on) if group_cols else d.join(cuts, how="inner")
-    # range index: number of cut points below the value (monotone in the value,
-    # equal values share a range)
+    if weight is None:
+        w = F.lit(1).cast("bigint")
+    else:
+        w = F.col(f"`{weight}`").cast("decimal(27,6)")
+        w = F.when(w > 0, w).otherwise(F.lit(0).cast("decimal(27,6)"))
+    d = (df.where(v.isNotNull()).select(*[F.col(f"`{g}`") for g in groups], v.alias("__v"), w.alias("__wp"))
+         .groupBy(*groups, "__v").agg(F.sum("__wp").alias("__w")))
+    running = lambda *by: (Window.partitionBy(*by).orderBy("__v")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if n_ranges == 1:
+        d = d.withColumns({"__cum": F.sum("__w").over(running(*groups)),
+                           "__tot": F.sum("__w").over(Window.partitionBy(*groups))})
+        return d.withColumns({c: F.col(c).cast("double") for c in ("__w", "__cum", "__tot")})
+    from cubeguard.session import materialize
+    d = materialize(d, "weights")
+    probs = [i / n_ranges for i in range(1, n_ranges)]
+    cuts = d.groupBy(*groups).agg(F.percentile_approx("__v", probs, max(10_000, 20 * n_ranges)).alias("__cuts"))
+    cuts = cuts.select(*_renamed(groups, "__c"), "__cuts")
+    # the range is the number of cut points below the value: equal values share one
+    dj = d.join(cuts, _on(d, cuts, groups, "__c")) if groups else d.join(cuts, how="inner")
     dj = dj.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))) \
-        .drop("__cuts", *[f"__c{i}" for i in range(len(group_cols))])
-    local = (Window.partitionBy(*group_cols, "__b").orderBy("__v")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    dj = dj.withColumn("__lcum", F.sum("__w").over(local))
-    part = dj.groupBy(*group_cols, "__b").agg(F.sum("__w").alias("__psum"))
-    before = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    part = part.withColumns({
-        "__off": F.coalesce(F.sum("__psum").over(before), F.lit(0.0)),
-        "__tot": F.sum("__psum").over(Window.partitionBy(*group_cols)),
-    }).select(*[F.col(g).alias(f"__p{i}") for i, g in enumerate(group_cols)], F.col("__b").alias("__pb"),
-              "__off", "__tot")
-    on = dj["__b"] == part["__pb"]
-    for i, g in enumerate(group_cols):
-        on = on & dj[g].eqNullSafe(part[f"__p{i}"])
-    j = dj.join(part, on)
-    return j.select(*[dj[g] for g in group_cols], "__v", "__w", (F.col("__off") + F.col("__lcum")).alias("__cum"),
-                    "__tot")
+        .drop("__cuts", *[f"__c{i}" for i in range(len(groups))])
+    dj = materialize(dj, "ranges")
+    part = dj.groupBy(*groups, "__b").agg(F.sum("__w").alias("__psum"))
+    before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.withColumns({"__off": F.sum("__psum").over(before),
+                             "__tot": F.sum("__psum").over(Window.partitionBy(*groups))})
+    part = part.select(*_renamed(groups + ["__b"], "__p"), "__off", "__tot")
+    local = dj.withColumn("__lcum", F.sum("__w").over(running(*groups, "__b")))
+    j = local.join(part, _on(local, part, groups + ["__b"], "__p"))
+    cum = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__lcum")
+    return j.select(*[local[f"`{g}`"] for g in groups], "__v", F.col("__w").cast("double").alias("__w"),
+                    cum.cast("double").alias("__cum"), F.col("__tot").cast("double").alias("__tot"))
 
 
 def weighted_quantiles(df: DataFrame, group_cols, value: str, weight: str | None, probs,
-                       strategy: str = "window", prefix: str = "") -> DataFrame:
+                       n_ranges: int = 1, prefix: str = "") -> DataFrame:
     """One row per group: MIN, MAX and the X1 weighted quantiles
     (``wq25``-style names for probs 0.25/0.5/0.75, else ``q<p>``).  The final
     step is an ordinary grouped aggregate (partial aggregation map-side)."""
-    cw = cumulative_weights(df, group_cols, value, weight, strategy)
+    cw = cumulative_weights(df, group_cols, value, weight, n_ranges)
     aggs = [F.min("__v").alias(prefix + "MIN"), F.max("__v").alias(prefix + "MAX"),
             F.max("__tot").alias("__t")]
     names = []
@@ -150,62 +116,35 @@ def weighted_quantiles(df: DataFrame, group_cols, value: str, weight: str | None
                       for n in names])
 
 
-def weighted_fences_grouped(df: DataFrame, value: str, weight: str, group_cols, prefix: str = "",
-                            strategy: str = "range") -> DataFrame:
-    """W2 fences computed per group (``strategy`` as in
-    :func:`cumulative_weights`) and joined back to every row (null-safe on
-    the group keys; AQE broadcasts the per-group table when it is small and
-    splits skewed partitions otherwise)."""
-    names = [c if isinstance(c, str) else c._jc.toString().strip("`") for c in group_cols]
-    q = weighted_quantiles(df, names, value, weight, (0.25, 0.5, 0.75), strategy, prefix)
-    q25, q75 = F.col(prefix + "wq25"), F.col(prefix + "wq75")
-    q = q.withColumns({prefix + "LOW": q25 - F.lit(1.5) * (q75 - q25),
-                       prefix + "HIGH": q75 + F.lit(1.5) * (q75 - q25)})
-    q = q.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(names)],
-                 *[prefix + c for c in ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")])
-    cond = None
-    for i, g in enumerate(names):
-        e = df[g].eqNullSafe(q[f"__g{i}"])
-        cond = e if cond is None else cond & e
-    out = df.join(q, cond, "left")
-    return out.drop(*[f"__g{i}" for i in range(len(names))])
-
-
-def weighted_fences_stacked(df: DataFrame, values, weight: str, group_cols, strategy: str = "range") -> DataFrame:
-    """:func:`weighted_fences_grouped` for several measures at once.
+def weighted_fences(df: DataFrame, values, weight: str, group_cols, n_ranges: int = 1,
+                    groups_bound: int | None = None) -> DataFrame:
+    """MIN, wq25, wq50, wq75, MAX, LOW, HIGH per group, on every row.
 
-    ``values`` is a list of (column, prefix).  The measures are stacked as
-    (kind, value) rows, so ONE cumulative-weight computation (and one set of
-    exchanges of the cube) serves all of them; the per-(group, kind) fences
-    are turned into columns on the small per-group table and joined back
-    once.
+    ``values`` is a list of (column, prefix of its fences).  The measures are
+    stacked as (kind, value) rows, so ONE cumulative-weight computation serves
+    all of them; the per-group fences are turned into columns on the small
+    per-group table, which is joined back once: as a broadcast where
+    ``groups_bound`` proves it small.
     """
     names = [c if isinstance(c, str) else c._jc.toString().strip("`") for c in group_cols]
     kinds = F.explode(F.array(*[F.struct(F.lit(i).alias("__kind"), F.col(f"`{v}`").cast("double").alias("__val"))
                                 for i, (v, _) in enumerate(values)]))
     long = (df.select(*[F.col(f"`{g}`") for g in names], F.col(f"`{weight}`").alias("__wt"), kinds.alias("__x"))
             .select(*names, "__wt", "__x.__kind", "__x.__val"))
-    q = weighted_quantiles(long, names + ["__kind"], "__val", "__wt", (0.25, 0.5, 0.75), strategy)
-    stats = ("MIN", "wq25", "wq50", "wq75", "MAX")
-    aggs = [F.max(F.when(F.col("__kind") == i, F.col(c))).alias(prefix + c)
-            for i, (_, prefix) in enumerate(values) for c in stats]
-    q = q.groupBy(*names).agg(*aggs)
-    fences = {}
+    q = weighted_quantiles(long, names + ["__kind"], "__val", "__wt", (0.25, 0.5, 0.75), n_ranges)
+    q = q.groupBy(*names).agg(*[F.max(F.when(F.col("__kind") == i, F.col(c))).alias(prefix + c)
+                                for i, (_, prefix) in enumerate(values) for c in ("MIN", "wq25", "wq50", "wq75", "MAX")])
     for _, prefix in values:
         q25, q75 = F.col(prefix + "wq25"), F.col(prefix + "wq75")
-        fences[prefix + "LOW"] = q25 - F.lit(1.5) * (q75 - q25)
-        fences[prefix + "HIGH"] = q75 + F.lit(1.5) * (q75 - q25)
-    q = q.withColumns(fences)
-    out_cols = [prefix + c for _, prefix in values for c in ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")]
-    q = q.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(names)], *out_cols)
-    cond = None
-    for i, g in enumerate(names):
-        e = df[g].eqNullSafe(q[f"__g{i}"])
-        cond = e if cond is None else cond & e
-    return df.join(q, cond, "left").drop(*[f"__g{i}" for i in range(len(names))])
+        q = q.withColumns({prefix + "LOW": q25 - F.lit(1.5) * (q75 - q25),
+                           prefix + "HIGH": q75 + F.lit(1.5) * (q75 - q25)})
+    q = q.select(*_renamed(names, "__g"), *[prefix + c for _, prefix in values for c in STATS])
+    if groups_bound is not None and groups_bound <= MAX_BROADCAST_ROWS:
+        q = F.broadcast(q)
+    return df.join(q, _on(df, q, names, "__g"), "left").drop(*[f"__g{i}" for i in range(len(names))])
 
 
-def order_statistics(df: DataFrame, group_cols, value: str, probs, strategy: str = "range") -> DataFrame:
+def order_statistics(df: DataFrame, group_cols, value: str, probs, n_ranges: int = 1) -> DataFrame:
     """Exact linear-interpolated percentiles (the box-plot definition) per
     group, plus n, min and max, without a per-group value buffer.
 
@@ -215,7 +154,7 @@ def order_statistics(df: DataFrame, group_cols, value: str, probs, strategy: str
     ``h = (n - 1) * p``.
     """
     group_cols = list(group_cols)
-    cw = cumulative_weights(df, group_cols, value, None, strategy)
+    cw = cumulative_weights(df, group_cols, value, None, n_ranges)
     n = F.col("__tot")
     aggs = [F.max("__tot").cast("bigint").alias("n"), F.min("__v").alias("min"), F.max("__v").alias("max")]
     for name, p in probs.items():

@@ -16,13 +16,18 @@ def barometer_lpnr(bar: DataFrame) -> DataFrame:
 
     When absent it is derived from the indicator code as the reverse order
     (``max(code) + min(code) - code - 1``, the order-explicit form of
-    reversing the code list, T26; it assumes contiguous codes with the same
-    number of rows each).  A 0-based numbering is shifted by one.
+    reversing the code list, T26).  That holds for contiguous codes with the
+    same number of rows each only, so other code lists are an error.  A
+    0-based numbering is shifted by one.
     """
     bar = bar.select(*[c for c in BAROMETER_COLS if c in bar.columns])
     if "LPnr" not in bar.columns:
-        hi = bar.agg(F.max("indikator_kodet")).scalar()
-        lo = bar.agg(F.min("indikator_kodet")).scalar()
+        codes = bar.groupBy("indikator_kodet").agg(F.count(F.lit(1)).alias("n"))
+        r = codes.agg(F.min("indikator_kodet").alias("lo"), F.max("indikator_kodet").alias("hi"),
+                      F.count(F.lit(1)).alias("n"), F.min("n").alias("least"), F.max("n").alias("most")).first()
+        if r["n"] and (r["hi"] - r["lo"] + 1 != r["n"] or r["least"] != r["most"]):
+            raise ValueError("indicator codes are not contiguous with equally many rows each")
+        lo, hi = F.lit(r["lo"]), F.lit(r["hi"])
         bar = bar.withColumn("LPnr", hi + lo - F.col("indikator_kodet") - 1)
     zero_based = bar.agg(F.min("LPnr")).scalar() == 0
     bar = bar.withColumn("LPnr", F.when(zero_based, F.col("LPnr") + 1).otherwise(F.col("LPnr")))

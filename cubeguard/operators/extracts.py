@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubeguard.functions.joins import _level_key, checked_broadcast
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, DATETAG_PATTERN, col, identify_coltypes
 
 # Level of an expired dimension the cube is fixed at, per
@@ -33,7 +34,9 @@ CHECKED_FOR_ALERTS = ("SISTE_AAR", "Periode_bm", "Periode_nn", "IDENTISK_PRIKKIN
                       "VALID_kombo")
 TOLERANCE = 1.5e-8
 
-_SAFE_PREDICATE = re.compile(r"^[\w\s.'\"<>=!&|(),%+-]*$")
+# The stored filters' words: literals, operators and names, and nothing else.
+_FILTER_WORD = re.compile(r"""\s*(?:(?P<number>-?\d+(?:\.\d+)?)|(?P<text>"[^"]*"|'[^']*')|(?P<op>%in%|[=!<>]=|&&?|\|\|?|[<>!(),])
+    |(?P<name>[^\W\d][\w.]*))""", re.X)
 
 
 def indicator_of(filename: F.Column) -> F.Column:
@@ -41,18 +44,76 @@ def indicator_of(filename: F.Column) -> F.Column:
     return F.regexp_replace(filename, "_" + DATETAG_PATTERN + r".*$", "")
 
 
-def etab_predicate(text: str) -> str:
-    """a stored R-style filter (``GEO > 0 & KJONN == 1``) as Spark SQL.
+def etab_predicate(text: str) -> F.Column:
+    """a stored filter (``GEO > 0 & !is.na(RATE) & KJONN %in% c(1, 2)``) as a Column.
 
-    Only whitelisted characters are accepted, ``%in% c(...)`` becomes
-    ``IN (...)``; the text is never evaluated as code.
+    The text may hold comparisons of a column with a literal, ``%in% c(...)``,
+    ``is.na(column)``, ``!``, ``&``, ``|`` and brackets; anything else, such as
+    a function call, is an error.  Columns are built from it directly, so no
+    part of it is ever evaluated as SQL.
     """
-    if not _SAFE_PREDICATE.match(text) or ";" in text:
-        raise ValueError(f"unsupported filter text: {text!r}")
-    s = re.sub(r"%in%\s*c\(", " IN (", text)
-    s = s.replace("==", "=").replace("&&", "&").replace("||", "|")
-    s = s.replace("&", " AND ").replace("|", " OR ").replace("!=", "<>")
-    return s
+    words, at = [], 0
+    while text[at:].strip():
+        m = _FILTER_WORD.match(text, at)
+        if m is None:
+            raise ValueError(f"unsupported filter text: {text!r}")
+        words.append((m.lastgroup, m.group(m.lastgroup)))
+        at = m.end()
+    words.append(("end", ""))
+    words.reverse()
+
+    def take(kind=None, *values):
+        if (kind and words[-1][0] != kind) or (values and words[-1][1] not in values):
+            raise ValueError(f"unsupported filter text: {text!r}")
+        return words.pop()[1]
+
+    def literal():
+        if words[-1][0] == "number":
+            value = take()
+            return F.lit(float(value) if "." in value else int(value))
+        return F.lit(take("text")[1:-1])
+
+    def many(part, *ops):
+        out = part()
+        while words[-1][1] in ops:
+            out = out & part() if take()[0] == "&" else out | part()
+        return out
+
+    def one():
+        if words[-1] == ("op", "!"):
+            take()
+            return ~one()
+        if words[-1] == ("op", "("):
+            take()
+            out = either()
+            take("op", ")")
+            return out
+        name = take("name")
+        if words[-1] == ("op", "("):
+            if name != "is.na":
+                raise ValueError(f"unsupported filter text: {text!r}")
+            take()
+            name = take("name")
+            take("op", ")")
+            return col(name).isNull()
+        op = take("op", "%in%", "==", "!=", "<", ">", "<=", ">=")
+        if op == "%in%":
+            take("name", "c")
+            take("op", "(")
+            values = [literal()]
+            while take("op", ",", ")") == ",":
+                values.append(literal())
+            return col(name).isin(*values)
+        value = literal()
+        return {"==": col(name) == value, "!=": col(name) != value, "<": col(name) < value, ">": col(name) > value,
+                "<=": col(name) <= value, ">=": col(name) >= value}[op]
+
+    def either():
+        return many(lambda: many(one, "&", "&&"), "|", "||")
+
+    out = either()
+    take("end")
+    return out
 
 
 def read_extracts(spark, paths, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
@@ -65,7 +126,7 @@ def read_extracts(spark, paths, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     raw = (spark.read.option("header", True).option("sep", ";").csv(paths)
            .select("*", F.col("_metadata.file_name").alias("Friskvik")))
     sel = [F.col("Friskvik")] + ([F.col("ETAB")] if "ETAB" in raw.columns else [])
-    sel += [typed_column(c, spec) for c in raw.columns if c not in ("Friskvik", "ETAB")]
+    sel += [typed_column(c, spec, dtype) for c, dtype in raw.dtypes if c not in ("Friskvik", "ETAB")]
     return raw.select(*sel)
 
 
@@ -78,26 +139,27 @@ def filter_cube_to_extracts(cube: DataFrame, extracts: DataFrame, spec: CubeSpec
     """
     roles = identify_coltypes(extracts.drop("Friskvik"), cube, spec)
     dims = [d for d in roles.commondims if d != spec.period]
-    out = None
-    for d in dims:
-        lv = extracts.select(F.col("Friskvik").alias("__fk"), col(d).alias("__lv")).distinct()
-        if out is None:
-            out = cube.join(lv, col(d).eqNullSafe(F.col("__lv"))).withColumnRenamed("__fk", "Friskvik").drop("__lv")
-        else:
-            out = out.join(lv, (F.col("Friskvik") == F.col("__fk")) & col(d).eqNullSafe(F.col("__lv")),
-                           "left_semi")
-    if out is None:
-        # no shared dimension: every extract sees the whole cube; the id list
-        # is bounded by the number of extracts
-        ids = extracts.agg(F.array_sort(F.collect_set("Friskvik"))).scalar()
-        out = cube.select("*", F.explode(ids).alias("Friskvik"))
+    # Which extracts have a level, for all dimensions in one lookup; a row then
+    # appears once for each extract that has all of its levels, never before.
+    # A list is bounded by the number of extracts, the lookup by their levels.
+    out, matching = cube, None
+    if dims:
+        keys = F.explode(F.array(*[_level_key(d, col(d)) for d in dims]))
+        lookup = checked_broadcast(extracts.select(keys.alias("__key"), "Friskvik").groupBy("__key").agg(F.collect_set("Friskvik").alias("__ex")))
+        for k, d in enumerate(dims):
+            level = lookup.select(F.col("__key").alias(f"__k{k}"), F.col("__ex").alias(f"__e{k}"))
+            out = out.join(level, _level_key(d, col(d)) == F.col(f"__k{k}"))
+            matching = F.col(f"__e{k}") if matching is None else F.array_intersect(matching, F.col(f"__e{k}"))
+    else:
+        matching = F.lit(extracts.agg(F.array_sort(F.collect_set("Friskvik"))).first()[0] or [])
+    out = out.select(*[col(c) for c in cube.columns], F.explode(matching).alias("Friskvik"))
     # ETAB: one predicate per extract (their number is bounded by the extracts)
     if "ETAB" in extracts.columns:
         preds = [r for r in extracts.select("Friskvik", "ETAB").distinct().collect() if r["ETAB"]]
         if preds:
             cond = None
             for r in preds:
-                c = (F.col("Friskvik") == r["Friskvik"]) & ~F.expr(etab_predicate(r["ETAB"]))
+                c = (F.col("Friskvik") == r["Friskvik"]) & ~etab_predicate(r["ETAB"])
                 cond = c if cond is None else cond | c
             out = out.where(~cond)
     ind = indicator_of(F.col("Friskvik"))
@@ -245,7 +307,7 @@ def check_friskvik(extracts: DataFrame, cube: DataFrame, cube_filename: str, con
         rep = rep.join(p, "Friskvik", "left")
     rep = rep.withColumn("SISTE_AAR", F.when(F.col("KUBE_NAVN") == cubename, F.when(
         F.col("__emax") == F.col("__cmax"), "Yes").otherwise("!!NO!!")))
-    ref = spec_table.where(F.col("Kolonne") == "REFVERDI_VP").agg(F.first("Innhold", ignorenulls=True)).scalar()
+    ref = spec_table.where(F.col("Kolonne") == "REFVERDI_VP").agg(F.max("Innhold")).scalar()
     pub = published.where(F.col("file") == get_cubefilename(cube_filename)).agg(F.count(F.lit(1)) > 0).scalar()
     loaded = F.col("KUBE_NAVN") == cubename
     missing = lambda c, text: F.when(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""),
@@ -309,10 +371,9 @@ def check_friskvik_files(spark, extract_paths, cube_folders, spec_folder: str, c
                      spark.createDataFrame([], "Tabell string, Kolonne string, Innhold string"))
         reports.append(check_friskvik(part, cube, ref.filename, control, spec_rows, published, profile,
                                       geolevel, year, spec))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    if not reports:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in REPORT_COLS))
+    return reduce(DataFrame.unionByName, reports)
 
 
 def _not_loaded(extracts: DataFrame, _unused) -> DataFrame:

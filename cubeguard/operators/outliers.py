@@ -2,8 +2,8 @@
 
 Plan shape of :func:`flag_outliers` (per cube): one exchange by series
 (all dimensions but the period) for the change from the last observation,
-then ONE exchange by stratum (level + dimensions but area and period) shared
-by the fences on the value and the fences on the change.
+then one computation of weights per (stratum, value) shared by the fences on
+the value and the fences on the change, joined back as a small table.
 """
 
 from __future__ import annotations
@@ -11,13 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeguard.functions.quantile import weighted_fences, weighted_fences_grouped, weighted_fences_stacked
+from cubeguard.functions.quantile import ROWS_PER_RANGE, STATS, ranges_for, weighted_fences
 from cubeguard.operators.geo import split_kommuneniv
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, identify_coltypes, profile_cube
 
-FENCE_COLS = ("MIN", "wq25", "wq50", "wq75", "MAX", "LOW", "HIGH")
-
-
 def add_changeval(df: DataFrame, val: str, by, period: str = "AAR") -> DataFrame:
     """``change_<val>`` = 100 * (val / prev - 1).
 
@@ -33,74 +30,46 @@ def add_changeval(df: DataFrame, val: str, by, period: str = "AAR") -> DataFrame
     return df.withColumn(f"change_{val}", F.lit(100.0) * (F.try_divide(col(val), prev) - F.lit(1.0)))
 
 
-def add_outlier(df: DataFrame, val: str, by, change: bool = False, strategy: str = "window") -> DataFrame:
-    """Weighted fences per stratum and the OUTLIER flag.
-
-    ``by`` are the dimensions without the period; GEO is replaced by GEOniv.
-    Fence columns MIN, wq25, wq50, wq75, MAX, LOW, HIGH, OUTLIER (prefixed
-    ``change_`` for the change value).  Rows without a level keep NULL
-    fences and OUTLIER 0 (T13).
-    """
-    strata = ["GEOniv" if b == "GEO" else b for b in by]
-    value = f"change_{val}" if change else val
-    prefix = "change_" if change else ""
-    if strategy == "window":
-        out = weighted_fences(df, value, "WEIGHTS", [col(s) for s in strata], prefix)
-    else:  # hot strata: range-partitioned cumulative weights, fences joined back
-        out = weighted_fences_grouped(df, value, "WEIGHTS", strata, prefix, strategy)
-    fence_cols = [prefix + c for c in FENCE_COLS]
-    has_level = F.col("GEOniv").isNotNull()
-    out = out.withColumns({c: F.when(has_level, F.col(c)) for c in fence_cols})
-    v = col(value)
-    flag = F.when((v > F.col(prefix + "HIGH")) | (v < F.col(prefix + "LOW")), 1).otherwise(0)
-    return out.withColumn(prefix + "OUTLIER", flag)
-
-
 def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 10000.0,
-                  with_change: bool | None = None, spec: CubeSpec = DEFAULT_SPEC,
-                  quantile_strategy: str = "window", max_window_rows: int = 2_000_000) -> DataFrame:
+                  with_change: bool | None = None, spec: CubeSpec = DEFAULT_SPEC, profile=None,
+                  rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Split small municipalities, fences on the value, change value and
     fences on the change.  The change part is skipped when the cube has
-    fewer than two periods (``with_change=None`` checks this with one
-    distinct count).
+    fewer than two periods (``with_change=None`` takes it from the profile).
 
-    ``quantile_strategy``: "window" sorts each stratum in one task (fast for
-    the usual strata of areas x periods); "range" spreads hot strata over
-    range partitions (see ``functions.quantile.cumulative_weights``);
-    "auto" picks "range" unless the cube's profile (one single-row job, no
-    shuffle) bounds every stratum by ``max_window_rows`` rows.
+    ``profile`` bounds the rows of a stratum, which gives the number of value
+    ranges, and the number of strata; it is one single-row job if not given.
     """
     dt = split_kommuneniv(cube, small_threshold)
-    dims = [d for d in identify_coltypes(dt, spec=spec).dims_new if d != spec.period]
+    roles = identify_coltypes(dt, spec=spec)
+    dims = [d for d in roles.dims_new if d != spec.period]
+    profile = profile or profile_cube(dt, list(roles.dims_new), spec)
     if with_change is None:
-        with_change = dt.select(spec.period).distinct().limit(2).count() >= 2
-    strategy = quantile_strategy
-    if strategy == "auto":
-        bound = profile_cube(dt, [], spec).stratum_bound
-        strategy = "range" if bound is None or bound > max_window_rows else "window"
+        with_change = profile.n_periods >= 2
     if with_change:
         dt = add_changeval(dt, outlierval, dims, spec.period)
-    if strategy != "window":
-        # both measures' fences from one stacked range computation
-        return add_outliers_stacked(dt, outlierval, dims, with_change, strategy)
-    dt = add_outlier(dt, outlierval, dims, change=False, strategy=strategy)
-    if with_change:
-        dt = add_outlier(dt, outlierval, dims, change=True, strategy=strategy)
-    return dt
+    return add_outliers(dt, outlierval, dims, with_change, ranges_for(profile.stratum_bound, rows_per_range),
+                        profile.strata_bound)
 
 
-def add_outliers_stacked(df: DataFrame, val: str, by, with_change: bool, strategy: str = "range") -> DataFrame:
-    """W2 for the value and (optionally) its change in one pass: the same
-    fences and flags as :func:`add_outlier` twice, with columns in the same
-    order."""
+def add_outliers(df: DataFrame, val: str, by, with_change: bool, n_ranges: int = 1,
+                 strata_bound: int | None = None) -> DataFrame:
+    """Weighted fences per stratum and the OUTLIER flag, for the value
+    and (optionally) its change.
+
+    ``by`` are the dimensions without the period; GEO is replaced by GEOniv.
+    Fence columns MIN, wq25, wq50, wq75, MAX, LOW, HIGH, OUTLIER (prefixed
+    ``change_`` for the change value).  Rows without a level keep NULL
+    fences and OUTLIER 0 (T13).
+    """
     strata = ["GEOniv" if b == "GEO" else b for b in by]
     specs = [(val, "")] + ([(f"change_{val}", "change_")] if with_change else [])
-    out = weighted_fences_stacked(df, specs, "WEIGHTS", strata, strategy)
+    out = weighted_fences(df, specs, "WEIGHTS", strata, n_ranges, strata_bound)
     has_level = F.col("GEOniv").isNotNull()
     base = [c for c in df.columns]
     cols = []
     for value, prefix in specs:
-        fence_cols = [prefix + c for c in FENCE_COLS]
+        fence_cols = [prefix + c for c in STATS]
         out = out.withColumns({c: F.when(has_level, F.col(c)) for c in fence_cols})
         v = col(value)
         out = out.withColumn(prefix + "OUTLIER",

@@ -23,6 +23,10 @@ from cubeguard.spec import (
 )
 
 
+#: Area codes are numbered in ranges of so many codes.
+AREA_RANGE = 1000
+
+
 def plot_cols(df: DataFrame, change: bool = False, outlierval: str | None = None) -> dict:
     """K4 helper: value, outlier and fence column names (``change_`` prefixed)."""
     v = outlierval or select_outlier_pri(df)
@@ -63,17 +67,18 @@ def boxplot_points(flagged: DataFrame, change: bool = False, onlynew: bool = Tru
     return d.select(*[col(c) for c in bycols], label.alias("label"), col(pc["plotvalue"]).alias("yval"))
 
 
-def timeseries_data(flagged: DataFrame, show_n_years: int | None = 10, onlynew: bool = True,
+def timeseries_data(flagged: DataFrame, show_n_years: int | None = None, onlynew: bool = True,
                     change: bool = False, show_change_low: float = -10, show_change_high: float = 20,
                     outlierval: str | None = None, panels_per_page: int = 25,
                     spec: CubeSpec = DEFAULT_SPEC, n_periods: int | None = None) -> DataFrame | None:
     """Series (area + dims but period) that contain an outlier, with
-    page numbers of ``panels_per_page`` series, over the last
-    ``show_n_years`` periods (exactly n, T12).
+    page numbers of ``panels_per_page`` series, over all periods or the last
+    ``show_n_years`` (exactly n, T12).
 
     Page numbers come from a distributed row number: series are counted per
-    area (a table bounded by the number of areas), offsets are the running
-    sums of those counts, and each series adds its rank within its area.
+    area and per range of ``AREA_RANGE`` area codes; a range's offset is the
+    running sum over the few ranges, an area's the running sum within its
+    range, and each series adds its rank within its area.
     """
     pc = plot_cols(flagged, change, outlierval)
     pv = pc["plotvalue"]
@@ -100,12 +105,15 @@ def timeseries_data(flagged: DataFrame, show_n_years: int | None = 10, onlynew:
     strata = strata.where((F.col("n_outlier") > 0) & (F.col("n_obs") > 0)).drop("__min", "__max")
     # distributed row number in (bycols) order
     geo = spec.geo
-    per_geo = strata.groupBy(geo).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = per_geo.withColumn(
-        "__off", F.sum("__n").over(Window.orderBy(geo).rowsBetween(Window.unboundedPreceding, -1))) \
-        .select(F.col(geo).alias("__g"), F.coalesce(F.col("__off"), F.lit(0)).alias("__off"))
+    per_geo = strata.groupBy(geo).agg(F.count(F.lit(1)).alias("__n")).withColumn("__range", F.floor(col(geo) / AREA_RANGE))
+    before = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = per_geo.groupBy("__range").agg(F.sum("__n").alias("__n")).select(
+        F.col("__range").alias("__r"), before(Window.orderBy("__range")).alias("__start"))
+    offsets = per_geo.withColumn("__off", before(Window.partitionBy("__range").orderBy(geo))) \
+        .join(ranges, F.col("__range").eqNullSafe(F.col("__r"))) \
+        .select(F.col(geo).alias("__g"), (F.col("__off") + F.col("__start")).alias("__off"))
     rn = F.row_number().over(Window.partitionBy(geo).orderBy(*[col(b) for b in bycols[1:]]))
-    strata = strata.withColumn("__rn", rn).join(offsets, F.col(geo) == F.col("__g")).drop("__g")
+    strata = strata.withColumn("__rn", rn).join(offsets, F.col(geo).eqNullSafe(F.col("__g"))).drop("__g")
     strata = strata.withColumn("page", (F.floor((F.col("__off") + F.col("__rn") - 1) / panels_per_page) + 1)
                                .cast("int")).drop("__off", "__rn")
     rows = d.select(*[col(b) for b in bycols], "AARh", v.alias("yval"),

@@ -1,8 +1,8 @@
 """The comparison pipeline (new vs old cube) and S1 (load a pair).
 
 Plan: both cubes get level flags (broadcast joins against distinct level
-lists), change values (exchange by series) and fences (one exchange by
-stratum).  Then ONE null-safe full outer join on the common dimensions
+lists), change values (exchange by series) and fences (one computation by
+stratum, joined back as a small table).  Then ONE null-safe full outer join on the common dimensions
 yields both the new cube's previous-outlier flags (W4) and the comparison
 cube (C3), so each flagged cube is shuffled by the keys only once.
 The only actions are two single-row profiles (totals, number of periods).
@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubeguard.functions.quantile import ROWS_PER_RANGE
 from cubeguard.operators.compare import add_diffcolumns, add_totals_for_missing_dims, uprikk_rebuild
 from cubeguard.operators.geo import exclude_lks_for_compare
 from cubeguard.operators.levels import flag_rows
@@ -36,14 +37,12 @@ class CompareResult:
 
 def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
                      small_threshold: float = 10000.0, spec: CubeSpec = DEFAULT_SPEC,
-                     reference_parenthesis: bool = False, quantile_strategy: str = "auto",
-                     max_window_rows: int = 2_000_000, materialize: bool = False) -> CompareResult:
+                     reference_parenthesis: bool = False, rows_per_range: int = ROWS_PER_RANGE,
+                     materialize: bool = False) -> CompareResult:
     """Flagged new cube, flagged old cube and comparison cube (all lazy).
 
-    ``quantile_strategy="auto"`` picks, per cube, the one-task-per-stratum
-    window plan when the profile proves no stratum exceeds
-    ``max_window_rows`` rows, and the range-split plan for hot strata
-    otherwise (no extra job: the bound comes from the profile).
+    A stratum's values are cut into ranges of about ``rows_per_range`` rows for
+    its fences; how many follows from the profile's bound of a stratum's rows.
 
     ``materialize=True`` writes the joined new/old table once as a table in
     the shared checkpoint folder and derives the flagged new cube and the
@@ -73,7 +72,7 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
                          level_bound=None if prof_old is None else prof_old.level_bound + len(added_old))
     if outlierval is not None:
         new_flag = flag_outliers(new_flag, outlierval, small_threshold, prof_new.n_periods >= 2, spec,
-                                 _strategy(quantile_strategy, prof_new, max_window_rows))
+                                 prof_new, rows_per_range)
     if old is None:
         return CompareResult(new_flag, None, None, roles, outlierval, prof_new.n_periods)
 
@@ -81,21 +80,13 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
                          level_bound=prof_new.level_bound + len(added_new))
     if outlierval is not None:
         old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec,
-                                 _strategy(quantile_strategy, prof_old, max_window_rows))
+                                 prof_old, rows_per_range)
 
     newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis,
                                               materialize)
     return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval, prof_new.n_periods)
 
 
-def _strategy(requested: str, prof, max_window_rows: int) -> str:
-    if requested != "auto":
-        return requested
-    if prof.stratum_bound is None or prof.stratum_bound > max_window_rows:
-        return "range"
-    return "window"
-
-
 def _add_totals(dt, ref, dims, ref_totals, spec):
     dims = list(dims or [])
     if not dims:

@@ -92,7 +92,7 @@ def _more():
     ORACLES["a1_collapse_total"] = W(select="SELECT * FROM newcube WHERE KJONN = 0")
     ORACLES["a1_collapse_mean"] = W(select=f"""
       SELECT GEO, AAR, KJONN, 'Total' AS ALDER, INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
-             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg("RATE.n")', 6)} AS "RATE.n",
+             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg(RATE)', 6)} AS RATE, {R('avg("RATE.n")', 6)} AS "RATE.n",
              arg_min(SPVFLAGG, ALDER) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
              arg_min(GEOniv, ALDER) AS GEOniv, arg_min(WEIGHTS, ALDER) AS WEIGHTS
       FROM newcube WHERE ALDER <> '1_7' GROUP BY GEO, AAR, KJONN, INNVKAT""")
@@ -103,7 +103,7 @@ def _more():
              arg_min(GEOniv, ALDER) AS GEOniv, arg_min(WEIGHTS, ALDER) AS WEIGHTS
       FROM newcube WHERE ALDER <> '1_7' AND INNVKAT <> 0 GROUP BY GEO, AAR, KJONN, INNVKAT)""", select=f"""
       SELECT GEO, AAR, KJONN, ALDER, 'Total' AS INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
-             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg("RATE.n")', 6)} AS "RATE.n",
+             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg(RATE)', 6)} AS RATE, {R('avg("RATE.n")', 6)} AS "RATE.n",
              arg_min(SPVFLAGG, INNVKAT) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
              arg_min(GEOniv, INNVKAT) AS GEOniv, arg_min(WEIGHTS, INNVKAT) AS WEIGHTS
       FROM a2_s1 GROUP BY GEO, AAR, KJONN, ALDER""")
@@ -175,7 +175,7 @@ def _more():
     ORACLES["a7_geolevel_bk"] = a7("GEO IN (100, 201, 302, 403) OR GEOniv = 'B'", "Kommune", "Bydel", True)
     ORACLES["a7_geolevel_oo"] = a7("GEO IN (1, 100)", "Fylke", "Kommune")
 
-    def a8(kind, maxrows=4000):
+    def a8(kind, top=None):
         bad = "CASE WHEN value IS NULL THEN 1 ELSE 0 END" if kind == "missing" else \
               "CASE WHEN SPVFLAGG <> 0 THEN 1 ELSE 0 END"
         return W(
@@ -194,13 +194,12 @@ def _more():
                         CASE WHEN count(*) FILTER (WHERE GEOniv = 'K') > 0 THEN coalesce(sum(value) FILTER (WHERE GEOniv = 'K'), 0.0) END AS k,
                         CASE WHEN count(*) FILTER (WHERE GEOniv = 'B') > 0 THEN coalesce(sum(value) FILTER (WHERE GEOniv = 'B'), 0.0) END AS b
                       FROM a8_c GROUP BY ALL) x)""",
-            select=f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY KOMMUNE, TARGET
-                   ORDER BY UNKNOWN_pct DESC NULLS LAST, AAR, KJONN, ALDER, INNVKAT) AS rn FROM a8_r)
-                   WHERE (SELECT count(*) FROM a8_r) <= {maxrows}
-                      OR rn <= floor({float(maxrows)} / (SELECT count(*) FROM (SELECT DISTINCT KOMMUNE, TARGET FROM a8_r)))""")
+            select="SELECT * FROM a8_r" if top is None else f"""
+                   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY KOMMUNE, TARGET
+                   ORDER BY UNKNOWN_pct DESC NULLS LAST, AAR, KJONN, ALDER, INNVKAT) AS rn FROM a8_r) WHERE rn <= {top}""")
     ORACLES["a8_unknown_district"] = a8("missing")
     ORACLES["a8_unknown_district_censored"] = a8("censored")
-    ORACLES["w8_topn"] = a8("missing", 400)
+    ORACLES["w8_topn"] = a8("missing", 50)
 
     # A10
     vals = ["TELLER_uprikk", "NEVNER", "RATE", "RATE.n", "SPVFLAGG"]
@@ -315,9 +314,8 @@ def _plots():
         by = "GEO, KJONN, ALDER, INNVKAT, UTDANN"
         return W(*NF, f"""w7_d AS (SELECT *, CAST(substr(AAR, 6, 4) AS INTEGER) AS AARh FROM c1_newflag
                           WHERE GEOniv IS NOT NULL AND {v} IS NOT NULL)""",
-                 "w7_d2 AS (SELECT * FROM w7_d WHERE AARh > (SELECT max(AARh) FROM w7_d) - 10)",
                  f"""w7_s AS (SELECT {by}, CAST(sum(NEW_OUTLIER) AS BIGINT) AS n_outlier, count({v}) AS n_obs,
-                            0.5 * (max({v}) + min({v})) AS y_middle FROM w7_d2 GROUP BY {by} {extra})""",
+                            0.5 * (max({v}) + min({v})) AS y_middle FROM w7_d GROUP BY {by} {extra})""",
                  f"""w7_p AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY {by}) - 1) / 25) + 1 AS INTEGER) AS page
                             FROM w7_s WHERE n_outlier > 0 AND n_obs > 0)""",
                  select=f"""SELECT p.*, d.AARh, d.{v} AS yval, round_even(d.TELLER_uprikk, 0) AS tv,
@@ -326,7 +324,7 @@ def _plots():
                         WHEN d.{'change_OUTLIER' if change else 'OUTLIER'} = 1
                              AND d.{'change_NEW_OUTLIER' if change else 'NEW_OUTLIER'} = 0 THEN 'Previous outlier'
                         WHEN d.{'change_OUTLIER' if change else 'OUTLIER'} = 1 THEN 'New outlier' END AS ollabel
-                   FROM w7_p p JOIN w7_d2 d USING ({by})""")
+                   FROM w7_p p JOIN w7_d d USING ({by})""")
     ORACLES["w7_series"] = w7("RATE", False)
     w7c = w7("change_RATE", True).replace("sum(NEW_OUTLIER)", "sum(change_NEW_OUTLIER)")
     ORACLES["w7_series_change"] = w7c
@@ -341,7 +339,7 @@ def _plots():
           UNION ALL
           SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, sum(RATE * WEIGHTS) / nullif(sum(WEIGHTS), 0) AS y,
                  'Vektet bydel' AS type FROM a15_d WHERE GEOniv = 'B' GROUP BY KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN)""",
-        select=f"""SELECT * EXCLUDE (y), {R('y', 2)} AS y FROM (SELECT *, count(*) OVER (PARTITION BY KOMMUNE, type, KJONN, ALDER, INNVKAT, UTDANN) AS N
+        select=f"""SELECT * EXCLUDE (y), {R('y', 6)} AS y FROM (SELECT *, count(*) OVER (PARTITION BY KOMMUNE, type, KJONN, ALDER, INNVKAT, UTDANN) AS N
                    FROM a15_t) WHERE N > 1""")
     blocks = []
     for dim, filt in (("Total", "KJONN = 0 AND ALDER = '1_7' AND INNVKAT = 0"),

@@ -190,19 +190,17 @@ def q_a1_total(spark, sf_dir):
 @register("a1_collapse_mean")
 def q_a1_mean(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
-    # RATE's mean is left out of the comparison: a mean of non-integer
-    # doubles depends on the summation order, which differs between engines;
-    # the integral-valued measures exercise the same averaging exactly.
-    out = aggregate_cube(new.where(F.col("ALDER") != "1_7"), "ALDER").drop("RATE")
-    return _r6(out, ["NEVNER", "RATE.n"])
+    # a mean of doubles depends on the summation order in its last bits
+    out = aggregate_cube(new.where(F.col("ALDER") != "1_7"), "ALDER")
+    return _r6(out, ["NEVNER", "RATE", "RATE.n"])
 
 
 @register("a2_collapse_multi")
 def q_a2(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
     d = new.where((F.col("ALDER") != "1_7") & (F.col("INNVKAT") != 0))
-    out = aggregate_cube_multi(d, ["ALDER", "INNVKAT"]).drop("RATE")  # see a1_collapse_mean
-    return _r6(out, ["NEVNER", "RATE.n"])
+    out = aggregate_cube_multi(d, ["ALDER", "INNVKAT"])
+    return _r6(out, ["NEVNER", "RATE", "RATE.n"])
 
 
 # ----------------------------------------------------------------- C / W
@@ -313,7 +311,9 @@ def q_a8_c(spark, sf_dir):
 @register("w8_topn")
 def q_w8(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
-    return checks.unknown_bydel(new, fx.CITY_PARENTS, "missing", crop=True, maxrows=400)
+    out = checks.unknown_bydel(new, fx.CITY_PARENTS, "missing")
+    return checks.top_n_per_group(out, ["KOMMUNE", "TARGET"], F.col("UNKNOWN_pct").desc_nulls_last(), 50,
+                                  tie_break=["AAR", "KJONN", "ALDER", "INNVKAT"])
 
 
 @register("a10_diffvals")
@@ -400,11 +400,9 @@ def q_w7_change(spark, sf_dir):
 
 @register("a15_trend")
 def q_a15(spark, sf_dir):
-    # y is a weighted mean of non-integer doubles; compared at 2 decimals (the
-    # publication precision of rates)
-    # because its last bits depend on the summation order
+    # y is a weighted mean of doubles: its last bits depend on the summation order
     out = plotdata.bydel_trendlines(_compare(spark, sf_dir).newcube_flag, fx.CITY_PARENTS)
-    return out.withColumn("y", round_half_even(F.col("y"), 2))
+    return out.withColumn("y", round_half_even(F.col("y"), 6))
 
 
 @register("a16_country")
@@ -577,7 +575,7 @@ def q_p11(spark, sf_dir):
 
 @register("w2_weighted_fences_range")
 def q_w2_range(spark, sf_dir):
-    """W2 with the hot-stratum strategy (range-split cumulative weights)."""
+    """W2 with every stratum cut into value ranges, as a hot one would be."""
     new, old, thr = _pair(spark, sf_dir)
-    nf = make_comparecube(new, old, small_threshold=thr, quantile_strategy="range").newcube_flag
+    nf = make_comparecube(new, old, small_threshold=thr, rows_per_range=200).newcube_flag
     return nf.select(*_STRATA, *_FENCES, *["change_" + c for c in _FENCES]).distinct()

@@ -32,9 +32,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-_CONNECT_SCRATCH = None
-
-
 def session_id(spark: SparkSession) -> str:
     """Identifier of the running application (classic or Connect)."""
     try:
@@ -47,28 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is
-    used as is.  Only when it is unset (local tests) a scratch folder is
-    created and registered on the context.
+    used as is; without it this is an error, as each executor would write to
+    its own disk.  Only a local master (tests) gets a scratch folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
-    if sc is None:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
-            return current
-        global _CONNECT_SCRATCH
-        if _CONNECT_SCRATCH is None:
-            _CONNECT_SCRATCH = tempfile.mkdtemp(prefix="cubeguard-ckpt-")
-        return _CONNECT_SCRATCH
-    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        sc.setCheckpointDir(current)
         return current
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="cubeguard-ckpt-")
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -40,17 +40,9 @@ class CubeRef:
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
     """Names of the entries of ``folder`` (Hadoop FileSystem listing, so
-    local folders, HDFS and object stores work alike; a plain local listing
-    when the session has no JVM gateway, as under Spark Connect)."""
-    try:
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
-    except Exception:
-        import os
-        local = folder[len("file:"):] if folder.startswith("file:") else folder
-        if not os.path.isdir(local):
-            return []
-        return sorted(os.path.join(local, f) for f in os.listdir(local))
+    local folders, HDFS and object stores work alike)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(folder)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
@@ -80,15 +72,22 @@ def find_cube(spark: SparkSession, cubename: str, root: str) -> str:
     raise FileNotFoundError(f"{cubename} not found in QC or DATERT, check spelling")
 
 
-def typed_column(c: str, spec: CubeSpec = DEFAULT_SPEC):
+def typed_column(c: str, spec: CubeSpec = DEFAULT_SPEC, dtype: str = "string"):
     """S5/S6 type rule for one column: string dimensions as text, integral
     codes (numeric dimensions, SPVFLAGG) as BIGINT, everything else as
-    DOUBLE; a value that does not parse becomes NULL (``try_cast``)."""
-    if c in spec.string_dims:
-        return col(c).cast("string").alias(c)
-    if c in spec.numeric_dims or c in INTEGRAL_MEASURES:
-        return col(c).cast("string").try_cast("double").try_cast("bigint").alias(c)
-    return col(c).cast("string").try_cast("double").alias(c)
+    DOUBLE; a value that does not parse becomes NULL (``try_cast``).
+
+    A column that has its type already (``dtype``) is left as it is, so
+    filters on it reach the parquet scan.
+    """
+    integral = c in spec.numeric_dims or c in INTEGRAL_MEASURES
+    target = "string" if c in spec.string_dims else "bigint" if integral else "double"
+    if dtype == target:
+        return col(c)
+    if target == "string" or dtype in ("tinyint", "smallint", "int") or (dtype, target) == ("float", "double"):
+        return col(c).cast(target).alias(c)  # widens, or names the value
+    value = col(c).cast("string").try_cast("double")
+    return (value if target == "double" else value.try_cast("bigint")).alias(c)
 
 
 def find_by_datetag(spark: SparkSession, folders, datetag: str, cubename: str | None = None) -> list[str]:
@@ -107,7 +106,7 @@ def find_by_datetag(spark: SparkSession, folders, datetag: str, cubename: str |
 
 def type_columns(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Apply :func:`typed_column` to every column."""
-    return df.select(*[typed_column(c, spec) for c in df.columns])
+    return df.select(*[typed_column(c, spec, dtype) for c, dtype in df.dtypes])
 
 
 def rename_columns(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> tuple[DataFrame, list]:
@@ -145,11 +144,10 @@ def renamed_columns_report(spark: SparkSession, ref: CubeRef) -> DataFrame:
     return spark.createDataFrame(ref.renamed or [], "original string, new string")
 
 
-def forbidden_outcols(df: DataFrame, ref: CubeRef) -> list[str]:
-    """Uncensored count columns present in a geo-uncensored file."""
-    if ref.version != "New" or "ikkegeoprikket_" not in ref.filename:
-        return []
-    return [c for c in df.columns if c in FORBIDDEN_OUTCOLS]
+def forbidden_outcols(df: DataFrame, ref: CubeRef) -> DataFrame:
+    """Uncensored count columns present in a geo-uncensored file, as rows."""
+    checked = ref.version == "New" and "ikkegeoprikket_" in ref.filename
+    return df.sparkSession.createDataFrame([(c,) for c in df.columns if checked and c in FORBIDDEN_OUTCOLS], "column string")
 
 
 def load_pair(spark: SparkSession, cube_new: str, root: str, cube_old: str | None = None,

@@ -207,15 +207,12 @@ def _memo_key(spark: SparkSession, sf_dir: str, kind: str):
     """Fixture tables are written once per session and input folder; the
     key includes the input files' sizes and times, so changed inputs are
     rebuilt."""
-    import os
+    conf = spark._jsc.hadoopConfiguration()
     stamp = []
     for name in ("lineitem", "orders", "customer", "nation"):
-        p = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            stamp.append((st.st_size, st.st_mtime_ns))
-        except OSError:
-            stamp.append(None)
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        st = p.getFileSystem(conf).getFileStatus(p)
+        stamp.append((st.getLen(), st.getModificationTime()))
     from cubeguard.session import session_id
     return (session_id(spark), sf_dir, kind, tuple(stamp))
 

@@ -204,6 +204,9 @@ class CubeProfile:
     # upper bound of the distinct (dimension, level) pairs of ``dims`` (the
     # level-key table of the level joins), NULL counted as a level
     level_bound: int | None = None
+    # upper bound of the strata; twice the estimate, as small municipalities
+    # become a level of their own
+    strata_bound: int | None = None
 
 
 def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
@@ -226,6 +229,9 @@ def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
         aggs.append(F.approx_count_distinct(col(d), _HLL_RSD).alias(f"{d}__nd"))
     aggs.append(F.count(F.lit(1)).alias("__n"))
     # HyperLogLog buffers are fixed-size and merged map-side
+    strata = [c for c in dims if c not in (spec.geo, spec.period)] + (["GEOniv"] if "GEOniv" in cube.columns else [])
+    if strata:
+        aggs.append(F.approx_count_distinct(F.xxhash64(*[col(c) for c in strata]), _HLL_RSD).alias("__nst"))
     for d, name in ((spec.geo, "__ngeo"), (spec.period, "__nper")):
         if d in cube.columns:
             aggs.append(F.approx_count_distinct(col(d), _HLL_RSD).alias(name))
@@ -264,7 +270,8 @@ def _profile_parse(row: dict, cube: DataFrame, dims, spec: CubeSpec) -> CubeProf
     if n_rows is not None:
         level_bound = min(level_bound, n_rows * max(len(dims), 1))
     return CubeProfile(totals=totals, n_periods=min(n_periods, 2), n_rows=n_rows, stratum_bound=bound,
-                       level_bound=level_bound)
+                       level_bound=level_bound,
+                       strata_bound=2 * up(row["__nst"]) if row.get("__nst") is not None else 2)
 
 
 def profile_cube(cube: DataFrame, dims, spec: CubeSpec = DEFAULT_SPEC) -> CubeProfile:

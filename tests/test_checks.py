@@ -37,12 +37,17 @@ def test_geolevel_errors(spark, new):
     assert checks.compare_geolevels(new.drop("TELLER", "TELLER_uprikk"), "FL", fx.CITY_PARENTS) is None
 
 
-def test_crop_equals_uncropped_when_small(new):
-    a = checks.unknown_bydel(new, fx.CITY_PARENTS, crop=True, maxrows=10 ** 9)
-    b = checks.unknown_bydel(new, fx.CITY_PARENTS, crop=False)
-    assert rows(a) == rows(b)
-    c = checks.unknown_bydel(new, fx.CITY_PARENTS, crop=True, maxrows=80)
-    assert c.groupBy("KOMMUNE", "TARGET").count().agg(F.max("count")).first()[0] <= 80 // 8
+def test_unknown_district_returns_every_row(spark, new):
+    """More rows than any screen shows: nothing is dropped."""
+    many = new.crossJoin(spark.range(4).select(F.concat(F.lit("x"), F.col("id")).alias("UTDANN")))
+    out = checks.unknown_bydel(many, fx.CITY_PARENTS)
+    assert out.count() == 4 * checks.unknown_bydel(new, fx.CITY_PARENTS).count() > 4000
+
+
+def test_top_n_is_per_group_whatever_their_number(spark):
+    df = spark.createDataFrame([(g, v) for g in range(10) for v in range(g % 3)], "g int, v int")
+    got = sorted(map(tuple, checks.top_n_per_group(df, ["g"], F.col("v").desc(), 1).collect()))
+    assert got == [(g, g % 3 - 1) for g in range(10) if g % 3]
 
 
 def test_check_censoring_unknown_cube(spark, new):

@@ -57,9 +57,9 @@ def test_uprikk_rebuild(spark):
     assert got == {0: (10.0, 9.0, 1.0), 1: (None, None, 0.0)}
 
 
-def test_auto_strategy_bound_and_equivalence(spark):
-    """The profile bounds every stratum; forcing the hot-stratum plan through
-    ``auto`` gives the same flagged cube as the one-task window plan."""
+def test_profile_bounds_and_ranges(spark):
+    """The profile bounds the rows of every stratum and their number; cutting
+    strata into many ranges gives the same flagged cube."""
     from cubeguard.spec import identify_coltypes, profile_cube
     new, old, thr = fx.fixture_pair(spark, SF)
     dims = [d for d in identify_coltypes(new).dims_new if d not in ("GEO", "AAR")]
@@ -69,8 +69,10 @@ def test_auto_strategy_bound_and_equivalence(spark):
     from cubeguard.functions.joins import level_keys
     dims_all = list(identify_coltypes(new).dims_new)
     assert level_keys(new, dims_all).count() <= prof.level_bound
-    win = make_comparecube(new, old, small_threshold=thr, quantile_strategy="window").newcube_flag
-    hot = make_comparecube(new, old, small_threshold=thr, max_window_rows=0).newcube_flag
+    from cubeguard.operators.geo import split_kommuneniv
+    assert split_kommuneniv(new, thr).select("GEOniv", *dims).distinct().count() <= prof.strata_bound
+    win = make_comparecube(new, old, small_threshold=thr).newcube_flag
+    hot = make_comparecube(new, old, small_threshold=thr, rows_per_range=50).newcube_flag
     cols = [c for c in win.columns]
     assert win.select(*[F.col(f"`{c}`") for c in cols]).exceptAll(
         hot.select(*[F.col(f"`{c}`") for c in cols])).count() == 0

@@ -25,7 +25,7 @@ def brute(values, weights, p):
 
 def run(spark, values, weights):
     df = spark.createDataFrame([("g", v, w) for v, w in zip(values, weights)], "g string, v double, w double")
-    r = weighted_fences(df, "v", "w", [F.col("g")]).select("wq25", "wq50", "wq75", "MIN", "MAX").first()
+    r = weighted_fences(df, [("v", "")], "w", ["g"]).select("wq25", "wq50", "wq75", "MIN", "MAX").first()
     return r
 
 
@@ -56,24 +56,24 @@ def test_against_brute_force(spark, data):
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 30), st.integers(0, 3)),
                 min_size=1, max_size=40))
-def test_range_strategy_equals_window(spark, data):
+def test_number_of_ranges_changes_nothing(spark, data):
     from cubeguard.functions.quantile import cumulative_weights, order_statistics
     df = spark.createDataFrame([(g, float(v), float(w)) for g, v, w in data], "g string, v double, w double")
     def key(t):
         return tuple((x is None, x) for x in t)
-    a = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w", "window").collect()), key=key)
-    b = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w", "range", n_ranges=4).collect()), key=key)
+    a = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w").collect()), key=key)
+    b = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w", n_ranges=4).collect()), key=key)
     assert a == b
-    o = {r.g: r for r in order_statistics(df, ["g"], "v", {"median": 0.5}, "range").collect()}
+    o = {r.g: r for r in order_statistics(df, ["g"], "v", {"median": 0.5}, 3).collect()}
     for g in {x for x, _, _ in data}:
         vals = [float(v) for x, v, _ in data if x == g]
         assert o[g].n == len(vals) and np.isclose(o[g].median, float(np.percentile(vals, 50)))
 
 
-def test_stacked_range_fences_equal_window(spark):
-    """Value and change fences from one stacked range computation equal the
-    two window computations: NULL level, NULL values, zero/NULL weights, ties."""
-    from cubeguard.operators.outliers import add_outlier, add_outliers_stacked
+def test_fences_of_value_and_change(spark):
+    """Value and change fences against brute force, with one range and with
+    many: NULL level, NULL values, zero/NULL weights, ties."""
+    from cubeguard.operators.outliers import add_outliers
     rng = np.random.default_rng(7)
     rows = []
     for i in range(300):
@@ -86,7 +86,21 @@ def test_stacked_range_fences_equal_window(spark):
     df = spark.createDataFrame(rows, "GEO long, GEOniv string, KJONN long, RATE double, change_RATE double, "
                                      "WEIGHTS double")
     by = ["GEO", "KJONN"]
-    win = add_outlier(add_outlier(df, "RATE", by), "RATE", by, change=True)
-    hot = add_outliers_stacked(df, "RATE", by, True, "range")
-    assert win.columns == hot.columns
-    assert win.exceptAll(hot).count() == 0 and hot.exceptAll(win).count() == 0
+    one = add_outliers(df, "RATE", by, True)
+    many = add_outliers(df, "RATE", by, True, n_ranges=5)
+    assert one.columns == many.columns
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+    for r in one.where("GEOniv is not null").dropDuplicates(["GEOniv", "KJONN"]).collect():
+        for k, prefix in ((3, ""), (4, "change_")):
+            own = [x for x in rows if (x[1], x[2]) == (r.GEOniv, r.KJONN) and x[k] is not None]
+            for p, name in ((0.25, "wq25"), (0.5, "wq50"), (0.75, "wq75")):
+                assert np.isclose(r[prefix + name], brute([x[k] for x in own], [x[5] or 0.0 for x in own], p))
+
+
+def test_weights_add_up_in_any_order(spark):
+    """An exact hit on p * tot does not depend on the order of the sums."""
+    rows = [("g", float(v), 0.1) for v in range(40)]
+    df = spark.createDataFrame(rows, "g string, v double, w double")
+    for n in (1, 4, 7):
+        r = weighted_fences(df.repartition(n), [("v", "")], "w", ["g"], n_ranges=n).first()
+        assert (r.wq25, r.wq50, r.wq75) == (9.5, 19.5, 29.5)
