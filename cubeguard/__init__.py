@@ -12,7 +12,6 @@ Layout
 ``sources``     cube readers, lookup builders, driver-table fixtures, sinks
 ``operators``   geography, levels, aggregation, flags, outliers and checks
 ``plans``       the comparison pipeline and the query registry
-``streaming``   (no streaming in the reference; see the module docstring)
 """
 
 from cubeguard.spec import CubeSpec, ColumnRoles, identify_coltypes  # noqa: F401

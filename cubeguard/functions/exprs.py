@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from cubeguard.spec import col, rounding_digits
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    """a / b, NULL when b is 0 or NULL (T1: never Inf/NaN, never an ANSI error)."""
-    return F.try_divide(a, b)
-
-
 def round_half_even(c: Column, digits: int) -> Column:
     """Round half to even at ``digits`` decimals.
 
@@ -95,12 +90,3 @@ def parent_name(geo: Column, geoniv: Column, parents: dict, child_level: str = "
         cond = text.startswith(str(code))
         expr = F.when(cond, name) if expr is None else expr.when(cond, name)
     return F.when(in_scope, expr)
-
-
-def level_order(geoniv: Column) -> Column:
-    """Sort key for level codes (L, H, F, K, k, B, V)."""
-    expr = None
-    for i, code in enumerate(GEO_LEVEL_ORDER):
-        cond = geoniv.cast("binary") == F.lit(code).cast("binary")
-        expr = F.when(cond, i) if expr is None else expr.when(cond, i)
-    return expr

@@ -52,8 +52,8 @@ def comparecube_summary(cc: DataFrame) -> DataFrame:
         # scaled values, one division, half-even at 3 decimals.  A float
         # average of such values hits exact ties whose side depends on the
         # summation order.
-        num = F.sum(F.when(in_stats & c.isNotNull(), F.round(c * sc).cast("bigint")
-                           * F.greatest(F.lit(1000) / sc, F.lit(1)).cast("bigint")))
+        num = F.sum(F.when(in_stats & c.isNotNull(), (F.round(c * sc).cast("bigint")
+                           * F.greatest(F.lit(1000) / sc, F.lit(1)).cast("bigint")).cast("decimal(38,0)"))).cast("double")
         den = F.count(F.when(in_stats, c)) * F.max(F.greatest(sc / F.lit(1000), F.lit(1))).cast("bigint")
         return F.bround(F.try_divide(num, den), 0) / F.lit(1000.0)
 

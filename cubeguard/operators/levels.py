@@ -107,6 +107,15 @@ def dcast(df: DataFrame, index, pivot_col: str, values, value_col: str, agg: str
     return df.groupBy(*index).pivot(pivot_col, list(values)).agg(fn(col(value_col)))
 
 
+def duplicate_keys(df: DataFrame, dims) -> DataFrame:
+    """Keys (``dims``) held by more than one row, with their number ``n``.
+
+    The comparison joins on the key, so a key held twice would multiply its
+    rows; this is the check to run first.  NULL levels count as levels.
+    """
+    return df.groupBy(*[col(d) for d in dims]).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
 def filter_cube(cube_new: DataFrame, cube_old: DataFrame, which: str = "new",
                 spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """keep rows whose level of every common dimension exists in the other cube.
@@ -180,11 +189,6 @@ def flag_rows(cube_new: DataFrame | None, cube_old: DataFrame | None, flag: str
     return out
 
 
-def filter_to_strata_of(df: DataFrame, ref: DataFrame, dims) -> DataFrame:
-    """keep rows whose level of each dim appears in ``ref``."""
-    return semi_filter(df, ref, dims)
-
-
 def district_scope(df: DataFrame, parents: dict, flag: str = "SPVFLAGG", period: str = "AAR",
                    child_level: str = "B") -> DataFrame:
     """the city rows and district rows, in periods that have at least one

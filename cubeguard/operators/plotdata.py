@@ -129,19 +129,23 @@ def timeseries_data(flagged: DataFrame, show_n_years: int | None = None, onlynew
 
 def bydel_trendlines(flagged: DataFrame, parents: dict, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame | None:
     """Population-weighted mean of the districts vs the municipality
-    per city, period and panel; series with a single point are dropped."""
+    per city, period and panel; series with a single point are dropped.
+
+    The weighted values are added up as decimals with six places, so the mean
+    does not depend on the order of the rows."""
     roles = identify_coltypes(flagged, spec=spec)
     pv = select_outlier_pri(flagged, roles=roles, spec=spec)
     d = district_scope(flagged.where(col(pv).isNotNull()), parents, spec.flag, spec.period)
     d = add_kommune(d, parents, spec.geo)
     bycols = ["KOMMUNE"] + [x for x in roles.dims_new if x != spec.geo]
     panels = [x for x in bycols if x not in ("KOMMUNE", spec.period)]
+    exact = lambda x: F.sum(x.cast("decimal(38,6)")).cast("double")
     v, w = col(pv), F.col("WEIGHTS")
 
     def wmean(level, label):
         part = d.where(F.col("GEOniv") == level)
         return part.groupBy(*[col(b) for b in bycols]).agg(
-            F.try_divide(F.sum(v * w), F.sum(w)).alias("y")).withColumn("type", F.lit(label))
+            F.try_divide(exact(v * w), exact(w)).alias("y")).withColumn("type", F.lit(label))
     bydel = wmean("B", "Vektet bydel")
     kperiods = d.where(F.col("GEOniv") == "B").select(spec.period).distinct()
     kommune = wmean("K", "Kommune").join(kperiods, spec.period, "left_semi")

@@ -147,3 +147,21 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
         sel.append(F.when(F.col("__exprow") == 0, col(f"{v}_old")).alias(f"{v}_old"))
     comparecube = add_diffcolumns(cc.select(*sel), vals)
     return newcube_flag, comparecube
+
+
+def read_and_compare(spark, cube_new: str, root: str, cube_old: str | None = None, dump_dir: str | None = None,
+                     dumps=("newcube_flag", "oldcube_flag", "comparecube"), recode_new: bool = False,
+                     recode_old: bool = False, codemap: DataFrame | None = None, popinfo: DataFrame | None = None,
+                     dump_format: str = "parquet", **settings):
+    """S1 end to end: find and read the cube files, recode areas, add geo
+    parameters, compare (C1) and write the requested dumps (K2).
+
+    Returns (result, dump name -> path).  The comparison is written once to
+    the shared folder, as the dumps and later checks read it again.
+    """
+    from cubeguard.sources.cubes import load_pair
+    from cubeguard.sources.sinks import save_dumps
+    (new, new_ref), old = load_pair(spark, cube_new, root, cube_old, recode_new, recode_old, codemap, popinfo)
+    result = make_comparecube(new, old[0] if old else None, materialize=True, **settings)
+    written = {} if dump_dir is None else save_dumps(result, dump_dir, new_ref, old[1] if old else None, dumps, dump_format)
+    return result, written

@@ -13,12 +13,9 @@ _SEG = ("CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHE
         "WHEN 'HOUSEHOLD' THEN 4 WHEN 'MACHINERY' THEN 5 END")
 
 FIXTURE_CTES = f"""
-fx_cells AS (
-  SELECT r, n, s, y, kj, band, innv, utd, in_old,
-         sum(q_r) AS t, sum(q) AS nv, count(*) AS cnt
-  FROM (
+fx_base AS (
     SELECT CAST(na.n_regionkey AS BIGINT) AS r, CAST(na.n_nationkey AS BIGINT) AS n,
-           CAST({_SEG} AS BIGINT) AS s,
+           CAST({_SEG} AS BIGINT) AS s, l.l_suppkey AS sup,
            year(o.o_orderdate) AS y,
            CAST(CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 2 END AS BIGINT) AS kj,
            CASE WHEN l.l_linenumber BETWEEN 1 AND 2 THEN '1_2'
@@ -33,7 +30,14 @@ fx_cells AS (
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN customer c ON o.o_custkey = c.c_custkey
     JOIN nation na ON c.c_nationkey = na.n_nationkey
-  ) b
+),
+fx_cells AS (
+  SELECT r, n, s, v, y, kj, band, innv, utd, in_old,
+         sum(q_r) AS t, sum(q) AS nv, count(*) AS cnt
+  FROM (SELECT * EXCLUDE (sup), NULL::BIGINT AS v FROM fx_base
+        UNION ALL BY NAME
+        SELECT * EXCLUDE (sup, r, n, s), NULL::BIGINT AS r, NULL::BIGINT AS n, NULL::BIGINT AS s,
+               CAST(100000000 + sup AS BIGINT) AS v FROM fx_base) b
   GROUP BY ALL
 ),
 fx_maxnation AS (SELECT max(n_nationkey) AS mn FROM nation),
@@ -41,8 +45,8 @@ fx_maxyear AS (SELECT max(year(o_orderdate)) AS my FROM orders),
 fx_new_long AS (
   SELECT g.GEO, CAST(y AS VARCHAR) || '_' || CAST(y AS VARCHAR) AS AAR, k.KJONN, a.ALDER, e.INNVKAT, t, nv, cnt
   FROM fx_cells,
-       unnest([CAST(0 AS BIGINT), r + 1, 100 * (r + 1) + n,
-               CASE WHEN n IN (0, 1, 2, 3) AND s IN (1, 2, 3, 4) THEN 100 * (100 * (r + 1) + n) + s END]) AS g(GEO),
+       unnest([CASE WHEN v IS NULL THEN CAST(0 AS BIGINT) END, r + 1, 100 * (r + 1) + n,
+               CASE WHEN n IN (0, 1, 2, 3) AND s IN (1, 2, 3, 4) THEN 100 * (100 * (r + 1) + n) + s END, v]) AS g(GEO),
        unnest([CAST(0 AS BIGINT), kj]) AS k(KJONN),
        unnest(['1_7', band]) AS a(ALDER),
        unnest([CAST(0 AS BIGINT), innv]) AS e(INNVKAT)
@@ -51,9 +55,9 @@ fx_new_long AS (
 fx_old_long AS (
   SELECT g.GEO, CAST(y AS VARCHAR) || '_' || CAST(y AS VARCHAR) AS AAR, k.KJONN, a.ALDER, e.UTDANN, t, nv, cnt
   FROM (SELECT * FROM fx_cells WHERE in_old AND y < (SELECT my FROM fx_maxyear)) c,
-       unnest([CAST(0 AS BIGINT), r + 1,
+       unnest([CASE WHEN v IS NULL THEN CAST(0 AS BIGINT) END, r + 1,
                100 * (r + 1) + n + CASE WHEN n = (SELECT mn FROM fx_maxnation) THEN 1000 ELSE 0 END,
-               CASE WHEN n IN (0, 1, 2, 3) AND s IN (1, 2, 3, 4) THEN 100 * (100 * (r + 1) + n) + s END]) AS g(GEO),
+               CASE WHEN n IN (0, 1, 2, 3) AND s IN (1, 2, 3, 4) THEN 100 * (100 * (r + 1) + n) + s END, v]) AS g(GEO),
        unnest([CAST(0 AS BIGINT), kj]) AS k(KJONN),
        unnest(['1_7', band]) AS a(ALDER),
        unnest([CAST(0 AS BIGINT), utd]) AS e(UTDANN)
@@ -89,6 +93,7 @@ fx_popinfo AS (
                    THEN {{'GEO': 100 * (100 * (r + 1) + n) + s, 'GEOniv': 'B'}} END]) AS u(g)
     WHERE g IS NOT NULL) z
   GROUP BY ALL
+  UNION ALL SELECT CAST(100000000 + s_suppkey AS BIGINT), 'V', 10.0 FROM supplier
 ),
 fx_georecode AS (
   SELECT CAST(100 * (n_regionkey + 1) + n_nationkey + 1000 AS BIGINT) AS old,
@@ -185,9 +190,9 @@ def _flag(src_cte: str, val: str = "RATE") -> str:
 
 
 C1_CTES = [
-    # Each cube gets the other cube's extra dimension at its total (0)
-    "c1_new AS (SELECT *, CAST(0 AS BIGINT) AS UTDANN FROM newcube)",
-    "c1_old AS (SELECT * EXCLUDE (origgeo), CAST(0 AS BIGINT) AS INNVKAT FROM oldcube)",
+    # Level V is left out; C2: each cube gets the other cube's extra dimension at its total (0)
+    "c1_new AS (SELECT *, CAST(0 AS BIGINT) AS UTDANN FROM newcube WHERE GEOniv IS DISTINCT FROM 'V')",
+    "c1_old AS (SELECT * EXCLUDE (origgeo), CAST(0 AS BIGINT) AS INNVKAT FROM oldcube WHERE GEOniv IS DISTINCT FROM 'V')",
     # F3
     "c1_newrow AS (SELECT *, CASE WHEN " + " OR ".join(
         f"{d} NOT IN (SELECT DISTINCT {d} FROM c1_old)" for d in COMMON) + " THEN 1 ELSE 0 END AS newrow FROM c1_new)",

@@ -78,7 +78,7 @@ def _more():
         OVER (PARTITION BY AAR, KJONN, ALDER, INNVKAT) AS nb FROM newcube) WHERE nb = 0""")
     ORACLES["f2_complete_strata_missing"] = W(select="""
       SELECT * EXCLUDE (nb) FROM (SELECT *, sum(CASE WHEN RATE IS NULL THEN 1 ELSE 0 END)
-        OVER (PARTITION BY AAR, ALDER) AS nb FROM newcube) WHERE nb = 0""")
+        OVER (PARTITION BY AAR, ALDER) AS nb FROM newcube WHERE GEOniv IN ('L', 'F')) WHERE nb = 0""")
     ORACLES["f2_complete_strata_missing_all"] = W(select="""
       SELECT * EXCLUDE (nb) FROM (SELECT *, sum(CASE WHEN RATE IS NULL THEN 1 ELSE 0 END)
         OVER (PARTITION BY AAR, KJONN, ALDER, INNVKAT) AS nb FROM newcube) WHERE nb = 0""")
@@ -92,7 +92,7 @@ def _more():
     ORACLES["a1_collapse_total"] = W(select="SELECT * FROM newcube WHERE KJONN = 0")
     ORACLES["a1_collapse_mean"] = W(select=f"""
       SELECT GEO, AAR, KJONN, 'Total' AS ALDER, INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
-             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg(RATE)', 6)} AS RATE, {R('avg("RATE.n")', 6)} AS "RATE.n",
+             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg(RATE)', 9)} AS RATE, {R('avg("RATE.n")', 6)} AS "RATE.n",
              arg_min(SPVFLAGG, ALDER) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
              arg_min(GEOniv, ALDER) AS GEOniv, arg_min(WEIGHTS, ALDER) AS WEIGHTS
       FROM newcube WHERE ALDER <> '1_7' GROUP BY GEO, AAR, KJONN, INNVKAT""")
@@ -103,7 +103,7 @@ def _more():
              arg_min(GEOniv, ALDER) AS GEOniv, arg_min(WEIGHTS, ALDER) AS WEIGHTS
       FROM newcube WHERE ALDER <> '1_7' AND INNVKAT <> 0 GROUP BY GEO, AAR, KJONN, INNVKAT)""", select=f"""
       SELECT GEO, AAR, KJONN, ALDER, 'Total' AS INNVKAT, coalesce(sum(TELLER), 0.0) AS TELLER,
-             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg(RATE)', 6)} AS RATE, {R('avg("RATE.n")', 6)} AS "RATE.n",
+             {R('avg(NEVNER)', 6)} AS NEVNER, {R('avg(RATE)', 9)} AS RATE, {R('avg("RATE.n")', 6)} AS "RATE.n",
              arg_min(SPVFLAGG, INNVKAT) AS SPVFLAGG, coalesce(sum(TELLER_uprikk), 0.0) AS TELLER_uprikk,
              arg_min(GEOniv, INNVKAT) AS GEOniv, arg_min(WEIGHTS, INNVKAT) AS WEIGHTS
       FROM a2_s1 GROUP BY GEO, AAR, KJONN, ALDER""")
@@ -333,11 +333,11 @@ def _plots():
         f"""a15_d AS (SELECT *, {KOMMUNE} AS KOMMUNE FROM a15_s
                     WHERE AAR IN (SELECT AAR FROM a15_s WHERE GEOniv = 'B' AND SPVFLAGG = 0))""",
         """a15_t AS (
-          SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, sum(RATE * WEIGHTS) / nullif(sum(WEIGHTS), 0) AS y,
+          SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, CAST(sum(CAST(RATE * WEIGHTS AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(WEIGHTS), 0) AS y,
                  'Kommune' AS type FROM a15_d WHERE GEOniv = 'K' AND AAR IN (SELECT AAR FROM a15_d WHERE GEOniv = 'B')
           GROUP BY KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN
           UNION ALL
-          SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, sum(RATE * WEIGHTS) / nullif(sum(WEIGHTS), 0) AS y,
+          SELECT KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN, CAST(sum(CAST(RATE * WEIGHTS AS DECIMAL(38,6))) AS DOUBLE) / nullif(sum(WEIGHTS), 0) AS y,
                  'Vektet bydel' AS type FROM a15_d WHERE GEOniv = 'B' GROUP BY KOMMUNE, AAR, KJONN, ALDER, INNVKAT, UTDANN)""",
         select=f"""SELECT * EXCLUDE (y), {R('y', 6)} AS y FROM (SELECT *, count(*) OVER (PARTITION BY KOMMUNE, type, KJONN, ALDER, INNVKAT, UTDANN) AS N
                    FROM a15_t) WHERE N > 1""")
@@ -366,8 +366,8 @@ def _plots():
               LEFT JOIN (SELECT * FROM c6_b WHERE GEOniv = 'F') f ON floor(k.GEO / 100) = f.GEO AND k.LPnr = f.LPnr
               LEFT JOIN (SELECT * FROM c6_b WHERE GEO = 0) l ON k.LPnr = l.LPnr)"""
     ind = """c6_i AS (SELECT Aar, LPnr, LPnr AS corrected_LPnr, CAST(GEO AS VARCHAR) AS Sted_kode, s.SpraakId,
-                round(RATE, 0) AS Verdi_lavesteGeonivaa, round(rf, 0) AS Verdi_mellomGeonivaa,
-                round(rl, 0) AS Verdi_referansenivaa FROM c6_j, (VALUES ('BOKMAAL'), ('NYNORSK')) s(SpraakId))"""
+                round(RATE, -1) AS Verdi_lavesteGeonivaa, round(rf, -1) AS Verdi_mellomGeonivaa,
+                round(rl, -1) AS Verdi_referansenivaa FROM c6_j, (VALUES ('BOKMAAL'), ('NYNORSK')) s(SpraakId))"""
     bar = """c6_bar AS (SELECT CAST(GEO AS VARCHAR) AS stedskode_string, GEO AS stedskode_numeric, LPnr,
                 CASE WHEN RATE > rl THEN 1 END AS roede, CASE WHEN RATE < rl THEN 1 END AS groenne,
                 CASE WHEN SPVFLAGG <> 0 THEN 1 END AS hvitMprikk FROM c6_j)"""
@@ -534,6 +534,10 @@ def _sources():
     ORACLES["p11_grid"] = W(select="""
       SELECT * FROM (SELECT DISTINCT GEOniv FROM newcube) CROSS JOIN (SELECT DISTINCT AAR FROM newcube)
         CROSS JOIN (SELECT DISTINCT KJONN FROM newcube)""")
+    ORACLES["s1_load_pair"] = ORACLES["c1_comparecube"]
+    ORACLES["k2_dump"] = ORACLES["p10_round"]
+    ORACLES["c1_duplicate_keys"] = W(select="""
+      SELECT GEO, AAR, KJONN, ALDER, count(*) AS n FROM newcube GROUP BY ALL HAVING count(*) > 1""")
 
 
 _sources()

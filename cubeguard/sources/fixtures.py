@@ -7,7 +7,9 @@ every registered query reads the given tables and its work grows with them:
 * base = lineitem JOIN orders JOIN customer JOIN nation (every lineitem row);
 * area levels: L = 0 (country), F = regionkey + 1, K = 100*(regionkey+1) +
   nationkey, B = 100*K + segment index (1..4) for nations 0..3 (the four
-  "cities"; segment 5 is left out so part of each city is "unknown");
+  "cities"; segment 5 is left out so part of each city is "unknown"),
+  V = 100000000 + suppkey (one area per supplier, so the cube grows with the
+  tables);
 * AAR = order year as ``YYYY_YYYY``; KJONN 0 total / 1 status F / 2 status O;
   ALDER = line-number bands 1_2, 3_4, 5_7 and total 1_7;
 * TELLER = returned quantity, NEVNER = quantity, RATE = 1000*TELLER/NEVNER,
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 # Fixed values of the fixture design
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 CITY_NATIONS = (0, 1, 2, 3)
+SUPPLIER_CODE = 100_000_000
+SUPPLIER_WEIGHT = 10.0
 DISTRICT_SEGMENTS = (1, 2, 3, 4)
 SUPPRESSION_LIMIT = 20
 OLD_MAX_DISCOUNT = 0.095
@@ -75,12 +79,13 @@ def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     for label, lo, hi in AGE_BANDS:
         cond = F.col("l_linenumber").between(lo, hi)
         band = F.when(cond, label) if band is None else band.when(cond, label)
-    year = F.year("o_orderdate")
-    return (base.select(
-        F.col("n_regionkey").cast("bigint").alias("r"),
-        F.col("n_nationkey").cast("bigint").alias("n"),
-        _segment_index(F.col("c_mktsegment")).cast("bigint").alias("s"),
-        year.alias("y"),
+    areas = [F.col("n_regionkey").cast("bigint").alias("r"), F.col("n_nationkey").cast("bigint").alias("n"),
+             _segment_index(F.col("c_mktsegment")).cast("bigint").alias("s"), F.lit(None).cast("bigint").alias("v")]
+    none = [F.lit(None).cast("bigint").alias(c) for c in "rns"]
+    supplier = none + [(F.lit(SUPPLIER_CODE) + F.col("l_suppkey")).cast("bigint").alias("v")]
+    rows = base.select("*", F.explode(F.array(F.struct(*areas), F.struct(*supplier))).alias("area"))
+    return (rows.select(
+        "area.*", F.year("o_orderdate").alias("y"),
         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).cast("bigint").alias("kj"),
         band.alias("band"),
         (F.col("l_suppkey") % 2 + 1).cast("bigint").alias("innv"),
@@ -88,7 +93,7 @@ def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_discount") < OLD_MAX_DISCOUNT).alias("in_old"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0).alias("q_r"),
         F.col("l_quantity").alias("q"))
-        .groupBy("r", "n", "s", "y", "kj", "band", "innv", "utd", "in_old")
+        .groupBy("r", "n", "s", "v", "y", "kj", "band", "innv", "utd", "in_old")
         .agg(F.sum("q_r").alias("t"), F.sum("q").alias("nv"), F.count(F.lit(1)).alias("cnt")))
 
 
@@ -98,8 +103,8 @@ def _geo_array(renamed: bool):
         k = F.when(F.col("renamed"), k + OLD_CODE_OFFSET).otherwise(k)
     b = (F.lit(100) * (F.lit(100) * (F.col("r") + 1) + F.col("n")) + F.col("s"))
     is_district = F.col("n").isin(*CITY_NATIONS) & F.col("s").isin(*DISTRICT_SEGMENTS)
-    return F.filter(F.array(F.lit(0).cast("bigint"), (F.col("r") + 1).cast("bigint"), k.cast("bigint"),
-                            F.when(is_district, b.cast("bigint"))), lambda x: x.isNotNull())
+    return F.filter(F.array(F.when(F.col("v").isNull(), F.lit(0).cast("bigint")), (F.col("r") + 1).cast("bigint"),
+                            k.cast("bigint"), F.when(is_district, b.cast("bigint")), F.col("v")), lambda x: x.isNotNull())
 
 
 def _cube_from_cells(cells: DataFrame, extra_dim: str, extra_src: str, renamed_nation=None) -> DataFrame:
@@ -155,10 +160,8 @@ def _scalar(one_row: DataFrame):
 
 
 def popinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Geo parameters (GEO, GEOniv, WEIGHTS): number of customers per area.
-
-    Its size is bounded by the number of areas (here 47), whatever the sf.
-    """
+    """Geo parameters (GEO, GEOniv, WEIGHTS): number of customers per area, a
+    fixed weight per supplier."""
     cu = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     c = (cu.join(na, cu.c_nationkey == na.n_nationkey)
@@ -173,9 +176,12 @@ def popinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_district, F.struct(
             (F.lit(100) * (F.lit(100) * (F.col("r") + 1) + F.col("n")) + F.col("s")).cast("bigint").alias("GEO"),
             F.lit("B").alias("GEOniv")))), lambda x: x.isNotNull())
+    suppliers = table(spark, sf_dir, "supplier").select(
+        (F.lit(SUPPLIER_CODE) + F.col("s_suppkey")).cast("bigint").alias("GEO"), F.lit("V").alias("GEOniv"),
+        F.lit(SUPPLIER_WEIGHT).alias("WEIGHTS"))
     return (c.select(F.explode(levels).alias("g"), "cnt")
             .groupBy(F.col("g.GEO").alias("GEO"), F.col("g.GEOniv").alias("GEOniv"))
-            .agg(F.sum("cnt").cast("double").alias("WEIGHTS")))
+            .agg(F.sum("cnt").cast("double").alias("WEIGHTS")).unionByName(suppliers))
 
 
 def georecode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +215,7 @@ def _memo_key(spark: SparkSession, sf_dir: str, kind: str):
     rebuilt."""
     conf = spark._jsc.hadoopConfiguration()
     stamp = []
-    for name in ("lineitem", "orders", "customer", "nation"):
+    for name in ("lineitem", "orders", "customer", "nation", "supplier"):
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
         st = p.getFileSystem(conf).getFileStatus(p)
         stamp.append((st.getLen(), st.getModificationTime()))
@@ -341,7 +347,7 @@ BAROMETER_LPNR = {"1_2": 1, "3_4": 2, "5_7": 3, "1_7": 4}
 def barometer_tables(new: DataFrame, with_lpnr: bool = False, drop_lpnr=None):
     """(barometer, indicator list) for municipalities in the latest period.
 
-    Indicator = age band; values are RATE rounded to whole numbers for the
+    Indicator = age band; values are RATE rounded to tens for the
     municipality, its county and the country; the barometer colours a
     municipality red / green when its unrounded RATE is above / below the
     country's, and white when censored.  Indicator codes run in the reverse
@@ -364,9 +370,9 @@ def barometer_tables(new: DataFrame, with_lpnr: bool = False, drop_lpnr=None):
     ind = j.select("Aar", "LPnr", F.col("LPnr").alias("corrected_LPnr"),
                    F.col("GEO").cast("string").alias("Sted_kode"),
                    F.explode(F.array(F.lit("BOKMAAL"), F.lit("NYNORSK"))).alias("SpraakId"),
-                   F.round("RATE", 0).alias("Verdi_lavesteGeonivaa"),
-                   F.round("__rf", 0).alias("Verdi_mellomGeonivaa"),
-                   F.round("__rl", 0).alias("Verdi_referansenivaa"))
+                   F.round("RATE", -1).alias("Verdi_lavesteGeonivaa"),
+                   F.round("__rf", -1).alias("Verdi_mellomGeonivaa"),
+                   F.round("__rl", -1).alias("Verdi_referansenivaa"))
     bar_cols = [F.col("GEO").cast("string").alias("stedskode_string"), F.col("GEO").alias("stedskode_numeric"),
                 (F.lit(n_ind + 2) - F.col("LPnr")).alias("indikator_kodet")]
     if with_lpnr:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +67,3 @@ def update_internal_data(validgeo: DataFrame, popinfo: DataFrame, georecode: Dat
         for k, df in out.items():
             df.write.mode("overwrite").parquet(f"{out_dir}/{k}")
     return out
-
-
-def union_all(dfs) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)

@@ -74,3 +74,31 @@ def test_attack_sets(spark):
     got = sorted((r.dim, r.set_label, r.level) for r in sets.collect())
     assert ("KJONN", "{1,2,0}", "0") in got and ("ALDER", "{1_2,3_4,5_7,1_7}", "1_7") in got
     assert not [g for g in got if g[0] == "UTDANN"]
+
+
+def test_attack_with_area_sets(spark):
+    """An area set with one protecting cell is recoverable, as a spec set is."""
+    cube = spark.createDataFrame([(1, "2020_2020", 0, 1, 0), (101, "2020_2020", 0, 0, 1), (102, "2020_2020", 0, 0, 0),
+                                  (2, "2020_2020", 0, 0, 0), (201, "2020_2020", 0, 0, 1)],
+                                 "GEO long, AAR string, KJONN long, pvern int, prikket_ok int")
+    none = spark.createDataFrame([], "Kolonne string, Innhold string")
+    sets = spark.createDataFrame([("{1,101,102}", "1"), ("{1,101,102}", "101"), ("{1,101,102}", "102"),
+                                  ("{2,201}", "2"), ("{2,201}", "201")], "set_label string, level string")
+    assert checks.attack_naboprikk(cube, none).count() == 0
+    assert [tuple(r) for r in checks.attack_naboprikk(cube, none, sets).collect()] == [("{1,101,102}", "2020_2020", "0")]
+
+
+def test_barometer_codes_must_be_contiguous(spark):
+    from cubeguard.operators.barometer import barometer_lpnr
+    schema = "stedskode_string string, indikator_kodet long"
+    good = spark.createDataFrame([("1", 2), ("1", 3), ("1", 4)], schema)
+    assert sorted(r.LPnr for r in barometer_lpnr(good).collect()) == [1, 2, 3]
+    for codes in ([2, 3, 9], [2, 3, 3]):
+        with pytest.raises(ValueError, match="contiguous"):
+            barometer_lpnr(spark.createDataFrame([("1", c) for c in codes], schema))
+
+
+def test_duplicate_keys(spark):
+    from cubeguard.operators.levels import duplicate_keys
+    df = spark.createDataFrame([(1, None, 1), (1, None, 2), (1, "a", 3), (2, "a", 4)], "GEO long, AAR string, v int")
+    assert [tuple(r) for r in duplicate_keys(df, ["GEO", "AAR"]).collect()] == [(1, None, 2)]

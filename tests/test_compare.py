@@ -19,7 +19,7 @@ def test_cube_against_itself(spark):
                  *[F.max(F.abs(F.col(f"`{c}`"))).alias(f"d{i}") for i, c in enumerate(diffs)],
                  *[F.min(F.col(f"`{c}`")).alias(f"rmin{i}") for i, c in enumerate(rels)],
                  *[F.max(F.col(f"`{c}`")).alias(f"rmax{i}") for i, c in enumerate(rels)]).first().asDict()
-    assert agg["n"] == new.count() and agg["newrow"] == 0 and agg["anyd"] == 0
+    assert agg["n"] == new.where("GEOniv <> 'V'").count() < new.count() and agg["newrow"] == 0 and agg["anyd"] == 0
     assert all(agg[f"d{i}"] == 0 for i in range(len(diffs)))
     assert all(agg[f"rmin{i}"] == 1 and agg[f"rmax{i}"] == 1 for i in range(len(rels)))
     # nothing is new when the cube is compared with itself

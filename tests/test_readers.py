@@ -172,3 +172,35 @@ def test_extract_files_end_to_end(spark):
     assert a.VALID_kombo == "!! No!!" and a.ALT_OK == "!! KANSKJE IKKE !!"
     assert rep[f"IND_X_{tag}.csv"].ALT_OK == "not_loaded"
     del F
+
+
+def test_filters_reach_the_scan(spark):
+    """Columns that have their type already are not cast, so filters are pushed down."""
+    root = tempfile.mkdtemp(prefix="cg-push-")
+    df = spark.createDataFrame([(0, "2020_2020", 1.5, 3), (1, "2020_2020", 7.0, 0)], "GEO long, AAR string, RATE double, SPVFLAGG int")
+    df.write.parquet(f"{root}/C_2024-01-01-00-00.parquet")
+    cube, _ = cubes.read_cube(spark, f"{root}/C_2024-01-01-00-00.parquet")
+    assert dict(cube.dtypes) == {"GEO": "bigint", "AAR": "string", "RATE": "double", "SPVFLAGG": "bigint"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = cube.where("GEO = 0 AND RATE > 1 AND SPVFLAGG = 3")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert all(f in pushed for f in ("EqualTo(GEO,0)", "GreaterThan(RATE,1.0)", "EqualTo(SPVFLAGG,3)"))
+
+
+def test_cluster_needs_a_shared_folder():
+    from cubeguard.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
