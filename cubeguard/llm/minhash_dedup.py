@@ -233,7 +233,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = store(loose.join(reps.select(F.col("rep").alias("node"), "n"), "node"))
     blocks = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("nb"))
     active = members.join(blocks, "root").select("root", F.col("node").alias("rep"), "nb").distinct()
-    text = base.join(active, base["doc_id"] == active["rep"]).select("root", "rep", "nb", "text")
+    # One plan at every size: Spark would broadcast a small ``active`` and shuffle the texts beyond.
+    text = base.join(active.hint("merge"), base["doc_id"] == active["rep"]).select("root", "rep", "nb", "text")
     sets = text.mapInArrow(_sets(size), "root long, rep long, nb int, sig binary, shingles binary")
     own = F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int")
     dealt = (sets.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
