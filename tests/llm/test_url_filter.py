@@ -29,19 +29,19 @@ def test_rules_by_brute_force(spark):
         assert r.verdict == verdict if rule else r.verdict in ("allow", "block")
 
 
-RULES = (("block", "site.org", "/spam/bad"), ("allow", "site.org", "/news/ok"))
+RULES = (("block", "site.org", "/spam/1"), ("allow", "site.org", "/news/ok"))
 
 
 @pytest.fixture(scope="module")
 def verdicts(spark):
-    urls = [f"http://site.org/spam/bad{k}.html" for k in range(40)] + [f"http://site.org/spam/x{k}.html" for k in range(5)]
+    urls = [f"http://site.org/spam/1{k}.html" for k in range(40)] + [f"http://site.org/spam/2{k}.html" for k in range(5)]
     urls += [f"http://site.org/news/ok{k}" for k in range(40)] + [f"http://site.org/news/n{k}" for k in range(5)]
-    urls += [f"http://site.org/blog/ok/{k}" for k in range(30)] + [f"http://site.org/{k}/a" for k in range(30)] + [f"http://other.org/spam/x{k}.html" for k in range(9)]
+    urls += [f"http://site.org/blog/ok/{k}" for k in range(30)] + [f"http://site.org/{k}/a" for k in range(30)] + [f"http://other.org/spam/2{k}.html" for k in range(9)]
     return {urls[r.page_id]: r for r in U.judged(frame(spark, urls), RULES).collect()}
 
 
 def test_template_is_rejected_by_its_labels(verdicts):
-    assert all(r.verdict == "block" and r.rule is None for u, r in verdicts.items() if u.startswith("http://site.org/spam/x"))
+    assert all(r.verdict == "block" and r.rule is None for u, r in verdicts.items() if u.startswith("http://site.org/spam/2"))
     assert all(r.verdict == "allow" for u, r in verdicts.items() if "/news/" in u or "/blog/" in u or "other.org" in u)
 
 
