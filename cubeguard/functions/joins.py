@@ -7,18 +7,30 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables above this many rows are joined with a shuffle instead.
-MAX_BROADCAST_ROWS = 2_000_000
+# Lookup tables above this size are joined with a shuffle instead.  This is a
+# choice of the plan only: the result is the same either way.
+MAX_BROADCAST_BYTES = 64 << 20
+# Where only a bound on the rows is known: keys and fences take at most so much.
+KEY_BYTES = 128
+MAX_BROADCAST_ROWS = MAX_BROADCAST_BYTES // KEY_BYTES
 
 _size_cache: dict = {}
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a lookup table only after checking its row count.
+def _bytes(df: DataFrame) -> int:
+    """Size of a table's rows: 16 bytes a row, 8 a column, and its texts and lists."""
+    more = [F.sum(F.octet_length(F.col(f"`{c}`"))) for c, t in df.dtypes if t == "string"]
+    more += [F.sum(F.size(F.col(f"`{c}`"))) * KEY_BYTES for c, t in df.dtypes if t.startswith(("array", "map"))]
+    row = df.agg(F.count(F.lit(1)), *more).first()
+    return row[0] * (16 + 8 * len(df.columns)) + sum(x or 0 for x in row[1:])
 
-    The count of a lookup (area parameters, code maps, control tables) is a
-    cheap job and is remembered per session and plan.  Beyond ``max_rows`` the table is
-    returned unhinted, so Spark uses a shuffle join (and AQE may still
+
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a lookup table only after checking its size in bytes.
+
+    Measuring a lookup (area parameters, code maps, control tables) is one
+    cheap job and is remembered per session and plan.  Beyond ``max_bytes`` the
+    table is returned unhinted, so Spark uses a shuffle join (and AQE may still
     broadcast it from runtime statistics).
     """
     try:
@@ -28,10 +40,10 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
         key = None
     n = _size_cache.get(key) if key is not None else None
     if n is None:
-        n = df.count()
+        n = _bytes(df)
         if key is not None:
             _size_cache[key] = n
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_bytes else df
 
 
 _SEP = "\u0001"

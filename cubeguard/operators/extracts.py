@@ -207,11 +207,22 @@ def _paired(extracts: DataFrame, cube_f: DataFrame, dims, period: str) -> DataFr
     return j.select("*", key, geo.alias("__geo"))
 
 
-def _mask_agg(flag: str):
-    """C9 aggregate over paired rows: sorted GEO codes whose censoring differs."""
+def _mask_differs(flag: str) -> F.Column:
+    """Whether a paired row's censoring differs, or one side lacks it."""
     same = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()
             & (F.col("MEIS").isNull() == (col(flag) > 0)))
-    bad_geo = F.when(~F.coalesce(same, F.lit(False)), F.col("__geo").cast("bigint").cast("string"))
+    return ~F.coalesce(same, F.lit(False))
+
+
+def mask_areas(extracts: DataFrame, cube_f: DataFrame, dims, period: str = "AAR", flag: str = "SPVFLAGG") -> DataFrame:
+    """C9, long form: a row (Friskvik, GEO) per area whose censoring differs."""
+    p = _paired(extracts, cube_f, dims, period).where(_mask_differs(flag))
+    return p.select(F.col("__key").alias("Friskvik"), F.col("__geo").cast("bigint").alias("GEO")).distinct()
+
+
+def _mask_agg(flag: str):
+    """C9 aggregate over paired rows: sorted GEO codes whose censoring differs."""
+    bad_geo = F.when(_mask_differs(flag), F.col("__geo").cast("bigint").cast("string"))
     return F.array_sort(F.collect_set(bad_geo)).alias("__badgeo")
 
 

@@ -39,32 +39,42 @@ def _levels_long(cube: DataFrame, dims) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _matched_levels(cube_new: DataFrame, cube_old: DataFrame | None, dims) -> DataFrame:
+    """(Dimension, level, __in_new, __in_old): one null-safe full join of the distinct levels."""
+    new = _levels_long(cube_new, dims).withColumn("__in_new", F.lit(1))
+    old_dims = [d for d in dims if cube_old is not None and d in cube_old.columns]
+    if not old_dims:
+        return new.withColumn("__in_old", F.lit(None).cast("int"))
+    old = _levels_long(cube_old, old_dims).withColumnRenamed("Dimension", "__d").withColumnRenamed("level", "__lvl") \
+        .withColumn("__in_old", F.lit(1))
+    cond = (new["Dimension"] == old["__d"]) & new["level"].eqNullSafe(old["__lvl"])
+    return new.join(old, cond, "full").select(
+        F.coalesce("Dimension", "__d").alias("Dimension"),
+        F.when(F.col("__in_new").isNotNull(), F.col("level")).otherwise(F.col("__lvl")).alias("level"),
+        "__in_new", "__in_old")
+
+
+def level_changes(cube_new: DataFrame, cube_old: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """P3, long form: a row (Dimension, level, status) per new or expired
+    level.  Nothing is gathered, whatever the number of levels."""
+    m = _matched_levels(cube_new, cube_old, identify_coltypes(cube_new, cube_old, spec).dims_new)
+    m = m.where(F.col("__in_new").isNull() | F.col("__in_old").isNull())
+    return m.select("Dimension", "level", F.when(F.col("__in_new").isNotNull(), "new").otherwise("expired").alias("status"))
+
+
 def compare_dimensions(cube_new: DataFrame, cube_old: DataFrame | None = None,
                        spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Per dimension of the new cube: number of levels (NULL counts as
     one), new levels and expired levels as sorted comma lists.
 
-    Distinct levels per dimension, one null-safe full join on (dim, level),
-    one grouped aggregate.  Output: Dimension, N_levels[, New_levels,
-    Expired_levels].
+    For the report: a list holds all changed levels of a dimension; where
+    those may be many, use :func:`level_changes`.  Output: Dimension,
+    N_levels[, New_levels, Expired_levels].
     """
-    roles = identify_coltypes(cube_new, cube_old, spec)
-    dims = roles.dims_new
-    new = _levels_long(cube_new, dims).withColumn("__in_new", F.lit(1))
+    dims = identify_coltypes(cube_new, cube_old, spec).dims_new
+    joined = _matched_levels(cube_new, cube_old, dims)
     if cube_old is None:
-        return (new.groupBy("Dimension").agg(F.count(F.lit(1)).alias("N_levels")))
-    old_dims = [d for d in dims if d in cube_old.columns]
-    old = _levels_long(cube_old, old_dims).withColumnRenamed("Dimension", "__d").withColumnRenamed("level", "__lvl") \
-        .withColumn("__in_old", F.lit(1)) if old_dims else None
-    if old is None:
-        joined = new.withColumns({"__in_old": F.lit(None).cast("int")})
-    else:
-        cond = (new["Dimension"] == old["__d"]) & new["level"].eqNullSafe(old["__lvl"])
-        joined = (new.join(old, cond, "full")
-                  .select(F.coalesce("Dimension", "__d").alias("Dimension"),
-                          F.when(F.col("__in_new").isNotNull(), F.col("level")).otherwise(F.col("__lvl")).alias("level"),
-                          "__in_new", "__in_old"))
-        joined = joined.where(F.col("Dimension").isin(dims))
+        return joined.groupBy("Dimension").agg(F.count(F.lit(1)).alias("N_levels"))
 
     def _list(cond):
         return F.concat_ws(", ", F.array_sort(F.collect_list(F.when(cond, F.coalesce(F.col("level"), F.lit("NA"))))))

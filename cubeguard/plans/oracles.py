@@ -48,12 +48,15 @@ def _more():
     nl = " UNION ".join(f"SELECT '{d}' AS Dimension, CAST({d} AS VARCHAR) AS level FROM newcube" for d in dims)
     ol = " UNION ".join(f"SELECT '{d}' AS Dimension, CAST({d} AS VARCHAR) AS level FROM oldcube"
                         for d in dims if d != "INNVKAT")
-    ORACLES["p3_compare_dimensions"] = W(
+    p3 = (
         f"p3_n AS ({nl})", f"p3_o AS ({ol})",
         """p3_j AS (SELECT coalesce(n.Dimension, o.Dimension) AS Dimension,
                    CASE WHEN n.Dimension IS NOT NULL THEN n.level ELSE o.level END AS level,
                    n.Dimension IS NOT NULL AS in_new, o.Dimension IS NOT NULL AS in_old
-            FROM p3_n n FULL OUTER JOIN p3_o o ON n.Dimension = o.Dimension AND n.level IS NOT DISTINCT FROM o.level)""",
+            FROM p3_n n FULL OUTER JOIN p3_o o ON n.Dimension = o.Dimension AND n.level IS NOT DISTINCT FROM o.level)""")
+    ORACLES["p3_level_changes"] = W(*p3, select="""
+      SELECT Dimension, level, CASE WHEN in_new THEN 'new' ELSE 'expired' END AS status FROM p3_j WHERE NOT (in_new AND in_old)""")
+    ORACLES["p3_compare_dimensions"] = W(*p3,
         select="""SELECT Dimension, count(*) FILTER (WHERE in_new) AS N_levels,
           coalesce(array_to_string(list_sort(list(coalesce(level, 'NA')) FILTER (WHERE in_new AND NOT in_old)), ', '), '') AS New_levels,
           coalesce(array_to_string(list_sort(list(coalesce(level, 'NA')) FILTER (WHERE in_old AND NOT in_new)), ', '), '') AS Expired_levels
@@ -421,6 +424,9 @@ def _extracts():
               WHERE NOT coalesce(in_cube AND in_ext AND ((MEIS IS NULL) = (SPVFLAGG > 0)), false) GROUP BY k) b
             ON i.Friskvik = b.Friskvik"""
     ORACLES["c9_mask_match"] = W(exb, ex, cf, pairs, select=c9)
+    ORACLES["c9_mask_areas"] = W(exb, ex, cf, pairs, select="""
+      SELECT DISTINCT k AS Friskvik, CAST(g AS BIGINT) AS GEO FROM pr
+      WHERE NOT coalesce(in_cube AND in_ext AND ((MEIS IS NULL) = (SPVFLAGG > 0)), false)""")
     vals = ["TELLER", "NEVNER", "RATE", "TELLER_uprikk"]
 
     def eq(v):

@@ -94,6 +94,12 @@ def q_p3(spark, sf_dir):
     return levels.compare_dimensions(new, old)
 
 
+@register("p3_level_changes")
+def q_p3_long(spark, sf_dir):
+    new, old, _ = _pair(spark, sf_dir)
+    return levels.level_changes(new, old)
+
+
 @register("g1_recode_geo")
 def q_g1(spark, sf_dir):
     _, old, _ = _pair(spark, sf_dir)
@@ -478,6 +484,12 @@ def q_c9(spark, sf_dir):
     return ext.compare_censoring_mask(e, ext.filter_cube_to_extracts(cube, e), _EXT_DIMS)
 
 
+@register("c9_mask_areas")
+def q_c9_areas(spark, sf_dir):
+    cube, e = _extract_inputs(spark, sf_dir)
+    return ext.mask_areas(e, ext.filter_cube_to_extracts(cube, e), _EXT_DIMS)
+
+
 @register("c10_measure_match")
 def q_c10(spark, sf_dir):
     cube, e = _extract_inputs(spark, sf_dir)
