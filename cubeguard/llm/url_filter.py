@@ -66,10 +66,12 @@ def _level(cur: DataFrame, depth: int) -> DataFrame:
     here = here.withColumn("deep", F.coalesce("deep", F.lit(0)) * F.col("n"))
     sums = [F.sum(c).alias(c) for c in ("n", "bad", "good", "deep")]
     kids = here.where("seg is not null").groupBy("host", "template", "seg").agg(*sums)
-    total = kids.groupBy("host", "template").agg(F.sum("n").alias("all"))
+    # A hot host has a third of the segments: its total is dealt anew, so that AQE can
+    # split the join, and the join's rows, so that the next aggregate is not tied to it.
+    total = kids.groupBy("host", "template").agg(F.sum("n").alias("all")).repartition("host", "template", "all")
     shape = F.when(F.col("seg").rlike("[0-9]"), F.regexp_replace("seg", "[0-9]+", "{n}")).otherwise(F.lit("*"))
     literal = (F.col("n") >= MIN_SUPPORT) & (F.col("n") >= MIN_SHARE * F.col("all"))
-    kids = kids.join(total, ["host", "template"]).withColumn("label", F.when(literal, F.col("seg")).otherwise(shape))
+    kids = kids.join(total, ["host", "template"]).repartition("host", "template", "seg").withColumn("label", F.when(literal, F.col("seg")).otherwise(shape))
     labels = kids.groupBy("host", "template", "label").agg(*sums, F.max("all").alias("all"))
     # A shape that is rare as well is any segment.
     rare = (F.col("n") < MIN_SUPPORT) | (F.col("n") < MIN_SHARE * F.col("all"))
