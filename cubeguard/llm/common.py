@@ -56,16 +56,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Alternates large-star and small-star steps. Each step takes the smallest
     neighbour by a map-side combined aggregate and joins it back, so a hub with
-    a third of all edges is never gathered in one task (AQE splits the join).
+    a third of all edges is never gathered in one task: the aggregate is dealt
+    anew before the join, since AQE splits a join of two plain shuffles only.
     Every round is written to the shared folder; only a checksum comes back.
     """
     def low_high(df):
         return (df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                 .where(F.col("u") != F.col("v")).distinct())
 
-    def star(df, sym):
-        near = sym.groupBy("u").agg(F.min("v").alias("m"))
-        return df.join(near, "u")
+    def nearest(df):
+        return df.groupBy("u").agg(F.min("v").alias("m")).repartition("u", "m")
 
     cur = store(low_high(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))))
     mark = None
@@ -76,11 +76,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         mark = tuple(sum_)
         both = cur.union(cur.select("v", "u"))
         # Large star: each larger neighbour of u is tied to u's smallest one.
-        big = (star(both, both).select(F.col("v"), F.least("u", "m").alias("m"), F.col("u"))
+        big = (both.join(nearest(both), "u").select(F.col("v"), F.least("u", "m").alias("m"), F.col("u"))
                .where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")))
         big = low_high(big)
         # Small star: u and its smaller neighbours are tied to the smallest one.
-        near = big.groupBy("u").agg(F.min("v").alias("m"))
+        near = nearest(big)
         tied = big.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = store(low_high(tied.union(near.select("u", F.col("m").alias("v")))))
         drop_stored(cur)
@@ -105,3 +105,14 @@ def ship_code(spark: SparkSession) -> None:
                 z.write(f, f.relative_to(root.parent))
         spark.sparkContext.addPyFile(str(target))
         _SHIPPED.add(app)
+
+
+_IN_USE = None
+
+
+def use_alone(memory) -> None:
+    """Python workers outlive a stage: forget what another operator remembers in this one."""
+    global _IN_USE
+    if _IN_USE is not None and _IN_USE is not memory:
+        _IN_USE.forget()
+    _IN_USE = memory

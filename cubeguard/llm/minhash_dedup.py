@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeguard.llm.common import connected_components, ship_code, store
+from cubeguard.llm.common import connected_components, ship_code, store, use_alone
 
 CHUNKS, WIDTH = 12, 5
 SLOTS, RADIUS = CHUNKS * WIDTH, 2 * CHUNKS - 1
@@ -35,7 +35,7 @@ LOOK = SLOTS // 2 - 1
 #: A block holds about so many documents and shingles; a task holds two blocks.
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 2_000_000
 #: Shingles hashed at a time, and words whose hash a Python worker remembers.
-SLICE, REMEMBERED = 1 << 16, 1_000_000
+SLICE, REMEMBERED = 1 << 16, 500_000
 
 _rng = np.random.Generator(np.random.PCG64(20))
 _MUL = _rng.integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -48,10 +48,13 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
-            self.clear()
+            self.forget()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
+    def forget(self) -> None:
+        self.clear()
+
 
 _WORDS = _WordHashes()
 
@@ -91,6 +94,7 @@ def _profiles(size: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary())])
 
     def run(batches):
+        use_alone(_WORDS)
         for batch in batches:
             counts, digests, sigs = [], [], []
             for text in batch.column(1).to_pylist():
@@ -126,6 +130,7 @@ def _sets(size: int):
     names = ["root", "rep", "nb", "sig", "shingles"]
 
     def run(batches):
+        use_alone(_WORDS)
         for batch in batches:
             shingles = [shingle_set(t, size) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("rep"), batch.column("nb"), pa.array([signature(s).tobytes() for s in shingles], pa.binary()), pa.array([s.tobytes() for s in shingles], pa.binary())], names=names)

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubeguard.llm.common import ship_code
+from cubeguard.llm.common import ship_code, use_alone
 
 WINDOW, END_ID = 2048, 1
 #: A shard has about so many documents, or so many bytes of text, whichever is less.
 SHARD_ROWS, SHARD_BYTES = 1024, 8 << 20
 #: Units that a Python worker remembers at most; beyond, it starts anew at the next shard.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 K1, B = 1.2, 0.75
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -60,7 +60,8 @@ class Units(dict):
     def forget(self) -> None:
         self.clear()
         self.first.clear()
-        self.used = self.count = 0
+        self.ids, self.used = self.ids[:1 << 16].copy(), 0
+        self.starts, self.sizes, self.count = self.starts[:1 << 16].copy(), self.sizes[:1 << 16].copy(), 0
 
     def add(self, unit: str, text: str) -> int:
         if not unit or unit[0].isspace() or unit[-1].isspace() or re.search(r"\s\s", unit) or any(s in unit for s in self.special):
@@ -186,6 +187,7 @@ def pack_shard(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tu
 def _shard_packer(window: int, tokenizer: str, ranks: str):
     def run(table: pa.Table) -> pa.Table:
         units = _units(tokenizer, ranks)
+        use_alone(units)
         if len(units) > REMEMBERED:
             units.forget()
         table = table.combine_chunks()
