@@ -7,9 +7,9 @@ run's positions depend on that run alone, so a Python worker evaluates each
 distinct run once and remembers its sums (a bounded memory); every occurrence
 counts.
 
-Training is backpropagation through time on a bounded sample: the runs of at
-most ``TRAIN_DOCS`` documents a language, at most ``TRAIN_RUNS`` distinct runs of
-each, both chosen by a hash. Documents whose crc32(doc_id) mod 4 is 2 are held
+Training is backpropagation through time on a bounded sample: the runs of about
+``TRAIN_DOCS`` documents a language, at most ``TRAIN_RUNS`` distinct runs of each,
+both chosen by a hash. Documents whose crc32(doc_id) mod 4 is 2 are held
 out. Neither ``source``, ``doc_id`` nor ``lang`` is an input of a prediction.
 """
 
@@ -22,15 +22,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeguard.llm.common import ship_code
+from cubeguard.llm.common import ship_code, use_alone
 
 TRAIN_DOCS, TRAIN_RUNS = 400, 20_000
 EMBED, HIDDEN = 16, 24
-STEPS, BATCH, RATE = 900, 256, 0.01
+STEPS, BATCH, RATE = 400, 256, 0.01
 #: A run of letters is read in windows of so many bytes.
 WINDOW = 32
 #: Runs whose sums a Python worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
+#: Documents whose runs a worker holds at a time.
+DOCS_AT_ONCE = 256
 UNKNOWN = "und"
 #: The filter keeps a document whose language has at least this probability.
 MIN_SCORE = 0.3
@@ -153,12 +155,16 @@ class Predictor(dict):
         self.net.p = params
         self.rows = np.empty((1 << 12, len(langs) + 1), np.float32)
 
+    def forget(self) -> None:
+        self.clear()
+        self.rows = self.rows[:1 << 12].copy()
+
     def learn(self, texts: list[list[str]]) -> None:
         """Evaluate the runs that are new, in batches of similar length."""
         if not self.langs:
             return
         if len(self) > REMEMBERED:
-            self.clear()
+            self.forget()
         new = sorted({r for t in texts for r in t if r not in self}, key=len)
         while len(self) + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
@@ -183,9 +189,14 @@ class Predictor(dict):
             self.update(zip(part, range(base, base + len(part)), strict=True))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        runs = [runs_of(t) for t in texts]
-        self.learn(runs)
         langs, scores = [], []
+        for at in range(0, len(texts), DOCS_AT_ONCE):
+            runs = [runs_of(t) for t in texts[at:at + DOCS_AT_ONCE]]
+            self.learn(runs)
+            self._pool(runs, langs, scores)
+        return langs, scores
+
+    def _pool(self, runs: list[list[str]], langs: list[str], scores: list[float]) -> None:
         for own in runs:
             if not own or not self.langs:
                 langs.append(UNKNOWN)
@@ -195,7 +206,6 @@ class Predictor(dict):
             p = total[:-1] / total[-1]
             langs.append(self.langs[int(p.argmax())])
             scores.append(float(min(1.0, p.max())))
-        return langs, scores
 
 
 _PREDICTORS: dict[str, Predictor] = {}
@@ -206,6 +216,7 @@ def _predictor(model: tuple) -> Predictor:
     if name not in _PREDICTORS:
         _PREDICTORS.clear()
         _PREDICTORS[name] = Predictor(langs, params)
+    use_alone(_PREDICTORS[name])
     return _PREDICTORS[name]
 
 
@@ -228,14 +239,17 @@ def fit(docs: DataFrame) -> tuple:
     ship_code(docs.sparkSession)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     labelled = rows.where(F.col("lang").isNotNull() & ~held_out())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id"))
-    chosen = labelled.select("doc_id", "lang").withColumn("nth", nth).where(F.col("nth") <= TRAIN_DOCS).select("doc_id", "lang").distinct()
-    sample = labelled.join(chosen, ["doc_id", "lang"], "left_semi")
+    # One count a language comes to the driver; the sample needs neither a join nor a sort.
+    of = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not of:
+        return "none", [], BiGru(0).p
+    total = F.create_map(*[F.lit(x) for item in sorted(of.items()) for x in item])
+    sample = labelled.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), total[F.col("lang")]) < TRAIN_DOCS)
     counts = sample.select("text", "lang").mapInArrow(_counted, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("run"), "run"), "run"))
     got = counts.withColumn("place", place).where(F.col("place") <= TRAIN_RUNS).select("lang", "run", "n").orderBy("lang", "run").collect()
     langs = sorted({r.lang for r in got})
-    if not langs:
+    if not langs:  # labelled texts without a letter
         return "none", [], BiGru(0).p
     net = BiGru(len(langs))
     lang = np.array([langs.index(r.lang) for r in got])
