@@ -7,17 +7,23 @@ from cubeguard.operators.aggregate import aggregate_cube, aggregate_cube_multi
 from cubeguard.operators.levels import (
     compare_colnames, compare_dimensions, flag_rows, get_all_combinations, get_complete_strata,
 )
-from tests.test_spec import SPEC_INNVAND, make_testcube1
+from cubeguard.sources import fixtures as fx
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_aggregate_cube(spark):
-    c = make_testcube1(spark)
+    c = fx.fixture_new(spark, SF)
     with pytest.raises(ValueError, match="cannot aggregate on 'AAR'"):
         aggregate_cube(c, "AAR")
-    assert aggregate_cube(c, "GEO").count() == 1          # total 0 exists: keep it
-    t = aggregate_cube(c.where("ALDER != '0_120'"), "ALDER", SPEC_INNVAND)
-    assert [r.ALDER for r in t.select("ALDER").distinct().collect()] == ["Total"]
-    assert aggregate_cube_multi(c, ["GEO", "ALDER", "UTDANN", "INNVAND"], SPEC_INNVAND).count() >= 0
+    kept = aggregate_cube(c, "KJONN")  # the total 0 exists: its rows are kept
+    assert kept.exceptAll(c.where("KJONN = 0")).count() == 0 and kept.count() == c.where("KJONN = 0").count()
+    bands = c.where("ALDER <> '1_7'")
+    t = aggregate_cube(bands, "ALDER")
+    assert {r.ALDER for r in t.select("ALDER").distinct().collect()} == {"Total"}
+    assert t.agg(F.sum("TELLER_uprikk")).first()[0] == bands.agg(F.sum("TELLER_uprikk")).first()[0]
+    two = aggregate_cube_multi(bands.where("INNVKAT <> 0"), ["ALDER", "INNVKAT"])
+    assert two.select("ALDER", "INNVKAT").distinct().count() == 1
 
 
 def test_aggregate_sum_and_mean(spark):
@@ -29,10 +35,13 @@ def test_aggregate_sum_and_mean(spark):
 
 
 def test_complete_strata(spark):
-    c = make_testcube1(spark)
-    assert get_complete_strata(c, ["GEO", "AAR", "KJONN", "ALDER"], "censored").count() == 1
-    assert get_complete_strata(c, ["AAR", "KJONN", "ALDER"], "censored").count() == 1
-    assert get_complete_strata(c, ["AAR", "KJONN", "ALDER"], "missing", "TELLER").count() == 4
+    c = fx.fixture_new(spark, SF)
+    by = ["AAR", "KJONN", "ALDER", "INNVKAT"]
+    for kind, value, bad in (("censored", None, F.col("SPVFLAGG") != 0), ("missing", "RATE", F.col("RATE").isNull())):
+        gone = c.where(bad).select(*by).distinct()
+        want = c.join(gone, by, "left_anti")
+        got = get_complete_strata(c, ["GEO", *by], kind, *([value] if value else []))
+        assert got.count() == want.count() < c.count()
     with pytest.raises(ValueError, match="valid column name"):
         get_complete_strata(c, ["AAR"], "missing", None)
 
@@ -49,7 +58,7 @@ def test_complete_strata_null_levels_and_no_strata(spark):
 
 
 def test_all_combinations(spark):
-    c = make_testcube1(spark)
+    c = fx.fixture_new(spark, SF)
     assert get_all_combinations(c, ["KJONN", "ALDER"]).count() == 3 * 4
     with pytest.raises(ValueError):
         get_all_combinations(c.drop("KJONN"), ["KJONN", "ALDER"])
