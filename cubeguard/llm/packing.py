@@ -19,6 +19,7 @@ import base64
 import functools
 import re
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ WINDOW, END_ID = 2048, 1
 #: A shard has about so many documents, or so many bytes of text, whichever is less.
 SHARD_ROWS, SHARD_BYTES = 1024, 8 << 20
 #: Units that a Python worker remembers at most; beyond, it starts anew at the next shard.
-REMEMBERED = 1_000_000
+REMEMBERED = 2_000_000
 K1, B = 1.2, 0.75
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -88,7 +89,7 @@ class Units(dict):
             return np.array([END_ID], np.uint32), np.empty(0, np.int64)
         units = text.split(" ")
         idx = np.empty(len(units), np.int64)
-        idx[1:] = np.fromiter(map(self.__getitem__, units[1:]), np.int64, len(units) - 1)
+        idx[1:] = np.fromiter(map(self.__getitem__, islice(units, 1, None)), np.int64, len(units) - 1)
         if (k := self.first.get(units[0])) is None:
             k = self.first[units[0]] = self.add(units[0], units[0])
         idx[0] = k
@@ -168,7 +169,7 @@ def pack_shard(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tu
         elif room:
             score = index.scores(seed)
             ranked = np.flatnonzero(unused)
-            ranked = ranked[np.lexsort((ranked, -score[ranked]))]
+            ranked = ranked[np.argsort(-score[ranked], kind="stable")]
             while room and len(ranked):
                 fits = sizes[ranked] <= room
                 k = int(fits.argmax())
