@@ -1,14 +1,15 @@
 """Main text of web pages by equivalence classes of template tokens.
 
 Tokens are a page's block tags, each told apart by its path from the root with
-classes, and its text blocks under their path. A token's occurrence vector (how
-often it occurs on each page of its host) is carried as an exclusive-or of hashes
-of (page, count), so it is gathered map-side and no task sees a whole host.
-Tokens of one host that share a vector are an equivalence class; a class is valid
-if it has at least two tokens, occurs on enough pages, and hangs below one other
-class. The valid classes, nested, are the host's template: its text tokens are
-boilerplate, and its slot with most running text outside menus and the like is
-the article where the page names none itself.
+classes, and its text blocks under their path. Pages of a host with the same text
+outside menus and the like are copies and count as one. A token's occurrence vector
+(how often it occurs on each page of its host) is carried as an exclusive-or of hashes
+of (page, count), so it is gathered map-side and no task sees a whole host. Tokens of
+one host that share a vector are an equivalence class; a class is valid if it has at
+least two tokens, occurs on enough pages, and its tags hang below one other class. The
+valid classes, nested, are the host's template: its text tokens are boilerplate on
+every page, inside an article as well, and its slot with most running text outside
+menus and the like is the article where the page names none itself.
 
 A page's text is what remains in the slots of its article.
 """
@@ -139,35 +140,38 @@ def _container(path: str) -> str:
     return "/".join(parts)
 
 
-_TOKENS = "host string, token long, above long, is_text boolean, pages long, vector long, mass long"
+_TOKENS = "host string, content long, digest long, tokens array<struct<token: long, above: long, is_text: boolean, n: long, mass: long>>"
 
 
 def _tokens(batches):
-    """(host, token, ...) combined over each batch before it is shuffled."""
+    """(host, content, digest, tokens) of each page; copies within a batch come once."""
     for batch in batches:
-        held: dict = {}
-        for host, page_id, page in zip(*(batch.column(c).to_pylist() for c in ("host", "page_id", "html")), strict=True):
-            key = _hash(f"{page_id}" if page_id is not None else f"={page}")
+        seen, rows, ends, cols = set(), [], [0], ([], [], [], [], [])
+        for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
+            digest = _hash(page or "")
+            if (host, digest) in seen:
+                continue
+            seen.add((host, digest))
             paths, blocks = parsed(page or "")
             counts: dict = {}
             for p in ["", *paths]:
-                t = counts.setdefault(_hash(p), [0, _hash(p.rpartition("/")[0]), False, 0])
-                t[0] += 1
+                t = counts.setdefault(_hash(p), [_hash(p.rpartition("/")[0]), False, 0, 0])
+                t[2] += 1
             for b in blocks:
-                t = counts.setdefault(_hash(f"{b.path}\0{b.text}"), [0, _hash(b.path), True, 0])
-                t[0] += 1
+                t = counts.setdefault(_hash(f"{b.path}\0{b.text}"), [_hash(b.path), True, 0, 0])
+                t[2] += 1
                 if not b.out:
-                    home = counts.setdefault(_hash(_container(b.path)), [0, 0, False, 0])
+                    home = counts.setdefault(_hash(_container(b.path)), [0, False, 0, 0])
                     home[3] += len(b.text) - 2 * b.linked
-            for token, (n, above, is_text, mass) in counts.items():
-                own = held.setdefault((host, token), [above, is_text, 0, 0, 0])
-                own[2] += 1
-                own[3] ^= xxhash.xxh3_64_intdigest(f"{key},{n}".encode())
-                own[4] += mass
-        rows = [(host, _signed(token), _signed(v[0]), v[1], v[2], _signed(v[3]), v[4]) for (host, token), v in held.items()]
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["host", "token", "above", "is_text", "pages", "vector", "mass"])
+            content = _hash("\0".join(b.text for b in blocks if not b.out))
+            rows.append((host, _signed(content), _signed(digest)))
+            for token, (above, is_text, n, mass) in counts.items():
+                for col, x in zip(cols, (_signed(token), _signed(above), is_text, n, mass), strict=True):
+                    col.append(x)
+            ends.append(len(cols[0]))
+        names, types = ["token", "above", "is_text", "n", "mass"], [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+        held = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)], names=["host", "content", "digest", "tokens"])
 
 
 def _rows(pages: DataFrame) -> DataFrame:
@@ -178,15 +182,19 @@ def _rows(pages: DataFrame) -> DataFrame:
 
 def template_classes(pages: DataFrame) -> DataFrame:
     """The valid classes' tokens: host, token, above, is_text, pages, vector, above_vector, mass, host_pages."""
-    tokens = (_rows(pages).select("host", "page_id", "html").mapInArrow(_tokens, _TOKENS)
-              .groupBy("host", "token").agg(F.max("above").alias("above"), F.max("is_text").alias("is_text"), F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("mass").alias("mass")))
+    # Copies of a content count once, or all of their text were on all pages.
+    once = (_rows(pages).select("host", "html").mapInArrow(_tokens, _TOKENS)
+            .groupBy("host", "content").agg(F.min_by("tokens", "digest").alias("tokens")))
+    tokens = (once.select("host", "content", F.inline("tokens"))
+              .groupBy("host", "token").agg(F.max("above").alias("above"), F.max("is_text").alias("is_text"), F.count(F.lit(1)).alias("pages"), F.bit_xor(F.xxhash64("content", "n")).alias("vector"), F.sum("mass").alias("mass")))
     tokens = tokens.where(F.col("pages") >= MIN_PAGES)  # a rarer token is in no template
     tokens = store(tokens)
     count = tokens.where(F.col("token") == _signed(_hash(""))).select("host", F.col("pages").alias("host_pages"))
     often = tokens.join(count, "host").where(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
     up = often.select("host", F.col("token").alias("above"), F.col("vector").alias("above_vector"))
     nested = often.join(up, ["host", "above"], "left")
-    outer = F.when(F.col("above_vector") != F.col("vector"), F.col("above_vector"))
+    # A text has nothing below it: what its class hangs below is up to the tags.
+    outer = F.when(~F.col("is_text") & (F.col("above_vector") != F.col("vector")), F.col("above_vector"))
     valid = nested.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size"), F.min(outer).alias("low"), F.max(outer).alias("high")).where("size >= 2 and (low is null or low = high)").select("host", "vector")
     return nested.join(valid, ["host", "vector"], "left_semi")
 
@@ -203,11 +211,16 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def article(page: str | None, boilerplate: frozenset, slot: int | None) -> str:
-    """The text of a page's article, given its host's template."""
+    """The text of a page's article, given its host's template.
+
+    What is not boilerplate is in the template's slots; tags only choose among them.
+    """
     _, blocks = parsed(page or "")
-    own = [b for b in blocks if b.main and not b.out]
-    if not own:
-        own = [b for b in blocks if not b.out and _signed(_hash(f"{b.path}\0{b.text}")) not in boilerplate]
+    blocks = [b for b in blocks if not b.out]
+    own = [b for b in blocks if _signed(_hash(f"{b.path}\0{b.text}")) not in boilerplate]
+    if any(b.main for b in blocks):
+        own = [b for b in own if b.main]
+    else:
         in_slot = [b for b in own if slot is not None and _below(b.path, slot)]
         own = in_slot or [b for b in own if b.linked * 2 <= len(b.text)]
     return " ".join(b.text for b in own)

@@ -68,6 +68,30 @@ def test_classes_by_brute_force(spark):
     assert max(len(m) for m in got.values()) >= 4
 
 
+def named(k, story, host="n.example", ad=""):
+    """A page with a menu, an article, and a notice that no class name gives away."""
+    return (k, f"http://{host}/{k}", f"""<html><body><ul><li>Home</li><li>News</li></ul><article><h1>Title {story}</h1><div>Read our terms before use</div>
+      <p>Story {story} in words of its own.</p><p>It ends {story * 13}.</p><p>Write to us</p></article><div class=ad>{ad}</div><div>Made with care</div></body></html>""", "clash", 1)
+
+
+def test_template_is_dropped_inside_an_article(spark):
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame([named(k, k) for k in range(9)], SCHEMA)).collect()}
+    assert got == {k: f"Title {k} Story {k} in words of its own. It ends {k * 13}." for k in range(9)}
+
+
+def test_copies_are_no_template(spark):
+    """Nine copies beside another ad are one page; two contents are too few for a template."""
+    rows = [named(k, 5, "copies.example", f"ad {k}") for k in range(9)] + [named(9, 6, "copies.example")]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {k: f"Title {s} Read our terms before use Story {s} in words of its own. It ends {s * 13}. Write to us" for k, s in [*((k, 5) for k in range(9)), (9, 6)]}
+
+
+def test_copies_do_not_outvote_other_pages(spark):
+    rows = [named(k, 5 if k < 40 else k) for k in range(45)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {k: f"Title {s} Story {s} in words of its own. It ends {s * 13}." for k, s in ((k, 5 if k < 40 else k) for k in range(45))}
+
+
 def test_awkward_pages(spark):
     rows = [(1, None, "<p>a</p>", "", 1), (None, "http://x/1", "<p>b</p>", "", 1), (None, "http://x/1", "<p>b</p>", "", 1), (2, "nothing", None, "", 1), (3, "http://x/2", "", "", 1), (4, "HTTP://X/3", "<p>" + "long " * 50_000, "", 1)]
     got = sorted(((r.page_id or 0, r.text[:4], r.n_chars) for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()))
