@@ -40,6 +40,10 @@ PATTERN = re.compile(
 _EPOCH, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 _DATES = {"-": "%Y-%m-%d", ".": "%d.%m.%Y"}
 _SPACED = re.compile(r"[^A-Za-z0-9]")
+# An IBAN's length by country.
+_IBAN_SIZES = {code: size for size, codes in {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
 
 
 def permuted(value: int, size: int, key: bytes, tweak: str) -> int:
@@ -117,6 +121,22 @@ def _iban(text: str, key: bytes) -> str | None:
     return _put(text, f"{chars[:2]}{98 - _mod97(body + chars[:2] + '00'):02d}{body}")
 
 
+def _ends(kind: str, found: str) -> list[int]:
+    """Where a found form may end, the likeliest first.
+
+    Behind an IBAN and a space, capitals and digits look like more of it: it ends at its
+    country's length, and where that is not known, at any space.
+    """
+    if kind != "iban":
+        return [len(found)]
+    spaces = [k for k, c in enumerate(found) if c == " "]
+    stops = [len(found), *reversed(spaces)]
+    size = _IBAN_SIZES.get(found[:2])
+    if size is None:
+        return [k for k in stops if k - found.count(" ", 0, k) >= 15]
+    return list(dict.fromkeys([*(k for k in stops if k - found.count(" ", 0, k) == size), len(found)]))
+
+
 def _ip(text: str, key: bytes) -> str | None:
     parts = [int(p) for p in text.split(".")]
     if max(parts) > 255:
@@ -162,15 +182,17 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int
     out, spans, done, at = [], [], 0, 0
     while m := PATTERN.search(text, at):
         kind = m.lastgroup
-        new = _MASKS[kind](m.group(), key)
-        if new is None:
+        for end in _ends(kind, m.group()):
+            if (new := _MASKS[kind](m.group()[:end], key)) is not None:
+                break
+        else:
             at = m.start() + 1
             while at < m.end() and text[at - 1].isalnum() and text[at].isalnum():
                 at += 1  # not into the middle of a run
             continue
         out += [text[done:m.start()], new]
-        spans.append((kind, m.start(), m.end()))
-        done = at = m.end()
+        spans.append((kind, m.start(), m.start() + end))
+        done = at = m.start() + end
     return "".join([*out, text[done:]]), spans
 
 

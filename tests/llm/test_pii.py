@@ -58,6 +58,16 @@ def test_invalid_run_hides_nothing_behind_it():
     assert [(k, text[a:b]) for k, a, b in spans] == [("card", "4785380592391139"), ("ip", "8.8.4.4")]
 
 
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606", "ZZ19 3704 0044 0532 0130"])
+@pytest.mark.parametrize("behind", ["BIC COBADEFF", "BIC COBADEFFXXX", "2024", "Berlin", "AG", "A 1", "2021-02-28", "DE89 3704 0044 0532 0130 00", ""])
+def test_iban_ends_where_capitals_or_digits_follow(iban, behind):
+    new, spans = P.pseudonymised(f"IBAN {iban} {behind}")
+    assert spans[0] == ("iban", 5, 5 + len(iban)) and new[5:5 + len(iban)] != iban
+    chars = new[5:5 + len(iban)].replace(" ", "")
+    assert P._mod97(chars[4:] + chars[:4]) == 1 and len(new) == len(f"IBAN {iban} {behind}")
+    assert [s[0] for s in spans[1:]] == {"2021-02-28": ["date"], "DE89 3704 0044 0532 0130 00": ["iban"]}.get(behind, [])
+
+
 def test_awkward_rows(spark):
     got = P.pseudonyms(frame(spark)).collect()
     assert sorted(((r.doc_id or 0, r.text or "") for r in got)) == sorted((i or 0, t or "") for i, t, *_ in rows())
