@@ -58,6 +58,39 @@ def test_similar_branches_are_merged_and_others_not(spark):
     assert got["http://a.org/en/b1"] == "/en/b{n}"
 
 
+def test_branch_with_few_labels_is_merged_with_its_like(spark):
+    """Four labels and 1,000 undecided URLs beside 100 blocked ones, and as many below other segments."""
+    rules = (("block", "a.org", "/de/"), ("block", "a.org", "/fr/x7"), ("allow", "a.org", "/en/"), ("block", "a.org", "/it/y7"))
+    urls = [f"http://a.org/{lang}/x{k}/{k}" for lang, n in (("de", 100), ("en", 60)) for k in range(n)]
+    urls += [f"http://a.org/fr/x7/{k}" for k in range(4)] + [f"http://a.org/fr/x{k}/{k}" for k in range(1000, 2000)]
+    urls += [f"http://a.org/it/y7/{k}" for k in range(4)] + [f"http://a.org/it/y{k}/{k}" for k in range(1000, 2000)]
+    got = {urls[r.page_id]: r for r in U.judged(frame(spark, urls), rules).collect()}
+    assert {r.verdict for u, r in got.items() if "/fr/" in u} == {"block"}
+    assert {r.verdict for u, r in got.items() if "/it/" in u and r.rule is None} == {"allow"}
+    assert {r.template.split("/")[1] for r in got.values()} == {"(de|fr)", "en", "it"}
+
+
+def test_templates_go_as_deep_as_the_paths(spark):
+    deep = "/a" * 12
+    rules = (("block", "a.org", f"{deep}/bad/k"), ("allow", "a.org", f"{deep}/ok/k"))
+    words = [f"{'k' if k < 20 else 'u'}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)]
+    urls = [f"http://a.org{deep}/{kind}/{word}/{end}" for kind, end in (("bad", "b"), ("ok", "o")) for word in words]
+    got = {urls[r.page_id]: r for r in U.judged(frame(spark, urls), rules).collect()}
+    assert {r.template for u, r in got.items() if "/bad/" in u} == {f"{deep}/bad/*/b"}
+    assert all(r.verdict == ("block" if "/bad/" in u else "allow") for u, r in got.items())
+
+
+def test_alike_by_hand():
+    def branch(name, n, bad, seen, **nexts):
+        return U.Branch([name], n, bad, seen, nexts)
+    def named(*own, prior=0.5):
+        return [b.names for b in U.alike([*own], prior)]
+    assert named(branch("a", 100, 100, 100, x=100), branch("b", 1004, 4, 4, x=1004), branch("c", 50, 0, 50, x=50)) == [["a", "b"], ["c"]]
+    assert named(branch("a", 100, 100, 100, x=100), branch("b", 1004, 4, 4, y=1004)) == [["a"], ["b"]]
+    assert named(branch("a", 100, 100, 100, x=100), branch("b", 100, 0, 0, x=100), prior=0.1) == [["a"], ["b"]]  # blocking is rare
+    assert named(branch("a", 100, 0, 0, x=50, y=50), branch("b", 100, 0, 0, x=53, y=47), branch("c", 100, 0, 0, x=90, y=10)) == [["a", "b"], ["c"]]
+
+
 def test_deep_and_repeated_paths(spark):
     urls = ["http://a.org" + "/x" * 40] * 3 + ["http://a.org" + "/x" * n for n in range(12)] + ["http://b.org/" + "y" * 100_000]
     got = U.judged(frame(spark, urls)).collect()
