@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeguard.llm import conversation_repair, cover_search, exact_dedup, html_extract, language_id, minhash_dedup, mixing, packing, periodic_runs, pii, secrets, url_filter
+from cubeguard.llm import conversation_repair, cover_search, exact_dedup, html_extract, language_id, minhash_dedup, mixing, packing, periodic_runs, pii, secrets, suffix_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"))
 
@@ -60,7 +64,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_packing, op3_exact_dedup, op4_html_extract, op5_cover_search, op6_pii, op7_secrets, op8_mixing,
-                                   op9_language_id, op10_minhash_dedup, op12_periodic_runs, op13_conversation_repair)}
+                                   op9_language_id, op10_minhash_dedup, op11_suffix_dedup, op12_periodic_runs, op13_conversation_repair)}
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.ORACLE,
