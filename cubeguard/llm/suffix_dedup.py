@@ -3,19 +3,18 @@
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier (smaller
 doc_id, or earlier in the same text). The steps:
 
-1. Anchors. Of the GRAM-byte strings in each LENGTH-byte string the one with the least
-   hash is an anchor, so equal strings have an anchor with an equal hash in common. An
-   anchor stands for its surroundings: all LENGTH-byte strings that hold its gram. Equal
-   surroundings fall together, first in the task that reads them, then by (hash,
-   surroundings) after one shuffle of a few bytes an anchor, read as a sorted stream;
-   all but the earliest are repeats from end to end.
-2. Suffix arrays. Where one hash has several different surroundings, each of them goes
-   into a shard of bounded size, one row each. A shard's suffixes are classified as S or
+1. Pieces. Each LENGTH-byte string has a key: the least hash of its GRAM-byte strings.
+   Consecutive strings of one key make a piece, so each string lies in one piece, and
+   equal strings lie in pieces of one key. Equal pieces fall together, first in the task
+   that reads them, then by (key, piece's hash) after one shuffle of a few bytes a
+   piece, read as a sorted stream; all but the earliest are repeats from end to end.
+2. Suffix arrays. Where one key has several different pieces, or one that may hold a
+   string twice, each of them goes into a shard of bounded size, one row each. A shard's suffixes are classified as S or
    L, the leftmost S suffixes' substrings are sorted by induction and named, the names'
    suffixes sorted recursively, and the array induced from them. Common prefixes with
    the suffix before are computed in text order (permuted); suffixes with LENGTH bytes in
    common form classes, and all but the earliest of a class are repeats.
-3. A hash with more than CAP surroundings is dealt over several shards by a hash. What
+3. A key with more than CAP different pieces is dealt over several shards by a hash. What
    is first in one of them is compared once more, by a 128-bit hash of its LENGTH bytes.
 4. Each text is cut at the union of its repeats.
 
@@ -35,16 +34,18 @@ from pyspark.sql import functions as F
 from cubeguard.functions.joins import checked_broadcast
 from cubeguard.llm.common import ship_code, store
 
-LENGTH, GRAM = 100, 32
-REACH = LENGTH - GRAM
-#: Bytes of a shard (and one hash's surroundings more at most), and surroundings of one hash in a shard.
-SHARD, CAP = 1 << 20, 1 << 14
-#: Bytes of a text, and anchors of a task, that are looked at together.
-PIECE, ANCHORS = 1 << 20, 1 << 18
+LENGTH, GRAM = 100, 40
+#: Strings in a piece at most.
+STRINGS = 1 << 10
+#: Bytes of a shard (and one key's pieces more at most), and pieces of one key in a shard.
+SHARD, CAP = 1 << 17, 1 << 14
+#: Bytes of a text, and pieces of a task, that are looked at together.
+BYTES, PIECES = 1 << 20, 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-#: Alphabets up to this size are induced bucket by bucket, larger ones suffix by suffix.
-_WIDE = 1024
+_LAST = np.uint64(0x94D049BB133111EB)
+#: Suffixes are induced a bucket at a time if a bucket holds so many on average, else one by one.
+_WIDE = 128
 
 
 # --- suffix arrays -----------------------------------------------------------
@@ -72,64 +73,70 @@ def _induce_wide(t, s, lms, size):
     at = np.cumsum(count) - count
     sa[np.repeat(lms_from - at, count) + np.arange(len(grouped))] = grouped
 
+    # whether a suffix is L (S) and so moved by the one after it; nothing comes after the last
+    is_l, is_s = ~s, s.copy()
+    is_s[-1] = False
+
     def put(chunk, wanted, ends, step):
-        j = chunk[chunk > 0] - 1
-        j = j[s[j] == wanted]
+        j = chunk - 1
+        j = j[wanted[j]]
         if not len(j):
             return
         c = t[j]
-        order = np.argsort(c, kind="stable")
-        c, j = c[order], j[order]
-        first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-        n = np.diff(np.append(first, len(c)))
-        inside = np.arange(len(c)) - np.repeat(first, n)
-        sa[ends[c] + step * inside] = j
-        ends[c[first]] += step * n
+        order = c.argsort(kind="stable")
+        c = c[order]
+        n = np.bincount(c, minlength=size)
+        sa[ends[c] + step * (np.arange(len(c)) - (n.cumsum() - n)[c])] = j[order]
+        ends += step * n
 
     head = begin.copy()
     for c in np.flatnonzero(end > begin).tolist():
         lo = int(begin[c])
         while lo < head[c]:
             hi = int(head[c])
-            put(sa[lo:hi], False, head, 1)
+            put(sa[lo:hi], is_l, head, 1)
             lo = hi
         if count[c]:
-            put(sa[lms_from[c]:end[c]], False, head, 1)
+            put(sa[lms_from[c]:end[c]], is_l, head, 1)
     tail = end - 1
     for c in np.flatnonzero(end > begin)[::-1].tolist():
         hi = int(end[c]) - 1
         while hi > tail[c]:
             lo = int(tail[c])
-            put(sa[lo + 1:hi + 1][::-1], True, tail, -1)
+            put(sa[lo + 1:hi + 1][::-1], is_s, tail, -1)
             hi = lo
         if head[c] > begin[c]:
-            put(sa[begin[c]:head[c]][::-1], True, tail, -1)
+            put(sa[begin[c]:head[c]][::-1], is_s, tail, -1)
     return sa
 
 
 def _induce_narrow(t, s, lms, size):
     """As above, a suffix at a time."""
     begin, end = _buckets(t, size)
-    t, s, n = t.tolist(), s.tolist(), len(t)
-    sa = [-1] * n
-    tail = end.tolist()
-    for i in reversed(lms.tolist()):
-        tail[t[i]] -= 1
-        sa[tail[t[i]]] = i
+    n = len(t)
+    # the bucket of the suffix before, by its type; -1 where it has the other type or there is none
+    before = np.concatenate([[-1], t[:-1], [-1]])
+    large = np.concatenate([[False], ~s[:-1], [False]])
+    to_l, to_s = np.where(large, before, -1).tolist(), np.where(large, -1, before).tolist()
+    sa = np.full(n, -1, np.int64)
+    count = np.bincount(t[lms], minlength=size)
+    grouped = lms[np.argsort(t[lms], kind="stable")]
+    sa[np.repeat(end - count - (np.cumsum(count) - count), count) + np.arange(len(grouped))] = grouped
+    sa = sa.tolist()
     head = begin.tolist()
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not s[j]:
-            c = t[j]
-            sa[head[c]] = j
-            head[c] += 1
+    for p in sa:
+        c = to_l[p]
+        if c >= 0:
+            k = head[c]
+            sa[k] = p - 1
+            head[c] = k + 1
     tail = end.tolist()
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and s[j]:
-            c = t[j]
-            tail[c] -= 1
-            sa[tail[c]] = j
+    for p in reversed(sa):
+        c = to_s[p]
+        if c >= 0:
+            k = tail[c] - 1
+            sa[k] = p - 1
+            tail[c] = k
     return np.array(sa, np.int32)
 
 
@@ -162,7 +169,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         return sa
     s = _is_s(t)
     lms = np.flatnonzero(s[1:] & ~s[:-1]).astype(np.int32) + 1
-    induce = _induce_wide if size <= _WIDE else _induce_narrow
+    induce = _induce_wide if size * _WIDE <= len(t) else _induce_narrow
     if len(lms) > 1:
         rough = induce(t, s, lms, size)
         is_lms = np.zeros(len(t), bool)
@@ -172,42 +179,55 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     return induce(t, s, lms, size)
 
 
-def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each suffix in text order, the prefix it shares with the one before it in ``sa``, up to ``most`` symbols."""
-    before = np.full(len(t), -1, np.int32)
+def common_prefixes(t: np.ndarray, sa: np.ndarray, wanted: np.ndarray, most: int) -> np.ndarray:
+    """For the ``wanted`` suffixes, in text order, the prefix shared with the one before in ``sa``, up to ``most`` bytes.
+
+    ``t`` holds bytes; eight are compared at a time, and one by one where those differ.
+    """
+    before = np.full(len(t) + 1, -1, np.int32)
     before[sa[1:]] = sa[:-1]
+    padded = np.concatenate([t, np.zeros(most + 8, t.dtype)]).astype(np.uint64)
+    word, width = padded, 1
+    while width < 8:
+        word = word[:-width] << np.uint64(8 * width) | word[width:]
+        width *= 2
     plcp = np.zeros(len(t), np.int32)
-    left = np.flatnonzero(before >= 0)
-    padded = np.concatenate([t, np.zeros(most, t.dtype)])
-    for k in range(most):
-        a = left + k
-        left = left[padded[a] == padded[before[left] + k]]
-        plcp[left] = k + 1
-        if not len(left):
-            break
+    at = np.flatnonzero(wanted & (before[:-1] >= 0))
+    prev = before[at]
+    for k in range(0, most, 8):
+        same = word[at + k] == word[prev + k]
+        differs = ~same
+        a, b = at[differs] + k, prev[differs] + k
+        extra = np.zeros(len(a), np.int32)
+        go = np.ones(len(a), bool)
+        for j in range(8):
+            go &= padded[a + j] == padded[b + j]
+            extra += go
+        plcp[at[differs]] = np.minimum(k + extra, most)
+        at, prev = at[same], prev[same]
+    plcp[at] = most
     return plcp
 
 
-def repeats(contexts: list, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which LENGTH-byte strings of the contexts start earlier elsewhere: a flag a byte, contexts in a row with a mark after each.
+def repeats(texts: list, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which LENGTH-byte strings of the texts start earlier elsewhere: a flag a byte, texts in a row with a mark after each.
 
-    ``rank`` orders the contexts' documents and ``start`` is where a context starts in its own.
+    ``rank`` orders the texts' documents and ``start`` is where a context starts in its own.
     """
-    sizes = np.array([len(c) for c in contexts])
-    bytes_ = np.frombuffer(b"\0".join([*contexts, b""]), np.uint8)
+    sizes = np.array([len(c) for c in texts])
+    bytes_ = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
     ends = np.cumsum(sizes + 1) - 1
-    t = np.append(bytes_.astype(np.int32) + 2, 0)
+    t = np.append(bytes_.astype(np.int16) + 2, np.int16(0))
     t[ends] = 1
-    sa = suffix_array(t.astype(np.int16))
+    sa = suffix_array(t)[1:]
     first = ends - sizes
-    owner = np.repeat(np.arange(len(contexts)), sizes + 1)
+    owner = np.repeat(np.arange(len(texts)), sizes + 1)
     offset = np.arange(len(bytes_)) - first[owner]
     key = (rank[owner].astype(np.int64) << 40) + start[owner] + offset
     whole = sizes[owner] - offset >= LENGTH
-    plcp = common_prefixes(t, sa, LENGTH)
-    sa = sa[sa < len(bytes_)]
+    plcp = common_prefixes(bytes_, sa, whole, LENGTH)
+    sa = sa[whole[sa]]
     joined = plcp[sa] >= LENGTH
-    sa, joined = sa[whole[sa]], joined[whole[sa]]
     flag = np.zeros(len(bytes_), bool)
     if len(sa):
         heads = np.flatnonzero(~joined)
@@ -216,36 +236,61 @@ def repeats(contexts: list, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
     return flag
 
 
-# --- anchors -----------------------------------------------------------------
+# --- pieces ------------------------------------------------------------------
 
-def _least(h: np.ndarray, width: int, of=np.minimum) -> np.ndarray:
+def _least(h: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` consecutive hashes."""
     size = 1
     while size * 2 <= width:
-        h, size = of(h[:-size], h[size:]), size * 2
+        h, size = np.minimum(h[:-size], h[size:]), size * 2
     rest = width - size
-    return of(h[:len(h) - rest], h[rest:])
-
-
-def anchors(b: np.ndarray):
-    """(positions, hashes) of the anchors of a text: each LENGTH-byte string holds the gram of one at least."""
-    out, hashes = [], []
-    width = REACH + 1
-    for a in range(0, len(b) - LENGTH + 1, PIECE):
-        h, w = (b[a:a + PIECE + LENGTH - 1].astype(np.uint64) + np.uint64(1)) * _MIX, 1
-        while w < GRAM:
-            h = h[:-w] * _BASE + h[w:]
-            h ^= h >> np.uint64(29)
-            h *= _MIX
-            w *= 2
+    return np.minimum(h[:len(h) - rest], h[rest:])
+
+
+def _gram_hashes(b: np.ndarray) -> np.ndarray:
+    """A hash of each GRAM-byte string: those of 32 and of 8 bytes make one."""
+    h, w = (b.astype(np.uint64) + np.uint64(1)) * _MIX, 1
+    while w < 32:
+        h = h[:-w] * _BASE + h[w:]
+        h ^= h >> np.uint64(29)
+        h *= _MIX
+        w *= 2
+        if w == GRAM - 32:
+            short = h
+    h = h[:len(b) - GRAM + 1] * _BASE + short[32:]
+    for shift in (32, 29):  # the least hash must be one by chance, not by its gram's form
+        h ^= h >> np.uint64(shift)
+        h *= _LAST
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def pieces(b: np.ndarray):
+    """(start, end, key, inner) of the pieces of a text: consecutive LENGTH-byte strings with one least hash.
+
+    ``inner`` marks pieces that may hold a string twice: their least hash occurs twice.
+    """
+    out = []
+    width = LENGTH - GRAM + 1
+    for a in range(0, len(b) - LENGTH + 1, BYTES):
+        h = _gram_hashes(b[a:a + BYTES + LENGTH - 1])
+        least = _least(h, width)
+        new = np.concatenate([[True], least[1:] != least[:-1]])
+        new[::STRINGS] = True
+        start, key = np.flatnonzero(new), least[new]
+        # least hashes in text order: equal ones beside each other lie in the strings between
         edge = np.zeros(width - 1, np.uint64)
-        least = np.concatenate([edge, _least(h, width), edge])
-        x = np.flatnonzero(_least(least, width, np.maximum) == h)
-        out.append(x + a)
-        hashes.append(h[x])
+        x = np.flatnonzero(~_least(~np.concatenate([edge, least, edge]), width) == h)
+        i = np.flatnonzero(h[x][1:] == h[x][:-1])
+        first, last = np.searchsorted(start, np.clip([x[i + 1] - width + 1, x[i]], 0, len(least) - 1), "right") - 1
+        marks = np.zeros(len(start) + 1, np.int64)
+        np.add.at(marks, np.minimum(first, last), 1)
+        np.add.at(marks, np.maximum(first, last) + 1, -1)
+        out.append((start + a, np.append(start[1:], len(least)) + a + LENGTH - 1, key.view(np.int64), np.cumsum(marks)[:-1] > 0))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    x, i = np.unique(np.concatenate(out), return_index=True)
-    return x, np.concatenate(hashes)[i].view(np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, none, none > 0
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def _merged(start, end):
@@ -258,26 +303,26 @@ def _merged(start, end):
     return start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
-_OCC_DDL = "fp bigint, ctx bigint, doc_id bigint, tag bigint, span bigint, done boolean"
-_OCC = pa.schema([(n, pa.int64()) for n in ("fp", "ctx", "doc_id", "tag", "span")] + [("done", pa.bool_())])
+#: Kinds of rows between the steps.
+_PLAIN, _INNER, _DONE = 0, 1, 2
+_OCC_DDL = "fp bigint, ctx bigint, doc_id bigint, tag bigint, span bigint, kind tinyint"
+_OCC = pa.schema([(n, pa.int64()) for n in ("fp", "ctx", "doc_id", "tag", "span")] + [("kind", pa.int8())])
 
 
 def _span(start, end):
     return (start << 32) | end
 
 
-def _anchor_rows(batches):
-    """Anchors with their surroundings' hash and place; those that a text of the same task holds earlier are done."""
+def _piece_rows(batches):
+    """Pieces with their key, hash and place; those that a text of the same task holds earlier are done."""
     def flush(docs, parts):
-        fp, ctx, start, end, doc = (np.concatenate(p) for p in zip(*parts, strict=True))
+        fp, ctx, start, end, inner, doc = (np.concatenate(p) for p in zip(*parts, strict=True))
         ranked = sorted(range(len(docs)), key=lambda d: (docs[d][0] is not None, docs[d][0] or 0, docs[d][1]))
         rank = np.empty(len(docs), np.int64)
         rank[ranked] = np.arange(len(docs))
         order = np.lexsort((start, rank[doc], ctx, fp))
         later = np.concatenate([[False], (fp[order][1:] == fp[order][:-1]) & (ctx[order][1:] == ctx[order][:-1])])
-        # near a text's edge two anchors may have the same surroundings, which repeat nothing
-        itself = later & np.concatenate([[False], (doc[order][1:] == doc[order][:-1]) & (start[order][1:] == start[order][:-1])])
-        keep, gone = order[~later], order[later & ~itself]
+        keep, gone = order[~later], order[later]
         gone_doc, gone_start, gone_end = [], [], []
         gone = gone[np.argsort(doc[gone], kind="stable")]
         for d, own in zip(*_groups(doc[gone]), strict=True):
@@ -289,10 +334,11 @@ def _anchor_rows(batches):
         s, e = np.concatenate([start[keep], *gone_start]), np.concatenate([end[keep], *gone_end])
         n, extra = len(keep), len(d) - len(keep)
         dealt = (d[n:] * 2654435761 + s[n:]) * 40503  # any partition will do
+        kind = np.concatenate([np.where(inner[keep], _INNER, _PLAIN), np.full(extra, _DONE)]).astype(np.int8)
         ids = pa.array([x[0] for x in docs], pa.int64()).take(pa.array(d))
         tags = pa.array([x[1] for x in docs], pa.int64()).take(pa.array(d))
         cols = [pa.array(np.concatenate([fp[keep], dealt])), pa.array(np.concatenate([ctx[keep], np.zeros(extra, np.int64)])), ids, tags,
-                pa.array(_span(s, e)), pa.array(np.arange(len(d)) >= n)]
+                pa.array(_span(s, e)), pa.array(kind)]
         table = pa.RecordBatch.from_arrays(cols, schema=_OCC)
         for i in range(0, len(d), 10_000):
             yield table.slice(i, 10_000)
@@ -302,16 +348,15 @@ def _anchor_rows(batches):
         for doc_id, tag, text in zip(*(batch.column(c) for c in ("doc_id", "tag", "text")), strict=True):
             raw = text.as_buffer() if text.is_valid else b""
             b = np.frombuffer(raw, np.uint8) if text.is_valid and len(raw) else np.zeros(0, np.uint8)
-            x, fp = anchors(b)
-            if not len(x):
+            start, end, fp, inner = pieces(b)
+            if not len(start):
                 continue
-            start, end = np.maximum(x - REACH, 0), np.minimum(x + LENGTH, len(b))
             view = memoryview(b)
             ctx = np.array([xxhash.xxh3_64_intdigest(view[s:e]) for s, e in zip(start.tolist(), end.tolist(), strict=True)], np.uint64).view(np.int64)
-            parts.append((fp, ctx, start, end, np.full(len(x), len(docs))))
+            parts.append((fp, ctx, start, end, inner, np.full(len(start), len(docs))))
             docs.append((doc_id.as_py(), tag.as_py()))
-            held += len(x)
-            if held >= ANCHORS:
+            held += len(start)
+            if held >= PIECES:
                 yield from flush(docs, parts)
                 docs, parts, held = [], [], 0
     if docs:
@@ -332,14 +377,15 @@ _PLACE = pa.schema([(n, pa.int64()) for n in ("doc_id", "tag", "span", "fp")])
 
 
 def _earliest(batches):
-    """Sorted by (fp, ctx, place): repeats (fp null), and the first of each surroundings where a hash has several."""
-    last, head = None, None  # the row before; (doc_id, tag, span) of its hash's first row, None once it is out
+    """Sorted by (fp, ctx, place): repeats (fp null), and the first of each different piece where a key has several, or one that may repeat inside."""
+    last, head = None, None  # the row before; (doc_id, tag, span) of its key's first row, None once it is out
     for batch in batches:
-        done = np.asarray(batch.column("done").to_numpy(zero_copy_only=False), bool)
+        kind = batch.column("kind").to_numpy()
+        done = kind == _DONE
         if done.any():
             over = batch.filter(pa.array(done))
             yield pa.RecordBatch.from_arrays([over.column("doc_id"), over.column("tag"), over.column("span"), pa.nulls(over.num_rows, pa.int64())], schema=_PLACE)
-            batch = batch.filter(pa.array(~done))
+            batch, kind = batch.filter(pa.array(~done)), kind[~done]
         n = batch.num_rows
         if not n:
             continue
@@ -349,7 +395,7 @@ def _earliest(batches):
         further = differs & ~new
         first = np.maximum.accumulate(np.where(new, np.arange(n), -1))
         heads = np.unique(first[further])
-        need = further.copy()
+        need = further | (differs & (kind == _INNER))
         need[heads[heads >= 0]] = True
         out = need | ~differs
         place = [batch.column(c) for c in ("doc_id", "tag", "span")]
@@ -371,8 +417,8 @@ _CTX_DDL = "fp bigint, salt int, hot boolean, doc_id bigint, tag bigint, start b
 _CTX = pa.schema([("fp", pa.int64()), ("salt", pa.int32()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
 
 
-def _contexts(batches):
-    """The bytes of the surroundings of each text."""
+def _needed(batches):
+    """The bytes of the pieces of each text that shards need."""
     for batch in batches:
         rows = []
         for doc_id, tag, text, needs in zip(*(batch.column(c) for c in ("doc_id", "tag", "text", "needs")), strict=True):
@@ -398,7 +444,7 @@ _MARK = pa.schema([(n, pa.int64()) for n in ("doc_id", "tag", "span", "h1", "h2"
 
 def shard_marks(rows: list) -> list:
     """(doc_id, tag, span, null, null) of the repeats in a shard of (hot, doc_id, tag, start, bytes) rows;
-    for a hot hash also (doc_id, tag, start, h1, h2) of the strings that are first here."""
+    for a hot key also (doc_id, tag, start, h1, h2) of the strings that are first here."""
     place = lambda r: (r[1] is not None, r[1] or 0, r[2])
     ranks = {p: k for k, p in enumerate(sorted({place(r) for r in rows}))}
     flag = repeats([r[4] for r in rows], np.array([ranks[place(r)] for r in rows]), np.array([r[3] for r in rows]))
@@ -417,7 +463,7 @@ def shard_marks(rows: list) -> list:
 
 
 def _shards(batches):
-    """Streams surroundings sorted by (fp, salt); whole groups are gathered up to a shard."""
+    """Streams pieces sorted by (fp, salt); whole groups are gathered up to a shard."""
     rows, size, last = [], 0, None
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("fp", "salt", "hot", "doc_id", "tag", "start", "bytes")]
@@ -490,7 +536,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """(doc_id, tag, span) intervals, start << 32 | end, whose union is what goes, for texts with unique (doc_id, tag)."""
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    occ = texts.select("doc_id", "tag", "text").mapInArrow(_anchor_rows, _OCC_DDL)
+    occ = texts.select("doc_id", "tag", "text").mapInArrow(_piece_rows, _OCC_DDL)
     found = store(occ.repartition(parts, "fp").sortWithinPartitions("fp", "ctx", "doc_id", "tag", "span").mapInArrow(_earliest, _PLACE_DDL))
     need = found.where(F.col("fp").isNotNull())
     many = checked_broadcast(need.groupBy("fp").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > CAP).select(F.col("fp").alias("hot_fp"), "k"))
@@ -499,9 +545,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         "doc_id", "tag", F.struct("fp", F.coalesce(salt, F.lit(0)).alias("salt"), F.col("k").isNotNull().alias("hot"), "span").alias("x"))
     of_text = store(need.groupBy(F.col("doc_id").alias("d"), F.col("tag").alias("t")).agg(F.collect_list("x").alias("needs")))
     some = _some(texts, of_text)
-    ctx = some.join(of_text, _at(some, of_text)).select("doc_id", "tag", "text", "needs").mapInArrow(_contexts, _CTX_DDL)
+    ctx = some.join(of_text, _at(some, of_text)).select("doc_id", "tag", "text", "needs").mapInArrow(_needed, _CTX_DDL)
     marks = store(ctx.repartition(parts, "fp", "salt").sortWithinPartitions("fp", "salt", "doc_id", "tag", "start").mapInArrow(_shards, _MARK_DDL))
-    # equal strings of one place tie at the first rank; a group holds one place a shard and hash at most
+    # equal strings of one place tie at the first rank; a group holds one place a shard at most
     order = F.rank().over(Window.partitionBy("h1", "h2").orderBy("doc_id", "tag", "span"))
     hot = (marks.where(F.col("h1").isNotNull()).withColumn("r", order).where(F.col("r") > 1)
            .select("doc_id", "tag", F.shiftleft("span", 32).bitwiseOR(F.col("span") + LENGTH).alias("span")))

@@ -65,7 +65,7 @@ def test_suffix_arrays():
         lms = np.array([i for i in want if i and s[i] and not s[i - 1]], np.int32)
         if len(lms):
             assert S._induce_narrow(t, s, lms, size + 1).tolist() == S._induce_wide(t, s, lms, size + 1).tolist() == want
-        got = S.common_prefixes(t, np.array(want), 4)
+        got = S.common_prefixes(t.astype(np.uint8), np.array(want), np.ones(n + 1, bool), 4)
         for a, b in zip(want, want[1:], strict=False):
             m = 0
             while m < 4 and names[a + m:a + m + 1] == names[b + m:b + m + 1] != []:
@@ -81,21 +81,27 @@ def test_large_alphabet():
     assert S.suffix_array(t).tolist() == sorted(range(len(t)), key=lambda i: lists[i:])
 
 
-def test_every_string_has_an_anchor_by_its_bytes():
-    b = np.frombuffer((" ".join(words(2000, 3, 50)) + "a" * 500).encode(), np.uint8)
-    x, h = S.anchors(b)
-    at = dict(zip(x.tolist(), h.tolist(), strict=True))
-    assert all(any(i in at for i in range(s, s + S.REACH + 1)) for s in range(len(b) - S.LENGTH + 1))
-    y, g = S.anchors(np.concatenate([b[:0], b[700:3000]]))
-    inner = {i + 700: v for i, v in zip(y.tolist(), g.tolist(), strict=True)}
-    assert all(at.get(i) == v for i, v in inner.items() if 800 < i < 2800)
+def test_equal_strings_have_one_key_and_each_lies_in_one_piece():
+    text = " ".join(words(2000, 3, 50)) + "a" * 500 + "xyz" * 100 + "".join(f"{k % 69:02d}"[:1] for k in range(69)) * 4
+    b = np.frombuffer((text + "b" + text[700:3000]).encode(), np.uint8)
+    start, end, key, inner = S.pieces(b)
+    owner = np.searchsorted(start, np.arange(len(b) - S.LENGTH + 1), "right") - 1
+    assert start[0] == 0 and end[-1] == len(b) and (end[:-1] == start[1:] + S.LENGTH - 1).all() and (end - start).max() <= S.STRINGS + S.LENGTH
+    seen, held = {}, {}
+    for s, k in enumerate(owner.tolist()):
+        string = b[s:s + S.LENGTH].tobytes()
+        assert seen.setdefault(string, key[k]) == key[k]
+        assert inner[k] or string not in held.setdefault(k, set())
+        held.setdefault(k, set()).add(string)
+    assert inner.mean() < 0.1
 
 
-def test_pieces_of_a_long_text(monkeypatch):
+def test_parts_of_a_long_text(monkeypatch):
     b = np.frombuffer(" ".join(words(1500, 4, 50)).encode(), np.uint8)
-    want = [v.tolist() for v in S.anchors(b)]
-    monkeypatch.setattr(S, "PIECE", 777)
-    assert [v.tolist() for v in S.anchors(b)] == want
+    keys = lambda: [k for a, z, k, _ in zip(*S.pieces(b), strict=True) for _ in range(a, z - S.LENGTH + 1)]
+    want = keys()
+    monkeypatch.setattr(S, "BYTES", 777)
+    assert keys() == want
 
 
 @pytest.mark.parametrize("seed", [1, 2])
