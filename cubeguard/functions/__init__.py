@@ -4,5 +4,5 @@ from cubeguard.functions.exprs import (  # noqa: F401
     any_abs_above, geo_label, geo_level_from_code, parent_name, qc_round, round_half_even,
 )
 from cubeguard.functions.quantile import (  # noqa: F401
-    cumulative_weights, order_statistics, ranges_for, weighted_fences, weighted_quantiles,
+    order_statistics, passes_for, select_values, weighted_fences, weighted_quantiles,
 )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubeguard.functions.exprs import GEO_LABEL_ORDER, qc_round, round_half_even
-from cubeguard.functions.quantile import order_statistics, ranges_for
+from cubeguard.functions.quantile import order_statistics
 from cubeguard.operators.geo import translate_geoniv
 from cubeguard.operators.levels import get_all_combinations
 from cubeguard.spec import col, rounding_digits, select_diffval_pri, select_nevner_pri, select_teller_pri
@@ -107,7 +107,7 @@ def diffvals_summary(cc: DataFrame, byyear: bool = False) -> DataFrame:
     return qc_round(out)
 
 
-def diff_timetrends(cc: DataFrame, n_ranges: int | None = None) -> DataFrame:
+def diff_timetrends(cc: DataFrame, passes: int = 2) -> DataFrame:
     """Distribution of the best diff (Absolute) and reldiff (Relative)
     per level, period and kind, for rows uncensored in both cubes.
 
@@ -129,10 +129,10 @@ def diff_timetrends(cc: DataFrame, n_ranges: int | None = None) -> DataFrame:
              | ((F.col("variable") == "Relative") & (F.col("value") == 1)))
     grid = get_all_combinations(long, ["GEOniv", "AAR", "variable"])
     # exact percentiles without a per-group value buffer: a (level, period,
-    # kind) group holds all areas of a level, so it is spread over ranges
+    # kind) group holds all areas of a level, so histograms narrow it first
     stats = order_statistics(long.where(keep), ["GEOniv", "AAR", "variable"], "value",
                              {"q1": 0.25, "median": 0.5, "q3": 0.75},
-                             n_ranges or ranges_for(cc.count()))
+                             passes)
     cond = (grid["GEOniv"].eqNullSafe(stats["GEOniv"]) & (grid["AAR"] == stats["AAR"])
             & (grid["variable"] == stats["variable"]))
     out = grid.join(stats, cond, "left").select(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeguard.functions.quantile import ROWS_PER_RANGE, STATS, ranges_for, weighted_fences
+from cubeguard.functions.quantile import ROWS_PER_RANGE, STATS, passes_for, weighted_fences
 from cubeguard.operators.geo import split_kommuneniv
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, identify_coltypes, profile_cube
 
@@ -37,8 +37,8 @@ def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 100
     fences on the change.  The change part is skipped when the cube has
     fewer than two periods (``with_change=None`` takes it from the profile).
 
-    ``profile`` bounds the rows of a stratum, which gives the number of value
-    ranges, and the number of strata; it is one single-row job if not given.
+    ``profile`` bounds the rows of a stratum, which gives the passes that select
+    its quantiles, and the number of strata; it is one single-row job if not given.
     """
     dt = split_kommuneniv(cube, small_threshold)
     roles = identify_coltypes(dt, spec=spec)
@@ -48,11 +48,11 @@ def flag_outliers(cube: DataFrame, outlierval: str, small_threshold: float = 100
         with_change = profile.n_periods >= 2
     if with_change:
         dt = add_changeval(dt, outlierval, dims, spec.period)
-    return add_outliers(dt, outlierval, dims, with_change, ranges_for(profile.stratum_bound, rows_per_range),
+    return add_outliers(dt, outlierval, dims, with_change, passes_for(profile.stratum_bound, rows_per_range),
                         profile.strata_bound)
 
 
-def add_outliers(df: DataFrame, val: str, by, with_change: bool, n_ranges: int = 1,
+def add_outliers(df: DataFrame, val: str, by, with_change: bool, passes: int = 0,
                  strata_bound: int | None = None) -> DataFrame:
     """Weighted fences per stratum and the OUTLIER flag, for the value
     and (optionally) its change.
@@ -64,7 +64,7 @@ def add_outliers(df: DataFrame, val: str, by, with_change: bool, n_ranges: int =
     """
     strata = ["GEOniv" if b == "GEO" else b for b in by]
     specs = [(val, "")] + ([(f"change_{val}", "change_")] if with_change else [])
-    out = weighted_fences(df, specs, "WEIGHTS", strata, n_ranges, strata_bound)
+    out = weighted_fences(df, specs, "WEIGHTS", strata, passes, strata_bound)
     has_level = F.col("GEOniv").isNotNull()
     base = [c for c in df.columns]
     cols = []

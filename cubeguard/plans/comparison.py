@@ -41,8 +41,8 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
                      materialize: bool = False) -> CompareResult:
     """Flagged new cube, flagged old cube and comparison cube (all lazy).
 
-    A stratum's values are cut into ranges of about ``rows_per_range`` rows for
-    its fences; how many follows from the profile's bound of a stratum's rows.
+    Histograms narrow a stratum's quantiles to about ``rows_per_range`` rows; how
+    many follows from the profile's bound of a stratum's rows.
 
     ``materialize=True`` writes the joined new/old table once as a table in
     the shared checkpoint folder and derives the flagged new cube and the

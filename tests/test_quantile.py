@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from cubeguard.functions.quantile import weighted_fences
+from cubeguard.functions.quantile import _magnitude, order_statistics, passes_for, weighted_fences, weighted_quantiles
 
 
 def brute(values, weights, p):
@@ -53,23 +53,59 @@ def test_against_brute_force(spark, data):
         assert (got is None and exp is None) or np.isclose(got, exp)
 
 
-@settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 30), st.integers(0, 3)),
-                min_size=1, max_size=40))
-def test_number_of_ranges_changes_nothing(spark, data):
-    from cubeguard.functions.quantile import cumulative_weights, order_statistics
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.integers(-30, 30), st.sampled_from([-1e300, -0.0, 1e-300, 0.1, 2.0 ** -1074, 1.7e308])),
+                          st.integers(0, 3)), min_size=1, max_size=40))
+def test_number_of_passes_changes_nothing(spark, data):
     df = spark.createDataFrame([(g, float(v), float(w)) for g, v, w in data], "g string, v double, w double")
-    def key(t):
-        return tuple((x is None, x) for x in t)
-    a = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w").collect()), key=key)
-    b = sorted((tuple(r) for r in cumulative_weights(df, ["g"], "v", "w", n_ranges=4).collect()), key=key)
-    assert a == b
+    key = lambda t: tuple((x is None, x) for x in t)
+    got = [sorted((tuple(r) for r in weighted_quantiles(df, ["g"], "v", "w", (0.25, 0.5, 0.75), passes=n).collect()), key=key) for n in (0, 1, 2, 4)]
+    assert got[0] == got[1] == got[2] == got[3]
+    for g, lo, *q, hi in [(r[0], r[1], *r[3:], r[2]) for r in got[0]]:
+        own = [(float(v), float(w)) for x, v, w in data if x == g]
+        assert (lo, hi) == (min(own)[0], max(own)[0])
+        assert q == [brute([v for v, _ in own], [w for _, w in own], p) for p in (0.25, 0.5, 0.75)]
     o = {r.g: r for r in order_statistics(df, ["g"], "v", {"median": 0.5}, 3).collect()}
     for g in {x for x, _, _ in data}:
         vals = [float(v) for x, v, _ in data if x == g]
         assert o[g].n == len(vals) and np.isclose(o[g].median, float(np.percentile(vals, 50)))
 
 
+def test_first_pass_keeps_order(spark):
+    """The bucket by magnitude never falls as values grow, at powers of two in particular."""
+    values = sorted({x for e in range(-1074, 1024) for s in (1.0, -1.0) for x in (
+        s * 2.0 ** e, s * np.nextafter(2.0 ** e, 0), s * np.nextafter(2.0 ** e, np.inf), s * 1.37 * 2.0 ** e) if np.isfinite(x)})
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", _magnitude(F.col("v")).alias("b"))
+    buckets = [r.b for r in sorted(df.collect())]
+    assert all(a <= b for a, b in zip(buckets, buckets[1:], strict=False)) and len(set(buckets)) > 10_000
+
+
+def test_many_narrow_buckets(spark):
+    """A group cut into more than 1,000 buckets, most of its values in one power of two, one far away."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([1.0 + rng.integers(0, 1 << 30, 60_000) / 2.0 ** 34, [1e9, -1e-9, 0.0]])
+    weights = rng.integers(0, 5, len(values)).astype(float)
+    df = spark.createDataFrame(list(zip(["g"] * len(values), values.tolist(), weights.tolist(), strict=True)), "g string, v double, w double")
+    passes = passes_for(len(values), len(values) // 1000)
+    assert passes == 2 and passes_for(len(values)) == 0
+    order = np.argsort(values)
+    v, cum = values[order], np.cumsum(weights[order])
+    want = [(v[np.searchsorted(cum, p * cum[-1], "left")] + v[np.searchsorted(cum, p * cum[-1], "right")]) / 2 for p in (0.25, 0.5, 0.75)]
+    for n in (0, passes, 3):
+        r = weighted_quantiles(df, ["g"], "v", "w", (0.25, 0.5, 0.75), passes=n).first()
+        assert [r.wq25, r.wq50, r.wq75] == want and (r.MIN, r.MAX) == (values.min(), values.max())
+
+
+def test_passes_read_the_table_once(spark, tmp_path):
+    """The passes share one shuffle of summed weights, and no sketch or list of cut points is built."""
+    spark.range(20_000).selectExpr("id % 3 as g", "cast(id as double) as v", "1.0D as w").write.parquet(str(tmp_path / "t"))
+    q = weighted_quantiles(spark.read.parquet(str(tmp_path / "t")), ["g"], "v", "w", (0.25, 0.5, 0.75), passes=3)
+    assert len(q.collect()) == 3
+    plan = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    assert "percentile_approx" not in plan and "array_sort" not in plan
+
+
 def test_fences_of_value_and_change(spark):
     """Value and change fences against brute force, with one range and with
     many: NULL level, NULL values, zero/NULL weights, ties."""
@@ -87,7 +123,7 @@ def test_fences_of_value_and_change(spark):
                                      "WEIGHTS double")
     by = ["GEO", "KJONN"]
     one = add_outliers(df, "RATE", by, True)
-    many = add_outliers(df, "RATE", by, True, n_ranges=5)
+    many = add_outliers(df, "RATE", by, True, passes=2)
     assert one.columns == many.columns
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
     for r in one.where("GEOniv is not null").dropDuplicates(["GEOniv", "KJONN"]).collect():
@@ -102,5 +138,5 @@ def test_weights_add_up_in_any_order(spark):
     rows = [("g", float(v), 0.1) for v in range(40)]
     df = spark.createDataFrame(rows, "g string, v double, w double")
     for n in (1, 4, 7):
-        r = weighted_fences(df.repartition(n), [("v", "")], "w", ["g"], n_ranges=n).first()
+        r = weighted_fences(df.repartition(n), [("v", "")], "w", ["g"], passes=n // 3).first()
         assert (r.wq25, r.wq50, r.wq75) == (9.5, 19.5, 29.5)
