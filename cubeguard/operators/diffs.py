@@ -133,7 +133,7 @@ def diff_timetrends(cc: DataFrame, passes: int = 2) -> DataFrame:
     stats = order_statistics(long.where(keep), ["GEOniv", "AAR", "variable"], "value",
                              {"q1": 0.25, "median": 0.5, "q3": 0.75},
                              passes)
-    cond = (grid["GEOniv"].eqNullSafe(stats["GEOniv"]) & (grid["AAR"] == stats["AAR"])
+    cond = (grid["GEOniv"].eqNullSafe(stats["GEOniv"]) & grid["AAR"].eqNullSafe(stats["AAR"])
             & (grid["variable"] == stats["variable"]))
     out = grid.join(stats, cond, "left").select(
         grid["GEOniv"], grid["AAR"], grid["variable"], F.coalesce(stats["n"], F.lit(0)).alias("n"),

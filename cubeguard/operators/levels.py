@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cubeguard.functions.joins import any_level_missing, semi_filter
+from cubeguard.functions.joins import any_level_missing, checked_broadcast, semi_filter
+from cubeguard.functions.numbering import ordered_numbers
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, find_totals, identify_coltypes
 
 _MISC_FOR_COLUMNS = ("GEOniv", "WEIGHTS", "origgeo")
+# A partition of a dense grid holds about so many rows, up to so many partitions.
+GRID_ROWS, MAX_GRID_PARTS = 1_000_000, 100_000
 
 
 def compare_colnames(cube_new: DataFrame, cube_old: DataFrame | None = None) -> DataFrame:
@@ -85,23 +88,48 @@ def compare_dimensions(cube_new: DataFrame, cube_old: DataFrame | None = None,
         _list(F.col("__in_new").isNull() & F.col("__in_old").isNotNull()).alias("Expired_levels")))
 
 
+def ranked_levels(df: DataFrame, columns) -> DataFrame:
+    """(column number, level as text, rank): the distinct levels of all ``columns``, each numbered from 0.
+
+    One scan for all columns, distinct levels combined map-side; a NULL is a level.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), col(c).cast("string").alias("level")) for i, c in enumerate(columns)])
+    levels = df.select(F.explode(pairs).alias("x")).select("x.i", "x.level").distinct()
+    numbered = ordered_numbers(levels, ["i", "level"], "__no")
+    first = numbered.groupBy(F.col("i").alias("__i")).agg(F.min("__no").alias("__first"))
+    return (numbered.join(F.broadcast(first), F.col("i") == F.col("__i"))  # a row for each column
+            .select("i", "level", (F.col("__no") - F.col("__first")).alias("rank")))
+
+
 def get_all_combinations(df: DataFrame, columns) -> DataFrame:
-    """Dense grid, the product of the distinct levels of ``columns``.
+    """Dense grid, the product of the distinct levels of ``columns`` (NULL is a level).
 
-    Meant for dimension level lists (levels, periods, value kinds), whose
-    size is the product of the level counts.  The first column's distinct
-    levels stay distributed; every further column's level list is a bounded
-    array (one scalar subquery) exploded onto each grid row.  NULL levels
-    of the further columns are not part of the grid.
+    Levels are ranked once (:func:`ranked_levels`).  A grid row is a number in mixed
+    radix, one digit for each column: rows come from a range, their digits by division
+    and remainder, and each digit is joined to its column's ranks.  So the grid is dealt
+    evenly whatever the columns, and no column's levels are gathered.  Only the number
+    of levels of each column comes to the driver.
     """
+    columns = list(columns)
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"Column(s) ({', '.join(missing)}) not found in data")
-    grid = df.select(col(columns[0])).distinct()
-    for c in columns[1:]:
-        levels = df.agg(F.array_sort(F.collect_set(col(c)))).scalar()
-        grid = grid.select("*", F.explode(levels).alias(c))
-    return grid
+    spark = df.sparkSession
+    levels = ranked_levels(df, columns)
+    sizes = {r["i"]: r["n"] for r in levels.groupBy("i").agg((F.max("rank") + 1).alias("n")).collect()}
+    total = 1
+    for i in range(len(columns)):
+        total *= sizes.get(i, 0)
+    if total >= 1 << 63:
+        raise ValueError("the grid has more than 2 ** 63 rows")
+    parts = max(spark.sparkContext.defaultParallelism, min(total // GRID_ROWS, MAX_GRID_PARTS))
+    grid, stride = spark.range(0, total, 1, parts).withColumnRenamed("id", "__cell"), total
+    for i, c in enumerate(columns):
+        stride //= max(sizes.get(i, 0), 1)
+        digit = F.expr(f"`__cell` div {stride}L")
+        own = levels.where(F.col("i") == i).select(F.col("rank").alias("__rank"), F.col("level").cast(df.schema[c].dataType).alias(f"__level{i}"))
+        grid = grid.join(checked_broadcast(own), digit % F.lit(max(sizes.get(i, 0), 1)) == F.col("__rank")).drop("__rank")
+    return grid.select(*[F.col(f"__level{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def melt(df: DataFrame, id_cols, value_cols, variable: str = "variable", value: str = "value") -> DataFrame:

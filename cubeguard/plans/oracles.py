@@ -256,7 +256,7 @@ def _more():
         """a17_l AS (SELECT GEOniv, AAR, 'Absolute' AS variable, RATE_diff AS value FROM a17_d
                     UNION ALL SELECT GEOniv, AAR, 'Relative', RATE_reldiff FROM a17_d)""",
         """a17_g AS (SELECT * FROM (SELECT DISTINCT GEOniv FROM a17_l)
-                    CROSS JOIN (SELECT DISTINCT AAR FROM a17_l WHERE AAR IS NOT NULL)
+                    CROSS JOIN (SELECT DISTINCT AAR FROM a17_l)
                     CROSS JOIN (SELECT DISTINCT variable FROM a17_l))""",
         f"""a17_s AS (SELECT GEOniv, AAR, variable, count(value) AS n, min(value) AS mn,
                     quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS md,
@@ -265,7 +265,7 @@ def _more():
                     GROUP BY ALL)""",
         select=f"""SELECT g.GEOniv, g.AAR, g.variable, coalesce(s.n, 0) AS n, {R('s.mn', 4)} AS "min",
                    {R('s.q1', 4)} AS q1, {R('s.md', 4)} AS median, {R('s.q3', 4)} AS q3, {R('s.mx', 4)} AS "max"
-                   FROM a17_g g LEFT JOIN a17_s s ON g.GEOniv IS NOT DISTINCT FROM s.GEOniv AND g.AAR = s.AAR
+                   FROM a17_g g LEFT JOIN a17_s s ON g.GEOniv IS NOT DISTINCT FROM s.GEOniv AND g.AAR IS NOT DISTINCT FROM s.AAR
                    AND g.variable = s.variable""")
     ORACLES["w5_denominator_change"] = W(
         "w5 AS (SELECT * FROM newcube WHERE GEOniv IN ('K', 'B') AND KJONN = 0 AND ALDER = '1_7' AND INNVKAT = 0 AND NEVNER IS NOT NULL)",

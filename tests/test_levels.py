@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cubeguard.operators.aggregate import aggregate_cube, aggregate_cube_multi
+from cubeguard.functions.numbering import ordered_numbers
 from cubeguard.operators.levels import (
     compare_colnames, compare_dimensions, flag_rows, get_all_combinations, get_complete_strata,
 )
@@ -64,6 +65,34 @@ def test_all_combinations(spark):
         get_all_combinations(c.drop("KJONN"), ["KJONN", "ALDER"])
 
 
+def test_grid_of_nulls_types_and_products(spark):
+    rows = [(1, "a", 0.5, None), (2, None, 0.5, "x"), (1, "b", 1e300, "x"), (None, "a", None, "y.z")]
+    df = spark.createDataFrame(rows, "g long, t string, v double, `a.b` string")
+    got = get_all_combinations(df, ["g", "t", "v", "a.b"])
+    assert [f.dataType for f in got.schema] == [f.dataType for f in df.schema]
+    want = {(a, b, c, d) for a in (1, 2, None) for b in ("a", "b", None) for c in (0.5, 1e300, None) for d in (None, "x", "y.z")}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) == 81 and set(rows) == want
+    assert get_all_combinations(df.where("g > 5"), ["g", "t"]).count() == 0
+
+
+def test_grid_of_a_million_levels(spark):
+    """No list of a column's levels anywhere, and each task makes its share of the rows."""
+    df = spark.range(1_000_000).selectExpr("id * 3 as GEO", "cast(id % 3 as string) as AAR")
+    grid = get_all_combinations(df, ["GEO", "AAR"])
+    assert "collect_set" not in grid._jdf.queryExecution().optimizedPlan().toString()
+    row = grid.agg(F.count(F.lit(1)), F.sum("GEO"), F.count_distinct("AAR"), F.sum(F.xxhash64("GEO", "AAR").cast("decimal(38,0)"))).first()
+    plain = df.select("GEO").distinct().select("GEO", F.explode(F.array(F.lit("0"), F.lit("1"), F.lit("2"))).alias("AAR"))
+    assert row[:3] == (3_000_000, 3 * 3 * 499_999_500_000, 3)
+    assert row[3] == plain.agg(F.sum(F.xxhash64("GEO", "AAR").cast("decimal(38,0)"))).first()[0]
+
+
+def test_ordered_numbers(spark):
+    df = spark.createDataFrame([(k * 7919 % 1000, "x" * (k % 3)) for k in range(1000)], "a long, b string").repartition(5)
+    got = ordered_numbers(df, ["b", "a"], "no").collect()
+    assert [(r.b, r.a) for r in sorted(got, key=lambda r: r.no)] == sorted((r.b, r.a) for r in got) and {r.no for r in got} == set(range(1000))
+
+
 def _cubes(spark):
     new = spark.createDataFrame(
         [(0, "2020_2020", 0, 1.0), (0, "2021_2021", 0, 2.0), (1, "2021_2021", 0, 3.0), (0, "2021_2021", 1, 4.0)],
