@@ -9,6 +9,7 @@ from cubeguard.functions.exprs import (
     geo_code_text, geo_label, geo_level_from_code, parent_name,
 )
 from cubeguard.functions.joins import checked_broadcast
+from cubeguard.spec import col
 
 
 def recode_geo(df: DataFrame, codemap: DataFrame, geo: str = "GEO") -> DataFrame:
@@ -84,10 +85,56 @@ def exclude_lks_for_compare(df: DataFrame) -> DataFrame:
     return df.where(~F.col("GEOniv").eqNullSafe(F.lit("V")))
 
 
+#: Digits of an area code by level (zero-padded); a parent's code is the front of its children's.
+LEVEL_DIGITS = {"L": 0, "F": 2, "K": 4, "B": 6, "V": 10}
+#: The pairs of levels, parent first, whose areas add up.
+LEVEL_PAIRS = ("LF", "FK", "KB", "BV")
+
+
+def area_parents(areas: DataFrame, pairs=LEVEL_PAIRS, geo: str = "GEO", level: str = "GEOniv") -> DataFrame:
+    """(pair, parent, child): the prefix tree of the area codes, a row for each link of the ``pairs`` of levels.
+
+    Codes are zero-padded to their level's digits, so a child's parent on a level is
+    found by one equality join on the front of its code; the country is every county's
+    parent.  Only areas that are there are linked, so a pair of which one level is
+    missing gives no row.  Small municipalities (``k``) count as municipalities.
+    """
+    niv = F.when(F.col(level) == "k", "K").otherwise(F.col(level))
+    one = areas.where(col(geo).isNotNull()).select(col(geo).cast("bigint").alias("code"), niv.alias("niv")).distinct()
+    digits = F.create_map(*[F.lit(x) for kv in LEVEL_DIGITS.items() for x in kv])
+    padded = F.when(F.col("niv") == "L", F.lit("")).otherwise(F.lpad(F.col("code").cast("string"), digits[F.col("niv")], "0"))
+    one = one.where(F.col("niv").isin(*LEVEL_DIGITS)).withColumn("key", padded)
+    links = F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(p[0]).alias("up"), F.lit(p[1]).alias("down"), F.lit(LEVEL_DIGITS[p[0]]).alias("n")) for p in pairs])
+    down = one.select("code", "niv", "key", F.explode(links).alias("x")).where(F.col("niv") == F.col("x.down"))
+    down = down.select(F.col("code").alias("child"), "x.pair", "x.up", F.substring(F.col("key"), F.lit(1), F.col("x.n")).alias("front"))
+    return (down.join(one, (F.col("up") == F.col("niv")) & (F.col("front") == F.col("key")))
+            .select("pair", F.col("code").alias("parent"), "child"))
+
+
+def area_sets(areas: DataFrame, pairs=LEVEL_PAIRS, geo: str = "GEO", level: str = "GEOniv") -> DataFrame:
+    """(pair, levels, set_label): the additive set ``{parent,child,...}`` of each parent area.
+
+    A label holds the children of one area, as many as the digits between two levels
+    allow (at most 10,000), in order of their codes.
+    """
+    links = area_parents(areas, pairs, geo, level)
+    children = F.array_sort(F.collect_list("child"))
+    return links.groupBy("pair", "parent").agg(children.alias("children")).select(
+        "pair", F.split("pair", "").alias("levels"),
+        F.concat(F.lit("{"), F.concat_ws(",", F.concat(F.array("parent"), F.col("children")).cast("array<string>")), F.lit("}")).alias("set_label"))
+
+
 def add_geotriangles(sets: DataFrame, geolevels) -> DataFrame:
     """Keep parent/child suppression sets whose two levels are both present.
 
-    ``sets`` has an array column ``levels`` (the two level codes of the set).
+    ``sets`` has an array column ``levels`` (the two level codes of the set);
+    ``geolevels`` is a list of levels, or a DataFrame with the level in its first
+    column, which is not collected: a set stays if it finds all of its levels there.
     """
-    present = F.array(*[F.lit(g) for g in geolevels])
-    return sets.where(F.size(F.array_except(F.col("levels"), present)) == 0)
+    if not isinstance(geolevels, DataFrame):
+        present = F.array(*[F.lit(g) for g in geolevels]).cast("array<string>")
+        return sets.where(F.size(F.array_except(F.col("levels"), present)) == 0)
+    there = geolevels.select(col(geolevels.columns[0]).alias("__level")).distinct()  # a handful of level codes
+    for k in (0, 1):
+        sets = sets.join(F.broadcast(there), sets["levels"][k] == F.col("__level"), "left_semi")
+    return sets

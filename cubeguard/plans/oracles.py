@@ -250,7 +250,22 @@ def _more():
                         for x in ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"])
         parts.append(f"""SELECT {sel} FROM a13 WHERE CAST({dname} AS VARCHAR) IN ({levels_})
                          GROUP BY {', '.join(rest)} HAVING sum(pvern) > 0 AND sum(prikket_ok) = 1""")
-    ORACLES["a13_suppression_attack"] = W(bk, select=" UNION ALL ".join(parts))
+    areas = "g7_areas AS (SELECT DISTINCT GEO, GEOniv FROM newcube)"
+
+    def links(pair, divisor):
+        up = "0" if pair == "LF" else f"c.GEO // {divisor}"
+        return (f"SELECT '{pair}' AS pair, p.GEO AS parent, c.GEO AS child FROM g7_areas c JOIN g7_areas p "
+                f"ON p.GEOniv = '{pair[0]}' AND c.GEOniv = '{pair[1]}' AND p.GEO = {up}")
+    divisors = {"LF": 1, "FK": 100, "KB": 100, "BV": 10_000, "KV": 1_000_000}
+    ORACLES["g7_area_parents"] = W(areas, select=" UNION ALL ".join(links(p, d) for p, d in divisors.items()))
+    sets_ = ("g7_sets AS (SELECT pair, '{' || parent || ',' || string_agg(CAST(child AS VARCHAR), ',' ORDER BY child) || '}' AS set_label, "
+             "list_append(list(child), parent) AS members FROM ("
+             + " UNION ALL ".join(links(p, d) for p, d in divisors.items() if p != "KV") + ") l GROUP BY pair, parent)")
+    ORACLES["g7_area_sets"] = W(areas, sets_, select="SELECT pair, set_label FROM g7_sets")
+    parts.append("""SELECT set_label AS GEO, AAR, CAST(KJONN AS VARCHAR) AS KJONN, ALDER, CAST(INNVKAT AS VARCHAR) AS INNVKAT
+        FROM a13 JOIN (SELECT set_label, unnest(members) AS m FROM g7_sets) s ON a13.GEO = s.m
+        GROUP BY set_label, AAR, KJONN, ALDER, INNVKAT HAVING sum(pvern) > 0 AND sum(prikket_ok) = 1""")
+    ORACLES["a13_suppression_attack"] = W(bk, areas, sets_, select=" UNION ALL ".join(parts))
     ORACLES["a17_diff_trend"] = W(*CC, f"""a17_d AS (SELECT {LABEL} AS GEOniv, AAR, RATE_diff, RATE_reldiff FROM comparecube
                                        WHERE newrow = 0 AND SPVFLAGG_new = 0 AND SPVFLAGG_old = 0)""",
         """a17_l AS (SELECT GEOniv, AAR, 'Absolute' AS variable, RATE_diff AS value FROM a17_d

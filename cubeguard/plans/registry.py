@@ -340,7 +340,20 @@ def q_a11(spark, sf_dir):
 def q_a13(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
     cube = fx.with_suppression_bookkeeping(new)
-    return checks.attack_naboprikk(cube, checks.find_specs(fx.spec_table(spark)))
+    return checks.attack_naboprikk(cube, checks.find_specs(fx.spec_table(spark), cube=new))
+
+
+@register("g7_area_sets")
+def q_g7(spark, sf_dir):
+    new, _ = _new(spark, sf_dir)
+    return geo.add_geotriangles(geo.area_sets(new), new.select("GEOniv")).select("pair", "set_label")
+
+
+@register("g7_area_parents")
+def q_g7_parents(spark, sf_dir):
+    """All links of the hierarchy, the areas of the lowest level under their municipality."""
+    new, _ = _new(spark, sf_dir)
+    return geo.area_parents(new, ("LF", "FK", "KB", "BV", "KV"))
 
 
 @register("a17_diff_trend")

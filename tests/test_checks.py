@@ -88,6 +88,17 @@ def test_attack_with_area_sets(spark):
     assert [tuple(r) for r in checks.attack_naboprikk(cube, none, sets).collect()] == [("{1,101,102}", "2020_2020", "0")]
 
 
+def test_attack_with_derived_area_sets(spark):
+    """The cube's own hierarchy gives the sets: country, counties, municipalities, districts."""
+    cube = spark.createDataFrame([(0, "L", 0, 1), (1, "F", 1, 0), (2, "F", 0, 0), (101, "K", 0, 1), (102, "K", 0, 0), (201, "K", 0, 0), (10101, "B", 0, 0)],
+                                 "GEO long, GEOniv string, pvern int, prikket_ok int").selectExpr("*", "'2020_2020' as AAR", "0L as KJONN")
+    none = spark.createDataFrame([], "Tabell string, Kolonne string, Innhold string")
+    specs = checks.find_specs(none, cube=cube)
+    assert sorted(r.Innhold for r in specs.collect()) == ["{0,1,2}", "{1,101,102}", "{101,10101}", "{2,201}"]
+    got = sorted(tuple(r) for r in checks.attack_naboprikk(cube, specs).select("GEO", "AAR", "KJONN").collect())
+    assert got == [("{0,1,2}", "2020_2020", "0"), ("{1,101,102}", "2020_2020", "0")]
+
+
 def test_barometer_codes_must_be_contiguous(spark):
     from cubeguard.operators.barometer import barometer_lpnr
     schema = "stedskode_string string, indikator_kodet long"

@@ -3,7 +3,7 @@
 import pytest
 
 from cubeguard.operators.geo import (
-    add_geoparams, add_kommune, recode_geo, recode_report, split_kommuneniv, translate_geoniv,
+    add_geoparams, add_geotriangles, add_kommune, area_parents, area_sets, recode_geo, recode_report, split_kommuneniv, translate_geoniv,
 )
 
 PARENTS = {301: "Oslo", 1103: "Stavanger", 4601: "Bergen", 5001: "Trondheim"}
@@ -51,3 +51,20 @@ def test_recode(spark):
     assert got == {1: 1, 2: 20, 3: 399}
     rep = recode_report(df, m).collect()[0]
     assert rep.recoded_codes == 2 and rep.rows_on_99_codes == 1
+
+
+def test_area_sets_of_all_levels(spark):
+    """Codes of one to ten digits, an area without a parent, a pair without its upper level, small municipalities."""
+    areas = spark.createDataFrame([(0, "L"), (3, "F"), (11, "F"), (301, "K"), (1103, "K"), (1111, "k"), (4601, "K"), (30101, "B"), (110301, "B"),
+                                   (110302, "B"), (1103010001, "V"), (301010007, "V"), (99, None), (None, "K"), (1103, "K")], "GEO long, GEOniv string")
+    got = {(r.pair, r.parent, r.child) for r in area_parents(areas).collect()}
+    assert got == {("LF", 0, 3), ("LF", 0, 11), ("FK", 3, 301), ("FK", 11, 1103), ("FK", 11, 1111), ("KB", 301, 30101), ("KB", 1103, 110301),
+                   ("KB", 1103, 110302), ("BV", 110301, 1103010001), ("BV", 30101, 301010007)}
+    labels = {r.pair: r.set_label for r in area_sets(areas).collect() if r.pair in ("LF", "BV") or r.set_label.startswith("{1103,")}
+    assert labels["LF"] == "{0,3,11}" and labels["KB"] == "{1103,110301,110302}"
+    assert area_sets(areas.where("GEOniv <> 'F'")).where("pair in ('LF', 'FK')").count() == 0
+    sets = spark.createDataFrame([(["L", "F"], "a"), (["F", "K"], "b"), (["B", "V"], "c")], "levels array<string>, set_label string")
+    there = spark.createDataFrame([("L",), ("F",), ("K",), ("K",)], "GEOniv string")
+    assert sorted(r.set_label for r in add_geotriangles(sets, there).collect()) == ["a", "b"]
+    assert sorted(r.set_label for r in add_geotriangles(sets, ["B", "V"]).collect()) == ["c"]
+    assert area_sets(areas.limit(0)).count() == 0
