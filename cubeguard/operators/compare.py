@@ -66,3 +66,36 @@ def add_diffcolumns(comparecube: DataFrame, values) -> DataFrame:
     out = comparecube.withColumns(diffs)
     diffcols = [c for c in out.columns if c.endswith("_diff")]
     return out.withColumn("any_diffs", any_abs_above([col(c) for c in diffcols], ANY_DIFF_THRESHOLD))
+
+
+def match_first(new: DataFrame, old: DataFrame, keys, new_cols, old_cols, first_by=()) -> DataFrame:
+    """The full outer match of two tables, one row for each key held by either.
+
+    Columns: the keys, ``new_cols`` and ``old_cols`` (NULL where that side lacks the key),
+    ``__n_new`` and ``__n_old`` (rows of the key on each side).  A key that a side holds
+    several times takes its first row there (T15): the least by ``first_by`` where given,
+    then by all its columns from left to right, NULLs first, so the pick never depends on
+    the order of the rows.  NULL levels match each other.
+
+    Both sides go through ONE exchange by the key and are picked map-side before it, so a
+    hot key costs a row for each task and no rows multiply.
+    """
+    def side(df, cols, name):
+        ranked = [col(c).alias(f"r{i}") for i, c in enumerate(first_by) if c in df.columns]
+        row = F.struct(*ranked, *[col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+        return df.select(*[col(k).cast(new.schema[k].dataType).alias(f"__key{i}") for i, k in enumerate(keys)], row.alias(name))
+
+    left, right = side(new, new_cols, "__n"), side(old, old_cols, "__o")
+    g = left.unionByName(right, allowMissingColumns=True).groupBy(*[f"__key{i}" for i in range(len(keys))]).agg(
+        F.min("__n").alias("__n"), F.min("__o").alias("__o"), F.count("__n").alias("__n_new"), F.count("__o").alias("__n_old"))
+    return g.select(*[F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)],
+                    *[F.col("__n").getField(f"c{i}").alias(c) for i, c in enumerate(new_cols)],
+                    *[F.col("__o").getField(f"c{i}").alias(c) for i, c in enumerate(old_cols)], "__n_new", "__n_old")
+
+
+def dropped_rows(matched: DataFrame, keys) -> DataFrame:
+    """What :func:`match_first` left out: (keys, side, n_dropped) for each key that a side holds several times."""
+    sides = F.array(F.struct(F.lit("new").alias("side"), (F.col("__n_new") - 1).alias("n")),
+                    F.struct(F.lit("old").alias("side"), (F.col("__n_old") - 1).alias("n")))
+    return (matched.where((F.col("__n_new") > 1) | (F.col("__n_old") > 1)).select(*[col(k) for k in keys], F.explode(sides).alias("x"))
+            .where(F.col("x.n") > 0).select(*[col(k) for k in keys], F.col("x.side").alias("side"), F.col("x.n").alias("n_dropped")))

@@ -2,9 +2,9 @@
 
 Plan: both cubes get level flags (broadcast joins against distinct level
 lists), change values (exchange by series) and fences (one computation by
-stratum, joined back as a small table).  Then ONE null-safe full outer join on the common dimensions
-yields both the new cube's previous-outlier flags (W4) and the comparison
-cube (C3), so each flagged cube is shuffled by the keys only once.
+stratum, joined back as a small table).  Then ONE null-safe full outer match on the common dimensions
+(one exchange of both cubes, the first row of a key picked before it) yields both the new cube's
+previous-outlier flags (W4) and the comparison cube (C3).
 The only actions are two single-row profiles (totals, number of periods).
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubeguard.functions.quantile import ROWS_PER_RANGE
-from cubeguard.operators.compare import add_diffcolumns, add_totals_for_missing_dims, uprikk_rebuild
+from cubeguard.operators.compare import add_diffcolumns, add_totals_for_missing_dims, dropped_rows, match_first, uprikk_rebuild
 from cubeguard.operators.geo import exclude_lks_for_compare
 from cubeguard.operators.levels import flag_rows
 from cubeguard.operators.outliers import flag_outliers, prev_outlier_columns
@@ -33,6 +33,8 @@ class CompareResult:
     roles: ColumnRoles
     outlierval: str | None
     n_periods_new: int = 0
+    # rows that a key held several times left out (keys, side, n_dropped)
+    dropped: DataFrame | None = None
 
 
 def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, outliers: bool = True,
@@ -82,9 +84,9 @@ def make_comparecube(cube_new: DataFrame, cube_old: DataFrame | None = None, out
         old_flag = flag_outliers(old_flag, outlierval, small_threshold, prof_old.n_periods >= 2, spec,
                                  prof_old, rows_per_range)
 
-    newcube_flag, comparecube = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis,
+    newcube_flag, comparecube, dropped = _join_new_old(new_flag, old_flag, roles, outlierval, reference_parenthesis,
                                               materialize)
-    return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval, prof_new.n_periods)
+    return CompareResult(newcube_flag, old_flag, comparecube, roles, outlierval, prof_new.n_periods, dropped)
 
 
 def _add_totals(dt, ref, dims, ref_totals, spec):
@@ -101,27 +103,21 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
                   reference_parenthesis: bool, materialize: bool = False):
     keys = roles.commondims
     extra, vals = uprikk_rebuild(new_flag.columns, old_flag.columns, roles.commonvals)
-    n = new_flag.withColumns(extra).withColumn("__in_new", F.lit(True)) if extra else \
-        new_flag.withColumn("__in_new", F.lit(True))
-    old_sel = [col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    old_sel += [col("exprow").alias("__exprow")]
-    old_sel += [col(v).alias(f"{v}_old") for v in vals]
+    n = new_flag.withColumns(extra)
+    # names that clash with the new side's columns get their side's name
+    old_cols = {"exprow": "__exprow", **{v: f"{v}_old" for v in vals}}
     has_out = outlierval is not None and "OUTLIER" in old_flag.columns
     has_chg = has_out and "change_OUTLIER" in old_flag.columns and "change_OUTLIER" in new_flag.columns
     if has_out:
-        old_sel.append(F.col("OUTLIER").alias("__old_OUTLIER"))
+        old_cols["OUTLIER"] = "__old_OUTLIER"
     if has_chg:
-        old_sel.append(F.col("change_OUTLIER").alias("__old_change_OUTLIER"))
-    o = old_flag.select(*old_sel)
-    cond = None
-    for i, k in enumerate(keys):
-        c = n[k].eqNullSafe(o[f"__k{i}"])
-        cond = c if cond is None else cond & c
-    joined = n.join(o, cond, "full")
+        old_cols["change_OUTLIER"] = "__old_change_OUTLIER"
+    o = old_flag.select(*[col(k) for k in keys], *[col(c).alias(a) for c, a in old_cols.items()])
+    joined = match_first(n, o, keys, [c for c in n.columns if c not in keys], list(old_cols.values()))
+    joined = joined.withColumn("__in_new", F.when(F.col("__n_new") > 0, True))
     if materialize:
         from cubeguard.session import materialize as _mat
         joined = _mat(joined, "compare_joined")
-    # the joined columns have unique names: later references are by name
 
     # The new cube with previous-outlier information
     prev_cols = {}
@@ -141,12 +137,12 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
     cc = joined.where(keep)
     geoniv = col("GEOniv") if "GEOniv" in new_flag.columns else F.lit(None).cast("string").alias("GEOniv")
     sel = [geoniv, col("newrow")]
-    sel += [F.coalesce(col(k), F.col(f"__k{i}")).alias(k) for i, k in enumerate(keys)]
+    sel += [col(k) for k in keys]
     for v in vals:
         sel.append(col(v).alias(f"{v}_new"))
         sel.append(F.when(F.col("__exprow") == 0, col(f"{v}_old")).alias(f"{v}_old"))
     comparecube = add_diffcolumns(cc.select(*sel), vals)
-    return newcube_flag, comparecube
+    return newcube_flag, comparecube, dropped_rows(joined, keys)
 
 
 def read_and_compare(spark, cube_new: str, root: str, cube_old: str | None = None, dump_dir: str | None = None,

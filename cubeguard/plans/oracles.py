@@ -557,6 +557,24 @@ def _sources():
         CROSS JOIN (SELECT DISTINCT KJONN FROM newcube)""")
     ORACLES["s1_load_pair"] = ORACLES["c1_comparecube"]
     ORACLES["k2_dump"] = ORACLES["p10_round"]
+    four = ["GEO", "AAR", "KJONN", "ALDER"]
+    held = lambda cube, flag, extra: (
+        f"SELECT *, row_number() OVER (PARTITION BY {', '.join(four)} ORDER BY {extra}) AS rn, "
+        f"count(*) OVER (PARTITION BY {', '.join(four)}) AS held FROM (SELECT *, CASE WHEN "
+        + " OR ".join(f"{d} NOT IN (SELECT {d} FROM {'oldcube' if cube == 'newcube' else 'newcube'} WHERE GEOniv IS DISTINCT FROM 'V')" for d in four)
+        + f" THEN 1 ELSE 0 END AS {flag} FROM {cube} WHERE GEOniv IS DISTINCT FROM 'V') z")
+    first = lambda cols: ", ".join(f"{o.q(c)} ASC NULLS FIRST" for c in cols)
+    fm_new = "fm_new AS (" + held("newcube", "newrow", first([*o.VALS, "GEOniv", "WEIGHTS", "newrow"])) + ")"
+    fm_old = "fm_old AS (" + held("oldcube", "exprow", first(["exprow", *o.VALS])) + ")"
+    keys = ", ".join(f"coalesce(n.{d}, o.{d}) AS {d}" for d in four)
+    vals = ", ".join(f"n.{o.q(v)} AS {o.q(v + '_new')}, o.{o.q(v)} AS {o.q(v + '_old')}" for v in o.VALS)
+    on = " AND ".join(f"n.{d} IS NOT DISTINCT FROM o.{d}" for d in four)
+    cc = (f"fm_cc AS (SELECT n.GEOniv, n.newrow, {keys}, {vals} FROM (SELECT * FROM fm_new WHERE rn = 1) n "
+          f"FULL OUTER JOIN (SELECT * FROM fm_old WHERE rn = 1 AND exprow = 0) o ON {on})")
+    ORACLES["c1_first_match"] = W(fm_new, fm_old, cc, select=o._diffs_select("fm_cc"))
+    ORACLES["c1_dropped_rows"] = W(fm_new, fm_old, select=f"""
+      SELECT DISTINCT {', '.join(four)}, 'new' AS side, held - 1 AS n_dropped FROM fm_new WHERE held > 1
+      UNION ALL SELECT DISTINCT {', '.join(four)}, 'old', held - 1 FROM fm_old WHERE held > 1""")
     ORACLES["c1_duplicate_keys"] = W(select="""
       SELECT GEO, AAR, KJONN, ALDER, count(*) AS n FROM newcube GROUP BY ALL HAVING count(*) > 1""")
 

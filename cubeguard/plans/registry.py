@@ -630,6 +630,24 @@ def q_k2(spark, sf_dir):
     return df.withColumn("AAR", F.col("AAR").cast("string"))  # the partition column
 
 
+def _repeated(spark, sf_dir):
+    """Both cubes without their extra dimension: the key they share is held several times."""
+    new, old, _ = _pair(spark, sf_dir)
+    return make_comparecube(new.drop("INNVKAT"), old.drop("UTDANN", "origgeo"), outliers=False)
+
+
+@register("c1_first_match")
+def q_c1_first_match(spark, sf_dir):
+    """One row for each key, the first one of either cube."""
+    return _repeated(spark, sf_dir).comparecube
+
+
+@register("c1_dropped_rows")
+def q_c1_dropped(spark, sf_dir):
+    """What the first match left out."""
+    return _repeated(spark, sf_dir).dropped
+
+
 @register("c1_duplicate_keys")
 def q_c1_duplicate_keys(spark, sf_dir):
     """T15 on the key that both cubes share: it is unique only once INNVKAT is collapsed."""

@@ -85,9 +85,9 @@ def _physical(df):
 
 def test_plan_shape_at_scale(spark):
     """With automatic broadcasts off (the static plan of a 100 TB input), the
-    level lookups stay broadcast behind their proven bounds and the only
-    shuffle join of the comparison is the null-safe full outer join; F2 has
-    no window over a stratum."""
+    level lookups stay broadcast behind their proven bounds and the comparison
+    has no shuffle join: the null-safe full outer match is one exchange of both
+    cubes by the key, picked before it; F2 has no window over a stratum."""
     from cubeguard.operators.levels import get_complete_strata
     new, old, thr = fx.fixture_pair(spark, SF)
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -97,7 +97,8 @@ def test_plan_shape_at_scale(spark):
             spark.conf.set(k, "-1")
         cc = make_comparecube(new, old, small_threshold=thr).comparecube
         plan = _physical(cc)
-        assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
+        assert "SortMergeJoin" not in plan
+        assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(__key0" in x]) == 1
         assert plan.count("BroadcastHashJoin") >= 2
         f2 = _physical(get_complete_strata(new, ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"], "censored"))
         assert "Window" not in f2
@@ -107,3 +108,33 @@ def test_plan_shape_at_scale(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_first_match_of_repeated_keys(spark):
+    """A key held twice on both sides gives one row, the least by its columns, whatever the order and number of partitions."""
+    from cubeguard.operators.compare import dropped_rows, match_first
+    new = spark.createDataFrame([(1, None, 5.0, "b"), (1, None, 4.0, "z"), (1, None, None, "y"), (2, "x", 1.0, "a"), (4, "q", 1.0, None)],
+                                "g long, a string, `v.n` double, t string")
+    old = spark.createDataFrame([(1, None, 9.0), (1, None, 8.0), (3, "x", 7.0), (4, "q", None), (4, "q", None)], "g int, a string, w double")
+    seen = set()
+    for parts in (1, 3, 7):
+        m = match_first(new.repartition(parts), old.repartition(parts), ["g", "a"], ["v.n", "t"], ["w"])
+        assert m.schema["g"].dataType == new.schema["g"].dataType
+        rows = sorted((tuple(r) for r in m.collect()), key=str)
+        assert rows == sorted([(1, None, None, "y", 8.0, 3, 2), (2, "x", 1.0, "a", None, 1, 0), (3, "x", None, None, 7.0, 0, 1),
+                               (4, "q", 1.0, None, None, 1, 2)], key=str)
+        seen.add(str(sorted((tuple(r) for r in dropped_rows(m, ["g", "a"]).collect()), key=str)))
+    assert seen == {str(sorted([(1, None, "new", 2), (1, None, "old", 1), (4, "q", "old", 1)], key=str))}
+    by_text = match_first(new, old, ["g", "a"], ["v.n", "t"], ["w"], first_by=["t"]).where("g = 1").first()
+    assert (by_text["v.n"], by_text["t"]) == (5.0, "b")
+
+
+def test_comparison_has_one_exchange_of_the_cubes(spark):
+    """Without outliers the match is the only exchange by the key, and no join multiplies rows."""
+    new = fx.fixture_new(spark, SF)
+    res = make_comparecube(new.drop("INNVKAT"), new.drop("INNVKAT"), outliers=False)
+    keys = ["GEO", "AAR", "KJONN", "ALDER"]
+    assert res.comparecube.groupBy(*keys).count().where("count > 1").count() == 0
+    assert res.comparecube.count() == new.where("GEOniv <> 'V'").select(*keys).distinct().count()
+    plan = res.comparecube._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "FullOuter" not in plan
