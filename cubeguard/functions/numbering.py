@@ -31,3 +31,32 @@ def ordered_numbers(df: DataFrame, order, name: str) -> DataFrame:
     offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "__p int, __start bigint"))
     out = placed.join(offsets, part == F.col("__p"))
     return out.withColumn(name, F.col("__start") + F.col("__place").bitwiseAND(F.lit(_LOW))).drop("__place", "__p", "__start")
+
+
+def occurrence_numbers(df: DataFrame, key, order, name: str) -> DataFrame:
+    """Add ``name``: the 0-based number of a row among the rows of its ``key``, in the order of ``order``
+    and then of all columns (NULLs first; NULL keys are equal).
+
+    Keys held once, the usual case, get 0 without being moved by the numbering.  Of the
+    others, equal rows are combined map-side and numbered together, and a key's rows are
+    put in order within buckets of the first order column's magnitude, whose sizes are
+    added up: a hot key is spread over its buckets, never gathered in one task.
+    """
+    from pyspark.sql import Window
+
+    from cubeguard.functions.quantile import magnitude
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    d = df.select("*", F.struct(*[F.col(f"`{k}`") for k in key]).alias("__k"))  # a struct's NULLs are equal
+    many = d.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__k")
+    once = d.join(many, "__k", "left_anti").select(*cols, F.lit(0).cast("bigint").alias(name))
+    g = d.join(many, "__k", "left_semi").groupBy("__k", *cols).agg(F.count(F.lit(1)).alias("__n"))
+    g = g.withColumn("__b", F.coalesce(magnitude(F.col(f"`{order[0]}`").cast("double")), F.lit(-(1 << 40))))
+    rest = [c for c in df.columns if c not in order]
+    inside = Window.partitionBy("__k", "__b").orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in [*order, *rest]]) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = g.groupBy("__k", "__b").agg(F.sum("__n").alias("__m"))
+    before = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = buckets.select("__k", "__b", (F.sum("__m").over(before) - F.col("__m")).alias("__off"))
+    g = g.withColumn("__at", F.sum("__n").over(inside) - F.col("__n")).join(buckets, ["__k", "__b"])
+    first = F.col("__off") + F.col("__at")
+    return once.unionByName(g.select(*cols, F.explode(F.sequence(first, first + F.col("__n") - 1)).alias(name)))

@@ -75,7 +75,7 @@ def _renamed(cols, prefix: str):
     return [F.col(f"`{c}`").alias(f"{prefix}{i}") for i, c in enumerate(cols)]
 
 
-def _magnitude(v: F.Column) -> F.Column:
+def magnitude(v: F.Column) -> F.Column:
     """Bucket of the first pass: grows with ``v``, ``STEPS`` for each power of two.
 
     A logarithm rounded to the wrong side of a power of two gives the bucket that
@@ -132,7 +132,7 @@ def select_values(df: DataFrame, group_cols, value: str, weight: str | None, tar
         return rows.join(chosen, _on(rows, chosen, by + ["__b"], "__c")).drop("__b", *[f"__c{i}" for i in range(len(by) + 1)])
 
     # first pass: one histogram a group for all targets
-    rows = d.withColumn("__b", _magnitude(F.col("__v").cast("double")))
+    rows = d.withColumn("__b", magnitude(F.col("__v").cast("double")))
     h = rows.groupBy(*groups, "__b").agg(F.sum("__w").alias("__bw"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     whole = Window.partitionBy(*groups)
     h = h.withColumns({"__cum": F.sum("__bw").over(_up_to("__b", *groups)), "__tot": F.sum("__bw").over(whole),

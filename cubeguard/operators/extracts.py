@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubeguard.functions.joins import _level_key, checked_broadcast
-from cubeguard.spec import DEFAULT_SPEC, CubeSpec, DATETAG_PATTERN, col, identify_coltypes
+from cubeguard.functions.numbering import occurrence_numbers
+from cubeguard.spec import DEFAULT_SPEC, CubeSpec, DATETAG_PATTERN, col, identify_coltypes, select_outlier_pri
 
 # Level of an expired dimension the cube is fixed at, per
 # dimension, with exceptions per indicator (T8: the intended behaviour)
@@ -34,8 +35,8 @@ CHECKED_FOR_ALERTS = ("SISTE_AAR", "Periode_bm", "Periode_nn", "IDENTISK_PRIKKIN
                       "VALID_kombo")
 TOLERANCE = 1.5e-8
 
-# The stored filters' words: literals, operators and names, and nothing else.
-_FILTER_WORD = re.compile(r"""\s*(?:(?P<number>-?\d+(?:\.\d+)?)|(?P<text>"[^"]*"|'[^']*')|(?P<op>%in%|[=!<>]=|&&?|\|\|?|[<>!(),])
+# The stored filters' words: literals (or marks in their place), operators and names, and nothing else.
+_FILTER_WORD = re.compile(r"""\s*(?:(?P<mark>\#[ids]\#)|(?P<number>-?\d+(?:\.\d+)?)|(?P<text>"[^"]*"|'[^']*')|(?P<op>%in%|[=!<>]=|&&?|\|\|?|[<>!(),])
     |(?P<name>[^\W\d][\w.]*))""", re.X)
 
 
@@ -44,15 +45,34 @@ def indicator_of(filename: F.Column) -> F.Column:
     return F.regexp_replace(filename, "_" + DATETAG_PATTERN + r".*$", "")
 
 
-def etab_predicate(text: str) -> F.Column:
+# The literals of a stored filter: text, and numbers that are no part of a name.
+_LITERAL = r"""("[^"]*"|'[^']*'|(?<![\w.])-?\d+(?:\.\d+)?(?![\w.]))"""
+# A literal's mark in a shape by its kind: text, decimal number, integer.
+_MARKS = ((r"""^["']""", "#s#"), (r"\.", "#d#"), ("", "#i#"))
+
+
+def filter_shape(text: F.Column) -> tuple:
+    """(shape, literals) of stored filters: a shape has a mark ``#i#``, ``#d#`` or ``#s#`` in place of
+    each literal, so filters that differ by their literals only have one shape."""
+    literals = F.regexp_extract_all(text, F.lit(_LITERAL), 1)
+    between = F.split(text, _LITERAL, -1)
+    mark = lambda x: F.when(x.rlike(_MARKS[0][0]), _MARKS[0][1]).when(x.rlike(_MARKS[1][0]), _MARKS[1][1]).otherwise(_MARKS[2][1])
+    shape = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size(literals)), literals, lambda b, x: F.concat(b, mark(x))), ""),
+                     F.element_at(between, -1))
+    plain = F.transform(literals, lambda x: F.when(x.rlike(_MARKS[0][0]), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x))
+    return shape, plain
+
+
+def etab_predicate(text: str, literals: F.Column | None = None) -> F.Column:
     """a stored filter (``GEO > 0 & !is.na(RATE) & KJONN %in% c(1, 2)``) as a Column.
 
     The text may hold comparisons of a column with a literal, ``%in% c(...)``,
     ``is.na(column)``, ``!``, ``&``, ``|`` and brackets; anything else, such as
     a function call, is an error.  Columns are built from it directly, so no
-    part of it is ever evaluated as SQL.
+    part of it is ever evaluated as SQL.  In the place of literals a shape
+    (:func:`filter_shape`) has marks, which stand for ``literals`` in their order.
     """
-    words, at = [], 0
+    words, at, marks = [], 0, 0
     while text[at:].strip():
         m = _FILTER_WORD.match(text, at)
         if m is None:
@@ -68,6 +88,11 @@ def etab_predicate(text: str) -> F.Column:
         return words.pop()[1]
 
     def literal():
+        nonlocal marks
+        if words[-1][0] == "mark" and literals is not None:
+            value = literals[marks]
+            marks += 1
+            return value.cast({"i": "bigint", "d": "double", "s": "string"}[take()[1]])
         if words[-1][0] == "number":
             value = take()
             return F.lit(float(value) if "." in value else int(value))
@@ -103,7 +128,7 @@ def etab_predicate(text: str) -> F.Column:
             values = [literal()]
             while take("op", ",", ")") == ",":
                 values.append(literal())
-            return col(name).isin(*values)
+            return reduce(lambda a, b: a | b, [col(name) == v for v in values])
         value = literal()
         return {"==": col(name) == value, "!=": col(name) != value, "<": col(name) < value, ">": col(name) > value,
                 "<=": col(name) <= value, ">=": col(name) >= value}[op]
@@ -142,26 +167,39 @@ def filter_cube_to_extracts(cube: DataFrame, extracts: DataFrame, spec: CubeSpec
     # Which extracts have a level, for all dimensions in one lookup; a row then
     # appears once for each extract that has all of its levels, never before.
     # A list is bounded by the number of extracts, the lookup by their levels.
+    # An extract goes with its stored filters: the numbers of their shapes and their literals.
+    shapes, ex = [], extracts.withColumn("__x", F.struct("Friskvik"))
+    if "ETAB" in extracts.columns:
+        # only the shapes come to the driver, however many filters there are
+        shape, literals = filter_shape(F.coalesce(F.trim("ETAB"), F.lit("")))
+        shapes = sorted(r[0] for r in extracts.select(shape.alias("s")).distinct().collect() if r[0])
+    if shapes:
+        number = F.array_position(F.array(*[F.lit(x) for x in shapes]), shape).cast("int")
+        stored = F.filter(F.collect_set(F.struct(number.alias("shape"), literals.alias("lits"))), lambda f: f["shape"] > 0)
+        filters = extracts.groupBy(F.col("Friskvik").alias("__f")).agg(F.array_sort(stored).alias("__fs"))
+        ex = (extracts.join(checked_broadcast(filters), F.col("Friskvik") == F.col("__f"))
+              .withColumn("__x", F.struct("Friskvik", F.col("__fs").alias("filters"))))
     out, matching = cube, None
     if dims:
         keys = F.explode(F.array(*[_level_key(d, col(d)) for d in dims]))
-        lookup = checked_broadcast(extracts.select(keys.alias("__key"), "Friskvik").groupBy("__key").agg(F.collect_set("Friskvik").alias("__ex")))
+        lookup = checked_broadcast(ex.select(keys.alias("__key"), "__x").groupBy("__key").agg(F.collect_set("__x").alias("__ex")))
         for k, d in enumerate(dims):
             level = lookup.select(F.col("__key").alias(f"__k{k}"), F.col("__ex").alias(f"__e{k}"))
             out = out.join(level, _level_key(d, col(d)) == F.col(f"__k{k}"))
             matching = F.col(f"__e{k}") if matching is None else F.array_intersect(matching, F.col(f"__e{k}"))
     else:
-        matching = F.lit(extracts.agg(F.array_sort(F.collect_set("Friskvik"))).first()[0] or [])
-    out = out.select(*[col(c) for c in cube.columns], F.explode(matching).alias("Friskvik"))
-    # ETAB: one predicate per extract (their number is bounded by the extracts)
-    if "ETAB" in extracts.columns:
-        preds = [r for r in extracts.select("Friskvik", "ETAB").distinct().collect() if r["ETAB"]]
-        if preds:
-            cond = None
-            for r in preds:
-                c = (F.col("Friskvik") == r["Friskvik"]) & ~etab_predicate(r["ETAB"])
-                cond = c if cond is None else cond | c
-            out = out.where(~cond)
+        matching = ex.agg(F.array_sort(F.collect_set("__x"))).scalar()  # bounded by the number of extracts
+    if shapes:
+        # each shape is one predicate, evaluated on a row's extracts before the row is repeated for them
+        def passes(x):
+            def holds(f):
+                ok = F.lit(False)
+                for k, shape in enumerate(shapes, 1):
+                    ok = F.when(f["shape"] == k, etab_predicate(shape, f["lits"])).otherwise(ok)
+                return F.coalesce(ok, F.lit(False))
+            return F.forall(x["filters"], holds)
+        matching = F.filter(matching, passes)
+    out = out.select(*[col(c) for c in cube.columns], F.explode(F.array_distinct(F.transform(matching, lambda x: x["Friskvik"]))).alias("Friskvik"))
     ind = indicator_of(F.col("Friskvik"))
     for d in roles.expdims:
         if d in EXPIRED_DIM_LEVEL:
@@ -195,18 +233,33 @@ def last_year_check(extracts: DataFrame, cube_f: DataFrame, period: str = "AAR")
     return j.select("Friskvik", F.when(F.col("__e") == F.col("__c"), "Yes").otherwise("!!NO!!").alias("SISTE_AAR"))
 
 
-def _paired(extracts: DataFrame, cube_f: DataFrame, dims, period: str) -> DataFrame:
-    """Extract rows and cube rows of the extract's periods, matched by key."""
+def _paired(extracts: DataFrame, cube_f: DataFrame, dims, period: str, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """Extract rows and cube rows of the extract's periods, matched by key.
+
+    A key that is held several times pairs as a multiset: its n-th extract row by MEIS
+    with its n-th cube row by the measures (the outlier measure first), NULLs first on
+    both sides; what one side holds more often stays without a partner.
+    """
     years = extracts.select(F.col("Friskvik").alias("__fy"), F.col(period).alias("__y")).distinct()
     c = cube_f.join(years, (F.col("Friskvik") == F.col("__fy")) & (col(period) == F.col("__y")), "left_semi")
-    e = extracts.select(*[F.col(k).alias(f"__e_{k}") for k in ["Friskvik"] + dims], "MEIS")
-    cond = reduce(lambda a, b: a & b, [c[k].eqNullSafe(e[f"__e_{k}"]) for k in ["Friskvik"] + dims])
-    j = c.withColumn("__in_cube", F.lit(True)).join(e.withColumn("__in_ext", F.lit(True)), cond, "full")
+    keys = ["Friskvik"] + list(dims)
+    c = occurrence_numbers(c, keys, pairing_order(cube_f, spec), "__occ")
+    e = occurrence_numbers(extracts.select(*[col(k) for k in keys], "MEIS"), keys, ["MEIS"], "__occ")
+    e = e.select(*[col(k).alias(f"__e_{k}") for k in keys], "MEIS", F.col("__occ").alias("__e_occ"))
+    cond = reduce(lambda a, b: a & b, [c[k].eqNullSafe(e[f"__e_{k}"]) for k in keys])
+    j = c.withColumn("__in_cube", F.lit(True)).join(e.withColumn("__in_ext", F.lit(True)), cond & (F.col("__occ") == F.col("__e_occ")), "full")
     key = F.coalesce(F.col("Friskvik"), F.col("__e_Friskvik")).alias("__key")
     geo = F.coalesce(F.col("GEO"), F.col("__e_GEO")) if "GEO" in dims else F.lit(None)
     return j.select("*", key, geo.alias("__geo"))
 
 
+def pairing_order(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> list:
+    """The cube's measures in the order in which rows of one key are paired."""
+    roles = identify_coltypes(cube.drop("Friskvik"), spec=spec)
+    best = select_outlier_pri(cube.drop("Friskvik"), roles=roles, spec=spec)
+    return sorted(roles.vals_new, key=lambda v: v != best)
+
+
 def _mask_differs(flag: str) -> F.Column:
     """Whether a paired row's censoring differs, or one side lacks it."""
     same = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()

@@ -454,6 +454,28 @@ def _extracts():
               FROM (SELECT k AS Friskvik, {', '.join(eq(v) for v in vals)} FROM pr GROUP BY k) z"""
     ORACLES["c10_measure_match"] = W(exb, ex, cf, pairs, select=c10)
 
+    # The n-th row of a key on one side pairs with the n-th on the other
+    four = "GEO, AAR, KJONN, ALDER"
+    mb = f"""mk_b AS (SELECT {four}, RATE AS MEIS FROM newcube WHERE GEOniv = 'K' AND KJONN = 0 AND ALDER = '1_7'
+               AND AAR IN (SELECT AAR FROM ex_b WHERE KJONN = 0 AND ALDER = '1_7'))"""
+    me = f"""mk_e AS (SELECT 'ALL.csv' AS Friskvik, * FROM mk_b
+      UNION ALL SELECT 'CHANGED.csv', * REPLACE (CASE WHEN GEO = (SELECT max(GEO) FROM ex_b) AND MEIS > 0 THEN MEIS + 1 ELSE MEIS END AS MEIS) FROM mk_b
+      UNION ALL SELECT 'ONCE.csv', {four}, max(MEIS) FROM mk_b GROUP BY {four})"""
+    mc = f"""mk_c AS (SELECT c.* EXCLUDE (INNVKAT), f.Friskvik FROM newcube c, (SELECT DISTINCT Friskvik FROM mk_e) f
+      WHERE c.KJONN = 0 AND c.ALDER = '1_7' AND EXISTS (SELECT 1 FROM mk_e e WHERE e.Friskvik = f.Friskvik AND e.GEO = c.GEO)
+        AND EXISTS (SELECT 1 FROM mk_e e WHERE e.Friskvik = f.Friskvik AND e.AAR = c.AAR))"""
+    order = ", ".join(f"{o.q(v)} ASC NULLS FIRST" for v in ["RATE", "TELLER", "NEVNER", "RATE.n", "SPVFLAGG", "TELLER_uprikk"])
+    mp = f"""pr AS (SELECT c.*, e.MEIS, c.Friskvik IS NOT NULL AS in_cube, e.Friskvik IS NOT NULL AS in_ext,
+        coalesce(c.Friskvik, e.Friskvik) AS k, coalesce(c.GEO, e.GEO) AS g
+      FROM (SELECT *, row_number() OVER (PARTITION BY Friskvik, {four} ORDER BY {order}) AS occ FROM mk_c) c
+      FULL OUTER JOIN (SELECT *, row_number() OVER (PARTITION BY Friskvik, {four} ORDER BY MEIS ASC NULLS FIRST) AS occ FROM mk_e) e
+        ON c.Friskvik = e.Friskvik AND c.GEO = e.GEO AND c.AAR = e.AAR AND c.KJONN = e.KJONN AND c.ALDER = e.ALDER AND c.occ = e.occ)"""
+    ORACLES["c10_repeated_keys"] = W(exb, mb, me, mc, mp, select=c10.replace(", CASE WHEN m_TELLER_uprikk THEN 'TELLER_uprikk' END", "")
+                                     .replace(", CASE WHEN NOT m_TELLER_uprikk THEN 'TELLER_uprikk' END", ""))
+    ORACLES["c9_repeated_keys"] = W(exb, mb, me, mc, mp, select="""
+      SELECT DISTINCT k AS Friskvik, CAST(g AS BIGINT) AS GEO FROM pr
+      WHERE NOT coalesce(in_cube AND in_ext AND ((MEIS IS NULL) = (SPVFLAGG > 0)), false)""")
+
     def ul(src, d, alias):
         return (f"SELECT Friskvik, array_to_string(list_sort(list(DISTINCT coalesce(CAST({d} AS VARCHAR), 'NA'))), ', ') "
                 f"AS {alias} FROM {src} GROUP BY Friskvik")

@@ -510,6 +510,35 @@ def q_c10(spark, sf_dir):
                               ["TELLER", "NEVNER", "RATE", "TELLER_uprikk"])
 
 
+def _repeated_keys(spark, sf_dir):
+    """Extracts and cube without INNVKAT: a key is held once for each of its levels; one value is changed."""
+    cube, e = _extract_inputs(spark, sf_dir)
+    top = e.agg(F.max("GEO")).scalar()
+    total = e.where(F.col("Friskvik").startswith("RETURNS_TOTAL"))
+    one = cube.where((F.col("GEOniv") == "K") & (F.col("KJONN") == 0) & (F.col("ALDER") == "1_7"))
+    years = total.select("AAR").distinct()
+    base = one.join(years, "AAR", "left_semi").select("GEO", "AAR", "KJONN", "ALDER", F.col("RATE").alias("MEIS"))
+    changed = F.when((F.col("GEO") == top) & (F.col("MEIS") > 0), F.col("MEIS") + 1).otherwise(F.col("MEIS"))
+    rows = base.select(F.lit("ALL.csv").alias("Friskvik"), "*").unionByName(
+        base.withColumn("MEIS", changed).select(F.lit("CHANGED.csv").alias("Friskvik"), "*")).unionByName(
+        base.groupBy("GEO", "AAR", "KJONN", "ALDER").agg(F.max("MEIS").alias("MEIS")).select(F.lit("ONCE.csv").alias("Friskvik"), "*"))
+    cube = cube.drop("INNVKAT")
+    return rows, ext.filter_cube_to_extracts(cube, rows)
+
+
+@register("c10_repeated_keys")
+def q_c10_repeated(spark, sf_dir):
+    """Keys held several times on both sides pair as multisets."""
+    e, cf = _repeated_keys(spark, sf_dir)
+    return ext.compare_values(e, cf, _EXT_DIMS, ["TELLER", "NEVNER", "RATE"])
+
+
+@register("c9_repeated_keys")
+def q_c9_repeated(spark, sf_dir):
+    e, cf = _repeated_keys(spark, sf_dir)
+    return ext.mask_areas(e, cf, _EXT_DIMS)
+
+
 @register("a12_unique_levels")
 def q_a12(spark, sf_dir):
     cube, e = _extract_inputs(spark, sf_dir)

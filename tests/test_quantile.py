@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from cubeguard.functions.quantile import _magnitude, order_statistics, passes_for, weighted_fences, weighted_quantiles
+from cubeguard.functions.quantile import magnitude, order_statistics, passes_for, weighted_fences, weighted_quantiles
 
 
 def brute(values, weights, p):
@@ -75,7 +75,7 @@ def test_first_pass_keeps_order(spark):
     """The bucket by magnitude never falls as values grow, at powers of two in particular."""
     values = sorted({x for e in range(-1074, 1024) for s in (1.0, -1.0) for x in (
         s * 2.0 ** e, s * np.nextafter(2.0 ** e, 0), s * np.nextafter(2.0 ** e, np.inf), s * 1.37 * 2.0 ** e) if np.isfinite(x)})
-    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", _magnitude(F.col("v")).alias("b"))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", magnitude(F.col("v")).alias("b"))
     buckets = [r.b for r in sorted(df.collect())]
     assert all(a <= b for a, b in zip(buckets, buckets[1:], strict=False)) and len(set(buckets)) > 10_000
 
