@@ -114,6 +114,8 @@ def etab_predicate(text: str, literals: F.Column | None = None) -> F.Column:
             take("op", ")")
             return out
         name = take("name")
+        if name == "TRUE" and (words[-1][0] == "end" or words[-1][1] in ("&", "&&", "|", "||", ")")):
+            return F.lit(True)
         if words[-1] == ("op", "("):
             if name != "is.na":
                 raise ValueError(f"unsupported filter text: {text!r}")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubeguard.functions.exprs import round_half_even
+from cubeguard.functions.numbering import ordered_numbers
 from cubeguard.operators.aggregate import aggregate_cube_multi
 from cubeguard.operators.geo import add_kommune
 from cubeguard.operators.levels import district_scope
@@ -23,10 +24,6 @@ from cubeguard.spec import (
 )
 
 
-#: Area codes are numbered in ranges of so many codes.
-AREA_RANGE = 1000
-
-
 def plot_cols(df: DataFrame, change: bool = False, outlierval: str | None = None) -> dict:
     """K4 helper: value, outlier and fence column names (``change_`` prefixed)."""
     v = outlierval or select_outlier_pri(df)
@@ -75,10 +72,8 @@ def timeseries_data(flagged: DataFrame, show_n_years: int | None = None, onlynew
     page numbers of ``panels_per_page`` series, over all periods or the last
     ``show_n_years`` (exactly n, T12).
 
-    Page numbers come from a distributed row number: series are counted per
-    area and per range of ``AREA_RANGE`` area codes; a range's offset is the
-    running sum over the few ranges, an area's the running sum within its
-    range, and each series adds its rank within its area.
+    Page numbers come from row numbers by ranges of the series' keys (area codes of any
+    type): places within a partition plus the counts of the partitions before.
     """
     pc = plot_cols(flagged, change, outlierval)
     pv = pc["plotvalue"]
@@ -103,19 +98,8 @@ def timeseries_data(flagged: DataFrame, show_n_years: int | None = None, onlynew
     if change:
         strata = strata.where((F.col("__min") < show_change_low) | (F.col("__max") > show_change_high))
     strata = strata.where((F.col("n_outlier") > 0) & (F.col("n_obs") > 0)).drop("__min", "__max")
-    # distributed row number in (bycols) order
-    geo = spec.geo
-    per_geo = strata.groupBy(geo).agg(F.count(F.lit(1)).alias("__n")).withColumn("__range", F.floor(col(geo) / AREA_RANGE))
-    before = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = per_geo.groupBy("__range").agg(F.sum("__n").alias("__n")).select(
-        F.col("__range").alias("__r"), before(Window.orderBy("__range")).alias("__start"))
-    offsets = per_geo.withColumn("__off", before(Window.partitionBy("__range").orderBy(geo))) \
-        .join(ranges, F.col("__range").eqNullSafe(F.col("__r"))) \
-        .select(F.col(geo).alias("__g"), (F.col("__off") + F.col("__start")).alias("__off"))
-    rn = F.row_number().over(Window.partitionBy(geo).orderBy(*[col(b) for b in bycols[1:]]))
-    strata = strata.withColumn("__rn", rn).join(offsets, F.col(geo).eqNullSafe(F.col("__g"))).drop("__g")
-    strata = strata.withColumn("page", (F.floor((F.col("__off") + F.col("__rn") - 1) / panels_per_page) + 1)
-                               .cast("int")).drop("__off", "__rn")
+    strata = ordered_numbers(strata, bycols, "__no")
+    strata = strata.withColumn("page", (F.floor(F.col("__no") / panels_per_page) + 1).cast("int")).drop("__no")
     rows = d.select(*[col(b) for b in bycols], "AARh", v.alias("yval"),
                     (round_half_even(col(teller), 0) if teller else F.lit(None).cast("double")).alias("tv"),
                     col(pc["outlier"]).alias("ol"),
@@ -183,39 +167,46 @@ def get_plot_subset(df: DataFrame, by, maxpanels: int = 25) -> list:
     """K4: smallest set of dimensions to split plot files by, so that each
     file has at most ``maxpanels`` panels and as many as possible.
 
-    Level counts of every dimension and the number of strata come from ONE
-    aggregate; the choice among the 2^dims subsets happens on the driver.
+    Panels are counted from the strata that exist, not from products of level
+    counts: one cube aggregate over the distinct strata gives every subset's fullest
+    file.  The choice among the 2^dims subsets happens on the driver.
     """
     by = list(by)
     if not by:
         return []
-    row = df.agg(F.count_distinct(F.struct(*[col(b) for b in by])).alias("__strata"),
-                 *[F.count_distinct(col(b)).alias(f"__n{i}") for i, b in enumerate(by)]).collect()[0]
-    if row["__strata"] <= maxpanels:
+    names = [f"__d{i}" for i in range(len(by))]
+    strata = df.select(*[col(b).alias(n) for b, n in zip(by, names, strict=True)]).distinct()
+    files = strata.cube(*names).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("__g"))
+    fullest = {r["__g"]: r["n"] for r in files.groupBy("__g").agg(F.max("n").alias("n")).collect()}
+    everything = (1 << len(by)) - 1  # a bit for each dimension that files are not split by, the first one highest
+    if fullest.get(everything, 0) <= maxpanels:
         return []
-    levels = {b: row[f"__n{i}"] for i, b in enumerate(by)}
     best, best_panels = None, -1
     for k in range(1, len(by) + 1):
-        for comb in combinations(by, k):
-            panels = 1
-            for b in by:
-                if b not in comb:
-                    panels *= levels[b]
+        for comb in combinations(range(len(by)), k):
+            panels = fullest[everything - sum(1 << (len(by) - 1 - i) for i in comb)]
             if panels <= maxpanels and panels > best_panels:
-                best, best_panels = list(comb), panels
+                best, best_panels = [by[i] for i in comb], panels
     return best or []
 
 
 def plot_files(df: DataFrame, by, maxpanels: int = 25) -> DataFrame:
-    """K4: one row per plot file: the split dimensions' levels, the file
-    suffix (levels joined by ',', or 'alle') and the number of panels."""
+    """K4: one row per plot file: the file suffix (the split dimensions'
+    levels joined by ',', or 'alle'), the number of panels, and the predicate that
+    selects the file's rows (``KJONN=='1' & ALDER=='0_17'``, or ``TRUE``), in the words of
+    the stored filters, so :func:`~cubeguard.operators.extracts.etab_predicate` reads it.
+    The predicates of all files cover each row once, NULL levels included.
+    """
     filedims = get_plot_subset(df, by, maxpanels)
     panels = [b for b in by if b not in filedims]
+    cnt = (F.count_distinct(F.struct(*[col(p) for p in panels])) if panels else F.lit(1)).cast("bigint").alias("n_panels")
     if not filedims:
-        n = df.agg(F.count_distinct(F.struct(*[col(p) for p in panels])).alias("n_panels")) if panels else \
-            df.agg(F.lit(1).alias("n_panels"))
-        return n.select(F.lit("alle").alias("suffix"), F.col("n_panels").cast("bigint"))
-    cnt = (F.count_distinct(F.struct(*[col(p) for p in panels])) if panels else F.lit(1)).cast("bigint")
-    out = df.groupBy(*[col(f) for f in filedims]).agg(cnt.alias("n_panels"))
-    suffix = F.concat_ws(",", *[col(f).cast("string") for f in filedims])
-    return out.select(suffix.alias("suffix"), "n_panels")
+        return df.agg(cnt).select(F.lit("alle").alias("suffix"), "n_panels", F.lit("TRUE").alias("predicate"))
+    out = df.groupBy(*[col(f) for f in filedims]).agg(cnt)
+    suffix = F.concat_ws(",", *[F.coalesce(col(f).cast("string"), F.lit("NA")) for f in filedims])
+
+    def one(f):
+        text = col(f).cast("string")
+        mark = F.when(text.contains("'"), F.lit('"')).otherwise(F.lit("'"))
+        return F.coalesce(F.concat(F.lit(f + "=="), mark, text, mark), F.lit(f"is.na({f})"))
+    return out.select(suffix.alias("suffix"), "n_panels", F.concat_ws(" & ", *[one(f) for f in filedims]).alias("predicate"))

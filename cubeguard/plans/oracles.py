@@ -372,8 +372,8 @@ def _plots():
                                + " UNION ALL ".join(blocks) + ")")
     ORACLES["k4_plot_files"] = W(*NF, """k4 AS (SELECT DISTINCT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, wq25, wq50, wq75
                                       FROM c1_newflag WHERE GEOniv IS NOT NULL)""",
-        select="""SELECT CAST(KJONN AS VARCHAR) AS suffix, count(DISTINCT (ALDER, INNVKAT, UTDANN)) AS n_panels
-                  FROM k4 GROUP BY KJONN""")
+        select="""SELECT CAST(KJONN AS VARCHAR) AS suffix, count(DISTINCT (ALDER, INNVKAT, UTDANN)) AS n_panels,
+                  concat('KJONN==', chr(39), KJONN, chr(39)) AS predicate FROM k4 GROUP BY KJONN""")
 
     # barometer
     base = """c6_b AS (SELECT GEO, GEOniv, ALDER, RATE, SPVFLAGG,
@@ -579,6 +579,19 @@ def _sources():
         CROSS JOIN (SELECT DISTINCT KJONN FROM newcube)""")
     ORACLES["s1_load_pair"] = ORACLES["c1_comparecube"]
     ORACLES["k2_dump"] = ORACLES["p10_round"]
+    ORACLES["k1_check_table"] = ORACLES["a5_coverage_geolevel"]
+    ORACLES["k3_extract_report"] = ORACLES["c7_extract_report"]
+    ORACLES["s7_renamed_columns"] = W(select="""
+      SELECT 'antall' AS original, 'TELLER' AS new, count(TELLER) AS n_values FROM newcube
+      UNION ALL SELECT 'Crude', 'RATE', count(RATE) FROM newcube""")
+    ORACLES["s8_forbidden_columns"] = W(select="""
+      SELECT 'TELLER' AS "column", count(TELLER) AS n_values FROM newcube UNION ALL SELECT 'NEVNER', count(NEVNER) FROM newcube""")
+    ORACLES["p9_convert_types"] = W(select="""
+      SELECT CAST(GEO AS VARCHAR) AS GEO, AAR, KJONN, ALDER, INNVKAT, CAST(NULL AS BIGINT) AS period, GEO AS code, CAST(KJONN AS DOUBLE) AS sex,
+             CAST(TELLER AS BIGINT) AS "count", GEOniv FROM newcube""")
+    ORACLES["l5_refresh"] = (f"SELECT 'validgeo' AS lookup, GEO AS code FROM ({ORACLES['l4_validgeo']}) a "
+                             f"UNION ALL SELECT 'popinfo', GEO FROM ({ORACLES['l2_popinfo']}) b "
+                             f"UNION ALL SELECT 'georecode', old FROM ({ORACLES['l1_codemap']}) c")
     four = ["GEO", "AAR", "KJONN", "ALDER"]
     held = lambda cube, flag, extra: (
         f"SELECT *, row_number() OVER (PARTITION BY {', '.join(four)} ORDER BY {extra}) AS rn, "

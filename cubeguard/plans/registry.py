@@ -7,6 +7,7 @@ from them) and returns a lazy DataFrame.  Keys carry the inventory IDs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -550,7 +551,7 @@ def q_a12(spark, sf_dir):
 
 from cubeguard.functions.exprs import qc_round  # noqa: E402
 from cubeguard.session import ensure_checkpoint_dir  # noqa: E402
-from cubeguard.sources import cubes, lookups  # noqa: E402
+from cubeguard.sources import cubes, lookups, sinks  # noqa: E402
 from cubeguard.spec import RENAME  # noqa: E402
 import uuid  # noqa: E402
 
@@ -559,14 +560,14 @@ def _scratch(spark):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cubeguard/files-{uuid.uuid4().hex}"
 
 
-def _write_raw_cube(spark, sf_dir, root, fmt, old=False):
+def _write_raw_cube(spark, sf_dir, root, fmt, old=False, prefix=""):
     """Write a raw cube as a cube file, with the source column names the
     rename map turns back into the standard ones."""
     build, tag = (fx.old_cube_raw, fx.OLD_DATETAG) if old else (fx.new_cube_raw, fx.NEW_DATETAG)
     raw = build(spark, sf_dir, fx.fixture_cells(spark, sf_dir))
     inverse = {new: old for old, new in RENAME.items() if new in ("TELLER", "RATE")}
     raw = raw.withColumnsRenamed(inverse)
-    path = f"{root}/QC/{fx.CUBE_NAME}_{tag}.{fmt}"
+    path = f"{root}/QC/{prefix}{fx.CUBE_NAME}_{tag}.{fmt}"
     if fmt == "csv":
         raw.write.option("sep", ";").option("header", True).csv(path)
     else:
@@ -655,8 +656,60 @@ def q_k2(spark, sf_dir):
     """K2: the comparison cube as dumped, read back."""
     _, written = _read_and_compare(spark, sf_dir, _scratch(spark))
     path = next(p for name, p in written.items() if name.startswith("compare_"))
-    df = spark.read.parquet(path)
-    return df.withColumn("AAR", F.col("AAR").cast("string"))  # the partition column
+    return spark.read.parquet(path)
+
+
+@register("k1_check_table")
+def q_k1(spark, sf_dir):
+    """K1: a check table as saved, read back."""
+    new, thr = _new(spark, sf_dir)
+    check, out = checks.check_coverage_geolevel(new, thr), _scratch(spark)
+    sinks.save_table(check, out, fx.CUBE_NAME, "coverage", fx.NEW_DATETAG)
+    return sinks.read_table(spark, out, fx.CUBE_NAME, "coverage", fx.NEW_DATETAG, check.schema)
+
+
+@register("k3_extract_report")
+def q_k3(spark, sf_dir):
+    """K3: the extract report as saved, read back."""
+    out = _scratch(spark)
+    sinks.save_table(q_c7(spark, sf_dir), out, fx.CUBE_NAME, "extracts", fx.NEW_DATETAG)
+    return sinks.read_table(spark, out, fx.CUBE_NAME, "extracts", fx.NEW_DATETAG)
+
+
+def _read_named(spark, sf_dir, prefix=""):
+    """The new cube written under a file name with ``prefix`` and read again."""
+    path = _write_raw_cube(spark, sf_dir, _scratch(spark), "parquet", prefix=prefix)
+    return cubes.read_cube(spark, path, "New")
+
+
+@register("s7_renamed_columns")
+def q_s7(spark, sf_dir):
+    return cubes.renamed_columns_report(*_read_named(spark, sf_dir))
+
+
+@register("s8_forbidden_columns")
+def q_s8(spark, sf_dir):
+    return cubes.forbidden_outcols(*_read_named(spark, sf_dir, "ikkegeoprikket_"))
+
+
+@register("p9_convert_types")
+def q_p9(spark, sf_dir):
+    """Text, whole and decimal numbers; text that is no number becomes NULL."""
+    new, _ = _new(spark, sf_dir)
+    d = new.select(*NEW_DIMS, F.col("AAR").alias("period"), F.col("GEO").cast("string").alias("code"), F.col("KJONN").alias("sex"),
+                   F.col("TELLER").alias("count"), F.col("GEOniv"))
+    d = cubes.convert_coltype(cubes.convert_coltype(d, ["code", "count", "period"], "integer"), ["sex"], "numeric")
+    return cubes.convert_coltype(d, ["GEO"], "factor")
+
+
+@register("l5_refresh")
+def q_l5(spark, sf_dir):
+    """The three lookups refreshed, written and read back as (lookup, code)."""
+    out = _scratch(spark)
+    names = lookups.update_internal_data(q_l4(spark, sf_dir), q_l2(spark, sf_dir), q_l1(spark, sf_dir), out)
+    codes = {"validgeo": "GEO", "popinfo": "GEO", "georecode": "old"}
+    parts = [spark.read.parquet(f"{out}/{n}").select(F.lit(n).alias("lookup"), F.col(codes[n]).cast("bigint").alias("code")) for n in sorted(names)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _repeated(spark, sf_dir):

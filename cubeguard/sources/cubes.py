@@ -10,6 +10,7 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, get_cubedatetag, get_cubename
 
@@ -86,8 +87,10 @@ def typed_column(c: str, spec: CubeSpec = DEFAULT_SPEC, dtype: str = "string"):
         return col(c)
     if target == "string" or dtype in ("tinyint", "smallint", "int") or (dtype, target) == ("float", "double"):
         return col(c).cast(target).alias(c)  # widens, or names the value
-    value = col(c).cast("string").try_cast("double")
-    return (value if target == "double" else value.try_cast("bigint")).alias(c)
+    text = col(c).cast("string")
+    value = text.try_cast("double")
+    # integral text is read as it is: a code beyond 2 ** 53 is no double
+    return (value if target == "double" else F.coalesce(text.try_cast("bigint"), value.try_cast("bigint"))).alias(c)
 
 
 def find_by_datetag(spark: SparkSession, folders, datetag: str, cubename: str | None = None) -> list[str]:
@@ -139,15 +142,26 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
             .option("inferSchema", False).csv(path))
 
 
-def renamed_columns_report(spark: SparkSession, ref: CubeRef) -> DataFrame:
-    """The renamed columns of a read as (original, new) rows."""
-    return spark.createDataFrame(ref.renamed or [], "original string, new string")
+def _values_of(df: DataFrame, columns) -> DataFrame:
+    """(column, n_values): how many rows hold a value in each of the columns, by one aggregate."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, n_values bigint")
+    counts = [F.struct(F.lit(c).alias("column"), F.count(col(c)).alias("n_values")) for c in columns]
+    return df.agg(F.array(*counts).alias("x")).select(F.explode("x").alias("x")).select("x.column", "x.n_values")
+
+
+def renamed_columns_report(df: DataFrame, ref: CubeRef) -> DataFrame:
+    """The renamed columns of a read as (original, new, n_values) rows, n_values the rows that hold a value."""
+    original = F.lit(None).cast("string")
+    for o, n in ref.renamed:
+        original = F.when(F.col("column") == n, o).otherwise(original)
+    return _values_of(df, [n for _, n in ref.renamed]).select(original.alias("original"), F.col("column").alias("new"), "n_values")
 
 
 def forbidden_outcols(df: DataFrame, ref: CubeRef) -> DataFrame:
-    """Uncensored count columns present in a geo-uncensored file, as rows."""
+    """Uncensored count columns present in a geo-uncensored file, as (column, n_values) rows."""
     checked = ref.version == "New" and "ikkegeoprikket_" in ref.filename
-    return df.sparkSession.createDataFrame([(c,) for c in df.columns if checked and c in FORBIDDEN_OUTCOLS], "column string")
+    return _values_of(df, [c for c in df.columns if checked and c in FORBIDDEN_OUTCOLS])
 
 
 def load_pair(spark: SparkSession, cube_new: str, root: str, cube_old: str | None = None,

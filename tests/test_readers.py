@@ -57,14 +57,40 @@ def test_forbidden_outcols(spark):
 def test_sinks(spark):
     out = tempfile.mkdtemp(prefix="cg-out-")
     df = spark.createDataFrame([(1, "2020_2020", 1.234)], "GEO bigint, AAR string, RATE double")
-    p = sinks.save_table(df, out, "CUBE", "coverage", "2024-01-01-00-00")
-    assert spark.read.option("sep", ";").option("header", True).csv(p).count() == 1
+    sinks.save_table(df, out, "CUBE", "coverage", "2024-01-01-00-00")
+    back = sinks.read_table(spark, out, "CUBE", "coverage", "2024-01-01-00-00", df.schema)
+    assert [tuple(r) for r in back.collect()] == [(1, "2020_2020", 1.234)]
     name = sinks.dump_name("comparecube", "CUBE", "t1", "CUBE", "t0")
     assert name == "compare_CUBE_t1_vs_t0"
     p = sinks.save_dump(df, out, name)
     assert spark.read.parquet(p).first().RATE == 1.23
 
 
+def test_tables_are_committed_by_one_rename(spark):
+    """A reader sees the old table until the new one is whole; a failed write leaves it alone; old files can go."""
+    path = tempfile.mkdtemp(prefix="cg-commit-") + "/t"
+    first, second = spark.range(5), spark.range(7)
+    sinks.commit_table(first, path)
+    before = spark.read.parquet(sinks.committed_path(spark, path))
+    with pytest.raises(Exception, match="no"):
+        sinks.commit_table(first.selectExpr("if(id > 2, raise_error('no'), id) as id"), path)
+    assert spark.read.parquet(sinks.committed_path(spark, path)).count() == 5
+    sinks.commit_table(second, path)
+    assert spark.read.parquet(sinks.committed_path(spark, path)).count() == 7 and before.count() == 5
+    assert sinks.drop_old_versions(spark, path) == 2 and spark.read.parquet(sinks.committed_path(spark, path)).count() == 7
+
+
+def test_dumps_have_a_file_for_each_range(spark):
+    """Not one for each task and period."""
+    from cubeguard.operators.levels import duplicate_keys
+    df = spark.range(4000).selectExpr("id % 200 as GEO", "concat(2000 + id div 200, '_', 2000 + id div 200) as AAR", "id * 1.0D as RATE").repartition(16)
+    p = sinks.save_dump(df, tempfile.mkdtemp(prefix="cg-dump-"), "compare_x")
+    files = [f for f in os.listdir(p) if f.endswith(".parquet")]
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = spark.read.parquet(p)
+    assert back.count() == 4000 and duplicate_keys(back, ["GEO", "AAR"]).count() == 0
+
+
 def test_find_by_datetag(spark):
     root = tempfile.mkdtemp(prefix="cg-tag-")
     os.makedirs(f"{root}/parquet")
@@ -174,6 +200,11 @@ def test_extract_files_end_to_end(spark):
     del F
 
 
+def test_long_codes_are_not_read_through_doubles(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("12.0",), ("x",), (None,), ("1e3",)], "GEO string")
+    assert [r.GEO for r in cubes.type_columns(df).collect()] == [9007199254740993, 12, None, None, 1000]
+
+
 def test_filters_reach_the_scan(spark):
     """Columns that have their type already are not cast, so filters are pushed down."""
     root = tempfile.mkdtemp(prefix="cg-push-")
