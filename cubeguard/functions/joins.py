@@ -33,17 +33,19 @@ def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> Da
     table is returned unhinted, so Spark uses a shuffle join (and AQE may still
     broadcast it from runtime statistics).
     """
+    return F.broadcast(df) if _bytes_once(df) <= max_bytes else df
+
+
+def _bytes_once(df: DataFrame) -> int:
+    """The size of a table, measured once per session and plan."""
     try:
         from cubeguard.session import session_id
         key = (session_id(df.sparkSession), df.semanticHash())
     except Exception:  # pragma: no cover - older clients
-        key = None
-    n = _size_cache.get(key) if key is not None else None
-    if n is None:
-        n = _bytes(df)
-        if key is not None:
-            _size_cache[key] = n
-    return F.broadcast(df) if n <= max_bytes else df
+        return _bytes(df)
+    if key not in _size_cache:
+        _size_cache[key] = _bytes(df)
+    return _size_cache[key]
 
 
 _SEP = "\u0001"
@@ -88,13 +90,34 @@ def _broadcast_levels(keys: DataFrame, level_bound: int | None) -> DataFrame:
     return F.broadcast(keys) if level_bound <= MAX_BROADCAST_ROWS else keys
 
 
+def missing_levels(df: DataFrame, ref: DataFrame, dims) -> DataFrame:
+    """(dimension, level) keys of ``df`` that ``ref`` lacks: two map-side combined distincts and one anti join of keys."""
+    return level_keys(df, dims).join(level_keys(ref, dims), "__key", "left_anti")
+
+
+def _level_table(df: DataFrame, ref: DataFrame, dims, level_bound: int | None) -> tuple[DataFrame, bool]:
+    """A table of level keys to look rows of ``df`` up in, and whether it holds the levels that are missing.
+
+    The levels of ``ref`` are broadcast where they are proven small, by ``level_bound``
+    (from a profile) or a counted check.  Beyond that, the levels of ``df`` that ``ref``
+    lacks are taken: versions of a cube differ in few levels, however many they have, so
+    this table is broadcast behind its own check and the cube stays where it is.  Only
+    where the missing levels are too many as well is a dimension joined by a shuffle.
+    """
+    keys = level_keys(ref, dims)
+    small = _bytes_once(keys) <= MAX_BROADCAST_BYTES if level_bound is None else level_bound <= MAX_BROADCAST_ROWS
+    if small:
+        return _broadcast_levels(keys, level_bound), False
+    return checked_broadcast(missing_levels(df, ref, dims)), True
+
+
 def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", constants: dict | None = None,
                 level_bound: int | None = None) -> DataFrame:
     """Keep (``left_semi``) or drop (``left_anti``) rows whose level of each
     dim appears among the distinct levels of ``ref``; NULL matches NULL.
 
-    Each dimension is one join against its (broadcast-sized) level table
-    from :func:`level_keys`, so the cube itself is not shuffled.
+    Each dimension is one lookup in one table of level keys (:func:`_level_table`),
+    so the cube itself is not shuffled.
     ``constants`` names dimensions that hold a single known level in ``df``;
     they are answered by an EXISTS subquery instead of a join.
     """
@@ -105,7 +128,9 @@ def semi_filter(df: DataFrame, ref: DataFrame, dims, how: str = "left_semi", con
         out = out.where(present if how == "left_semi" else ~present)
     if not dims:
         return out
-    keys = _broadcast_levels(level_keys(ref, dims), level_bound)
+    keys, missing = _level_table(df, ref, dims, level_bound)
+    if missing:
+        how = {"left_semi": "left_anti", "left_anti": "left_semi"}[how]
     for d in dims:
         k = keys.select(F.col("__key").alias(f"__k_{d}"))
         out = out.join(k, _level_key(d, out[d]) == k[f"__k_{d}"], how)
@@ -118,12 +143,12 @@ def any_level_missing(df: DataFrame, ref: DataFrame, dims, flag: str, constants:
     dims, consts = _split_constants(list(dims), constants)
     markers = [~_constant_present(ref, d, v) for d, v in consts.items()]
     out = df
-    keys = _broadcast_levels(level_keys(ref, dims), level_bound) if dims else None
+    keys, missing = _level_table(df, ref, dims, level_bound) if dims else (None, False)
     for i, d in enumerate(dims):
         m = f"__m{i}"
         k = keys.select(F.col("__key").alias(f"__k{i}"), F.lit(1).alias(m))
         out = out.join(k, _level_key(d, out[d]) == k[f"__k{i}"], "left").drop(f"__k{i}")
-        markers.append(F.col(m).isNull())
+        markers.append(F.col(m).isNotNull() if missing else F.col(m).isNull())
     cond = reduce(lambda a, b: a | b, markers) if markers else F.lit(False)
     out = out.withColumn(flag, F.when(cond, 1).otherwise(0))
     return out.drop(*[f"__m{i}" for i in range(len(dims))])

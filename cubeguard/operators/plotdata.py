@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from cubeguard.functions.exprs import round_half_even
 from cubeguard.functions.numbering import ordered_numbers
-from cubeguard.operators.aggregate import aggregate_cube_multi
 from cubeguard.operators.geo import add_kommune
 from cubeguard.operators.levels import district_scope
 from cubeguard.spec import (
@@ -141,25 +140,45 @@ def bydel_trendlines(flagged: DataFrame, parents: dict, spec: CubeSpec = DEFAULT
 def country_series(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame | None:
     """Country rows (GEO = 0) per dimension: the other dimensions
     collapsed (A2), measures in long form, NULLs dropped; one block for the
-    total and one per dimension (``by_dim``, ``level``)."""
+    total and one per dimension (``by_dim``, ``level``).
+
+    All blocks come from ONE scan of the cube.  A row goes to each block for which its
+    other dimensions are at their total level; dimensions without a total are then
+    collapsed one after the other (in the order of A2, mean of means) for all blocks in
+    one aggregate each, in which a block keeps its own dimension's levels.  So a block
+    is rolled up from what the dimension before left, never from the cube again.
+    """
     d = cube.where(col(spec.geo) == 0)
     roles = identify_coltypes(d, spec=spec)
-    if profile_cube(d, [], spec).n_periods < 2:
-        return None
     plotdims = [x for x in roles.dims_new if x not in (spec.geo, spec.period)]
-    import re
-    plotvals = [v for v in roles.vals_new if not re.search(r"^RATE.n|^SPVFLAGG$|TELLER|NEVNER", v)]
+    profile = profile_cube(d, plotdims, spec)
+    if profile.n_periods < 2:
+        return None
+    plotvals = [v for v in roles.vals_new if v not in ("RATE.n", spec.flag) and not v.startswith("RATE.n") and "TELLER" not in v and "NEVNER" not in v]
     plotvals += [x for x in (select_teller_pri(roles.vals_new), select_nevner_pri(roles.vals_new)) if x]
-    d = d.select(*[col(c) for c in roles.dims_new], *[col(v).cast("double").alias(v) for v in plotvals])
-    blocks = []
-    for dim in ["Total"] + plotdims:
-        agg = aggregate_cube_multi(d, plotdims if dim == "Total" else [x for x in plotdims if x != dim], spec)
-        level = F.lit("total") if dim == "Total" else col(dim).cast("string")
-        long = agg.select(F.lit(dim).alias("by_dim"), level.alias("level"), col(spec.period),
-                          *[col(v) for v in plotvals]).unpivot(
-            ["by_dim", "level", spec.period], [col(v) for v in plotvals], "PARAMETER", "yvalue")
-        blocks.append(long.where(F.col("yvalue").isNotNull()))
-    out = reduce(DataFrame.unionByName, blocks)
+    at_total = {x: col(x).eqNullSafe(F.lit(t)) for x, t in profile.totals.items() if t is not None}
+    blocks = ["Total"] + plotdims
+    mine = [F.when(reduce(lambda p, q: p & q, [c for x, c in at_total.items() if x != block], F.lit(True)), F.lit(block)) for block in blocks]
+    values = [col(v).cast("double").alias(f"v{i}") for i, v in enumerate(plotvals)]
+    rows = d.select(col(spec.period).alias("period"), *[col(x).cast("string").alias(f"d{i}") for i, x in enumerate(plotdims)], *values,
+                    F.explode(F.array_compact(F.array(*mine))).alias("by_dim"))
+    dims = [f"d{i}" for i in range(len(plotdims))]
+    for i, x in enumerate(plotdims):
+        if x in at_total:
+            continue
+        own = F.col("by_dim") == x
+        rows = rows.withColumn(dims[i], F.when(own, F.col(dims[i])).otherwise(F.lit("Total")))
+        aggs = []
+        for k, v in enumerate(plotvals):
+            total = F.sum(f"v{k}")
+            aggs.append((F.when(own, total).otherwise(F.coalesce(total, F.lit(0.0))) if "TELLER" in v else F.avg(f"v{k}")).alias(f"v{k}"))
+        rows = rows.groupBy("by_dim", "period", *dims).agg(*aggs)
+    level = F.lit("total")
+    for i, x in enumerate(plotdims):
+        level = F.when(F.col("by_dim") == x, F.col(dims[i])).otherwise(level)
+    long = F.explode(F.array(*[F.struct(F.lit(v).alias("PARAMETER"), F.col(f"v{k}").alias("yvalue")) for k, v in enumerate(plotvals)]))
+    out = (rows.select("by_dim", level.alias("level"), F.col("period").alias(spec.period), long.alias("x"))
+           .select("by_dim", "level", spec.period, "x.PARAMETER", "x.yvalue").where(F.col("yvalue").isNotNull()))
     return out.withColumn("AARx", F.regexp_extract(col(spec.period), r"^(\d+)_", 1).try_cast("int"))
 
 

@@ -370,6 +370,19 @@ def _plots():
                           f"CAST({p} AS DOUBLE) AS yvalue FROM newcube WHERE GEO = 0 AND {filt} AND {p} IS NOT NULL")
     ORACLES["a16_country"] = W(select="SELECT *, CAST(split_part(AAR, '_', 1) AS INTEGER) AS AARx FROM ("
                                + " UNION ALL ".join(blocks) + ")")
+    # means of means in the order of the dimensions: ALDER first, then INNVKAT
+    def means(block):
+        one = "SELECT AAR, ALDER, INNVKAT, KJONN, CAST(RATE AS DOUBLE) AS RATE, TELLER_uprikk AS T, CAST(NEVNER AS DOUBLE) AS N FROM newcube " \
+              "WHERE GEO = 0 AND ALDER <> '1_7' AND INNVKAT <> 0" + ("" if block == "KJONN" else " AND KJONN = 0")
+        for d in ("ALDER", "INNVKAT"):
+            if d != block:
+                rest = ", ".join(x for x in ("ALDER", "INNVKAT", "KJONN") if x != d)
+                one = f"SELECT AAR, 'Total' AS {d}, {rest}, avg(RATE) AS RATE, coalesce(sum(T), 0.0) AS T, avg(N) AS N FROM ({one}) z GROUP BY AAR, {rest}"
+        level = "'total'" if block == "Total" else f"CAST({block} AS VARCHAR)"
+        return " UNION ALL ".join(f"SELECT '{block}' AS by_dim, {level} AS level, AAR, '{p}' AS PARAMETER, {R(c, 6)} AS yvalue FROM ({one}) z WHERE {c} IS NOT NULL"
+                                  for p, c in (("RATE", "RATE"), ("TELLER_uprikk", "T"), ("NEVNER", "N")))
+    ORACLES["a16_country_means"] = W(select="SELECT *, CAST(split_part(AAR, '_', 1) AS INTEGER) AS AARx FROM ("
+                                     + " UNION ALL ".join(means(b) for b in ("Total", "KJONN", "ALDER", "INNVKAT")) + ")")
     ORACLES["k4_plot_files"] = W(*NF, """k4 AS (SELECT DISTINCT GEOniv, KJONN, ALDER, INNVKAT, UTDANN, wq25, wq50, wq75
                                       FROM c1_newflag WHERE GEOniv IS NOT NULL)""",
         select="""SELECT CAST(KJONN AS VARCHAR) AS suffix, count(DISTINCT (ALDER, INNVKAT, UTDANN)) AS n_panels,

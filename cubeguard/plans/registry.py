@@ -429,6 +429,15 @@ def q_a16(spark, sf_dir):
     return plotdata.country_series(new)
 
 
+@register("a16_country_means")
+def q_a16_means(spark, sf_dir):
+    """A16 on a cube without total levels of age and supplier group: means of means."""
+    new, _ = _new(spark, sf_dir)
+    out = plotdata.country_series(new.where((F.col("ALDER") != fx.AGE_TOTAL) & (F.col("INNVKAT") != 0)))
+    # a mean of doubles depends on the summation order in its last bits
+    return out.withColumn("yvalue", round_half_even(F.col("yvalue"), 6))
+
+
 @register("k4_plot_files")
 def q_k4(spark, sf_dir):
     bp = plotdata.boxplot_data(_compare(spark, sf_dir).newcube_flag, min_obs=0)

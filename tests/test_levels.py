@@ -140,3 +140,36 @@ def test_level_table_broadcast_needs_a_bound(spark):
     assert "Hint" in plan(joins._broadcast_levels(keys, None))  # counted: 4 keys
     out = joins.semi_filter(df, df, ["GEO", "ALDER"], level_bound=10)
     assert {(r.GEO, r.ALDER) for r in out.collect()} == {(1, "a"), (2, None)}
+
+
+def test_level_lookups_do_not_shuffle_the_cube(spark, tmp_path, monkeypatch):
+    """More levels than may be broadcast, in several dimensions: the few that differ are looked up, and the cube stays where it is."""
+    from cubeguard.functions import joins
+    n = 30_000
+    spark.range(n).selectExpr("id as GEO", "concat(2000 + id % 9, '_') as AAR", "concat(id, '_', id) as ALDER", "id * 2 as KJONN", "1.0D as RATE").write.parquet(str(tmp_path / "new"))
+    spark.range(5, n + 50).selectExpr("id as GEO", "concat(2000 + id % 8, '_') as AAR", "concat(id, '_', id) as ALDER", "id * 2 as KJONN", "2.0D as RATE").write.parquet(str(tmp_path / "old"))
+    new, old = spark.read.parquet(str(tmp_path / "new")), spark.read.parquet(str(tmp_path / "old"))
+    dims = ["GEO", "AAR", "ALDER", "KJONN"]
+    small = joins.any_level_missing(new, old, dims, "f"), joins.semi_filter(new, old, dims)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 1 << 20)
+        monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 8192)
+        for bound in (None, 4 * n):
+            flagged = joins.any_level_missing(new, old, dims, "f", level_bound=bound)
+            kept = joins.semi_filter(new, old, dims, level_bound=bound)
+            assert flagged.exceptAll(small[0]).count() == small[0].exceptAll(flagged).count() == 0 < flagged.where("f = 1").count() < n
+            assert kept.exceptAll(small[1]).count() == small[1].exceptAll(kept).count() == 0
+            for df in (flagged, kept):
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "__key" not in x]
+                assert moved == [] and plan.count("BroadcastHashJoin") >= len(dims)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -38,3 +38,13 @@ def test_pages_of_text_codes(spark):
     df = spark.createDataFrame(rows, "GEO string, GEOniv string, AAR string, KJONN long, RATE double, OUTLIER int, NEW_OUTLIER int").repartition(7)
     got = plotdata.timeseries_data(df, n_periods=2, panels_per_page=25).select("GEO", "KJONN", "page").distinct().collect()
     assert {(r.GEO, r.KJONN): r.page for r in got} == {k: i // 25 + 1 for i, k in enumerate(sorted({(r[0], r[3]) for r in rows}))}
+
+
+def test_country_series_reads_the_cube_once(spark, tmp_path):
+    spark.createDataFrame([(0, f"{y}_{y}", k, a, 1.0 * y + k, 2.0) for y in (2019, 2020) for k in (0, 1, 2) for a in ("0_17", "18_99")],
+                          "GEO long, AAR string, KJONN long, ALDER string, RATE double, TELLER double").write.parquet(str(tmp_path / "c"))
+    out = plotdata.country_series(spark.read.parquet(str(tmp_path / "c")))
+    got = {(r.by_dim, r.level, r.AAR): r.yvalue for r in out.where("PARAMETER = 'TELLER'").collect()}
+    assert got[("Total", "total", "2019_2019")] == 4.0 and got[("KJONN", "2", "2020_2020")] == 4.0 and got[("ALDER", "0_17", "2019_2019")] == 2.0
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
