@@ -247,7 +247,8 @@ def _paired(extracts: DataFrame, cube_f: DataFrame, dims, period: str, spec: Cub
     keys = ["Friskvik"] + list(dims)
     c = occurrence_numbers(c, keys, pairing_order(cube_f, spec), "__occ")
     e = occurrence_numbers(extracts.select(*[col(k) for k in keys], "MEIS"), keys, ["MEIS"], "__occ")
-    e = e.select(*[col(k).alias(f"__e_{k}") for k in keys], "MEIS", F.col("__occ").alias("__e_occ"))
+    # the cube may have a measure of that name as well
+    e = e.select(*[col(k).alias(f"__e_{k}") for k in keys], F.col("MEIS").alias("__meis"), F.col("__occ").alias("__e_occ"))
     cond = reduce(lambda a, b: a & b, [c[k].eqNullSafe(e[f"__e_{k}"]) for k in keys])
     j = c.withColumn("__in_cube", F.lit(True)).join(e.withColumn("__in_ext", F.lit(True)), cond & (F.col("__occ") == F.col("__e_occ")), "full")
     key = F.coalesce(F.col("Friskvik"), F.col("__e_Friskvik")).alias("__key")
@@ -265,7 +266,7 @@ def pairing_order(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> list:
 def _mask_differs(flag: str) -> F.Column:
     """Whether a paired row's censoring differs, or one side lacks it."""
     same = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()
-            & (F.col("MEIS").isNull() == (col(flag) > 0)))
+            & (F.col("__meis").isNull() == (col(flag) > 0)))
     return ~F.coalesce(same, F.lit(False))
 
 
@@ -307,7 +308,7 @@ def _match_aggs(cube_values, tol: float = TOLERANCE):
     """C10 aggregates over paired rows: per cube measure, equal on every row?"""
     aggs = []
     for v in cube_values:
-        a, b = F.col("MEIS"), col(v).cast("double")
+        a, b = F.col("__meis"), col(v).cast("double")
         close = F.abs(a - b) <= F.lit(tol) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
         eq = (F.col("__in_cube").isNotNull() & F.col("__in_ext").isNotNull()
               & ((a.isNull() & b.isNull()) | F.coalesce(close, F.lit(False))))

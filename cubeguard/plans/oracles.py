@@ -594,6 +594,17 @@ def _sources():
     ORACLES["k2_dump"] = ORACLES["p10_round"]
     ORACLES["k1_check_table"] = ORACLES["a5_coverage_geolevel"]
     ORACLES["k3_extract_report"] = ORACLES["c7_extract_report"]
+    tag, none = "2024-01-01-00-00", "CAST(NULL AS VARCHAR)"
+    equal = lambda v: f"bool_and((RATE IS NULL AND {v} IS NULL) OR coalesce(abs(RATE - {v}) <= 1.5e-8 * greatest(abs(RATE), abs({v}), 1.0), false))"
+    listed = lambda yes: ("array_to_string(list_filter([" + ", ".join(
+        f"CASE WHEN {'' if yes else 'NOT '}{equal(v)} THEN '{v}' END" for v in ("TELLER", "RATE", "NEVNER", "TELLER_uprikk")) + "], lambda x: x IS NOT NULL), ', ')")
+    second = W("b2 AS (SELECT * FROM newcube WHERE GEOniv = 'K' AND KJONN = 2 AND ALDER = '1_2' AND INNVKAT = 0)", select=f"""
+      SELECT 'RETURNS_BAND_{tag}.csv' AS Friskvik, 'LINEITEM_TOTAL_{tag}.csv' AS Kube, '!! KANSKJE IKKE !!' AS ALT_OK, 'FALSE' AS FIL_I_STATBANK,
+        {none} AS FRISKVIK_ETAB, '2' AS KUBE_KJONN, '1_2' AS KUBE_ALDER, {none} AS KUBE_UTDANN, {none} AS KUBE_INNVKAT, {none} AS KUBE_LANDBAK,
+        array_to_string(list_sort(list(DISTINCT AAR)), ', ') AS FRISKVIK_AAR, 'Yes' AS SISTE_AAR, '2001' AS Periode_bm, '!! empty' AS Periode_nn,
+        CASE WHEN bool_and((RATE IS NULL) = (SPVFLAGG > 0)) THEN 'Yes' END AS IDENTISK_PRIKKING, {listed(True)} AS MATCHER_KOLONNE,
+        {listed(False)} AS Different_kubecol, 'antall' AS Enhet, '!! MISSING from SPECS-file' AS REFVERDI_VP, 'Yes' AS VALID_kombo FROM b2""")
+    ORACLES["c11_extract_files"] = f"SELECT * FROM ({ORACLES['c7_extract_report']}) a UNION ALL BY NAME SELECT * FROM ({second}) b"
     ORACLES["s7_renamed_columns"] = W(select="""
       SELECT 'antall' AS original, 'TELLER' AS new, count(TELLER) AS n_values FROM newcube
       UNION ALL SELECT 'Crude', 'RATE', count(RATE) FROM newcube""")

@@ -549,6 +549,26 @@ def q_c9_repeated(spark, sf_dir):
     return ext.mask_areas(e, cf, _EXT_DIMS)
 
 
+@register("c11_extract_files")
+def q_c11(spark, sf_dir):
+    """C11: extract files of two cubes with different columns (parquet and CSV), one of them without a cube, in one plan."""
+    from cubeguard.operators.extract_files import check_extract_files
+    cube, e = _extract_inputs(spark, sf_dir)
+    root = _scratch(spark)
+    csv = {"sep": ";", "header": "true"}
+    for name in [fx.extract_name(i) for i in fx.INDICATORS]:
+        e.where(F.col("Friskvik") == name).drop("Friskvik").coalesce(1).write.options(**csv).csv(f"{root}/ext/{name}")
+    band = cube.where((F.col("GEOniv") == "K") & (F.col("KJONN") == 2) & (F.col("ALDER") == "1_2") & (F.col("INNVKAT") == 0))
+    band.select("ALDER", "GEO", "AAR", F.col("RATE").alias("MEIS"), "KJONN").coalesce(1).write.options(**csv).csv(f"{root}/ext/RETURNS_BAND_{fx.OLD_DATETAG}.csv")
+    cube.write.parquet(f"{root}/parquet/{_CUBE_FILE}")
+    total = cube.where(F.col("INNVKAT") == 0).drop("INNVKAT", "GEOniv", "WEIGHTS").withColumnRenamed("TELLER", "antall")
+    total.write.options(**csv).csv(f"{root}/csv/{fx.SECOND_CUBE}_{fx.OLD_DATETAG}.csv")
+    fx.cube_spec_rows(spark).coalesce(1).write.options(**csv).csv(f"{root}/specs/{fx.CUBE_NAME}_{fx.NEW_DATETAG}.csv")
+    paths = cubes.list_files(spark, f"{root}/ext")
+    return check_extract_files(spark, paths, [f"{root}/parquet", f"{root}/csv"], f"{root}/specs", fx.control_two_cubes(spark), fx.published_files(spark),
+                               fx.PROFILE, fx.GEOLEVEL, 2025)
+
+
 @register("a12_unique_levels")
 def q_a12(spark, sf_dir):
     cube, e = _extract_inputs(spark, sf_dir)

@@ -73,4 +73,24 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/cubeguard/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _WRITTEN.setdefault(session_id(spark), []).append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: dict = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` wrote in this application; returns how many.
+
+    To be called when no result that reads them is needed any more, at the latest at
+    the end of a job: tables stay until then, as lazy results read them.
+    """
+    from cubeguard.sources import fixtures
+    paths = _WRITTEN.pop(session_id(spark), [])
+    fixtures.forget(session_id(spark))
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)

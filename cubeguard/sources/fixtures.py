@@ -223,6 +223,12 @@ def _memo_key(spark: SparkSession, sf_dir: str, kind: str):
     return (session_id(spark), sf_dir, kind, tuple(stamp))
 
 
+def forget(session: str) -> None:
+    """Forget the tables of a session, so they are derived again when asked for."""
+    for key in [k for k in _MEMO if k[0] == session]:
+        del _MEMO[key]
+
+
 def fixture_pair(spark: SparkSession, sf_dir: str, materialize: bool = True):
     if not materialize:
         return _fixture_pair(spark, sf_dir, False)
@@ -388,6 +394,8 @@ def barometer_tables(new: DataFrame, with_lpnr: bool = False, drop_lpnr=None):
 
 # ------------------------------------------------------------ extracts
 PROFILE, GEOLEVEL = "FHP", "K"
+INDICATORS = ("RETURNS_TOTAL", "RETURNS_MEN", "RETURNS_COUNT", "RETURNS_UNKNOWN")
+SECOND_CUBE = "LINEITEM_TOTAL"
 
 
 def extract_name(indicator: str) -> str:
@@ -442,6 +450,12 @@ def control_friskvik(spark: SparkSession) -> DataFrame:
                                        "KUBE_NAVN string, Periode_bm string, Periode_nn string, Enhet string")
 
 
+def control_two_cubes(spark: SparkSession) -> DataFrame:
+    """Control table FRISKVIK with an indicator of a second cube."""
+    more = spark.createDataFrame([("FHP", "2025", "K", "RETURNS_BAND", SECOND_CUBE, "2001", None, "antall")], control_friskvik(spark).schema)
+    return control_friskvik(spark).unionByName(more)
+
+
 def published_files(spark: SparkSession) -> DataFrame:
     """Published cube ids (name_datetag)."""
     return spark.createDataFrame([(f"{CUBE_NAME}_{NEW_DATETAG}",)], "file string")

@@ -167,26 +167,35 @@ def find_totals(cube: DataFrame, dims, spec: CubeSpec = DEFAULT_SPEC) -> dict:
     dims = [d for d in dims if d in cube.columns]
     if not dims:
         return {}
+    row = cube.agg(*_total_aggs(dims, spec)).collect()[0].asDict()
+    return _totals_of(row, cube, dims, spec)
+
+
+def _total_aggs(dims, spec: CubeSpec) -> list:
+    """Aggregates that tell the total level of each dimension; none of them gathers levels."""
     aggs = []
     for d in dims:
         if d == spec.age_dim:
-            lo = F.regexp_extract(col(d), r"^(\d*)_(\d*)$", 1).try_cast("bigint")
-            hi = F.regexp_extract(col(d), r"^(\d*)_(\d*)$", 2).try_cast("bigint")
-            aggs += [F.min(lo).alias(f"{d}__lo"), F.max(hi).alias(f"{d}__hi"),
-                     F.collect_set(col(d)).alias(f"{d}__set")]
+            lo, hi = (F.regexp_extract(col(d), r"^(\d*)_(\d*)$", k).try_cast("bigint") for k in (1, 2))
+            plain = col(d) == F.concat_ws("_", lo.cast("string"), hi.cast("string"))
+            # of the bands that begin first, the one that ends last
+            widest = F.min(F.when(plain, F.struct(lo.alias("lo"), (-hi).alias("hi"))))
+            aggs += [F.min(lo).alias(f"{d}__lo"), F.max(hi).alias(f"{d}__hi"), widest.alias(f"{d}__widest")]
         else:
             is_zero = col(d).cast("string").try_cast("double") == F.lit(0.0)
             aggs.append(F.max(F.when(is_zero, 1).otherwise(0)).alias(f"{d}__zero"))
-    # The age dimension has few levels, so its distinct set is a bounded array.
-    row = cube.agg(*aggs).collect()[0].asDict()
+    return aggs
+
+
+def _totals_of(row: dict, cube: DataFrame, dims, spec: CubeSpec) -> dict:
+    """The total level of each dimension (None without one) from a row of :func:`_total_aggs`."""
     out = {}
     for d in dims:
         if d == spec.age_dim:
-            lo, hi, levels = row[f"{d}__lo"], row[f"{d}__hi"], row[f"{d}__set"] or []
-            band = f"{lo}_{hi}" if lo is not None and hi is not None else None
-            out[d] = band if band in levels else None
+            lo, hi, widest = row.get(f"{d}__lo"), row.get(f"{d}__hi"), row.get(f"{d}__widest")
+            out[d] = f"{lo}_{hi}" if widest is not None and (widest["lo"], -widest["hi"]) == (lo, hi) else None
         else:
-            out[d] = _typed_zero(cube, d) if row[f"{d}__zero"] == 1 else None
+            out[d] = _typed_zero(cube, d) if row.get(f"{d}__zero") == 1 else None
     return out
 
 
@@ -210,16 +219,7 @@ class CubeProfile:
 
 
 def _profile_aggs(cube: DataFrame, dims, spec: CubeSpec):
-    aggs = []
-    for d in dims:
-        if d == spec.age_dim:
-            lo = F.regexp_extract(col(d), r"^(\d*)_(\d*)$", 1).try_cast("bigint")
-            hi = F.regexp_extract(col(d), r"^(\d*)_(\d*)$", 2).try_cast("bigint")
-            aggs += [F.min(lo).alias(f"{d}__lo"), F.max(hi).alias(f"{d}__hi"),
-                     F.collect_set(col(d)).alias(f"{d}__set")]
-        else:
-            is_zero = col(d).cast("string").try_cast("double") == F.lit(0.0)
-            aggs.append(F.max(F.when(is_zero, 1).otherwise(0)).alias(f"{d}__zero"))
+    aggs = _total_aggs(dims, spec)
     if spec.period in cube.columns:
         # two distinct periods exist iff min != max (NULL counts as a level)
         p = col(spec.period)
@@ -244,14 +244,7 @@ _HLL_RSD = 0.05
 
 
 def _profile_parse(row: dict, cube: DataFrame, dims, spec: CubeSpec) -> CubeProfile:
-    totals = {}
-    for d in dims:
-        if d == spec.age_dim:
-            lo, hi, levels = row.get(f"{d}__lo"), row.get(f"{d}__hi"), row.get(f"{d}__set") or []
-            band = f"{lo}_{hi}" if lo is not None and hi is not None else None
-            totals[d] = band if band in levels else None
-        else:
-            totals[d] = _typed_zero(cube, d) if row.get(f"{d}__zero") == 1 else None
+    totals = _totals_of(row, cube, dims, spec)
     n_periods = 0
     if spec.period in cube.columns:
         if row.get("__pmin") is None:
@@ -309,23 +302,37 @@ def _typed_zero(cube: DataFrame, d: str):
 
 # ------------------------------------------------------------ rounding (P10)
 
+#: Decimals of a published measure.
+ROUNDING = {"SPVFLAGG": 0, "RATE.n": 0, "TELLER": 1, "NEVNER": 1, "RATE": 2, "SMR": 2, "MEIS": 2, "MIN": 2, "MAX": 2, "LOW": 2, "HIGH": 2,
+            "wq25": 2, "wq50": 2, "wq75": 2}
+#: Decimals of a ratio of new to old.
+RATIO_DIGITS = 2
+#: What may precede or follow a measure's name.
+_BEFORE, _AFTER = ("change_", "sum"), ("_new", "_old", "_diff", "_reldiff", "_uprikk")
+
+
 def rounding_digits(name: str, spec: CubeSpec = DEFAULT_SPEC) -> int | None:
-    """P10: number of decimals the publication rounding uses for a measure name.
+    """P10: decimals of the publication rounding for a column: those of its measure.
 
-    Rules are applied in the reference's order (0, then 1, then 2 decimals);
-    rounding an already rounded number to more decimals changes nothing, so
-    the smallest matching digit count wins.  Dimensions are never rounded.
+    A ratio of a measure that is no count of its own (flag, n behind the rate) has
+    those of a ratio.  Dimensions and unknown measures are not rounded.
     """
     if name in spec.dims:
         return None
-    digits = []
-    if re.search(r"SPVFLAGG.*|RATE\.n.*", name):
-        digits.append(0)
-    if re.search(r"TELLER|NEVNER", name) and "_reldiff" not in name:
-        digits.append(1)
-    if re.search(r"RATE|SMR|MEIS|MIN$|MAX$|LOW$|HIGH$|.*wq\d{2}$", name) or "_reldiff" in name:
-        digits.append(2)
-    return min(digits) if digits else None
+    measure = name
+    while True:
+        shorter = measure
+        for p in _BEFORE:
+            shorter = shorter.removeprefix(p)
+        for p in _AFTER:
+            shorter = shorter.removesuffix(p)
+        if shorter == measure:
+            break
+        measure = shorter
+    digits = ROUNDING.get(measure)
+    if name.endswith("_reldiff") and digits != 0:
+        return RATIO_DIGITS
+    return digits
 
 
 # ------------------------------------------------------------ cube ids

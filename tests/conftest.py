@@ -11,3 +11,5 @@ def spark():
     from cubeguard.session import local_session
     s = local_session(cores="*", shuffle_partitions=8, app="cubeguard-tests")
     yield s
+    from cubeguard.session import release
+    release(s)

@@ -1,5 +1,6 @@
 """Comparison pipeline invariants."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from cubeguard.operators.outliers import add_changeval
@@ -138,3 +139,18 @@ def test_comparison_has_one_exchange_of_the_cubes(spark):
     assert res.comparecube.count() == new.where("GEOniv <> 'V'").select(*keys).distinct().count()
     plan = res.comparecube._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "FullOuter" not in plan
+
+
+def test_release_deletes_what_was_written(spark):
+    """Only the tables of this session, and fixtures are derived again afterwards."""
+    from cubeguard import session
+    a = session.materialize(spark.range(10))
+    folder = a.inputFiles()[0].rpartition("/")[0]
+    mine = session._WRITTEN[session.session_id(spark)]
+    kept, session._WRITTEN[session.session_id(spark)] = list(mine[:-1]), [mine[-1]]
+    memo = dict(fx._MEMO)
+    assert session.release(spark) == 1 and not fx._MEMO
+    with pytest.raises(Exception):
+        spark.read.parquet(folder)
+    session._WRITTEN[session.session_id(spark)] = kept
+    fx._MEMO.update(memo)

@@ -235,3 +235,40 @@ def test_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_extract_files_of_two_cubes_in_one_plan(spark):
+    """Files of different columns and kinds, a byte order mark, an extract that lacks a dimension, one without a cube."""
+    from cubeguard.operators.extract_files import check_extract_files, read_extract_files
+    root = tempfile.mkdtemp(prefix="cg-two-")
+    for d in ("ext", "cubes/parquet", "cubes/csv", "specs"):
+        os.makedirs(f"{root}/{d}")
+    a, b = "2024-05-01-10-00", "2024-06-01-10-00"
+    _write(f"{root}/ext/IND_A_{a}.csv", "\ufeffGEO;AAR;KJONN;MEIS\n301;2023_2023;0;1.5\n1101;2023_2023;0;\n")
+    _write(f"{root}/ext/IND_X_{a}.csv", "GEO;AAR;KJONN;MEIS\n301;2023_2023;0;1.5\n")
+    _write(f"{root}/ext/IND_B_{b}.csv", "ETAB;AAR;GEO;ALDER;MEIS\nGEO > 100;2022_2022;301;0_17;7\nGEO > 100;2022_2022;302;0_17;8\n")
+    _write(f"{root}/ext/IND_C_{b}.csv", "AAR;GEO;MEIS\n2022_2022;301;3\n2022_2022;302;4\n")
+    _write(f"{root}/cubes/csv/CUBEA_{a}.csv", "GEO;AAR;KJONN;Crude;SPVFLAGG\n301;2023_2023;0;1.5;0\n1101;2023_2023;0;;3\n301;2023_2023;1;2.0;0\n")
+    spark.createDataFrame([(301, "2022_2022", "0_17", 0, 7.0, 1.0, 0), (302, "2022_2022", "0_17", 0, 8.0, 1.0, 0), (301, "2022_2022", "0_17", 5, 9.0, 1.0, 0),
+                           (301, "2022_2022", "18_99", 0, 3.0, 2.0, 0), (302, "2022_2022", "18_99", 0, 4.0, 4.0, 0), (301, "2021_2021", "0_17", 0, 1.0, 1.0, 0)],
+                          "GEO long, AAR string, ALDER string, UTDANN long, MEIS double, antall double, SPVFLAGG long").write.parquet(f"{root}/cubes/parquet/CUBEB_{b}.parquet")
+    _write(f"{root}/specs/CUBEA_{a}.csv", "Tabell;Kolonne;Innhold\nKUBER;REFVERDI_VP;P\n")
+    control = spark.createDataFrame([("FHP", "2024", "K", i, c, "2023", n, "per 1000 (ak)") for i, c, n in
+                                     (("IND_A", "CUBEA", "2023"), ("IND_X", "NOCUBE", "2023"), ("IND_B", "CUBEB", "2023"), ("IND_C", "CUBEB", ""))],
+                                    "PROFILTYPE string, AARGANG string, MODUS string, INDIKATOR string, KUBE_NAVN string, Periode_bm string, Periode_nn string, Enhet string")
+    published = spark.createDataFrame([(f"CUBEA_{a}",)], "file string")
+    rows = read_extract_files(spark, f"{root}/ext").where("GEO = 301").collect()
+    assert {(r.Friskvik[:5], tuple(r["__edims"]), r.MEIS) for r in rows} == {
+        ("IND_A", ("GEO", "AAR", "KJONN"), 1.5), ("IND_X", ("GEO", "AAR", "KJONN"), 1.5), ("IND_B", ("AAR", "GEO", "ALDER"), 7.0), ("IND_C", ("AAR", "GEO"), 3.0)}
+    report = check_extract_files(spark, f"{root}/ext", [f"{root}/cubes/parquet", f"{root}/cubes/csv"], f"{root}/specs", control, published, "FHP", "K", 2024)
+    rep = {r.Friskvik[:5]: r for r in report.collect()}
+    one = rep["IND_A"]
+    assert (one.Kube, one.IDENTISK_PRIKKING, one.MATCHER_KOLONNE, one.REFVERDI_VP, one.FIL_I_STATBANK, one.KUBE_KJONN, one.KUBE_ALDER) == (
+        f"CUBEA_{a}.csv", "Yes", "RATE", "P", "TRUE", "0", None)
+    two = rep["IND_B"]
+    assert (two.Kube, two.MATCHER_KOLONNE, two.Different_kubecol, two.KUBE_UTDANN, two.KUBE_ALDER, two.FRISKVIK_ETAB, two.SISTE_AAR, two.FIL_I_STATBANK) == (
+        f"CUBEB_{b}.parquet", "MEIS", "TELLER", "0", "0_17", "GEO > 100", "Yes", "FALSE")
+    three = rep["IND_C"]  # no ALDER: all ages are asked for, so each area is held twice in the cube
+    assert (three.KUBE_ALDER, three.IDENTISK_PRIKKING, three.Periode_nn, three.REFVERDI_VP) == (
+        "0_17, 18_99", "!!NO!! Diff for GEO: 301, 302", "!! empty", "!! MISSING from SPECS-file")
+    assert rep["IND_X"].ALT_OK == "not_loaded" and rep["IND_X"].Kube is None
