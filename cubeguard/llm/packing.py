@@ -19,10 +19,10 @@ import base64
 import functools
 import re
 import zlib
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,13 +85,24 @@ class Units(dict):
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a whole text, with the end id; its units as terms."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`encode` of each text; a unit is looked up once for all of them."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), pattern=" ")
+        codes = split.values.dictionary_encode()
+        units = codes.dictionary.to_pylist()
+        known = np.fromiter(map(self.__getitem__, units), np.int64, len(units))
+        code = codes.indices.to_numpy()
+        terms, at = known[code], split.offsets.to_numpy()
+        return [self._one(text, units[code[a]], terms[a:z]) for text, a, z in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+    def _one(self, text: str, first: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not text:
             return np.array([END_ID], np.uint32), np.empty(0, np.int64)
-        units = text.split(" ")
-        idx = np.empty(len(units), np.int64)
-        idx[1:] = np.fromiter(map(self.__getitem__, islice(units, 1, None)), np.int64, len(units) - 1)
-        if (k := self.first.get(units[0])) is None:
-            k = self.first[units[0]] = self.add(units[0], units[0])
+        if (k := self.first.get(first)) is None:
+            k = self.first[first] = self.add(first, first)
+        idx = terms.copy()
         idx[0] = k
         if idx.min() < 0:
             ids = self.whole.encode(text, add_special_tokens=False).ids
@@ -102,8 +113,7 @@ class Units(dict):
         out = np.empty(ends[-1] + 1, np.uint32)
         out[:-1] = self.ids[np.repeat(self.starts[idx] - ends + sizes, sizes) + np.arange(ends[-1])]
         out[-1] = END_ID
-        idx[0] = self[units[0]]  # as a term, the first unit is a word like the others
-        return out, idx
+        return out, terms  # as a term, the first unit is a word like the others
 
 
 @functools.lru_cache(maxsize=1)
@@ -193,7 +203,7 @@ def _shard_packer(window: int, tokenizer: str, ranks: str):
             units.forget()
         table = table.combine_chunks()
         texts = table.column("text").to_pylist()
-        encoded = [units.encode(t) for t in texts]
+        encoded = units.encode_all(texts)
         ids = table.column("doc_id").to_pylist()
         order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, texts[k]))
         ids, tokens = [ids[k] for k in order], [encoded[k][0] for k in order]
