@@ -39,15 +39,38 @@ TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, seed_doc_id long, padded_length long"
 
 
-class Units(dict):
-    """unit after a space -> its index, or -1 if a text with it must be encoded whole."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def unit_hashes(units: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each unit: sums of its bytes times a random number for each place."""
+    at = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+    data = np.frombuffer(units.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].astype(np.uint64) + np.uint64(1)
+    at = at - at[0]
+    size = np.diff(at)
+    place = np.arange(len(data)) - np.repeat(at[:-1], size)
+    some = size > 0
+    out = []
+    for seed in (1, 2):
+        factor = _mixed(np.arange(int(size.max(initial=0)), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 0xD6E8FEB86659FD93 % 2**64))
+        h = np.zeros(len(units), np.uint64)
+        if some.any():
+            h[some] = np.add.reduceat(data * factor[place], at[:-1][some])
+        out.append(_mixed(h + size.astype(np.uint64)))
+    return out[0], out[1]
+
+
+class Units:
+    """Remembers units, the parts of texts after a space: hashes of a unit -> its index, or -1 if a text with it must be encoded whole."""
 
     def __init__(self, tokenizer: str, ranks: str):
         import public_tokenizers as public
         import tiktoken
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.whole = Tokenizer.from_file(public.path(tokenizer))
         with open(public.path(ranks), "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -57,9 +80,13 @@ class Units(dict):
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
         self.starts, self.sizes = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
         self.count = 0
+        self.keys, self.checks, self.index = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
 
     def forget(self) -> None:
-        self.clear()
+        self.keys, self.checks, self.index = self.keys[:0], self.checks[:0], self.index[:0]
         self.first.clear()
         self.ids, self.used = self.ids[:1 << 16].copy(), 0
         self.starts, self.sizes, self.count = self.starts[:1 << 16].copy(), self.sizes[:1 << 16].copy(), 0
@@ -79,9 +106,23 @@ class Units(dict):
         self.count += 1
         return self.count - 1
 
-    def __missing__(self, unit: str) -> int:
-        self[unit] = k = self.add(unit, " " + unit)
-        return k
+    def indices(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Index of each of some different units; new ones are remembered. By 128 bits of hash, sorted by the first 64."""
+        key, check = unit_hashes(units)
+        order = np.argsort(key)
+        key, check = key[order], check[order]
+        at = np.searchsorted(self.keys, key)
+        near = np.minimum(at, max(len(self.keys) - 1, 0))
+        hit = (self.keys[near] == key) & (self.checks[near] == check) if len(self.keys) else np.zeros(len(key), bool)
+        found = np.empty(len(key), np.int64)
+        found[hit] = self.index[near[hit]]
+        new = np.flatnonzero(~hit)
+        if len(new):
+            found[new] = [self.add(u, " " + u) for u in units.take(pa.array(order[new])).to_pylist()]
+            self.keys, self.checks, self.index = (np.insert(x, at[new], v[new]) for x, v in ((self.keys, key), (self.checks, check), (self.index, found)))
+        out = np.empty(len(key), np.int64)
+        out[order] = found
+        return out
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a whole text, with the end id; its units as terms."""
@@ -91,22 +132,21 @@ class Units(dict):
         """:meth:`encode` of each text; a unit is looked up once for all of them."""
         split = pc.split_pattern(pa.array(texts, pa.large_string()), pattern=" ")
         codes = split.values.dictionary_encode()
-        units = codes.dictionary.to_pylist()
-        known = np.fromiter(map(self.__getitem__, units), np.int64, len(units))
-        code = codes.indices.to_numpy()
-        terms, at = known[code], split.offsets.to_numpy()
-        return [self._one(text, units[code[a]], terms[a:z]) for text, a, z in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        terms, at = self.indices(codes.dictionary)[codes.indices.to_numpy()], split.offsets.to_numpy()
+        return [self._one(text, terms[a:z]) for text, a, z in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
-    def _one(self, text: str, first: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _one(self, text: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not text:
             return np.array([END_ID], np.uint32), np.empty(0, np.int64)
+        first = text.partition(" ")[0]
         if (k := self.first.get(first)) is None:
             k = self.first[first] = self.add(first, first)
         idx = terms.copy()
         idx[0] = k
         if idx.min() < 0:
             ids = self.whole.encode(text, add_special_tokens=False).ids
-            terms = np.fromiter((self[w] for w in text.split()), np.int64)
+            words = pa.array(text.split(), pa.large_string()).dictionary_encode()
+            terms = self.indices(words.dictionary)[words.indices.to_numpy()]
             return np.array([*ids, END_ID], np.uint32), terms[terms >= 0]
         sizes = self.sizes[idx]
         ends = np.cumsum(sizes)
