@@ -139,10 +139,13 @@ def melt(df: DataFrame, id_cols, value_cols, variable: str = "variable", value:
         [col(c) for c in id_cols], [col(v) for v in value_cols], variable, value)
 
 
-def dcast(df: DataFrame, index, pivot_col: str, values, value_col: str, agg: str = "sum") -> DataFrame:
-    """Levels to columns with an explicit level list (no extra job)."""
+def dcast(df: DataFrame, index, pivot_col: str, values, value_cols, agg: str = "sum") -> DataFrame:
+    """Levels to columns named ``<value>_<level>``, with an explicit level list (no extra job)."""
     fn = {"sum": F.sum, "first": F.first, "max": F.max}[agg]
-    return df.groupBy(*index).pivot(pivot_col, list(values)).agg(fn(col(value_col)))
+    value_cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
+    wide = df.groupBy(*[col(i) for i in index]).pivot(pivot_col, list(values)).agg(*[fn(col(v)).alias(v) for v in value_cols])
+    spark_name = (lambda level, v: f"{level}_{v}") if len(value_cols) > 1 else (lambda level, v: f"{level}")
+    return wide.select(*[col(i) for i in index], *[col(spark_name(level, v)).alias(f"{v}_{level}") for level in values for v in value_cols])
 
 
 def duplicate_keys(df: DataFrame, dims) -> DataFrame:
@@ -155,7 +158,7 @@ def duplicate_keys(df: DataFrame, dims) -> DataFrame:
 
 
 def filter_cube(cube_new: DataFrame, cube_old: DataFrame, which: str = "new",
-                spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+                spec: CubeSpec = DEFAULT_SPEC, level_bound: int | None = None) -> DataFrame:
     """keep rows whose level of every common dimension exists in the other cube.
 
     ``which="new"`` filters the new cube against the old one and vice
@@ -165,7 +168,7 @@ def filter_cube(cube_new: DataFrame, cube_old: DataFrame, which: str = "new",
     """
     roles = identify_coltypes(cube_new, cube_old, spec)
     target, ref = (cube_new, cube_old) if which == "new" else (cube_old, cube_new)
-    return semi_filter(target, ref, roles.commondims)
+    return semi_filter(target, ref, roles.commondims, level_bound=level_bound)
 
 
 def get_complete_strata(df: DataFrame, by, type: str = "censored", valuecolumn: str | None = None,

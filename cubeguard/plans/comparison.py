@@ -21,7 +21,7 @@ from cubeguard.operators.geo import exclude_lks_for_compare
 from cubeguard.operators.levels import flag_rows
 from cubeguard.operators.outliers import flag_outliers, prev_outlier_columns
 from cubeguard.spec import (
-    DEFAULT_SPEC, ColumnRoles, CubeSpec, col, identify_coltypes, profile_cube, profile_cubes, select_outlier_pri,
+    DEFAULT_SPEC, ColumnRoles, CubeSpec, check_readfiles_args, col, identify_coltypes, profile_cube, profile_cubes, select_outlier_pri,
 )
 
 
@@ -148,16 +148,23 @@ def _join_new_old(new_flag: DataFrame, old_flag: DataFrame, roles: ColumnRoles,
 def read_and_compare(spark, cube_new: str, root: str, cube_old: str | None = None, dump_dir: str | None = None,
                      dumps=("newcube_flag", "oldcube_flag", "comparecube"), recode_new: bool = False,
                      recode_old: bool = False, codemap: DataFrame | None = None, popinfo: DataFrame | None = None,
-                     dump_format: str = "parquet", **settings):
+                     dump_format: str = "parquet", comparecube: bool = True, outliers: bool = True, **settings):
     """S1 end to end: find and read the cube files, recode areas, add geo
     parameters, compare (C1) and write the requested dumps (K2).
 
+    Without ``comparecube`` the cubes are read only: the result holds them unflagged
+    and no comparison.  Without ``outliers`` they are compared but not searched for outliers.
+
     Returns (result, dump name -> path).  The comparison is written once to
     the shared folder, as the dumps and later checks read it again.
     """
     from cubeguard.sources.cubes import load_pair
     from cubeguard.sources.sinks import save_dumps
+    check_readfiles_args(cube_new, cube_old, recode_new, recode_old, comparecube, outliers)
     (new, new_ref), old = load_pair(spark, cube_new, root, cube_old, recode_new, recode_old, codemap, popinfo)
-    result = make_comparecube(new, old[0] if old else None, materialize=True, **settings)
+    if not comparecube:
+        roles = identify_coltypes(new, old[0] if old else None, settings.get("spec", DEFAULT_SPEC))
+        return CompareResult(new, old[0] if old else None, None, roles, None), {}
+    result = make_comparecube(new, old[0] if old else None, outliers, materialize=True, **settings)
     written = {} if dump_dir is None else save_dumps(result, dump_dir, new_ref, old[1] if old else None, dumps, dump_format)
     return result, written

@@ -591,6 +591,7 @@ def _sources():
       SELECT * FROM (SELECT DISTINCT GEOniv FROM newcube) CROSS JOIN (SELECT DISTINCT AAR FROM newcube)
         CROSS JOIN (SELECT DISTINCT KJONN FROM newcube)""")
     ORACLES["s1_load_pair"] = ORACLES["c1_comparecube"]
+    ORACLES["s1_load_only"] = W(select="SELECT * FROM oldcube")
     ORACLES["k2_dump"] = ORACLES["p10_round"]
     ORACLES["k1_check_table"] = ORACLES["a5_coverage_geolevel"]
     ORACLES["k3_extract_report"] = ORACLES["c7_extract_report"]

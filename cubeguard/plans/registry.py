@@ -664,14 +664,14 @@ def q_w2_range(spark, sf_dir):
     return nf.select(*_STRATA, *_FENCES, *["change_" + c for c in _FENCES]).distinct()
 
 
-def _read_and_compare(spark, sf_dir, dump_dir=None):
+def _read_and_compare(spark, sf_dir, dump_dir=None, **switches):
     from cubeguard.plans.comparison import read_and_compare
     root = _scratch(spark)
     _write_raw_cube(spark, sf_dir, root, "parquet")
     _write_raw_cube(spark, sf_dir, root, "parquet", old=True)
     return read_and_compare(spark, f"{fx.CUBE_NAME}_{fx.NEW_DATETAG}", root, f"{fx.CUBE_NAME}_{fx.OLD_DATETAG}",
                             dump_dir, recode_old=True, codemap=fx.georecode(spark, sf_dir),
-                            popinfo=fx.popinfo(spark, sf_dir), small_threshold=fx.small_area_threshold(spark, sf_dir))
+                            popinfo=fx.popinfo(spark, sf_dir), small_threshold=fx.small_area_threshold(spark, sf_dir), **switches)
 
 
 @register("s1_load_pair")
@@ -680,6 +680,12 @@ def q_s1(spark, sf_dir):
     return _read_and_compare(spark, sf_dir)[0].comparecube
 
 
+@register("s1_load_only")
+def q_s1_load_only(spark, sf_dir):
+    """S1 without the comparison: the old cube as read and recoded."""
+    return _read_and_compare(spark, sf_dir, comparecube=False)[0].oldcube_flag
+
+
 @register("k2_dump")
 def q_k2(spark, sf_dir):
     """K2: the comparison cube as dumped, read back."""

@@ -44,7 +44,8 @@ def test_priorities():
 
 @pytest.mark.parametrize("name, digits", [
     ("sumNEVNER_uprikk", 1), ("NEVNER_old", 1), ("TELLER_reldiff", 2), ("SMR_diff", 2), ("change_wq75", 2), ("change_LOW", 2),
-    ("RATE.n_new", 0), ("SPVFLAGG_old", 0), ("ALDER", None), ("WEIGHTS", None)])
+    ("RATE.n_new", 0), ("SPVFLAGG_old", 0), ("ALDER", None), ("WEIGHTS", None),
+    ("RATE_sumdiff", 2), ("TELLER_uprikk_ndiff", 1), ("change_wq25", 2), ("wqxx", None), ("NEVNER_reldiff", 2), ("SPVFLAGG_reldiff", 0), ("MINABOVELOW", 2)])
 def test_rounding_by_name(spark, name, digits):
     """Ties go to the even digit, negatives like positives, NULL stays NULL."""
     assert rounding_digits(name) == digits
@@ -97,3 +98,10 @@ def test_added_dimension_is_a_role():
     spec = CubeSpec().with_dims("INNVAND")
     assert identify_coltypes(["GEO", "INNVAND", "RATE"], spec=spec).dims_new == ["GEO", "INNVAND"]
     assert identify_coltypes(["GEO", "INNVAND", "RATE"]).dims_new == ["GEO"]
+
+
+def test_total_band_without_gathering_levels(spark):
+    from cubeguard.spec import find_totals
+    for levels, want in ((["0_17", "18_99", "0_99"], "0_99"), (["0_17", "18_99"], None), (["0_99", "00_120", "5_120"], None), (["x", None, "7_7"], "7_7"), ([None], None)):
+        df = spark.createDataFrame([(x,) for x in levels], "ALDER string")
+        assert find_totals(df, ["ALDER"])["ALDER"] == want, levels
