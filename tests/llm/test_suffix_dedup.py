@@ -150,3 +150,11 @@ def test_repeated_long_rows(spark):
 
 def test_empty_table(spark):
     assert S.suffix_dedup(frame(spark, [])).collect() == []
+
+
+def test_keys_dealt_over_several_shards(spark, monkeypatch):
+    """With two pieces of a key to a shard, what is first in a shard is compared again: the same result."""
+    monkeypatch.setattr(S, "CAP", 2)
+    passage = " ".join(words(40, 77))
+    docs = [(i, " ".join(words(12, i)) + " " + passage + " " + " ".join(words(12, 500 + i))) for i in range(60)] + [(100 + i, t) for i, t in enumerate(texts(5, 30))]
+    assert report(spark, docs) == sorted(plain(docs), key=str)
