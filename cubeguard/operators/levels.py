@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cubeguard.functions.joins import any_level_missing, checked_broadcast, semi_filter
 from cubeguard.functions.numbering import ordered_numbers
+from cubeguard.sources.cubes import values_of
 from cubeguard.spec import DEFAULT_SPEC, CubeSpec, col, find_totals, identify_coltypes
 
 _MISC_FOR_COLUMNS = ("GEOniv", "WEIGHTS", "origgeo")
@@ -18,9 +19,11 @@ GRID_ROWS, MAX_GRID_PARTS = 1_000_000, 100_000
 
 
 def compare_colnames(cube_new: DataFrame, cube_old: DataFrame | None = None) -> DataFrame:
-    """New, expired and ``_uprikk`` columns as a (column, status) table.
+    """New, expired and ``_uprikk`` columns as (column, status, n_values_new, n_values_old).
 
-    Pure schema work; the small result is built on the driver.
+    Which columns there are is schema work; how many rows hold a value is one aggregate
+    for each cube (NULL for a cube that lacks the column), so a column that is there but
+    empty shows.
     """
     spark = cube_new.sparkSession
     new_cols = [c for c in cube_new.columns if c not in _MISC_FOR_COLUMNS and "_uprikk" not in c]
@@ -32,7 +35,12 @@ def compare_colnames(cube_new: DataFrame, cube_old: DataFrame | None = None) ->
                  if c not in set(cube_new.columns) | set(_MISC_FOR_COLUMNS) and "_uprikk" not in c]
     rows += [(c, "uprikk") for c in cube_new.columns if c.endswith("_uprikk")]
     schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("status", T.StringType())])
-    return spark.createDataFrame(rows, schema)
+    out = spark.createDataFrame(rows, schema)
+    for cube, name in ((cube_new, "n_values_new"), (cube_old, "n_values_old")):
+        shown = [] if cube is None else list(dict.fromkeys(c for c, _ in rows if c in cube.columns))
+        values = (spark.createDataFrame([], "column string, n_values bigint") if cube is None else values_of(cube, shown))
+        out = out.join(F.broadcast(values.withColumnRenamed("n_values", name)), "column", "left")  # a row for each column
+    return out
 
 
 def _levels_long(cube: DataFrame, dims) -> DataFrame:

@@ -39,11 +39,12 @@ def not_in_other(dims, other):
 
 
 def _more():
-    ORACLES["p2_compare_columns"] = W(select="""
-      SELECT * FROM (VALUES ('GEO','present'),('AAR','present'),('KJONN','present'),('ALDER','present'),
-        ('INNVKAT','present'),('TELLER','present'),('NEVNER','present'),('RATE','present'),
-        ('RATE.n','present'),('SPVFLAGG','present'),('INNVKAT','new'),('UTDANN','expired'),
-        ('TELLER_uprikk','uprikk')) t("column", status)""")
+    new_cols = ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT", "TELLER", "NEVNER", "RATE", "RATE.n", "SPVFLAGG"]
+    listed = [(c, "present") for c in new_cols] + [("INNVKAT", "new"), ("UTDANN", "expired"), ("TELLER_uprikk", "uprikk")]
+    held = lambda c, cube, missing: "CAST(NULL AS BIGINT)" if c == missing else f"(SELECT count({o.q(c)}) FROM {cube})"
+    ORACLES["p2_compare_columns"] = W(select=" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{s}' AS status, {held(c, 'newcube', 'UTDANN')} AS n_values_new, {held(c, 'oldcube', 'INNVKAT')} AS n_values_old"""
+        for c, s in listed))
     dims = ["GEO", "AAR", "KJONN", "ALDER", "INNVKAT"]
     nl = " UNION ".join(f"SELECT '{d}' AS Dimension, CAST({d} AS VARCHAR) AS level FROM newcube" for d in dims)
     ol = " UNION ".join(f"SELECT '{d}' AS Dimension, CAST({d} AS VARCHAR) AS level FROM oldcube"

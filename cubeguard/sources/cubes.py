@@ -142,7 +142,7 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
             .option("inferSchema", False).csv(path))
 
 
-def _values_of(df: DataFrame, columns) -> DataFrame:
+def values_of(df: DataFrame, columns) -> DataFrame:
     """(column, n_values): how many rows hold a value in each of the columns, by one aggregate."""
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, n_values bigint")
@@ -155,13 +155,13 @@ def renamed_columns_report(df: DataFrame, ref: CubeRef) -> DataFrame:
     original = F.lit(None).cast("string")
     for o, n in ref.renamed:
         original = F.when(F.col("column") == n, o).otherwise(original)
-    return _values_of(df, [n for _, n in ref.renamed]).select(original.alias("original"), F.col("column").alias("new"), "n_values")
+    return values_of(df, [n for _, n in ref.renamed]).select(original.alias("original"), F.col("column").alias("new"), "n_values")
 
 
 def forbidden_outcols(df: DataFrame, ref: CubeRef) -> DataFrame:
     """Uncensored count columns present in a geo-uncensored file, as (column, n_values) rows."""
     checked = ref.version == "New" and "ikkegeoprikket_" in ref.filename
-    return _values_of(df, [c for c in df.columns if checked and c in FORBIDDEN_OUTCOLS])
+    return values_of(df, [c for c in df.columns if checked and c in FORBIDDEN_OUTCOLS])
 
 
 def load_pair(spark: SparkSession, cube_new: str, root: str, cube_old: str | None = None,

@@ -124,6 +124,9 @@ def test_compare_dimensions_and_columns(spark):
     assert d["INNVKAT"].New_levels == "0, 1"
     cols = {(r.column, r.status) for r in compare_colnames(new, old).collect()}
     assert ("INNVKAT", "new") in cols and ("UTDANN", "expired") in cols
+    held = {(r.column, r.status): (r.n_values_new, r.n_values_old) for r in compare_colnames(new, old).collect()}
+    assert held[("RATE", "present")] == (4, 3) and held[("INNVKAT", "new")] == (4, None) and held[("UTDANN", "expired")] == (None, 3)
+    assert {r.n_values_old for r in compare_colnames(new).collect()} == {None}
 
 
 def test_level_table_broadcast_needs_a_bound(spark):
