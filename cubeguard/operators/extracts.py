@@ -397,54 +397,3 @@ def check_friskvik(extracts: DataFrame, cube: DataFrame, cube_filename: str, con
     rep = rep.withColumn("ALT_OK", F.when(~F.coalesce(F.col("__loaded"), F.lit(False)), "not_loaded")
                          .when(alert, "!! KANSKJE IKKE !!").otherwise("Ja"))
     return rep.select(*REPORT_COLS)
-
-
-def check_friskvik_files(spark, extract_paths, cube_folders, spec_folder: str, control: DataFrame,
-                         published: DataFrame, profile: str, geolevel: str, year,
-                         spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """C11 + C7 end to end: read all extracts in one scan (S9), link each to
-    its cube through the control table (KUBE_NAVN of its indicator) and the
-    extract's date tag, find the cube file (parquet folder before CSV
-    folder) and its spec file by date tag (S10), and build the report per
-    cube; reports are unioned.  Extracts whose cube cannot be found are
-    reported as not loaded.
-
-    Only the (extract file, cube name, date tag) triples go through the
-    driver, one per extract file.
-    """
-    from cubeguard.sources.cubes import find_by_datetag, read_csv_strings, read_cube
-    ex = read_extracts(spark, extract_paths, spec)
-    ctrl = control.where((F.col("PROFILTYPE") == profile) & (F.col("MODUS") == geolevel)
-                         & (F.col("AARGANG").cast("string") == str(year)))
-    links = (ex.select("Friskvik").distinct()
-             .withColumn("__ind", indicator_of(F.col("Friskvik")))
-             .withColumn("__tag", F.regexp_extract("Friskvik", DATETAG_PATTERN, 0))
-             .join(ctrl.select(F.col("INDIKATOR").alias("__ind"), "KUBE_NAVN"), "__ind", "left")
-             .collect())
-    groups: dict = {}
-    for r in links:
-        groups.setdefault((r["KUBE_NAVN"], r["__tag"]), []).append(r["Friskvik"])
-    reports = []
-    for (cubename, tag), files in sorted(groups.items(), key=lambda kv: (str(kv[0][0]), kv[0][1])):
-        part = ex.where(F.col("Friskvik").isin(files))
-        paths = find_by_datetag(spark, cube_folders, tag, cubename) if cubename else []
-        if len(paths) != 1:
-            empty = spark.createDataFrame([], "KUBE_NAVN string")
-            reports.append(_not_loaded(part, empty))
-            continue
-        cube, ref = read_cube(spark, paths[0], "New", spec)
-        specs = find_by_datetag(spark, [spec_folder], tag, cubename)
-        spec_rows = (read_csv_strings(spark, specs[0]) if len(specs) == 1 else
-                     spark.createDataFrame([], "Tabell string, Kolonne string, Innhold string"))
-        reports.append(check_friskvik(part, cube, ref.filename, control, spec_rows, published, profile,
-                                      geolevel, year, spec))
-    if not reports:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in REPORT_COLS))
-    return reduce(DataFrame.unionByName, reports)
-
-
-def _not_loaded(extracts: DataFrame, _unused) -> DataFrame:
-    cols = [F.col("Friskvik")] + [
-        (F.lit("not_loaded") if c == "ALT_OK" else F.lit(None).cast("string")).alias(c)
-        for c in REPORT_COLS if c != "Friskvik"]
-    return extracts.select("Friskvik").distinct().select(*cols)

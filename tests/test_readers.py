@@ -173,7 +173,7 @@ def test_update_internal_data(spark):
 
 def test_extract_files_end_to_end(spark):
     from pyspark.sql import functions as F
-    from cubeguard.operators.extracts import check_friskvik_files
+    from cubeguard.operators.extract_files import check_extract_files
     root = tempfile.mkdtemp(prefix="cg-fv-")
     for d in ("ext", "cubes/parquet", "cubes/csv", "specs"):
         os.makedirs(f"{root}/{d}")
@@ -189,7 +189,7 @@ def test_extract_files_end_to_end(spark):
         "PROFILTYPE string, AARGANG string, MODUS string, INDIKATOR string, KUBE_NAVN string, "
         "Periode_bm string, Periode_nn string, Enhet string")
     published = spark.createDataFrame([(f"CUBEA_{tag}",)], "file string")
-    rep = {r.Friskvik: r for r in check_friskvik_files(
+    rep = {r.Friskvik: r for r in check_extract_files(
         spark, f"{root}/ext", [f"{root}/cubes/parquet", f"{root}/cubes/csv"], f"{root}/specs", control,
         published, "FHP", "K", 2024).collect()}
     a = rep[f"IND_A_{tag}.csv"]
