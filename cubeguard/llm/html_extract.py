@@ -11,7 +11,9 @@ valid classes, nested, are the host's template: its text tokens are boilerplate
 every page, inside an article as well, and its slot with most running text outside
 menus and the like is the article where the page names none itself.
 
-A page's text is what remains in the slots of its article.
+A page's text is what remains in the slots of its article. A class name counts by the
+word it ends in (``site-footer``, not ``share-price``); one above an article or main only
+tells it from others that have none above them. A form round an article counts alike.
 """
 
 from __future__ import annotations
@@ -37,18 +39,25 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
  ol p pre section summary table tbody td tfoot th thead title tr ul br""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "select", "button", "title")
-OUT = frozenset("head nav header footer aside form dialog menu fieldset".split())
+OUT = frozenset("head nav footer aside dialog menu".split())
 MAIN = frozenset("article main".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 OUT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment
  comments cookie cookies consent disqus footer foot header masthead menu menubar modal nav navbar navigation newsletter
  notice notices notification overlay popup promo promotion related reply replies respond share sharing sidebar
  sidebars social sponsor sponsored subscribe teaser toolbar widget widgets""".split())
+#: Words of a class name that say where or how, not what; states at its beginning or end say what the page has.
+PARTS = frozenset("""area bar block body box button buttons col column container content group holder icons inner item left
+ link links list outer panel right row section signup slot top unit wrap wrapper""".split())
+STATES = frozenset("closed disabled enabled has is no not off on open shown visible with without".split())
+READERS = frozenset("comment comments disqus reply replies respond".split())
+#: Words that say so at the beginning of a name as well.
+LEADS = READERS | frozenset("ad ads advert cookie cookies nav navbar newsletter related sponsored".split())
 PARAGRAPHS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 td dd li".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z][^<>]*\Z", re.S | re.I)
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"(?=[\s/>]|\w+=)|'[^']*'(?=[\s/>]|\w+=)|[^'\">])*+(?:['\"][^>]*)?)>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z][^<>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -57,17 +66,31 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Block:
     """A run of text between block tags."""
 
-    __slots__ = ("path", "out", "main", "text", "linked", "tag")
+    __slots__ = ("path", "out", "above", "main", "text", "linked", "tag")
 
-    def __init__(self, path: str, tag: str, out: bool, main: bool, text: str, linked: int):
-        self.path, self.tag, self.out, self.main, self.text, self.linked = path, tag, out, main, text, linked
+    def __init__(self, path: str, tag: str, out: bool, above: bool, main: int, text: str, linked: int):
+        self.path, self.tag, self.out, self.above, self.main, self.text, self.linked = path, tag, out, above, main, text, linked
+
+
+def named_out(name: str) -> str | None:
+    """The word by which a class name or id is one of a menu, notice and the like: ``site-footer``,
+    ``adBox``; none for ``has-sidebar``, ``comments-open`` or ``share-price``."""
+    words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+    if not words or words[0] in STATES or words[-1] in STATES:
+        return None
+    if words[0] in LEADS:
+        return words[0]
+    while len(words) > 1 and words[-1] in PARTS:
+        words.pop()
+    return words[-1] if words[-1] in OUT_WORDS else None
 
 
 def parsed(page: str) -> tuple[list[str], list[Block]]:
     """Paths of the block tags, and the text blocks, in page order."""
     paths: list[str] = []
     blocks: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, out, main
+    # tag, path, out for certain, out by a class name or a form, such one above the article, 1 in main or 2 in an article
+    stack: list[tuple[str, str, bool, bool, bool, int]] = [("", "", False, False, False, 0)]
     pieces: list[str] = []
     linked = depth = at = 0
 
@@ -76,8 +99,8 @@ def parsed(page: str) -> tuple[list[str], list[Block]]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                tag, path, out, main = stack[-1]
-                blocks.append(Block(path, tag, out, main, text, min(linked, len(text))))
+                tag, path, sure, maybe, above, main = stack[-1]
+                blocks.append(Block(path, tag, sure or maybe, above, main, text, min(linked, len(text))))
             pieces.clear()
         linked = 0
 
@@ -110,13 +133,18 @@ def parsed(page: str) -> tuple[list[str], list[Block]]:
         while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in closes):
             del stack[-1]
         found = {a[0].lower(): (a[1] or a[2] or a[3]) for a in _ATTR.findall(m["attrs"])} if m["attrs"] else {}
-        names = f"{found.get('class', '')} {found.get('id', '')}"
-        words = set(_WORD.findall(_CAMEL.sub(" ", names).lower()))
-        _, path, out, main = stack[-1]
-        out = out or tag in OUT or "hidden" in found or found.get("role", "").lower() in OUT_ROLES or (bool(words & OUT_WORDS) and tag not in ("html", "body", "main"))
-        main = main or tag in MAIN or found.get("role", "").lower() in ("main", "article")
+        names = f"{found.get('class', '')} {found.get('id', '')}".split()
+        words = {w for name in names for w in _WORD.findall(_CAMEL.sub(" ", name).lower())}
+        role = found.get("role", "").lower()
+        _, path, sure, maybe, above, main = stack[-1]
+        said = {named_out(n) for n in names} - {None} if tag not in ("html", "body", "main") else set()
+        sure = sure or tag in OUT or "hidden" in found or role in OUT_ROLES or (bool(said & READERS) and tag != "article")
+        maybe = maybe or bool(said) or tag in ("form", "fieldset") or (tag == "header" and main < 2)
+        if tag in MAIN or role in ("main", "article"):
+            main = max(main, 2 if "article" in (tag, role) else 1)
+            above, maybe = above or maybe, False
         path = f"{path}/{tag}" + (f".{'.'.join(sorted(words))}" if words else "")
-        stack.append((tag, path, out, main))
+        stack.append((tag, path, sure, maybe, above, main))
         paths.append(path)
     if at < len(page):
         pieces.append(page[at:])
@@ -220,6 +248,9 @@ def article(page: str | None, boilerplate: frozenset, slot: int | None) -> str:
     own = [b for b in blocks if _signed(_hash(f"{b.path}\0{b.text}")) not in boilerplate]
     if any(b.main for b in blocks):
         own = [b for b in own if b.main]
+        # Class names above an article only tell articles of a kind apart.
+        clear = [b for b in own if not b.above]
+        own = clear if max((b.main for b in clear), default=0) == max((b.main for b in own), default=0) else own
     else:
         in_slot = [b for b in own if slot is not None and _below(b.path, slot)]
         own = in_slot or [b for b in own if b.linked * 2 <= len(b.text)]

@@ -27,6 +27,19 @@ def test_article(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div class='content has-sidebar'><article><p>a</p></article></div>", "a"), ("<article class='post comments-open'>a</article>", "a"),
+    ("<main><div class='share-price'>12 a share</div><div class=menu-items>Soup</div></main>", "12 a share Soup"),
+    ("<header>h</header><article><header><h1>Head</h1></header><p>a</p><footer>f</footer></article>", "Head a"),
+    ("<div class='content sidebar'><article>a</article></div>", "a"), ("<form id=all><nav>n</nav><main>a<form>f</form></main></form>", "a"),
+    ("<article>a</article><div id=comments><article class=comment>c</article></div><div class=teaser><article>t</article></div>", "a"),
+    ("<article>a<ol class='comment-list'><li><article>c</article></ol><div class='related-posts'>r</div></article><aside><article>s</article></aside>", "a"),
+    ("<main><p>a</p><div class='wide sidebar'><article>b</article></div></main>", "a b"),
+    ("<article><p title='a>b>c</p><p>it's d</p></article>", "b>c it's d"), ("<article><p title=\"x>y\"class=z>c</p></article>", "c")])
+def test_class_names_and_broken_quotes(page, want):
+    assert text(page) == want
+
+
 def test_driver_pages(spark):
     df = spark.read.parquet(PAGES)
     own = {r.page_id: r.html for r in df.collect()}
