@@ -1,3 +1,5 @@
+import random
+import string
 import zlib
 
 import numpy as np
@@ -52,6 +54,24 @@ def test_held_out_accuracy(spark):
     assert np.mean(out) > 0.95 and len(out) > 20
 
 
+def test_filter_drops_what_is_of_no_learned_language(spark):
+    docs = spark.read.parquet(DOCS).select("doc_id", "text", "lang", "source", "n_chars")
+    rng = random.Random(1)
+    noise = [(10 ** 6 + k, " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(40)), None, None, None) for k in range(100)]
+    foreign = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.", "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+               "人人生而自由,在尊严和权利上一律平等。", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan."]
+    noise += [(2 * 10 ** 6 + k, t, None, None, None) for k, t in enumerate(foreign)]
+    kept = [r.doc_id for r in L.keep_identified(docs.union(spark.createDataFrame(noise, docs.schema))).collect()]
+    assert sorted(kept) == sorted(r.doc_id for r in docs.where("text rlike '[a-zA-Z]'").collect())
+
+
+def test_made_runs_are_of_no_language():
+    runs = ["the", "letter", "words", "écrit", "слово"]
+    made = L.made_runs(runs, np.ones(5), 400)
+    assert len(made) > 300 and not set(made) & set(runs)
+    assert made == L.made_runs(runs, np.ones(5), 400)
+
+
 def test_only_text_decides(spark, monkeypatch):
     monkeypatch.setattr(L, "STEPS", 60)
     docs = spark.read.parquet(DOCS)
