@@ -23,8 +23,11 @@ every registered query reads the given tables and its work grows with them:
 * WEIGHTS (geo parameters) = number of customers in the area.
 
 Plan shape: the wide join is aggregated once to the finest cell grain
-(partial aggregation before the shuffle); the level/total expansion and the
-final cube aggregation then run on that small table.
+(partial aggregation before the shuffle).  The cells of a supplier are dealt
+by it, so its totals are added up where its cells are, and only the cells of
+the other areas, whose number does not grow with the tables, are shuffled
+after their expansion to levels.  Partitions go by rows, not by bytes: cells
+take few bytes as parquet, and a split of them would be far too many rows.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ OLD_MAX_DISCOUNT = 0.095
 OLD_CODE_OFFSET = 1000
 AGE_BANDS = (("1_2", 1, 2), ("3_4", 3, 4), ("5_7", 5, 7))
 AGE_TOTAL = "1_7"
+# a partition holds about so many lines, or the cells made of them
+LINES_PER_PART = 500_000
 # municipality code -> name of the four cities (nations 0..3)
 CITY_PARENTS = {100: "NATION_0", 201: "NATION_1", 302: "NATION_2", 403: "NATION_3"}
 # county / municipality pair that covers the same area in the OO comparison
@@ -60,6 +65,15 @@ def _segment_index(c):
     return expr
 
 
+def partitions_for(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions that follow the number of lines (a parquet row count, answered from file metadata)."""
+    key = _memo_key(spark, sf_dir, "parts")
+    if key not in _MEMO:
+        lines = table(spark, sf_dir, "lineitem").count()
+        _MEMO[key] = max(spark.sparkContext.defaultParallelism, -(-lines // LINES_PER_PART))
+    return _MEMO[key]
+
+
 def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finest-grain aggregate of the base join (one shuffle, map-side combine)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -107,20 +121,28 @@ def _geo_array(renamed: bool):
                             k.cast("bigint"), F.when(is_district, b.cast("bigint")), F.col("v")), lambda x: x.isNotNull())
 
 
-def _cube_from_cells(cells: DataFrame, extra_dim: str, extra_src: str, renamed_nation=None) -> DataFrame:
-    if renamed_nation is not None:
-        cells = cells.withColumn("renamed", F.col("n") == renamed_nation)
-    expanded = cells.select(
-        F.explode(_geo_array(renamed_nation is not None)).alias("GEO"),
-        F.concat_ws("_", F.col("y").cast("string"), F.col("y").cast("string")).alias("AAR"),
-        "kj", "band", extra_src, "t", "nv", "cnt")
-    expanded = (expanded
+def _with_totals(cells: DataFrame, extra_dim: str, extra_src: str) -> DataFrame:
+    """Cells (with their ``GEO``) added up to the rows of a cube, its totals included."""
+    expanded = (cells
                 .select("*", F.explode(F.array(F.lit(0).cast("bigint"), F.col("kj"))).alias("KJONN"))
                 .select("*", F.explode(F.array(F.lit(AGE_TOTAL), F.col("band"))).alias("ALDER"))
                 .select("*", F.explode(F.array(F.lit(0).cast("bigint"), F.col(extra_src))).alias(extra_dim)))
-    cube = (expanded.groupBy("GEO", "AAR", "KJONN", "ALDER", extra_dim)
+    return (expanded.groupBy("GEO", F.concat_ws("_", F.col("y").cast("string"), F.col("y").cast("string")).alias("AAR"), "KJONN", "ALDER", extra_dim)
             .agg(F.sum("t").alias("TELLER_uprikk"), F.sum("nv").alias("NEVNER_uprikk"),
                  F.sum("cnt").alias("RATE_n_uprikk")))
+
+
+def _cube_from_cells(cells: DataFrame, extra_dim: str, extra_src: str, parts: int, renamed_nation=None) -> DataFrame:
+    grain = ["y", "kj", "band", extra_src]
+    sums = [F.sum(c).alias(c) for c in ("t", "nv", "cnt")]
+    areas = cells.where(F.col("v").isNull())
+    if renamed_nation is not None:
+        areas = areas.withColumn("renamed", F.col("n") == renamed_nation)
+    areas = areas.select(F.explode(_geo_array(renamed_nation is not None)).alias("GEO"), *grain, "t", "nv", "cnt")
+    # a supplier's cells come together before they are expanded: no shuffle follows
+    suppliers = (cells.where(F.col("v").isNotNull()).select(F.col("v").alias("GEO"), *grain, "t", "nv", "cnt")
+                 .repartition(parts, "GEO").groupBy("GEO", *grain).agg(*sums))
+    cube = _with_totals(areas, extra_dim, extra_src).unionByName(_with_totals(suppliers, extra_dim, extra_src))
     censored = F.col("TELLER_uprikk") <= SUPPRESSION_LIMIT
     return cube.select(
         "GEO", "AAR", "KJONN", "ALDER", extra_dim,
@@ -135,7 +157,7 @@ def _cube_from_cells(cells: DataFrame, extra_dim: str, extra_src: str, renamed_n
 def new_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """New cube as read (before geo recoding and geo parameters)."""
     cells = fine_cells(spark, sf_dir) if cells is None else cells
-    return _cube_from_cells(cells, "INNVKAT", "innv")
+    return _cube_from_cells(cells, "INNVKAT", "innv", partitions_for(spark, sf_dir))
 
 
 def old_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
@@ -143,7 +165,7 @@ def old_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = Non
     cells = fine_cells(spark, sf_dir) if cells is None else cells
     latest = cells.agg(F.max("y")).scalar()
     cells = cells.where(F.col("in_old") & (F.col("y") < latest))
-    return _cube_from_cells(cells, "UTDANN", "utd", renamed_nation=renamed_nation_key(spark, sf_dir))
+    return _cube_from_cells(cells, "UTDANN", "utd", partitions_for(spark, sf_dir), renamed_nation_key(spark, sf_dir))
 
 
 def renamed_nation_key(spark: SparkSession, sf_dir: str):
@@ -314,18 +336,18 @@ def spec_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "Tabell string, Kolonne string, Innhold string")
 
 
-def with_suppression_bookkeeping(cube: DataFrame) -> DataFrame:
+def with_suppression_bookkeeping(cube: DataFrame, parts: int | None = None) -> DataFrame:
     """pvern = 1 for censored cells; prikket_ok = 1 for the uncensored cell
     with the smallest TELLER_uprikk (lowest KJONN on ties) among the KJONN
     set {1,2,0} of the same other dimensions, when that set has a censored
-    cell."""
+    cell.  With ``parts`` those sets are dealt over so many partitions."""
     from pyspark.sql import Window
     others = [c for c in ("GEO", "AAR", "ALDER", "INNVKAT") if c in cube.columns]
     w_all = Window.partitionBy(*others)
     w_rank = Window.partitionBy(*others).orderBy(
         F.when(F.col("SPVFLAGG") == 0, 0).otherwise(1), F.col("TELLER_uprikk"), F.col("KJONN"))
     pvern = F.when(F.col("SPVFLAGG") == 1, 1).otherwise(0)
-    out = cube.withColumn("pvern", pvern)
+    out = (cube if parts is None else cube.repartition(parts, *others)).withColumn("pvern", pvern)
     out = out.withColumns({"__has": F.max("pvern").over(w_all), "__rn": F.row_number().over(w_rank)})
     ok = F.when((F.col("__has") == 1) & (F.col("__rn") == 1) & (F.col("SPVFLAGG") == 0), 1).otherwise(0)
     return out.withColumn("prikket_ok", ok).drop("__has", "__rn")
