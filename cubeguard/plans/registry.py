@@ -340,7 +340,7 @@ def q_a11(spark, sf_dir):
 @register("a13_suppression_attack")
 def q_a13(spark, sf_dir):
     new, _ = _new(spark, sf_dir)
-    cube = fx.with_suppression_bookkeeping(new)
+    cube = fx.with_suppression_bookkeeping(new, fx.partitions_for(spark, sf_dir))
     return checks.attack_naboprikk(cube, checks.find_specs(fx.spec_table(spark), cube=new))
 
 
