@@ -38,22 +38,41 @@ def _cube_id(path: F.Column) -> F.Column:
     return F.regexp_extract(path, ".*/" + _ID + r"[^/]*(?:/[^/]*)?$", 1)
 
 
-def read_csv_by_name(spark, paths, marker) -> DataFrame:
-    """(file path, ``names``, ``values``) of the rows of many ';'-separated CSV files with headers of their own.
-
-    A file's header is its row that ``marker`` (a Column over ``values``) accepts.  It is
-    joined to the file's rows, so columns go by name in each file; one scan for all.
-    """
-    schema = ", ".join(f"_c{i} string" for i in range(MAX_COLUMNS))
+def csv_columns(spark, paths) -> int:
+    """How many columns the widest line of ';'-separated files may have, ``MAX_COLUMNS`` at most: schemas of
+    more than about a hundred columns are evaluated row by row without generated code."""
+    lines = spark.read.text(paths)
+    marks = F.length("value") - F.length(F.replace("value", F.lit(";"), F.lit("")))
+    return min((lines.agg(F.max(marks)).first()[0] or 0) + 1, MAX_COLUMNS)
+
+
+def _csv_rows(spark, paths, marker) -> tuple[DataFrame, DataFrame]:
+    """(rows, headers) of CSV files, both by file path: the headers are the rows that ``marker`` accepts."""
+    n = csv_columns(spark, paths)
+    schema = ", ".join(f"_c{i} string" for i in range(n))
     raw = spark.read.schema(schema).options(sep=";", header="false", encoding="UTF-8").csv(paths)
     # only the first value can follow a byte order mark
-    values = F.array(F.regexp_replace("_c0", "^\ufeff", ""), *[F.col(f"_c{i}") for i in range(1, MAX_COLUMNS)])
+    values = F.array(F.regexp_replace("_c0", "^\ufeff", ""), *[F.col(f"_c{i}") for i in range(1, n)])
     rows = raw.select(F.col("_metadata.file_path").alias("path"), values.alias("values"))
     heads = rows.where(marker(F.col("values"))).select(F.col("path").alias("__p"), F.array_compact("values").alias("names"))
-    rows = rows.where(~F.coalesce(marker(F.col("values")), F.lit(False)))
+    return rows.where(~F.coalesce(marker(F.col("values")), F.lit(False))), heads
+
+
+def _with_names(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """Rows with the names in their file's header, and with what its path tells (read once a file)."""
+    heads = heads.select("*", _tagged(F.col("__p")).alias("tagged"), _cube_id(F.col("__p")).alias("cube"))
     return rows.join(checked_broadcast(heads), F.col("path") == F.col("__p")).drop("__p")
 
 
+def read_csv_by_name(spark, paths, marker) -> DataFrame:
+    """(file path, ``names``, ``values``, ``tagged``, ``cube``) of the rows of many ';'-separated CSV files with headers of their own.
+
+    A file's header is its row that ``marker`` (a Column over ``values``) accepts.  It is
+    joined to the file's rows, so columns go by name in each file; one scan for all.
+    """
+    return _with_names(*_csv_rows(spark, paths, marker))
+
+
 def _named(name: str) -> F.Column:
     """The value of the column ``name`` in a row of :func:`read_csv_by_name`, NULL where the file has no such column."""
     at = F.array_position("names", name)
@@ -64,7 +83,7 @@ def read_extract_files(spark, paths, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame
     """S9 for files of different columns: Friskvik (the file or folder with the date tag), ``__edims`` (its dimensions),
     ``__stored`` (whether it has stored filters), ETAB, the dimensions, MEIS."""
     rows = read_csv_by_name(spark, paths, lambda v: F.array_contains(v, "MEIS"))
-    out = rows.select(_tagged(F.col("path")).alias("Friskvik"), F.array_intersect("names", F.array(*[F.lit(d) for d in spec.dims])).alias("__edims"),
+    out = rows.select(F.col("tagged").alias("Friskvik"), F.array_intersect("names", F.array(*[F.lit(d) for d in spec.dims])).alias("__edims"),
                       F.array_contains("names", "ETAB").alias("__stored"), _named("ETAB").alias("ETAB"), *[_named(c).alias(c) for c in (*spec.dims, "MEIS")])
     return out.select("Friskvik", "__edims", "__stored", "ETAB", *[typed_column(c, spec, "string") for c in (*spec.dims, "MEIS")])
 
@@ -89,12 +108,14 @@ def read_cube_files(spark, files: dict, spec: CubeSpec = DEFAULT_SPEC) -> tuple[
         value = {n: reduce(F.coalesce, [typed_column(c, spec, types[c]) if n == c else typed_as(c, n, spec, types[c]) for c in back.get(n, [n]) if c in types]) for n in names}
         parts.append(raw.select(_cube_id(F.col("_metadata.file_path")).alias("__cube"), *[v.alias(n) for n, v in value.items()]))
     if csv:
-        rows = read_csv_by_name(spark, list(csv.values()), lambda v: F.array_contains(v, spec.geo))
-        heads = {r[0]: r[1] for r in rows.select(_cube_id(F.col("path")), "names").distinct().collect()}  # a header for each file
+        plain, heads = _csv_rows(spark, list(csv.values()), lambda v: F.array_contains(v, spec.geo))
+        rows = _with_names(plain, heads)
+        held = heads.join(plain.select("path").distinct(), F.col("path") == F.col("__p"))  # a header for each file that has rows
+        heads = {r[0]: r[1] for r in held.select(_cube_id(F.col("path")), "names").distinct().collect()}
         columns |= heads
         names = list(dict.fromkeys(spec.rename.get(c, c) for _, h in sorted(heads.items()) for c in h))
         text = {n: reduce(F.coalesce, [_named(c) for c in back.get(n, [n])]) for n in names}
-        rows = rows.select(_cube_id(F.col("path")).alias("__cube"), *[v.alias(n) for n, v in text.items()])
+        rows = rows.select(F.col("cube").alias("__cube"), *[v.alias(n) for n, v in text.items()])
         parts.append(rows.select("__cube", *[typed_column(n, spec, "string") for n in names]))
     cubes = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     info = []
@@ -149,7 +170,7 @@ def filter_cubes_to_extracts(cubes: DataFrame, extracts: DataFrame, spec: CubeSp
         asks.append(_key(F.col("__cube"), d, level))
     lookup = ex.select(F.explode(F.array(*asks)).alias("__key"), "__x").groupBy("__key").agg(F.collect_set("__x").alias("__ex"))
     lookup = checked_broadcast(lookup)
-    out, matching, none = cubes, None, F.array().cast(lookup.schema["__ex"].dataType)
+    out, none = cubes, F.array().cast(lookup.schema["__ex"].dataType)
     anywhere = [d for d in dims if _fixed_level(d, ind) is None]
     for k, d in enumerate(dims):
         level = lookup.select(F.col("__key").alias(f"__k{k}"), F.col("__ex").alias(f"__e{k}"))
@@ -159,7 +180,10 @@ def filter_cubes_to_extracts(cubes: DataFrame, extracts: DataFrame, spec: CubeSp
             level = lookup.select(F.col("__key").alias(f"__a{k}"), F.col("__ex").alias(f"__o{k}"))
             out = out.join(level, _key(F.col("__cube"), d, F.lit(_ALL)) == F.col(f"__a{k}"), "left")
             here = F.array_union(here, F.coalesce(F.col(f"__o{k}"), none))
-        matching = here if matching is None else F.array_intersect(matching, here)
+        # most areas are in no extract: a row that none asks for goes no further
+        out = out.withColumn("__matching", here if k == 0 else F.array_intersect("__matching", here)).where(F.size("__matching") > 0)
+        out = out.drop(f"__k{k}", f"__e{k}", f"__a{k}", f"__o{k}")
+    matching = F.col("__matching")
 
     def passes(x):
         def holds(f):
@@ -205,7 +229,8 @@ def check_extract_files(spark, extract_paths, cube_folders, spec_folder: str, co
     loaded = F.col("Kube").isNotNull()
     link = checked_broadcast(ids.where(loaded).select("Friskvik", "__cube", "__cdims"))
     ex = materialize(ex.join(link, "Friskvik").withColumn("__common", F.array_intersect("__edims", "__cdims")), "linked_rows")
-    cf = filter_cubes_to_extracts(cubes, ex, spec)
+    # the cubes are scanned once; the rows that extracts ask for are few, and read by every check
+    cf = materialize(filter_cubes_to_extracts(cubes, ex, spec), "asked_rows")
     common = checked_broadcast(ex.select(F.col("Friskvik").alias("__f"), "__common").distinct())
     dims = [d for d in spec.dims if d in cubes.columns]
     vals = [v for v in identify_coltypes(cubes.drop("__cube"), spec=spec).vals_new if not re.search(r"RATE.n|SPVFLAGG", v)]
@@ -220,7 +245,7 @@ def check_extract_files(spark, extract_paths, cube_folders, spec_folder: str, co
     ref = spark.createDataFrame([], "__cube string, ref string")
     if specs:
         rows = read_csv_by_name(spark, list(specs.values()), lambda v: F.array_contains(v, "Kolonne") & F.array_contains(v, "Innhold"))
-        ref = (rows.select(_cube_id(F.col("path")).alias("__cube"), _named("Kolonne").alias("k"), _named("Innhold").alias("ref"))
+        ref = (rows.select(F.col("cube").alias("__cube"), _named("Kolonne").alias("k"), _named("Innhold").alias("ref"))
                .where(F.col("k") == "REFVERDI_VP").groupBy("__cube").agg(F.max("ref").alias("ref")))
     pub = published.select(F.col("file").alias("__cube")).distinct().withColumn("__pub", F.lit(True))
     rep = ids

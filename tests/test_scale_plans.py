@@ -60,3 +60,14 @@ def test_attack_groups_by_digests_of_labels(spark):
     text = plan(out)
     partial = text[text.index("partial_sum"):]
     assert "set_label" not in partial[:partial.index("BroadcastHashJoin")] and "sha2(" in text
+
+
+def test_csv_schema_is_as_wide_as_the_files(spark, tmp_path):
+    from cubeguard.operators import extract_files as ef
+    for name, text in (("A_2024-01-01-00-00", "GEO;AAR;MEIS\n1;2000_2000;3\n"), ("B_2024-01-01-00-00", '﻿MEIS;"GEO";AAR;ALDER;KJONN\n5;2;2001_2001;"1;2";0\n')):
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    assert ef.csv_columns(spark, str(tmp_path)) == 6
+    rows = ef.read_csv_by_name(spark, str(tmp_path), lambda v: ef.F.array_contains(v, "MEIS"))
+    got = {r["cube"]: (r["names"], r["values"][:len(r["names"])]) for r in rows.collect()}
+    assert got == {"A_2024-01-01-00-00": (["GEO", "AAR", "MEIS"], ["1", "2000_2000", "3"]),
+                   "B_2024-01-01-00-00": (["MEIS", "GEO", "AAR", "ALDER", "KJONN"], ["5", "2", "2001_2001", "1;2", "0"])}
