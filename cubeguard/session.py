@@ -69,12 +69,32 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     lose it, the plan is computed once, and later scans of it get column
     pruning and filter pushdown.
     """
+    return df.sparkSession.read.parquet(_write(df, name))
+
+
+def _write(df: DataFrame, name: str) -> str:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/cubeguard/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     _WRITTEN.setdefault(session_id(spark), []).append(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def case_sensitive(df: DataFrame, name: str = "table") -> DataFrame:
+    """The rows of ``df``, written once, in a session of their own that tells names apart by case.
+
+    For results with two columns that differ only in case, which a session that takes
+    them for one cannot write.  Settings of the caller's session are taken over; the
+    session itself is not changed.
+    """
+    spark = df.sparkSession
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.caseSensitive", "true")
+    return own.read.parquet(_write(df, name))
 
 
 _WRITTEN: dict = {}
