@@ -22,8 +22,8 @@ every registered query reads the given tables and its work grows with them:
   municipality code (current + 1000), so the code map has work to do;
 * WEIGHTS (geo parameters) = number of customers in the area.
 
-Plan shape: the wide join is aggregated once to the finest cell grain
-(partial aggregation before the shuffle).  The cells of a supplier are dealt
+Plan shape: the wide join, dealt by rows, is aggregated once to the finest
+cell grain (partial aggregation before the shuffle).  The cells of a supplier are dealt
 by it, so its totals are added up where its cells are, and only the cells of
 the other areas, whose number does not grow with the tables, are shuffled
 after their expansion to levels.  Partitions go by rows, not by bytes: cells
@@ -88,6 +88,12 @@ def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = (od.join(cu, od.o_custkey == cu.c_custkey)
           .join(na, cu.c_nationkey == na.n_nationkey)
           .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_mktsegment", "n_nationkey", "n_regionkey"))
+    # beyond a partition a core they are dealt by rows: a task sorts and
+    # combines so many lines whatever the session's shuffle partitions are;
+    # below that Spark deals them as finely, and may broadcast the orders
+    parts = partitions_for(spark, sf_dir)
+    if parts > spark.sparkContext.defaultParallelism:
+        li, oc = li.repartition(parts, "l_orderkey"), oc.repartition(parts, "o_orderkey")
     base = li.join(oc, li.l_orderkey == oc.o_orderkey)
     band = None
     for label, lo, hi in AGE_BANDS:

@@ -48,6 +48,29 @@ def test_partitions_follow_the_lines(spark, tmp_path, monkeypatch):
     assert fx.partitions_for(spark, str(tmp_path)) == 100
 
 
+def test_lines_are_joined_in_partitions_that_follow_their_number(spark, tmp_path, monkeypatch):
+    tables = {"nation": ([(1, 0), (2, 1)], "n_nationkey int, n_regionkey int"),
+              "customer": ([(10, 1, "BUILDING"), (11, 2, "MACHINERY"), (None, 1, "BUILDING")], "c_custkey bigint, c_nationkey int, c_mktsegment string"),
+              "orders": ([(k, 10 + k % 2, f"199{k % 4}-02-03", f"{k % 5 + 1}-X") for k in range(40)] + [(None, 10, "1993-01-01", "1-X")],
+                         "o_orderkey bigint, o_custkey bigint, o_orderdate string, o_orderpriority string"),
+              "supplier": ([(0,)], "s_suppkey bigint"),
+              "lineitem": ([(k % 50, k % 7, k % 7 + 1, float(k % 30), "RN"[k % 2], "FO"[k % 3 > 0], 0.05 * (k % 3)) for k in range(400)]
+                           + [(None, 1, 1, 3.0, "R", "F", 0.0), (3, None, 1, None, None, None, None)],
+                           "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_discount double")}
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        (df.withColumn("o_orderdate", df["o_orderdate"].cast("timestamp")) if name == "orders" else df).write.parquet(f"{tmp_path}/{name}.parquet")
+    few = fx.fine_cells(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" not in plan(few)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(fx, "LINES_PER_PART", 402 // (2 * cores))
+    monkeypatch.setattr(fx, "_MEMO", {})
+    parts = fx.partitions_for(spark, str(tmp_path))
+    many = fx.fine_cells(spark, str(tmp_path))
+    assert parts > cores and plan(many).count(f", {parts}), REPARTITION_BY_NUM") == 2  # lines and orders
+    assert sorted(many.collect(), key=str) == sorted(few.collect(), key=str) and many.count() > 50
+
+
 def test_attack_groups_by_digests_of_labels(spark):
     cube = spark.createDataFrame(
         [(1, "2000_2000", 0, 0, 1), (1, "2000_2000", 1, 1, 0), (1, "2000_2000", 2, 1, 0), (2, "2000_2000", 0, 1, 0), (2, "2000_2000", 1, 1, 0),
