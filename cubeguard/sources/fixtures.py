@@ -48,6 +48,9 @@ AGE_BANDS = (("1_2", 1, 2), ("3_4", 3, 4), ("5_7", 5, 7))
 AGE_TOTAL = "1_7"
 # a partition holds about so many lines, or the cells made of them
 LINES_PER_PART = 500_000
+# and where lines and cells are dealt, about so many: a task that deals its rows to
+# more than 200 partitions sorts them in memory first, so they are no more than need be
+LINES_PER_DEAL = 1_250_000
 # municipality code -> name of the four cities (nations 0..3)
 CITY_PARENTS = {100: "NATION_0", 201: "NATION_1", 302: "NATION_2", 403: "NATION_3"}
 # county / municipality pair that covers the same area in the OO comparison
@@ -65,13 +68,12 @@ def _segment_index(c):
     return expr
 
 
-def partitions_for(spark: SparkSession, sf_dir: str) -> int:
+def partitions_for(spark: SparkSession, sf_dir: str, per_part: int | None = None) -> int:
     """Partitions that follow the number of lines (a parquet row count, answered from file metadata)."""
-    key = _memo_key(spark, sf_dir, "parts")
+    key = _memo_key(spark, sf_dir, "lines")
     if key not in _MEMO:
-        lines = table(spark, sf_dir, "lineitem").count()
-        _MEMO[key] = max(spark.sparkContext.defaultParallelism, -(-lines // LINES_PER_PART))
-    return _MEMO[key]
+        _MEMO[key] = table(spark, sf_dir, "lineitem").count()
+    return max(spark.sparkContext.defaultParallelism, -(-_MEMO[key] // (per_part or LINES_PER_PART)))
 
 
 def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,10 +90,10 @@ def fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = (od.join(cu, od.o_custkey == cu.c_custkey)
           .join(na, cu.c_nationkey == na.n_nationkey)
           .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_mktsegment", "n_nationkey", "n_regionkey"))
-    # beyond a partition a core they are dealt by rows: a task sorts and
-    # combines so many lines whatever the session's shuffle partitions are;
-    # below that Spark deals them as finely, and may broadcast the orders
-    parts = partitions_for(spark, sf_dir)
+    # beyond a partition a core they are dealt by rows, so that a task sorts
+    # and combines no more lines where the session's shuffle partitions are
+    # few; below that Spark deals them as finely, and may broadcast the orders
+    parts = partitions_for(spark, sf_dir, LINES_PER_DEAL)
     if parts > spark.sparkContext.defaultParallelism:
         li, oc = li.repartition(parts, "l_orderkey"), oc.repartition(parts, "o_orderkey")
     base = li.join(oc, li.l_orderkey == oc.o_orderkey)
@@ -163,7 +165,7 @@ def _cube_from_cells(cells: DataFrame, extra_dim: str, extra_src: str, parts: in
 def new_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """New cube as read (before geo recoding and geo parameters)."""
     cells = fine_cells(spark, sf_dir) if cells is None else cells
-    return _cube_from_cells(cells, "INNVKAT", "innv", partitions_for(spark, sf_dir))
+    return _cube_from_cells(cells, "INNVKAT", "innv", partitions_for(spark, sf_dir, LINES_PER_DEAL))
 
 
 def old_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
@@ -171,7 +173,7 @@ def old_cube_raw(spark: SparkSession, sf_dir: str, cells: DataFrame | None = Non
     cells = fine_cells(spark, sf_dir) if cells is None else cells
     latest = cells.agg(F.max("y")).scalar()
     cells = cells.where(F.col("in_old") & (F.col("y") < latest))
-    return _cube_from_cells(cells, "UTDANN", "utd", partitions_for(spark, sf_dir), renamed_nation_key(spark, sf_dir))
+    return _cube_from_cells(cells, "UTDANN", "utd", partitions_for(spark, sf_dir, LINES_PER_DEAL), renamed_nation_key(spark, sf_dir))
 
 
 def renamed_nation_key(spark: SparkSession, sf_dir: str):

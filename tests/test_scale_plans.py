@@ -63,9 +63,8 @@ def test_lines_are_joined_in_partitions_that_follow_their_number(spark, tmp_path
     few = fx.fine_cells(spark, str(tmp_path))
     assert "REPARTITION_BY_NUM" not in plan(few)
     cores = spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(fx, "LINES_PER_PART", 402 // (2 * cores))
-    monkeypatch.setattr(fx, "_MEMO", {})
-    parts = fx.partitions_for(spark, str(tmp_path))
+    monkeypatch.setattr(fx, "LINES_PER_DEAL", 402 // (2 * cores))
+    parts = fx.partitions_for(spark, str(tmp_path), fx.LINES_PER_DEAL)
     many = fx.fine_cells(spark, str(tmp_path))
     assert parts > cores and plan(many).count(f", {parts}), REPARTITION_BY_NUM") == 2  # lines and orders
     assert sorted(many.collect(), key=str) == sorted(few.collect(), key=str) and many.count() > 50
